@@ -28,15 +28,14 @@ REASON_ORDER = (
 )
 
 
-def quarantine_reasons(cols: Columns, transaction_types: tuple[str, ...]) -> Column:
-    """``array<string>`` of every failed check; empty means the row is valid.
-
-    Routing on ``size(reasons) = 0`` is total: a NULL type fails the
-    ``transaction_type_null`` check instead of making the predicate NULL and
-    falling out of both the valid and the quarantine side.
+def quarantine_checks(cols: Columns, transaction_types: tuple[str, ...]) -> list[tuple[Column, str]]:
+    """(predicate, reason) pairs in reason order. Every predicate is
+    NULL-free (built from ``isNull`` / ``isNotNull``), so routing on them is
+    total: a NULL type fails ``transaction_type_null`` instead of making the
+    predicate NULL and falling out of both the valid and the quarantine side.
     """
     t = F.col(cols.transaction_type)
-    checks = [
+    return [
         (F.col(cols.user_id).isNull(), REASON_USER_NULL),
         (F.col(cols.account_id).isNull(), REASON_ACCOUNT_NULL),
         (t.isNull(), REASON_TYPE_NULL),
@@ -44,6 +43,20 @@ def quarantine_reasons(cols: Columns, transaction_types: tuple[str, ...]) -> Col
         (F.col(cols.event_time).isNull(), REASON_TIME_NULL),
         (F.col(cols.amount).isNull(), REASON_AMOUNT_NULL),
     ]
+
+
+def is_rejected(cols: Columns, transaction_types: tuple[str, ...]) -> Column:
+    """True when any check fails (a plain boolean: cheap on the valid path)."""
+    conds = [c for c, _ in quarantine_checks(cols, transaction_types)]
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
+def quarantine_reasons(cols: Columns, transaction_types: tuple[str, ...]) -> Column:
+    """``array<string>`` of every failed check; empty means the row is valid."""
+    checks = quarantine_checks(cols, transaction_types)
     return F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in checks]))
 
 

@@ -168,10 +168,11 @@ def stationary_balance(events: DataFrame, cutoff, cols: Columns = Columns(), uni
 # --- calendar days ------------------------------------------------------------
 
 def daily_net(events: DataFrame, cols: Columns = Columns()) -> DataFrame:
-    """``account_id, d, net`` for days with events (1-day tumbling windows)."""
-    return events.groupBy(cols.account_id, F.window(cols.event_time, "1 day").alias("w")).agg(
+    """``account_id, d, net`` for calendar days with events (1-day tumbling
+    windows in UTC; the streaming twin uses ``window``)."""
+    return events.groupBy(cols.account_id, F.to_date(cols.event_time).alias("d")).agg(
         money(F.sum(cols.amount)).alias("net")
-    ).select(cols.account_id, F.to_date(F.col("w.start")).alias("d"), "net")
+    )
 
 
 def last_day(events: DataFrame, cols: Columns = Columns()) -> dt.date:
@@ -186,18 +187,27 @@ def daily_balance(events: DataFrame, cols: Columns = Columns(), through: dt.date
     account's first event day through ``through`` (default: the last event day);
     days without events carry the balance forward.
 
-    Events are pre-aggregated to (account, day) first, so the running window
-    per account holds one row per day, whatever the event volume.
+    Events are first reduced to one row per (account, day). A running window
+    over those day rows gives each event day's closing balance and the next
+    event day; each day row then expands into itself plus the quiet days up to
+    the next event day. One aggregate, one window, no join: the per-account
+    window holds at most one row per day, whatever the event volume.
     """
     through = through or last_day(events, cols)
-    net = daily_net(events, cols)
-    first = net.groupBy(cols.account_id).agg(F.min("d").alias("_first"))
-    spine = first.filter(F.col("_first") <= F.lit(through)).select(
-        cols.account_id, F.explode(F.sequence(F.col("_first"), F.lit(through))).alias("d")
+    net = daily_net(events, cols).filter(F.col("d") <= F.lit(through))
+    w = Window.partitionBy(cols.account_id).orderBy("d")
+    x = net.withColumn("closing", money(F.sum("net").over(w.rowsBetween(Window.unboundedPreceding, 0)))).withColumn(
+        "_next", F.lead("d").over(w)
+    )
+    end = F.coalesce(F.date_sub(F.col("_next"), 1), F.lit(through))
+    y = x.select(
+        cols.account_id, F.col("d").alias("_event_day"), "net", "closing", F.explode(F.sequence(F.col("d"), end)).alias("d")
     )
-    days = spine.join(net, [cols.account_id, "d"], "left").withColumn("net", F.coalesce(F.col("net"), zero()))
-    w = Window.partitionBy(cols.account_id).orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
-    closing = money(F.sum("net").over(w))
-    return days.withColumn("closing", closing).select(
-        cols.account_id, "d", money(F.col("closing") - F.col("net")).alias("opening"), "net", "closing"
+    day_net = F.when(F.col("d") == F.col("_event_day"), F.col("net")).otherwise(zero())
+    return y.select(
+        cols.account_id,
+        "d",
+        money(F.col("closing") - day_net).alias("opening"),
+        day_net.alias("net"),
+        "closing",
     )

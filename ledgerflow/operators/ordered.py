@@ -34,9 +34,11 @@ def running_total(
     Optionally ``with_next_ts`` = ``ts`` of the next row of the same key
     (``lead``), also computed bucket-wise.
 
-    Plan: one shuffle of the rows by (key, bucket); the per-bucket totals are
-    aggregated on that same partitioning; a small window over buckets per key
-    gives each bucket's opening offset and the start of the next bucket.
+    Plan: one shuffle of the rows by (key, bucket) for the in-bucket window;
+    per-bucket totals from a map-side-combined aggregate; a small window over
+    buckets per key gives each bucket's opening offset and the start of the
+    next bucket; a join on (key, bucket) that AQE broadcasts when the bucket
+    table is small.
     """
     x = df.withColumn(BUCKET, F.date_trunc(unit, F.col(ts)))
     wb = Window.partitionBy(key, BUCKET).orderBy(F.col(ts), F.col(tiebreak))
@@ -44,7 +46,11 @@ def running_total(
     if with_next_ts:
         within = within.withColumn("_lead", F.lead(ts).over(wb))
 
-    per_bucket = within.groupBy(key, BUCKET).agg(F.sum(value).alias("_bsum"), F.min(ts).alias("_bstart"))
+    # Bucket totals are a hash aggregate straight over the input: partial sums
+    # are combined map-side, so this branch reads three pruned columns and
+    # shuffles one row per (key, bucket) per task. (Deriving them from the
+    # windowed rows instead would shuffle every row a second time.)
+    per_bucket = x.groupBy(key, BUCKET).agg(F.sum(value).alias("_bsum"), F.min(ts).alias("_bstart"))
     wk = Window.partitionBy(key).orderBy(BUCKET)
     offsets = per_bucket.select(
         key,

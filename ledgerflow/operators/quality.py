@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.config import Columns, TRANSACTION_TYPES
-from ledgerflow.functions.rules import quarantine_reasons
+from ledgerflow.functions.rules import is_rejected, quarantine_reasons
 
 REASONS = "reasons"
 REASON = "reason"
@@ -28,17 +28,18 @@ def is_valid() -> Column:
 def route(df: DataFrame, cols: Columns = Columns(), transaction_types=TRANSACTION_TYPES) -> tuple[DataFrame, DataFrame]:
     """Split events into (valid, quarantine); every input row lands in exactly one.
 
-    Both sides are lazy views of the same annotated plan. Writers that need
-    both should use ``sources.tables.write_routed`` (one scan, one job).
+    The valid side is a plain boolean filter; only quarantined rows build
+    their ``reasons`` array. Writers that need both sides should use
+    ``sources.tables.write_routed`` (one scan, one job).
     """
-    tagged = with_reasons(df, cols, transaction_types)
-    valid = tagged.filter(is_valid()).drop(REASONS, REASON)
-    bad = tagged.filter(~is_valid())
+    rejected = is_rejected(cols, tuple(transaction_types))
+    valid = df.filter(~rejected)
+    bad = with_reasons(df.filter(rejected), cols, transaction_types)
     return valid, bad
 
 
 def valid_events(df: DataFrame, cols: Columns = Columns(), transaction_types=TRANSACTION_TYPES) -> DataFrame:
-    return route(df, cols, transaction_types)[0]
+    return df.filter(~is_rejected(cols, tuple(transaction_types)))
 
 
 def reason_counts(df: DataFrame, cols: Columns = Columns(), transaction_types=TRANSACTION_TYPES) -> DataFrame:
@@ -49,11 +50,11 @@ def reason_counts(df: DataFrame, cols: Columns = Columns(), transaction_types=TR
 
 def routing_counts(df: DataFrame, cols: Columns = Columns(), transaction_types=TRANSACTION_TYPES) -> DataFrame:
     """``n_in, n_valid, n_bad`` in one pass; n_in = n_valid + n_bad always."""
-    tagged = with_reasons(df, cols, transaction_types)
-    return tagged.agg(
+    rejected = is_rejected(cols, tuple(transaction_types))
+    return df.agg(
         F.count(F.lit(1)).alias("n_in"),
-        F.count(F.when(is_valid(), 1)).alias("n_valid"),
-        F.count(F.when(~is_valid(), 1)).alias("n_bad"),
+        F.count(F.when(~rejected, 1)).alias("n_valid"),
+        F.count(F.when(rejected, 1)).alias("n_bad"),
     )
 
 
@@ -84,7 +85,7 @@ def dq_metrics(
     """Per layer (raw, valid): rows, null money, null ids, future / pre-epoch
     timestamps, negative amounts. One scan; valid metrics are conditional sums.
     """
-    tagged = with_reasons(raw, cols, transaction_types)
+    ok = ~is_rejected(cols, tuple(transaction_types))
     ts = F.col(cols.event_time)
     metrics = {
         "n": F.lit(True),
@@ -95,10 +96,10 @@ def dq_metrics(
         "negative_amount": F.col(cols.amount) < 0,
     }
     aggs = []
-    for layer, cond in (("raw", F.lit(True)), ("valid", is_valid())):
+    for layer, cond in (("raw", F.lit(True)), ("valid", ok)):
         for name, pred in metrics.items():
             aggs.append(F.count(F.when(cond & F.coalesce(pred, F.lit(False)), 1)).alias(f"{layer}__{name}"))
-    wide = tagged.agg(*aggs)
+    wide = raw.agg(*aggs)
     layers = [
         F.struct(F.lit(layer).alias("layer"), *[F.col(f"{layer}__{m}").alias(m) for m in metrics])
         for layer in ("raw", "valid")

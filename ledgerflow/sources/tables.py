@@ -69,6 +69,7 @@ def write_routed(df: DataFrame, routed_path: str, **rules) -> None:
     tagged = quality.with_reasons(df, **rules).withColumn(
         ROUTE, F.when(quality.is_valid(), F.lit("valid")).otherwise(F.lit("quarantine"))
     )
+    # (reasons are an empty array on the valid partition)
     tagged.write.mode("append").partitionBy(ROUTE).parquet(routed_path)
 
 
