@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ledgerflow.config import AccrualRule, Columns
 from ledgerflow.functions.rules import accrual_base, bonus, final_balance
 
-# A densified rate table holds one row per calendar day. It is broadcast only
-# when that day count is under this bound (about 270 years of days).
+# A densified rate table holds one row per calendar day of the requested span.
+# It is broadcast only when that span is under this bound (about 270 years).
 MAX_BROADCAST_RATE_DAYS = 100_000
 
 
@@ -72,32 +72,35 @@ def gold_frames(
 
 # --- rates ---------------------------------------------------------------------
 
-def dense_rates(rates: DataFrame, through: dt.date) -> DataFrame:
-    """``d, rate``: one row per calendar day from the first rate date through
-    ``through``; a day without its own rate takes the latest earlier one.
+def dense_rates(rates: DataFrame, through: dt.date, since: dt.date | None = None) -> DataFrame:
+    """``d, rate``: one row per calendar day in ``[since, through]`` (from the
+    first rate date when ``since`` is None) that has a rate in force; a day
+    without its own rate takes the latest earlier one.
 
     The window runs over the rate table itself (one row per rate change).
     """
     w = Window.orderBy("rate_date")
-    end = F.coalesce(F.date_sub(F.lead("rate_date").over(w), 1), F.lit(through))
-    spans = rates.select("rate_date", "rate", F.least(end, F.lit(through)).alias("_end"))
-    return spans.filter(F.col("rate_date") <= F.col("_end")).select(
-        F.explode(F.sequence("rate_date", "_end")).alias("d"), "rate"
+    end = F.least(F.coalesce(F.date_sub(F.lead("rate_date").over(w), 1), F.lit(through)), F.lit(through))
+    start = F.col("rate_date") if since is None else F.greatest(F.col("rate_date"), F.lit(since))
+    spans = rates.select(start.alias("_start"), "rate", end.alias("_end"))
+    return spans.filter(F.col("_start") <= F.col("_end")).select(
+        F.explode(F.sequence("_start", "_end")).alias("d"), "rate"
     )
 
 
-def _rate_join_side(rates: DataFrame, dense: DataFrame, through: dt.date) -> DataFrame:
-    """Broadcast the dense rate table only behind a checked size bound."""
-    first = rates.agg(F.min("rate_date").alias("m")).first()["m"]
-    if first is not None and (through - first).days + 1 <= MAX_BROADCAST_RATE_DAYS:
+def _dense_join_side(rates: DataFrame, since: dt.date, through: dt.date) -> DataFrame:
+    """The dense rate table clipped to ``[since, through]`` has at most
+    ``through - since + 1`` rows: broadcast it only under the bound."""
+    dense = dense_rates(rates, through, since)
+    if (through - since).days + 1 <= MAX_BROADCAST_RATE_DAYS:
         return F.broadcast(dense)
     return dense
 
 
-def rate_asof(days: DataFrame, rates: DataFrame, through: dt.date) -> DataFrame:
-    """``d, rate`` for each day in ``days`` (column ``d``) that has a rate in force."""
-    dense = dense_rates(rates, through)
-    return days.join(_rate_join_side(rates, dense, through), "d")
+def rate_asof(days: DataFrame, rates: DataFrame, since: dt.date, through: dt.date) -> DataFrame:
+    """``d, rate`` for each day in ``days`` (column ``d``, within
+    ``[since, through]``) that has a rate in force."""
+    return days.join(_dense_join_side(rates, since, through), "d")
 
 
 def accrual_by_rate_date(daily: DataFrame, rates: DataFrame, rule: AccrualRule = AccrualRule(), cols: Columns = Columns()) -> DataFrame:
@@ -109,15 +112,21 @@ def accrual_by_rate_date(daily: DataFrame, rates: DataFrame, rule: AccrualRule =
     return j.select(cols.account_id, "d", "rate", bonus(base, rule, F.col("rate")).alias(cols.cdi_bonus))
 
 
-def daily_payout(daily: DataFrame, rates: DataFrame, through: dt.date, rule: AccrualRule = AccrualRule(), cols: Columns = Columns()) -> DataFrame:
+def daily_payout(
+    daily: DataFrame,
+    rates: DataFrame,
+    since: dt.date,
+    through: dt.date,
+    rule: AccrualRule = AccrualRule(),
+    cols: Columns = Columns(),
+) -> DataFrame:
     """``account_id, d, cdi_bonus`` per calendar day with the as-of rate.
 
     The day's base is least(opening, closing), the parity rule applied to one
     calendar day; the threshold is strict. Days before the first rate are not
-    paid.
+    paid. ``[since, through]`` must cover the days of ``daily``.
     """
-    dense = dense_rates(rates, through)
-    j = daily.join(_rate_join_side(rates, dense, through), "d")
+    j = daily.join(_dense_join_side(rates, since, through), "d")
     base = F.least(F.col("opening"), F.col("closing"))
     return j.select(cols.account_id, "d", bonus(base, rule, F.col("rate")).alias(cols.cdi_bonus))
 

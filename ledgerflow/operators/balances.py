@@ -175,11 +175,17 @@ def daily_net(events: DataFrame, cols: Columns = Columns()) -> DataFrame:
     )
 
 
-def last_day(events: DataFrame, cols: Columns = Columns()) -> dt.date:
-    row = events.agg(F.max(F.to_date(cols.event_time)).alias("d")).first()
-    if row is None or row["d"] is None:
+def day_span(events: DataFrame, cols: Columns = Columns()) -> tuple[dt.date, dt.date]:
+    """(first, last) calendar day with events: one aggregate, two scalars."""
+    d = F.to_date(cols.event_time)
+    row = events.agg(F.min(d).alias("lo"), F.max(d).alias("hi")).first()
+    if row is None or row["hi"] is None:
         raise ValueError("no events")
-    return row["d"]
+    return row["lo"], row["hi"]
+
+
+def last_day(events: DataFrame, cols: Columns = Columns()) -> dt.date:
+    return day_span(events, cols)[1]
 
 
 def daily_balance(events: DataFrame, cols: Columns = Columns(), through: dt.date | None = None) -> DataFrame:

@@ -230,9 +230,9 @@ def q_layer_counts(spark, sf):
 
 def q_rate_asof(spark, sf):
     v = valid(spark, sf)
-    through = balances.last_day(v)
+    since, through = balances.day_span(v)
     days = v.select(F.to_date("event_time").alias("d")).distinct()
-    return accrual.rate_asof(days, fx.rates_table(spark), through)
+    return accrual.rate_asof(days, fx.rates_table(spark), since, through)
 
 
 def q_accrual_by_rate_date(spark, sf):
@@ -241,9 +241,9 @@ def q_accrual_by_rate_date(spark, sf):
 
 
 def _payouts(spark, events: DataFrame) -> DataFrame:
-    through = balances.last_day(events)
+    since, through = balances.day_span(events)
     daily = balances.daily_balance(events, through=through)
-    return accrual.daily_payout(daily, fx.rates_table(spark), through)
+    return accrual.daily_payout(daily, fx.rates_table(spark), since, through)
 
 
 def q_daily_payout(spark, sf):

@@ -216,7 +216,7 @@ def test_rate_asof_fills_gaps(spark):
     from ledgerflow.sources.fixtures import rates_table
 
     days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 4, 5, 19, 20, 30)], "d date")
-    got = {r.d.day: r.rate for r in accrual.rate_asof(days, rates_table(spark), dt.date(2024, 1, 30)).collect()}
+    got = {r.d.day: r.rate for r in accrual.rate_asof(days, rates_table(spark), dt.date(2024, 1, 1), dt.date(2024, 1, 30)).collect()}
     assert got == {
         1: Decimal("0.00050000"),
         4: Decimal("0.00050000"),
