@@ -110,6 +110,39 @@ def fold_touched_only(stored: DataFrame, incoming: DataFrame, cols: Columns = Co
     return fold(touched, incoming, cols).select(*cols.silver_columns).unionByName(untouched)
 
 
+# --- day-grain state (late events, moving cutoffs) ----------------------------------
+
+def day_state(events: DataFrame, cols: Columns = Columns()) -> DataFrame:
+    """Silver state at (account, calendar day) grain: ``account_id, d, net``.
+
+    Buckets split at a fixed cutoff go stale when the cutoff moves (money that
+    was "late" yesterday is "early" today) and a late-arriving event would land
+    in the wrong bucket. Net flow per day does not depend on the cutoff, so it
+    can be folded incrementally and read out for any midnight cutoff.
+    """
+    return daily_net(events, cols)
+
+
+def fold_day_state(stored: DataFrame, incoming: DataFrame, cols: Columns = Columns()) -> DataFrame:
+    """Additive fold of two day-grain states (a late event just adds to its day)."""
+    u = stored.select(cols.account_id, "d", "net").unionByName(incoming.select(cols.account_id, "d", "net"))
+    return u.groupBy(cols.account_id, "d").agg(money(F.sum("net")).alias("net"))
+
+
+def accounts_at(state: DataFrame, cutoff: dt.datetime, cols: Columns = Columns()) -> DataFrame:
+    """The four Silver columns from a day-grain state, for a midnight cutoff."""
+    if (cutoff.hour, cutoff.minute, cutoff.second, cutoff.microsecond) != (0, 0, 0, 0):
+        raise ValueError("a day-grain state answers midnight cutoffs only; recompute from events otherwise")
+    early_day = F.col("d") < F.lit(cutoff.date())
+    early = F.coalesce(money(F.sum(F.when(early_day, F.col("net")))), zero())
+    late = F.coalesce(money(F.sum(F.when(~early_day, F.col("net")))), zero())
+    return state.groupBy(cols.account_id).agg(
+        money(early + late).alias(cols.total_amount),
+        early.alias(cols.amount_cdi_applicable),
+        late.alias(cols.amount_cdi_not_applicable),
+    )
+
+
 # --- wallet history -----------------------------------------------------------
 
 def wallet_history(events: DataFrame, cols: Columns = Columns(), unit: str = "hour") -> DataFrame:

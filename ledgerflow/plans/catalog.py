@@ -134,6 +134,17 @@ def q_merge_upsert_partial(spark, sf):
     return merge.upsert(stored(spark, sf), incoming(spark, sf), "account_id", update_cols=["total_amount"])
 
 
+def q_silver_from_day_state(spark, sf):
+    """Silver read out of the day-grain state folded from two batches."""
+    state = balances.fold_day_state(balances.day_state(prior(spark, sf)), balances.day_state(last_batch(spark, sf)))
+    return balances.accounts_at(state, CUTOFF)
+
+
+def q_silver_cutoff_moved(spark, sf):
+    """The same day-grain state answers an earlier cutoff without a recompute."""
+    return balances.accounts_at(balances.day_state(valid(spark, sf)), CUTOFF - dt.timedelta(days=1))
+
+
 def q_cutoff_from_data(spark, sf):
     return balances.data_cutoff(valid(spark, sf)).select(wall_clock("cutoff").alias("cutoff"))
 

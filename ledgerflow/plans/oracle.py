@@ -234,6 +234,10 @@ def build() -> dict[str, str]:
         f"cast(sum(case when not (event_time < {CUTOFF}) then amount end) as {M}) as late from valid group by 1",
     )
     q["silver_balances"] = sql(BASE + SILVER, "select * from silver")
+    q["silver_from_day_state"] = sql(BASE + SILVER, "select * from silver")
+    q["silver_cutoff_moved"] = sql(
+        BASE + [("silver_prev", silver_of("valid", "TIMESTAMP '2024-01-28 00:00:00'"))], "select * from silver_prev"
+    )
     q["silver_fold"] = sql(BASE + STORED, FOLD)
     q["fold_touched_only"] = sql(BASE + STORED, FOLD)
     q["merge_upsert"] = sql(BASE + STORED, _upsert(["total_amount", "amount_cdi_applicable", "amount_cdi_not_applicable"]))

@@ -50,11 +50,17 @@ class PipelineSpec:
 
 # --- Bronze ----------------------------------------------------------------------
 
-def run_bronze(spark: SparkSession, spec: PipelineSpec) -> None:
-    """Read raw events once and append them to the valid / quarantine tables."""
+def run_bronze(spark: SparkSession, spec: PipelineSpec) -> dict[str, int]:
+    """Read raw events once and append them to the valid / quarantine tables;
+    returns the row counts observed during the write."""
     raw = ev.normalize(spark.read.parquet(spec.source_path), spec.cfg.cols)
-    tables.write_routed(raw, spec.paths.routed, cols=spec.cfg.cols, transaction_types=spec.cfg.transaction_types)
-    log.info("bronze: %s -> %s", spec.source_path, spec.paths.routed)
+    counts = tables.write_routed(
+        raw, spec.paths.routed, cols=spec.cfg.cols, transaction_types=spec.cfg.transaction_types
+    )
+    if counts["rows"] != counts["valid"] + counts["quarantine"]:
+        raise RuntimeError(f"routing lost rows: {counts}")
+    log.info("bronze: %s -> %s %s", spec.source_path, spec.paths.routed, counts)
+    return counts
 
 
 def bronze_events(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
@@ -79,29 +85,51 @@ def run_silver(spark: SparkSession, spec: PipelineSpec) -> int:
     return version
 
 
-def fold_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: PipelineSpec, cutoff: dt.datetime) -> int:
+def fold_batch(
+    spark: SparkSession,
+    batch: DataFrame,
+    batch_id: int,
+    spec: PipelineSpec,
+    cutoff: dt.datetime | None = None,
+    grain: str = "account",
+) -> int:
     """Fold one micro-batch of events into Silver as version ``batch_id + 1``.
 
     The base is the latest complete version *below* that, so a replayed batch
-    rebuilds the same snapshot instead of adding its money twice. Only the
-    accounts in the batch are re-aggregated; the rest are carried over.
+    rebuilds the same snapshot instead of adding its money twice.
+
+    ``grain="account"`` stores the four Silver columns for a fixed ``cutoff``;
+    only the accounts in the batch are re-aggregated, the rest carried over.
+    ``grain="day"`` stores net flow per (account, day): late events fold into
+    their own day and ``silver_view`` reads out any midnight cutoff later.
     """
     cols = spec.cfg.cols
     valid = quality.valid_events(ev.normalize(batch, cols), cols, spec.cfg.transaction_types)
     if spec.dedup:
         valid = quality.dedup_latest(valid.select(*cols.event_columns), cols.event_id, (cols.event_time, cols.amount))
-    incoming = balances.silver_balances(valid, cutoff, cols)
+    if grain == "day":
+        incoming = balances.day_state(valid, cols)
+        merge_fn = balances.fold_day_state
+    elif grain == "account":
+        if cutoff is None:
+            raise ValueError("an account-grain fold needs a fixed cutoff")
+        incoming = balances.silver_balances(valid, cutoff, cols)
+        merge_fn = balances.fold_touched_only
+    else:
+        raise ValueError(f"unknown grain {grain!r}")
     store = tables.SnapshotTable(spec.paths.silver)
     version = batch_id + 1
     base = store.latest(spark, below=version)
-    if base is None:
-        new = incoming
-    else:
-        new = balances.fold_touched_only(store.read(spark, base), incoming, cols)
+    new = incoming if base is None else merge_fn(store.read(spark, base), incoming, cols)
     store.write(new, version)
     return version
 
 
+def silver_view(spark: SparkSession, spec: PipelineSpec, cutoff: dt.datetime) -> DataFrame:
+    """Account rows from a day-grain Silver table for a midnight cutoff."""
+    return balances.accounts_at(tables.SnapshotTable(spec.paths.silver).read(spark), cutoff, spec.cfg.cols)
+
+
 # --- Gold ----------------------------------------------------------------------------
 
 def run_gold(spark: SparkSession, spec: PipelineSpec, business_date: dt.date, run_id: str) -> None:

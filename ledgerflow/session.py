@@ -59,3 +59,55 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location inside the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+GIB = 1 << 30
+
+
+def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Runtime SQL settings for a cluster run, sized from the input.
+
+    The initial shuffle width aims at ~1 GiB of *input* per partition (shuffle
+    data is much smaller after column pruning and map-side partial
+    aggregation) and never below 3x the cores; AQE then coalesces small
+    partitions to the advisory size and splits skewed ones. Broadcasts are
+    decided at runtime from measured sizes, under a fixed threshold.
+    """
+    width = max(3 * total_cores, min(200_000, input_bytes // GIB))
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.ansi.enabled": "true",
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.parquet.compression.codec": "zstd",
+    }
+
+
+# Submit-time settings (static: set them on the cluster, not from a session):
+# graceful decommissioning migrates shuffle and cached blocks off executors
+# that are being taken away, so their map outputs need not be recomputed.
+SUBMIT_SETTINGS = {
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    cores = spark.sparkContext.defaultParallelism
+    settings = scale_settings(input_bytes, cores)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings

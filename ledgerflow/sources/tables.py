@@ -61,16 +61,32 @@ def _list_dirs(spark: SparkSession, path: str) -> list[str]:
 ROUTE = "route"
 
 
-def write_routed(df: DataFrame, routed_path: str, **rules) -> None:
+def write_routed(df: DataFrame, routed_path: str, **rules) -> dict[str, int]:
     """Append every event to ``routed_path/route=valid`` or
     ``routed_path/route=quarantine`` (with its ``reasons``) in one job over
     one scan: the two tables are the two partitions of one partitioned write.
+
+    Returns the in-flight counts (``rows``, ``valid``, ``quarantine``,
+    ``null_amount``), gathered by an ``Observation`` during that same write,
+    so the layer metrics cost no extra pass.
     """
+    from pyspark.sql import Observation
+
     tagged = quality.with_reasons(df, **rules).withColumn(
         ROUTE, F.when(quality.is_valid(), F.lit("valid")).otherwise(F.lit("quarantine"))
     )
+    amount = rules["cols"].amount if "cols" in rules else "amount"
+    obs = Observation("bronze_routing")
+    observed = tagged.observe(
+        obs,
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(F.col(ROUTE) == "valid", 1)).alias("valid"),
+        F.count(F.when(F.col(ROUTE) == "quarantine", 1)).alias("quarantine"),
+        F.count(F.when(F.col(amount).isNull(), 1)).alias("null_amount"),
+    )
     # (reasons are an empty array on the valid partition)
-    tagged.write.mode("append").partitionBy(ROUTE).parquet(routed_path)
+    observed.write.mode("append").partitionBy(ROUTE).parquet(routed_path)
+    return dict(obs.get)
 
 
 # --- versioned snapshots -------------------------------------------------------------

@@ -43,10 +43,11 @@ def silver_fold_stream(
     spark: SparkSession,
     source_dir: str,
     spec: PipelineSpec,
-    cutoff: dt.datetime,
+    cutoff: dt.datetime | None,
     checkpoint: str | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    grain: str = "account",
 ) -> StreamingQuery:
     """Process new files into Silver, one snapshot version per micro-batch.
 
@@ -56,7 +57,7 @@ def silver_fold_stream(
     ckpt = checkpoint or f"{spec.paths.checkpoints}/silver_fold"
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        fold_batch(df.sparkSession, df, batch_id, spec, cutoff)
+        fold_batch(df.sparkSession, df, batch_id, spec, cutoff, grain)
 
     w = event_stream(spark, source_dir, max_files_per_trigger).writeStream.foreachBatch(on_batch).option(
         "checkpointLocation", ckpt

@@ -86,3 +86,27 @@ def test_incremental_fold_replay_is_noop(spark, tmp_root):
     whole = q_silver_balances(spark, SF_SMALL)
     assert sorted(map(tuple, whole.collect()), key=str) == v2
     assert all(isinstance(r[1], Decimal) for r in v2)
+
+
+def test_bronze_observes_counts_in_flight(spark, tmp_root):
+    _land_raw(spark, tmp_root)
+    spec = pl.PipelineSpec(root=tmp_root)
+    counts = pl.run_bronze(spark, spec)
+    assert counts["rows"] == counts["valid"] + counts["quarantine"] == 1000
+    assert counts["valid"] == spark.read.parquet(spec.paths.bronze).count()
+
+
+def test_column_names_are_configuration(spark):
+    from ledgerflow.config import Columns
+    from ledgerflow.operators import accrual, balances
+
+    cols = Columns(account_id="acct", event_time="ts", amount="amt", total_amount="tot",
+                   amount_cdi_applicable="early", amount_cdi_not_applicable="late", cdi_bonus="bonus")
+    ev = spark.createDataFrame(
+        [("a", dt.datetime(2024, 1, 1), Decimal("300")), ("a", dt.datetime(2024, 1, 30), Decimal("-50"))],
+        "acct string, ts timestamp, amt decimal(18,2)",
+    )
+    s = balances.silver_balances(ev, fx.FIXTURE_CUTOFF, cols)
+    assert s.columns == ["acct", "tot", "early", "late"]
+    g = accrual.gold_frames(s, dt.date(2024, 1, 29), "r", cols=cols).audit.first()
+    assert g["balance_to_apply_cdi"] == Decimal("250.00") and g["bonus"] == Decimal("0.14")

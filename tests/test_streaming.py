@@ -90,3 +90,15 @@ def test_append_stream_routes_valid_rows(spark, tmp_root, landed):
     q = st.append_stream(spark, src, out, os.path.join(tmp_root, "ck_append"))
     q.awaitTermination(300)
     assert spark.read.parquet(out).count() == quality.valid_events(tx).count()
+
+
+def test_day_grain_stream_answers_any_midnight_cutoff(spark, tmp_root, landed):
+    from ledgerflow.plans.pipeline import silver_view
+
+    src, tx = landed
+    spec = PipelineSpec(root=os.path.join(tmp_root, "tables_day"))
+    q = st.silver_fold_stream(spark, src, spec, None, max_files_per_trigger=1, grain="day")
+    q.awaitTermination(300)
+    v = quality.valid_events(tx)
+    for cutoff in (dt.datetime(2024, 1, 10), fx.FIXTURE_CUTOFF):
+        assert _rows(silver_view(spark, spec, cutoff)) == _rows(balances.silver_balances(v, cutoff))

@@ -68,3 +68,22 @@ def test_catalog_table_append(spark):
     tables.append_table(df, name)
     assert spark.table(name).count() == 2
     spark.sql(f"drop table if exists {name}")
+
+
+def test_payout_contract(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import types as T
+
+    from ledgerflow.operators.contracts import check
+    from ledgerflow.schema import BALANCE
+
+    good = spark.createDataFrame([("a", Decimal("1.00"), Decimal("0.00"))], BALANCE)
+    assert check(good, BALANCE, ["account_id"]) == []
+    dup = good.unionByName(good).unionByName(spark.createDataFrame([(None, Decimal("1"), Decimal("0"))], BALANCE))
+    kinds = {v.kind for v in check(dup, BALANCE, ["account_id"])}
+    assert kinds == {"duplicate_key", "null_key"}
+    drift = good.withColumn("current_balance", good.current_balance.cast("double")).withColumn("x", good.account_id)
+    kinds = {v.kind for v in check(drift, BALANCE, ["account_id"])}
+    assert kinds == {"type", "extra_column"}
+    assert isinstance(BALANCE, T.StructType)
