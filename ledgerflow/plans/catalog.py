@@ -9,6 +9,7 @@ same values whatever their time zone.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,29 +37,35 @@ def tx(spark: SparkSession, sf: str) -> DataFrame:
     return fx.wallet_events(spark, sf)
 
 
+@functools.lru_cache(maxsize=64)
 def valid(spark: SparkSession, sf: str) -> DataFrame:
     return quality.valid_events(tx(spark, sf))
 
 
+@functools.lru_cache(maxsize=64)
 def prior(spark: SparkSession, sf: str) -> DataFrame:
     """Valid events already processed by the previous run (before the last day)."""
     return valid(spark, sf).filter(F.col("event_time") < F.lit(fx.LAST_BATCH_START).cast("timestamp"))
 
 
+@functools.lru_cache(maxsize=64)
 def last_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Valid events of the latest micro-batch (the last day)."""
     return valid(spark, sf).filter(F.col("event_time") >= F.lit(fx.LAST_BATCH_START).cast("timestamp"))
 
 
+@functools.lru_cache(maxsize=64)
 def silver(spark: SparkSession, sf: str) -> DataFrame:
     return balances.silver_balances(valid(spark, sf), CUTOFF)
 
 
+@functools.lru_cache(maxsize=64)
 def stored(spark: SparkSession, sf: str) -> DataFrame:
     """Silver as stored by the previous run, with a column the source lacks."""
     return balances.silver_balances(prior(spark, sf), CUTOFF).withColumn("tag", F.lit("stored"))
 
 
+@functools.lru_cache(maxsize=64)
 def incoming(spark: SparkSession, sf: str) -> DataFrame:
     return balances.silver_balances(last_batch(spark, sf), CUTOFF)
 

@@ -11,6 +11,7 @@ to do; ``error`` events map to an out-of-domain type code.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import os
 from dataclasses import dataclass
 from decimal import Decimal
@@ -51,6 +52,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+# The driver's tables are read-only, so each adapter is resolved once per
+# session and directory (like registering a catalog table): later queries
+# reuse the analyzed relation instead of listing files and reading footers.
+@functools.lru_cache(maxsize=64)
 def wallet_events(spark: SparkSession, sf_dir: str, defects: Defects = Defects()) -> DataFrame:
     """``events`` as signed wallet changes (the ``tx`` fixture)."""
     ev = table(spark, sf_dir, "events")
@@ -83,6 +88,7 @@ def wallet_events(spark: SparkSession, sf_dir: str, defects: Defects = Defects()
     )
 
 
+@functools.lru_cache(maxsize=64)
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as wallet changes: larger balances over several years."""
     o = table(spark, sf_dir, "orders")
