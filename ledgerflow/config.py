@@ -161,3 +161,25 @@ class LedgerConfig:
 
     def with_(self, **changes) -> "LedgerConfig":
         return replace(self, **changes)
+
+
+def ledger_config_from_dict(d: dict) -> LedgerConfig:
+    """Build a ``LedgerConfig`` from plain values (e.g. one JSON document).
+
+    Keys: ``columns`` (name overrides), ``rate``, ``min_balance`` (null for no
+    threshold), ``accrual_base``, ``transaction_types``, ``cutoff`` (ISO text
+    or null for data-driven), ``time_bucket``. Missing keys keep defaults.
+    """
+    rule = AccrualRule(
+        rate=str(d.get("rate", DAILY_RATE)),
+        min_balance=None if d.get("min_balance", MIN_BALANCE) is None else str(d.get("min_balance", MIN_BALANCE)),
+        base=d.get("accrual_base", "accrual"),
+    )
+    cutoff = d.get("cutoff")
+    return LedgerConfig(
+        cols=Columns(**d.get("columns", {})),
+        rule=rule,
+        transaction_types=tuple(d.get("transaction_types", TRANSACTION_TYPES)),
+        cutoff=None if cutoff is None else dt.datetime.fromisoformat(cutoff),
+        time_bucket=d.get("time_bucket", "hour"),
+    )

@@ -122,3 +122,18 @@ def volume_drop(raw: DataFrame, fraction: float = 0.5, ts_col: str = "event_time
         .filter(F.col("n") < F.lit(fraction) * F.col("_mean"))
         .select("d", "n", F.col("_mean").cast("decimal(18,4)").alias("mean_prev_7"))
     )
+
+
+def gold_checks(audit: DataFrame, min_balance: str = "100", cols: Columns = Columns()) -> DataFrame:
+    """Gold-layer checks in one aggregate: ``n, negative_bonus, null_final_balance,
+    paid_below_min, unpaid_above_min`` (the last two catch a rule that drifted)."""
+    bonus = F.col(cols.cdi_bonus)
+    base = F.col(cols.balance_to_apply_cdi)
+    floor = F.lit(min_balance).cast("decimal(18,2)")
+    return audit.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(bonus < 0, 1)).alias("negative_bonus"),
+        F.count(F.when(F.col(cols.final_balance).isNull(), 1)).alias("null_final_balance"),
+        F.count(F.when((bonus > 0) & (base <= floor), 1)).alias("paid_below_min"),
+        F.count(F.when((bonus == 0) & (base > floor), 1)).alias("unpaid_above_min"),
+    )

@@ -302,6 +302,10 @@ def q_dq_negative_balance(spark, sf):
     return h.groupBy("account_id").agg(F.min("balance").alias("min_balance")).filter(F.col("min_balance") < 0)
 
 
+def q_dq_gold_checks(spark, sf):
+    return quality.gold_checks(_gold(spark, sf).audit)
+
+
 def q_volume_drop(spark, sf):
     return quality.volume_drop(tx(spark, sf), fraction=1.0)
 

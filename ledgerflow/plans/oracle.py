@@ -343,6 +343,13 @@ def build() -> dict[str, str]:
         BASE + [("hist", hist("valid"))],
         "select account_id, min(balance) as min_balance from hist group by 1 having min(balance) < 0",
     )
+    q["dq_gold_checks"] = sql(
+        BASE + GOLD,
+        "select count(*) as n, count(*) filter (where cdi_bonus < 0) as negative_bonus, "
+        "count(*) filter (where final_balance is null) as null_final_balance, "
+        "count(*) filter (where cdi_bonus > 0 and balance_to_apply_cdi <= 100) as paid_below_min, "
+        "count(*) filter (where cdi_bonus = 0 and balance_to_apply_cdi > 100) as unpaid_above_min from gold",
+    )
     q["volume_drop"] = sql(
         BASE,
         "select d, n, cast(m as DECIMAL(18,4)) as mean_prev_7 from ("

@@ -47,6 +47,22 @@ class PipelineSpec:
     def source_path(self) -> str:
         return self.source or self.paths.source
 
+    @classmethod
+    def from_json(cls, text: str) -> "PipelineSpec":
+        """``{"root": ..., "source": ..., "dedup": true, "ledger": {...}}``;
+        ``ledger`` as in ``config.ledger_config_from_dict``."""
+        import json
+
+        from ledgerflow.config import ledger_config_from_dict
+
+        d = json.loads(text)
+        return cls(
+            root=d["root"],
+            source=d.get("source"),
+            cfg=ledger_config_from_dict(d.get("ledger", {})),
+            dedup=bool(d.get("dedup", True)),
+        )
+
 
 # --- Bronze ----------------------------------------------------------------------
 
@@ -232,19 +248,31 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, business_date: dt.date
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``python -m ledgerflow.plans.pipeline <root> [source]``"""
+    """``python -m ledgerflow.plans.pipeline <root> [source]`` or
+    ``python -m ledgerflow.plans.pipeline --config spec.json``.
+
+    Always stops the session; errors propagate after being logged.
+    """
     import sys
 
     from ledgerflow.session import local_session
 
     args = argv if argv is not None else sys.argv[1:]
     if not args:
-        print("usage: python -m ledgerflow.plans.pipeline <root> [source]")
+        print("usage: python -m ledgerflow.plans.pipeline (<root> [source] | --config spec.json)")
         return 2
+    if args[0] == "--config":
+        with open(args[1]) as fh:
+            spec = PipelineSpec.from_json(fh.read())
+    else:
+        spec = PipelineSpec(root=args[0], source=args[1] if len(args) > 1 else None)
     spark = local_session()
     try:
-        run_pipeline(spark, PipelineSpec(root=args[0], source=args[1] if len(args) > 1 else None))
+        run_pipeline(spark, spec)
         return 0
+    except Exception:
+        log.exception("pipeline failed")
+        raise
     finally:
         spark.stop()
 

@@ -35,6 +35,11 @@ def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: in
     return r.parquet(source_dir)
 
 
+def table_stream(spark: SparkSession, name: str) -> DataFrame:
+    """Streaming read of a catalog table by name (new files/commits only)."""
+    return spark.readStream.table(name)
+
+
 def _trigger(writer, available_now: bool):
     return writer.trigger(availableNow=True) if available_now else writer
 

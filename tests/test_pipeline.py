@@ -110,3 +110,19 @@ def test_column_names_are_configuration(spark):
     assert s.columns == ["acct", "tot", "early", "late"]
     g = accrual.gold_frames(s, dt.date(2024, 1, 29), "r", cols=cols).audit.first()
     assert g["balance_to_apply_cdi"] == Decimal("250.00") and g["bonus"] == Decimal("0.14")
+
+
+def test_spec_from_json_and_inspection(spark, tmp_root):
+    import json
+
+    from ledgerflow.plans.inspect import layer_report
+
+    _land_raw(spark, tmp_root)
+    text = json.dumps({"root": tmp_root, "ledger": {"cutoff": "2024-01-29T00:00:00", "rate": "0.00055", "min_balance": 100}})
+    spec = pl.PipelineSpec.from_json(text)
+    assert spec.cfg.cutoff == fx.FIXTURE_CUTOFF and spec.cfg.rule.min_balance == "100"
+    pl.run_pipeline(spec=spec, spark=spark, business_date=dt.date(2024, 1, 29), run_id="j")
+    rep = layer_report(spark, tmp_root, sample_rows=2)
+    assert rep["bronze"]["rows"] + rep["quarantine"]["rows"] == 1000
+    assert rep["silver"]["rows"] == rep["balance"]["rows"] == 15
+    assert len(rep["payout"]["sample"]) == 2
