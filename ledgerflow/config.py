@@ -142,6 +142,11 @@ class TablePaths:
     def balance(self) -> str:
         return self._p("gold", BALANCE_TABLE_DIR)
 
+    @property
+    def daily_payout(self) -> str:
+        """Per-calendar-day payouts, partitioned by business date."""
+        return self._p("gold", "daily_payout")
+
     @property
     def checkpoints(self) -> str:
         return self._p("_checkpoints")

@@ -233,7 +233,13 @@ def daily_balance(events: DataFrame, cols: Columns = Columns(), through: dt.date
     window holds at most one row per day, whatever the event volume.
     """
     through = through or last_day(events, cols)
-    net = daily_net(events, cols).filter(F.col("d") <= F.lit(through))
+    return daily_balance_from_state(daily_net(events, cols), through, cols)
+
+
+def daily_balance_from_state(state: DataFrame, through: dt.date, cols: Columns = Columns()) -> DataFrame:
+    """``daily_balance`` from a day-grain state (``account_id, d, net``), so an
+    incremental Silver table feeds daily payouts without re-reading events."""
+    net = state.select(cols.account_id, "d", "net").filter(F.col("d") <= F.lit(through))
     w = Window.partitionBy(cols.account_id).orderBy("d")
     x = net.withColumn("closing", money(F.sum("net").over(w.rowsBetween(Window.unboundedPreceding, 0)))).withColumn(
         "_next", F.lead("d").over(w)

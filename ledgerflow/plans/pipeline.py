@@ -223,10 +223,70 @@ def _upsert_balances(spark: SparkSession, audit: DataFrame, spec: PipelineSpec)
     store.write(new, latest + 1)
 
 
+# --- daily payouts (calendar days, date-varying rate) ---------------------------------
+
+def run_daily_payouts(
+    spark: SparkSession,
+    spec: PipelineSpec,
+    rates: DataFrame,
+    run_id: str,
+    through: dt.date | None = None,
+    from_day_state: bool = False,
+) -> int:
+    """Publish one payout per (account, calendar day) through ``through``.
+
+    The base of a day is least(opening, closing) and the rate is the one in
+    force that day (as-of). Days already published are skipped, so a rerun
+    publishes nothing and a later run adds only its new days. Daily balances
+    come from Bronze, or from a day-grain Silver table (``from_day_state``),
+    which avoids re-reading events. Returns the number of rows published.
+    """
+    cols = spec.cfg.cols
+    if from_day_state:
+        state = tables.SnapshotTable(spec.paths.silver).read(spark)
+        span = state.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
+        since, last = span["lo"], span["hi"]
+    else:
+        events = bronze_events(spark, spec)
+        since, last = balances.day_span(events, cols)
+        state = balances.day_state(events, cols)
+    through = through or last
+    daily = balances.daily_balance_from_state(state, through, cols)
+    pay = accrual.daily_payout(daily, rates, since, through, spec.cfg.rule, cols)
+    candidate = pay.select(
+        cols.account_id,
+        cols.cdi_bonus,
+        F.lit(run_id).alias(cols.run_id),
+        F.current_timestamp().alias(cols.cdi_bonus_date),
+        F.col("d").alias(cols.business_date),
+    )
+    keys = [cols.account_id, cols.business_date]
+    if tables.exists(spark, spec.paths.daily_payout):
+        published = (
+            spark.read.parquet(spec.paths.daily_payout)
+            .withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
+            .filter(F.col(cols.business_date).between(F.lit(since), F.lit(through)))  # partition pruning
+        )
+        candidate = accrual.new_payouts_only(candidate, published, keys)
+    from pyspark.sql import Observation
+
+    obs = Observation("daily_payouts")
+    candidate.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(
+        cols.business_date
+    ).parquet(spec.paths.daily_payout)
+    return int(obs.get["rows"])
+
+
 # --- orchestration -------------------------------------------------------------------
 
-def tasks(spec: PipelineSpec, business_date: dt.date | None = None, run_id: str = "run") -> dict[str, Callable[[SparkSession], object]]:
-    """Named tasks, in order."""
+def tasks(
+    spec: PipelineSpec,
+    business_date: dt.date | None = None,
+    run_id: str = "run",
+    rates: DataFrame | None = None,
+) -> dict[str, Callable[[SparkSession], object]]:
+    """Named tasks, in order. With a ``rates`` table, per-calendar-day payouts
+    are published after Gold."""
 
     def gold(spark: SparkSession) -> None:
         bd = business_date
@@ -234,15 +294,24 @@ def tasks(spec: PipelineSpec, business_date: dt.date | None = None, run_id: str
             bd = balances.resolve_cutoff(bronze_events(spark, spec), spec.cfg).date()
         run_gold(spark, spec, bd, run_id)
 
-    return {
+    out: dict[str, Callable[[SparkSession], object]] = {
         "bronze": lambda spark: run_bronze(spark, spec),
         "silver": lambda spark: run_silver(spark, spec),
         "gold": gold,
     }
+    if rates is not None:
+        out["daily_payouts"] = lambda spark: run_daily_payouts(spark, spec, rates, run_id)
+    return out
 
 
-def run_pipeline(spark: SparkSession, spec: PipelineSpec, business_date: dt.date | None = None, run_id: str = "run") -> None:
-    for name, task in tasks(spec, business_date, run_id).items():
+def run_pipeline(
+    spark: SparkSession,
+    spec: PipelineSpec,
+    business_date: dt.date | None = None,
+    run_id: str = "run",
+    rates: DataFrame | None = None,
+) -> None:
+    for name, task in tasks(spec, business_date, run_id, rates).items():
         log.info("task %s", name)
         task(spark)
 

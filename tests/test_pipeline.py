@@ -126,3 +126,33 @@ def test_spec_from_json_and_inspection(spark, tmp_root):
     assert rep["bronze"]["rows"] + rep["quarantine"]["rows"] == 1000
     assert rep["silver"]["rows"] == rep["balance"]["rows"] == 15
     assert len(rep["payout"]["sample"]) == 2
+
+
+def test_daily_payouts_publish_each_day_once(spark, tmp_root):
+    from ledgerflow.plans.catalog import q_daily_payout
+
+    _land_raw(spark, tmp_root)
+    spec = pl.PipelineSpec(root=tmp_root)
+    pl.run_bronze(spark, spec)
+    rates = fx.rates_table(spark)
+    first = pl.run_daily_payouts(spark, spec, rates, "d1", through=dt.date(2024, 1, 20))
+    rest = pl.run_daily_payouts(spark, spec, rates, "d2")
+    again = pl.run_daily_payouts(spark, spec, rates, "d3")
+    assert again == 0
+    got = spark.read.parquet(spec.paths.daily_payout)
+    want = q_daily_payout(spark, SF_SMALL)
+    assert first + rest == got.count() == want.count()
+    pairs = {(r.account_id, str(r.business_date)): r.cdi_bonus for r in got.collect()}
+    assert pairs == {(r.account_id, str(r.d)): r.cdi_bonus for r in want.collect()}
+
+
+def test_daily_payouts_from_day_state(spark, tmp_root):
+    from ledgerflow.plans.catalog import q_daily_payout
+
+    tx = fx.wallet_events(spark, SF_SMALL)
+    spec = pl.PipelineSpec(root=tmp_root)
+    cut = F.lit(fx.LAST_BATCH_START).cast("timestamp")
+    pl.fold_batch(spark, tx.filter(F.col("event_time") < cut), 0, spec, grain="day")
+    pl.fold_batch(spark, tx.filter(F.col("event_time") >= cut), 1, spec, grain="day")
+    n = pl.run_daily_payouts(spark, spec, fx.rates_table(spark), "s", from_day_state=True)
+    assert n == q_daily_payout(spark, SF_SMALL).count()
