@@ -25,7 +25,7 @@ def running_total(
     tiebreak: str,
     value: str,
     out: str,
-    unit: str = "hour",
+    unit: str | tuple[str, ...] = "hour",
     with_next_ts: str | None = None,
 ) -> DataFrame:
     """``out`` = sum of ``value`` over rows of the same ``key`` ordered by
@@ -34,35 +34,79 @@ def running_total(
     Optionally ``with_next_ts`` = ``ts`` of the next row of the same key
     (``lead``), also computed bucket-wise.
 
-    Plan: one shuffle of the rows by (key, bucket) for the in-bucket window;
-    per-bucket totals from a map-side-combined aggregate; a small window over
-    buckets per key gives each bucket's opening offset and the start of the
-    next bucket; a join on (key, bucket) that AQE broadcasts when the bucket
-    table is small.
+    ``unit`` is one time unit or a coarse-to-fine hierarchy such as
+    ``("hour", "second")``; ``"auto"`` measures the data and picks one (see
+    ``choose_units``). With levels b0..bn, each row's balance is its running
+    sum inside its finest bucket plus, for every level, the sum of the earlier
+    buckets inside the same parent bucket. So every window is bounded: buckets
+    per key at the top level (the time span), buckets per parent below it, and
+    rows per finest bucket.
+
+    Plan: one shuffle of the rows by (key, finest bucket) for the in-bucket
+    window; one map-side-combined aggregate to the finest buckets, rolled up
+    per level; a small window per level; joins on bucket keys that AQE
+    broadcasts when the bucket tables are small.
     """
-    x = df.withColumn(BUCKET, F.date_trunc(unit, F.col(ts)))
-    wb = Window.partitionBy(key, BUCKET).orderBy(F.col(ts), F.col(tiebreak))
-    within = x.withColumn("_run", F.sum(value).over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+    if unit == "auto":
+        unit = choose_units(df, key, ts)
+    units = (unit,) if isinstance(unit, str) else tuple(unit)
+    levels = [f"_b{i}" for i in range(len(units))]
+    x = df
+    for name, u in zip(levels, units):
+        x = x.withColumn(name, F.date_trunc(u, F.col(ts)))
+    finest = levels[-1]
+
+    wb = Window.partitionBy(key, finest).orderBy(F.col(ts), F.col(tiebreak))
+    result = x.withColumn("_run", F.sum(value).over(wb.rowsBetween(Window.unboundedPreceding, 0)))
     if with_next_ts:
-        within = within.withColumn("_lead", F.lead(ts).over(wb))
-
-    # Bucket totals are a hash aggregate straight over the input: partial sums
-    # are combined map-side, so this branch reads three pruned columns and
-    # shuffles one row per (key, bucket) per task. (Deriving them from the
-    # windowed rows instead would shuffle every row a second time.)
-    per_bucket = x.groupBy(key, BUCKET).agg(F.sum(value).alias("_bsum"), F.min(ts).alias("_bstart"))
-    wk = Window.partitionBy(key).orderBy(BUCKET)
-    offsets = per_bucket.select(
-        key,
-        BUCKET,
-        F.coalesce(F.sum("_bsum").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        F.lead("_bstart").over(wk).alias("_next_bucket_start"),
-    )
-    joined = within.join(offsets, [key, BUCKET])
-    out_df = joined.withColumn(out, money(F.col("_offset") + F.col("_run")))
+        result = result.withColumn("_lead", F.lead(ts).over(wb))
+
+    # Bucket totals: a hash aggregate straight over the input (partial sums
+    # combined map-side, three pruned columns read), rolled up level by level.
+    # Deriving them from the windowed rows would shuffle every row again.
+    per_finest = x.groupBy(key, *levels).agg(F.sum(value).alias("_s"), F.min(ts).alias("_st"))
+    total = F.col("_run")
+    nexts = [F.col("_lead")] if with_next_ts else []
+    for i, name in enumerate(levels):
+        parent = [key, *levels[:i]]
+        grp = [*parent, name]
+        per = per_finest if i == len(levels) - 1 else per_finest.groupBy(*grp).agg(
+            F.sum("_s").alias("_s"), F.min("_st").alias("_st")
+        )
+        wk = Window.partitionBy(*parent).orderBy(name)
+        offsets = per.select(
+            *grp,
+            F.coalesce(F.sum("_s").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_off{i}"),
+            F.lead("_st").over(wk).alias(f"_nx{i}"),
+        )
+        result = result.join(offsets, grp)
+        total = total + F.col(f"_off{i}")
     if with_next_ts:
-        out_df = out_df.withColumn(with_next_ts, F.coalesce(F.col("_lead"), F.col("_next_bucket_start")))
-    return out_df.drop(BUCKET, "_run", "_lead", "_offset", "_next_bucket_start")
+        nexts += [F.col(f"_nx{i}") for i in reversed(range(len(levels)))]
+    result = result.withColumn(out, money(total))
+    if with_next_ts:
+        result = result.withColumn(with_next_ts, F.coalesce(*nexts))
+    helper = [*levels, "_run", "_lead"] + [f"_off{i}" for i in range(len(levels))] + [f"_nx{i}" for i in range(len(levels))]
+    return result.drop(*helper)
+
+
+def choose_units(df: DataFrame, key: str, ts: str, max_rows: int = 2_000_000) -> tuple[str, ...]:
+    """Bucket hierarchy for ``running_total``: hours, refined to minutes and
+    then seconds only while some (key, bucket) still holds more than
+    ``max_rows`` rows. Each probe is one aggregate combined map-side; its
+    scalar result is all that reaches the driver."""
+    chosen: list[str] = []
+    for u in ("hour", "minute", "second"):
+        chosen.append(u)
+        biggest = (
+            df.groupBy(key, F.date_trunc(u, F.col(ts)).alias("_b"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.max("_n").alias("m"))
+            .first()["m"]
+        )
+        if biggest is None or biggest <= max_rows:
+            break
+    return tuple(chosen)
 
 
 def trailing_min_24h(df: DataFrame, key: str, ts: str, value: str, out: str) -> DataFrame:

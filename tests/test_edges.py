@@ -225,3 +225,20 @@ def test_rate_asof_fills_gaps(spark):
         20: Decimal("0.00045000"),
         30: Decimal("0.00045000"),
     }
+
+
+@pytest.mark.parametrize("units", [("day", "hour"), ("day", "hour", "minute"), "auto"])
+def test_hierarchical_running_total_equals_plain_window(spark, units):
+    from ledgerflow.operators.ordered import choose_units
+
+    df = _random_events(spark, n=600).select("account_id", "event_id", "event_time", "amount")
+    got = running_total(df, "account_id", "event_time", "event_id", "amount", "balance", units, with_next_ts="nxt")
+    w = Window.partitionBy("account_id").orderBy("event_time", "event_id")
+    want = df.withColumn(
+        "balance", F.sum("amount").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("decimal(18,2)")
+    ).withColumn("nxt", F.lead("event_time").over(w))
+    cols = ["account_id", "event_id", "balance", "nxt"]
+    assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
+    # a tiny row limit forces the refinement down the hierarchy
+    assert choose_units(df, "account_id", "event_time", max_rows=1) == ("hour", "minute", "second")
+    assert choose_units(df, "account_id", "event_time") == ("hour",)
