@@ -6,7 +6,7 @@ import pytest
 
 from ledgerflow.plans.verify import compare, duck
 
-from .conftest import SF_SMALL
+from .conftest import SF_MID, SF_SMALL
 
 
 @pytest.fixture(scope="module")
@@ -28,3 +28,10 @@ def test_all_queries_match_oracle(report):
 def test_fixture_expectations(report):
     assert report["layer_counts"]["rows"] == 5
     assert report["gold_account_balance"]["rows"] == 15
+
+
+def test_all_queries_match_oracle_at_sf001(spark):
+    """The scale the driver's correctness gate uses."""
+    rep = compare(spark, SF_MID, con=duck(SF_MID))
+    bad = {k: v for k, v in rep.items() if not v.get("match")}
+    assert not bad, bad
