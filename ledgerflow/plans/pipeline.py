@@ -318,24 +318,36 @@ def run_pipeline(
 
 def main(argv: list[str] | None = None) -> int:
     """``python -m ledgerflow.plans.pipeline <root> [source]`` or
-    ``python -m ledgerflow.plans.pipeline --config spec.json``.
+    ``python -m ledgerflow.plans.pipeline --config spec.json``; add
+    ``--cluster`` to use the session from the submitting environment (e.g.
+    ``spark-submit``) with SQL settings sized from the input.
 
     Always stops the session; errors propagate after being logged.
     """
     import sys
 
-    from ledgerflow.session import local_session
+    from pyspark.sql import SparkSession
 
-    args = argv if argv is not None else sys.argv[1:]
+    from ledgerflow.session import apply_scale_settings, configure, local_session
+
+    args = list(argv if argv is not None else sys.argv[1:])
+    cluster = "--cluster" in args
+    if cluster:
+        args.remove("--cluster")
     if not args:
-        print("usage: python -m ledgerflow.plans.pipeline (<root> [source] | --config spec.json)")
+        print("usage: python -m ledgerflow.plans.pipeline (<root> [source] | --config spec.json) [--cluster]")
         return 2
     if args[0] == "--config":
         with open(args[1]) as fh:
             spec = PipelineSpec.from_json(fh.read())
     else:
         spec = PipelineSpec(root=args[0], source=args[1] if len(args) > 1 else None)
-    spark = local_session()
+    if cluster:
+        spark = configure(SparkSession.builder.appName("ledgerflow-pipeline").getOrCreate())
+        settings = apply_scale_settings(spark, tables.input_size(spark, spec.source_path))
+        log.info("scale settings: %s", settings)
+    else:
+        spark = local_session()
     try:
         run_pipeline(spark, spec)
         return 0

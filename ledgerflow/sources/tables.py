@@ -47,6 +47,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")))
 
 
+def input_size(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` (a directory, file or glob) from file-system
+    metadata only; nothing is read."""
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    statuses = fs.globStatus(hpath) or []
+    return int(sum(fs.getContentSummary(st.getPath()).getLength() for st in statuses))
+
+
 def _list_dirs(spark: SparkSession, path: str) -> list[str]:
     jvm = spark._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)

@@ -87,3 +87,15 @@ def test_payout_contract(spark):
     kinds = {v.kind for v in check(drift, BALANCE, ["account_id"])}
     assert kinds == {"type", "extra_column"}
     assert isinstance(BALANCE, T.StructType)
+
+
+def test_input_size_and_scale_settings(spark, tmp_root):
+    from ledgerflow.session import GIB, scale_settings
+
+    n = tables.input_size(spark, os.path.join(SF_SMALL, "events.parquet"))
+    assert n == os.path.getsize(os.path.join(SF_SMALL, "events.parquet"))
+    small = scale_settings(n, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    big = scale_settings(100_000 * GIB, total_cores=8000)
+    assert big["spark.sql.shuffle.partitions"] == str(100_000)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
