@@ -164,11 +164,17 @@ def balance_intervals(events: DataFrame, cols: Columns = Columns(), unit: str =
     )
 
 
-def rolling_24h_min(events: DataFrame, cols: Columns = Columns(), unit: str = "hour") -> DataFrame:
+def rolling_24h_min(
+    events: DataFrame, cols: Columns = Columns(), unit: str = "hour", frame_unit: str = "auto"
+) -> DataFrame:
     """``account_id, event_id, min_balance``: the lowest running balance among the
-    account's events in the 24 hours up to and including each event."""
+    account's events in the 24 hours up to and including each event.
+
+    ``unit`` splits the running balance, ``frame_unit`` the 24-hour frame
+    (``auto``: per (account, day) unless one account-day is too big, then
+    per hour or minute)."""
     h = wallet_history(events, cols, unit)
-    r = trailing_min_24h(h, cols.account_id, cols.event_time, "balance", "min_balance")
+    r = trailing_min_24h(h, cols.account_id, cols.event_time, "balance", "min_balance", frame_unit, cols.event_id)
     return r.select(cols.account_id, cols.event_id, "min_balance")
 
 

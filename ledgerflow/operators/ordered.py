@@ -109,20 +109,100 @@ def choose_units(df: DataFrame, key: str, ts: str, max_rows: int = 2_000_000) ->
     return tuple(chosen)
 
 
-def trailing_min_24h(df: DataFrame, key: str, ts: str, value: str, out: str) -> DataFrame:
-    """``out`` = min of ``value`` over rows of the same key with
-    ``ts`` in ``[current ts - 24h, current ts]`` (a RANGE frame: rows with the
-    same ``ts`` are peers and all included).
-
-    Each row is placed in its own (key, day) partition and copied once into
-    the next day's partition as context, so a 24-hour frame never needs more
-    than two days of one key in a task.
+_UNIT_MICROS = {"hour": 3600 * 1_000_000, "minute": 60 * 1_000_000}
+
+
+def trailing_min_24h(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    value: str,
+    out: str,
+    unit: str = "day",
+    ident: str | None = None,
+) -> DataFrame:
+    """``out`` = min of ``value`` over rows of the same key with ``ts`` in
+    ``[current ts - 24h, current ts]`` (a RANGE frame: rows with the same
+    ``ts`` are peers and all included).
+
+    ``unit="day"``: each row is placed in its own (key, day) partition and
+    copied once into the next day's partition as context; one shuffle of two
+    rows per input row, a task holds at most two days of one key.
+
+    ``unit="hour"`` / ``"minute"`` (needs ``ident``, unique per key and time):
+    the 24-hour frame is cut at bucket edges into (a) the current bucket up to
+    the row, (b) the whole buckets in between and (c) the tail of the bucket
+    where the frame starts. Each row also emits a probe row at ``ts - 24h``
+    into that bucket; one window per (key, bucket) gives rows their running
+    minimum (a) and probes the suffix minimum from their start (c). Part (b)
+    is a window over a small per-(key, bucket) minimum table. The parts are
+    combined by grouping on the row identity, which spreads a hot key evenly.
+    A task then holds one bucket of one key.
+
+    ``unit="auto"`` keeps ``day`` unless some (key, day) holds more than
+    ``choose_frame_unit``'s row limit.
     """
-    d = F.to_date(F.col(ts))
-    x = df.withColumn("_part", F.explode(F.array(d, F.date_add(d, 1)))).withColumn("_halo", F.col("_part") != d)
-    w = (
-        Window.partitionBy(key, "_part")
-        .orderBy(F.unix_micros(F.col(ts)))
-        .rangeBetween(-DAY_MICROS, 0)
+    if unit == "auto":
+        unit = choose_frame_unit(df, key, ts) if ident else "day"
+    if unit == "day":
+        d = F.to_date(F.col(ts))
+        x = df.withColumn("_part", F.explode(F.array(d, F.date_add(d, 1)))).withColumn("_halo", F.col("_part") != d)
+        w = Window.partitionBy(key, "_part").orderBy(F.unix_micros(F.col(ts))).rangeBetween(-DAY_MICROS, 0)
+        return x.withColumn(out, F.min(value).over(w)).filter(~F.col("_halo")).drop("_part", "_halo")
+    if ident is None:
+        raise ValueError("bucketed trailing minimum needs a row identity column")
+    size = _UNIT_MICROS[unit]
+    per_frame = DAY_MICROS // size  # buckets per 24 hours
+    carried = [c for c in df.columns if c not in (key, ident)]
+    us = F.unix_micros(F.col(ts))
+    base = df.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / size))
+    row = F.struct(
+        F.lit(1).alias("_kind"),
+        F.col("_us").alias("_t"),
+        F.col("_b").alias("_part"),
+        *[F.col(c).alias(f"_c_{c}") for c in carried],
+    )
+    probe = F.struct(
+        F.lit(0).alias("_kind"),
+        (F.col("_us") - DAY_MICROS).alias("_t"),
+        (F.col("_b") - per_frame).alias("_part"),
+        *[F.lit(None).cast(df.schema[c].dataType).alias(f"_c_{c}") for c in carried],
     )
-    return x.withColumn(out, F.min(value).over(w)).filter(~F.col("_halo")).drop("_part", "_halo")
+    x = base.select(key, ident, "_us", "_b", F.col(value).alias("_v"), F.explode(F.array(row, probe)).alias("_r")).select(
+        key, ident, "_us", "_b", "_v", "_r.*"
+    )
+    real = F.when(F.col("_kind") == 1, F.col("_v"))
+    wp = Window.partitionBy(key, "_part").orderBy("_t")
+    x = x.withColumn("_upto", F.min(real).over(wp.rangeBetween(Window.unboundedPreceding, 0))).withColumn(
+        "_from", F.min(real).over(wp.rangeBetween(0, Window.unboundedFollowing))
+    )
+    part = F.when(F.col("_kind") == 1, F.col("_upto")).otherwise(F.col("_from"))
+
+    # (b): minimum of every whole bucket strictly between the frame's two ends
+    bucket_min = base.groupBy(key, "_b").agg(F.min(value).alias("_bmin"))
+    wb = Window.partitionBy(key).orderBy("_b").rangeBetween(-(per_frame - 1), -1)
+    between = bucket_min.select(key, "_b", F.min("_bmin").over(wb).alias("_mid"))
+
+    pieces = x.select(key, ident, "_us", "_b", part.alias("_p"), *[f"_c_{c}" for c in carried]).join(
+        between, [key, "_b"], "left"
+    )
+    combined = pieces.groupBy(key, ident, "_us").agg(
+        F.min(F.least(F.col("_p"), F.col("_mid"))).alias(out),
+        *[F.max(f"_c_{c}").alias(c) for c in carried],
+    )
+    return combined.select(*df.columns, out)
+
+
+def choose_frame_unit(df: DataFrame, key: str, ts: str, max_rows: int = 2_000_000) -> str:
+    """``day`` while every (key, day) holds at most ``max_rows`` rows, else
+    ``hour``, else ``minute`` (one map-side-combined aggregate per probe)."""
+    for u in ("day", "hour"):
+        biggest = (
+            df.groupBy(key, F.date_trunc(u, F.col(ts)).alias("_b"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.max("_n").alias("m"))
+            .first()["m"]
+        )
+        if biggest is None or biggest <= max_rows:
+            return u
+    return "minute"

@@ -242,3 +242,20 @@ def test_hierarchical_running_total_equals_plain_window(spark, units):
     # a tiny row limit forces the refinement down the hierarchy
     assert choose_units(df, "account_id", "event_time", max_rows=1) == ("hour", "minute", "second")
     assert choose_units(df, "account_id", "event_time") == ("hour",)
+
+
+@pytest.mark.parametrize("unit", ["hour", "minute"])
+def test_bucketed_trailing_min_equals_plain_range_window(spark, unit):
+    from ledgerflow.operators.ordered import choose_frame_unit
+
+    df = _random_events(spark, n=700)
+    # peers: a few rows share their timestamp with another row of the same account
+    df = df.unionByName(df.filter(F.col("event_id") % 50 == 0).withColumn("event_id", F.col("event_id") + 10_000))
+    h = balances.wallet_history(df)
+    got = trailing_min_24h(h, "account_id", "event_time", "balance", "m", unit=unit, ident="event_id")
+    assert got.columns == h.columns + ["m"]
+    w = Window.partitionBy("account_id").orderBy(F.unix_micros("event_time")).rangeBetween(-86_400_000_000, 0)
+    want = h.withColumn("m", F.min("balance").over(w))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    assert choose_frame_unit(h, "account_id", "event_time") == "day"
+    assert choose_frame_unit(h, "account_id", "event_time", max_rows=1) == "minute"
