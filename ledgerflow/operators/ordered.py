@@ -32,7 +32,8 @@ def running_total(
     (``ts``, ``tiebreak``) up to and including the current row.
 
     Optionally ``with_next_ts`` = ``ts`` of the next row of the same key
-    (``lead``), also computed bucket-wise.
+    (``lead``), also computed bucket-wise. Rows with a NULL key or ``ts`` are
+    dropped.
 
     ``unit`` is one time unit or a coarse-to-fine hierarchy such as
     ``("hour", "second")``; ``"auto"`` measures the data and picks one (see
@@ -51,9 +52,14 @@ def running_total(
         unit = choose_units(df, key, ts)
     units = (unit,) if isinstance(unit, str) else tuple(unit)
     levels = [f"_b{i}" for i in range(len(units))]
-    x = df
+    # A row without key or time has no place in any history. Stating it here
+    # (rather than leaving it to the joins below) also keeps every branch's
+    # inferred filters identical, so AQE can reuse the shared aggregate.
+    x = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     for name, u in zip(levels, units):
-        x = x.withColumn(name, F.date_trunc(u, F.col(ts)))
+        # non-nullable by construction (ts is non-null here), so no branch
+        # gets its own inferred IS NOT NULL filter
+        x = x.withColumn(name, F.coalesce(F.date_trunc(u, F.col(ts)), F.lit(0).cast("timestamp")))
     finest = levels[-1]
 
     wb = Window.partitionBy(key, finest).orderBy(F.col(ts), F.col(tiebreak))
