@@ -183,7 +183,7 @@ def stationary_balance(events: DataFrame, cutoff, cols: Columns = Columns(), uni
 
     ``stationary`` is the money that stayed put from the cutoff to the end of
     the data: least(balance at the cutoff, lowest running balance after it).
-    ``parity_base`` is the reference rule least(early, early + late), which
+    ``parity_base`` is the parity rule least(early, early + late), which
     misses a dip that recovers inside the window.
 
     Only events after the cutoff enter the ordered (window) step; the balance

@@ -167,7 +167,7 @@ def test_stationary_catches_recovered_dip(spark):
         (3, "u", "a", "DEPOSIT", ts(29, 9), Decimal("150")),
     ]
     r = balances.stationary_balance(_events(spark, rows), CUT).first()
-    assert r.parity_base == Decimal("200.00")  # the reference rule misses the dip
+    assert r.parity_base == Decimal("200.00")  # the parity rule misses the dip
     assert r.stationary == Decimal("50.00")
 
 

@@ -1,4 +1,4 @@
-"""The reference's own transform cases, with its values."""
+"""The original transform test cases, with their values."""
 
 from __future__ import annotations
 

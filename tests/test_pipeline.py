@@ -18,7 +18,7 @@ from .conftest import SF_SMALL
 
 
 def _land_raw(spark, root):
-    """Land the fixture events as raw files with the reference's raw types
+    """Land the fixture events as raw files with the original raw types
     (text time, double amount)."""
     raw = fx.wallet_events(spark, SF_SMALL).select(
         "event_id",
