@@ -146,7 +146,8 @@ def trailing_min_24h(
     A task then holds one bucket of one key.
 
     ``unit="auto"`` keeps ``day`` unless some (key, day) holds more than
-    ``choose_frame_unit``'s row limit.
+    ``choose_frame_unit``'s row limit. The bucketed form reads its input twice
+    (rows and bucket minima), so an expensive input is best materialized first.
     """
     if unit == "auto":
         unit = choose_frame_unit(df, key, ts) if ident else "day"
