@@ -148,12 +148,17 @@ def silver_view(spark: SparkSession, spec: PipelineSpec, cutoff: dt.datetime) ->
 
 # --- Gold ----------------------------------------------------------------------------
 
-def run_gold(spark: SparkSession, spec: PipelineSpec, business_date: dt.date, run_id: str) -> None:
+def run_gold(
+    spark: SparkSession, spec: PipelineSpec, business_date: dt.date, run_id: str, replace_payouts: bool = False
+) -> None:
     """Compute Gold once and fan it out to the three tables.
 
     The audit partition is written first; payout and balance are projections
     of that written partition, so Silver is read and aggregated once and the
     lineage of the later writes is cut at a durable table.
+
+    A rerun for a business date publishes no payout twice; with
+    ``replace_payouts`` the date's payout partition is replaced instead.
     """
     cols = spec.cfg.cols
     silver = tables.SnapshotTable(spec.paths.silver).read(spark)
@@ -169,7 +174,7 @@ def run_gold(spark: SparkSession, spec: PipelineSpec, business_date: dt.date, ru
         .withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
         .withColumn(cols.run_id, F.col(cols.run_id).cast("string"))
     )
-    _publish_payouts(spark, audit, spec)
+    _publish_payouts(spark, audit, spec, replace_payouts)
     _upsert_balances(spark, audit, spec)
     log.info("gold: business_date=%s run_id=%s", business_date, run_id)
 
@@ -185,8 +190,9 @@ def _write_partition(df: DataFrame, path: str, partition_cols: list[str]) -> Non
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def _publish_payouts(spark: SparkSession, audit: DataFrame, spec: PipelineSpec) -> None:
-    """Append payouts whose (account, business_date) is not yet published."""
+def _publish_payouts(spark: SparkSession, audit: DataFrame, spec: PipelineSpec, replace: bool = False) -> None:
+    """Append payouts whose (account, business_date) is not yet published, or,
+    with ``replace``, overwrite the business dates present in ``audit``."""
     cols = spec.cfg.cols
     candidate = audit.select(
         cols.account_id,
@@ -196,6 +202,9 @@ def _publish_payouts(spark: SparkSession, audit: DataFrame, spec: PipelineSpec)
         cols.business_date,
     )
     keys = [cols.account_id, cols.business_date]
+    if replace:
+        _write_partition(candidate, spec.paths.payout, [cols.business_date])
+        return
     if tables.exists(spark, spec.paths.payout):
         dates = [r[0] for r in audit.select(cols.business_date).distinct().collect()]
         published = (

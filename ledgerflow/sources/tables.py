@@ -125,8 +125,17 @@ class SnapshotTable:
         return os.path.join(self.root, f"version={version}")
 
     def latest(self, spark: SparkSession, below: int | None = None) -> int | None:
-        vs = [v for v in self.versions(spark) if below is None or v < below]
-        return vs[-1] if vs else None
+        """Highest complete version (below ``below``): one directory listing,
+        then marker checks from the top down until the first complete one."""
+        candidates = []
+        for name in _list_dirs(spark, self.root):
+            m = _VERSION_DIR.match(name)
+            if m and (below is None or int(m.group(1)) < below):
+                candidates.append(int(m.group(1)))
+        for v in sorted(candidates, reverse=True):
+            if exists(spark, self.path(v)):
+                return v
+        return None
 
     def is_table(self, spark: SparkSession) -> bool:
         return self.latest(spark) is not None

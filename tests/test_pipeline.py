@@ -156,3 +156,16 @@ def test_daily_payouts_from_day_state(spark, tmp_root):
     pl.fold_batch(spark, tx.filter(F.col("event_time") >= cut), 1, spec, grain="day")
     n = pl.run_daily_payouts(spark, spec, fx.rates_table(spark), "s", from_day_state=True)
     assert n == q_daily_payout(spark, SF_SMALL).count()
+
+
+def test_gold_rerun_refuses_or_replaces_payouts(spark, tmp_root):
+    _land_raw(spark, tmp_root)
+    spec = pl.PipelineSpec(root=tmp_root, cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    bd = dt.date(2024, 1, 29)
+    pl.run_pipeline(spark, spec, business_date=bd, run_id="r1")
+    pl.run_gold(spark, spec, bd, "r2")  # refused: nothing new for that date
+    runs = {r.run_id for r in spark.read.parquet(spec.paths.payout).collect()}
+    assert runs == {"r1"}
+    pl.run_gold(spark, spec, bd, "r3", replace_payouts=True)
+    got = spark.read.parquet(spec.paths.payout)
+    assert {r.run_id for r in got.collect()} == {"r3"} and got.count() == 15
