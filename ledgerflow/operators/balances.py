@@ -11,7 +11,7 @@ from ledgerflow.config import Columns, LedgerConfig
 from ledgerflow.functions.money import money, zero
 from ledgerflow.functions.rules import accrual_base, is_eligible
 from ledgerflow.functions.timeutil import cutoff_from_as_of, cutoff_from_max
-from ledgerflow.operators.ordered import running_total, trailing_min_24h
+from ledgerflow.operators.ordered import choose_frame_unit, running_total, trailing_min_24h
 
 
 # --- cutoffs -----------------------------------------------------------------
@@ -173,6 +173,10 @@ def rolling_24h_min(
     ``unit`` splits the running balance, ``frame_unit`` the 24-hour frame
     (``auto``: per (account, day) unless one account-day is too big, then
     per hour or minute)."""
+    if frame_unit == "auto":
+        # rows per (account, day) are the same before and after the history
+        # step, so measure them on the events (a scan + map-side-combined count)
+        frame_unit = choose_frame_unit(events, cols.account_id, cols.event_time)
     h = wallet_history(events, cols, unit)
     r = trailing_min_24h(h, cols.account_id, cols.event_time, "balance", "min_balance", frame_unit, cols.event_id)
     return r.select(cols.account_id, cols.event_id, "min_balance")
