@@ -118,6 +118,12 @@ def fold_batch(
     only the accounts in the batch are re-aggregated, the rest carried over.
     ``grain="day"`` stores net flow per (account, day): late events fold into
     their own day and ``silver_view`` reads out any midnight cutoff later.
+
+    Duplicates are removed within the batch. A redelivery that arrives in a
+    later batch is removed by the full recompute (``run_silver`` deduplicates
+    over all of Bronze); the streaming ``dedup_stream`` also catches it, but it
+    drops events later than its watermark, so it only suits sources whose
+    late events carry no money.
     """
     cols = spec.cfg.cols
     valid = quality.valid_events(ev.normalize(batch, cols), cols, spec.cfg.transaction_types)
