@@ -130,6 +130,11 @@ class TablePaths:
     def silver(self) -> str:
         return self._p("silver", "accounts")
 
+    @property
+    def seen_events(self) -> str:
+        """Event-id index of the incremental fold, partitioned by (day, batch)."""
+        return self._p("silver", "_seen_events")
+
     @property
     def audit(self) -> str:
         return self._p("gold", AUDIT_TABLE_DIR)

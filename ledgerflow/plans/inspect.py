@@ -21,7 +21,7 @@ def layer_report(spark: SparkSession, root: str, sample_rows: int = 5) -> dict[s
         "payout": p.payout,
     }
     for name, path in candidates.items():
-        if tables.exists(spark, path) or tables.exists(spark, p.routed):
+        if tables.has_data(spark, path):
             try:
                 df = spark.read.parquet(path)
             except Exception:  # table not written yet

@@ -108,6 +108,7 @@ def fold_batch(
     spec: PipelineSpec,
     cutoff: dt.datetime | None = None,
     grain: str = "account",
+    cross_batch_dedup: bool = False,
 ) -> int:
     """Fold one micro-batch of events into Silver as version ``batch_id + 1``.
 
@@ -119,16 +120,22 @@ def fold_batch(
     ``grain="day"`` stores net flow per (account, day): late events fold into
     their own day and ``silver_view`` reads out any midnight cutoff later.
 
-    Duplicates are removed within the batch. A redelivery that arrives in a
-    later batch is removed by the full recompute (``run_silver`` deduplicates
-    over all of Bronze); the streaming ``dedup_stream`` also catches it, but it
-    drops events later than its watermark, so it only suits sources whose
-    late events carry no money.
+    Duplicates are removed within the batch (latest correction wins). With
+    ``cross_batch_dedup`` an event id already folded by an earlier batch is
+    skipped too (first delivery wins): ids are indexed by (event day, batch
+    id), a batch reads only the index partitions of its own event days and of
+    earlier batch ids, and writes its ids with dynamic partition overwrite,
+    so a replayed batch sees exactly what its first attempt saw. Without it, a
+    later redelivery is removed by the full recompute (``run_silver``
+    deduplicates over all of Bronze); ``dedup_stream`` drops events later than
+    its watermark, so it only suits sources whose late events carry no money.
     """
     cols = spec.cfg.cols
     valid = quality.valid_events(ev.normalize(batch, cols), cols, spec.cfg.transaction_types)
     if spec.dedup:
         valid = quality.dedup_latest(valid.select(*cols.event_columns), cols.event_id, (cols.event_time, cols.amount))
+    if cross_batch_dedup:
+        valid = _skip_seen_events(spark, valid, batch_id, spec)
     if grain == "day":
         incoming = balances.day_state(valid, cols)
         merge_fn = balances.fold_day_state
@@ -147,6 +154,32 @@ def fold_batch(
     return version
 
 
+def _skip_seen_events(spark: SparkSession, valid: DataFrame, batch_id: int, spec: PipelineSpec) -> DataFrame:
+    """Drop events whose id an earlier batch folded; record this batch's ids.
+
+    The batch's event days (one short list) drive partition pruning on the
+    index, so a batch reads the ids of its own days only, never the whole
+    history. The index is written before the snapshot: if the snapshot write
+    fails, the replay ignores this batch's partitions (batch < N) and rewrites
+    them.
+    """
+    cols = spec.cfg.cols
+    day = F.to_date(cols.event_time)
+    days = [r[0] for r in valid.select(day.alias("d")).distinct().collect()]
+    if tables.has_data(spark, spec.paths.seen_events) and days:
+        seen = (
+            spark.read.parquet(spec.paths.seen_events)
+            .filter(F.col("day").cast("date").isin(days) & (F.col("batch").cast("long") < F.lit(batch_id)))
+            .select(cols.event_id)
+        )
+        valid = valid.join(seen, cols.event_id, "left_anti")
+    ids = valid.select(cols.event_id, day.alias("day"), F.lit(batch_id).cast("long").alias("batch"))
+    _write_partition(ids, spec.paths.seen_events, ["day", "batch"])
+    # the fold re-evaluates the same anti join; the filter batch < N keeps the
+    # partitions just written out of it, so both evaluations agree
+    return valid
+
+
 def silver_view(spark: SparkSession, spec: PipelineSpec, cutoff: dt.datetime) -> DataFrame:
     """Account rows from a day-grain Silver table for a midnight cutoff."""
     return balances.accounts_at(tables.SnapshotTable(spec.paths.silver).read(spark), cutoff, spec.cfg.cols)
@@ -211,7 +244,7 @@ def _publish_payouts(spark: SparkSession, audit: DataFrame, spec: PipelineSpec,
     if replace:
         _write_partition(candidate, spec.paths.payout, [cols.business_date])
         return
-    if tables.exists(spark, spec.paths.payout):
+    if tables.has_data(spark, spec.paths.payout):
         dates = [r[0] for r in audit.select(cols.business_date).distinct().collect()]
         published = (
             spark.read.parquet(spec.paths.payout)
@@ -276,7 +309,7 @@ def run_daily_payouts(
         F.col("d").alias(cols.business_date),
     )
     keys = [cols.account_id, cols.business_date]
-    if tables.exists(spark, spec.paths.daily_payout):
+    if tables.has_data(spark, spec.paths.daily_payout):
         published = (
             spark.read.parquet(spec.paths.daily_payout)
             .withColumn(cols.business_date, F.col(cols.business_date).cast("date"))

@@ -47,6 +47,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")))
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds committed output of any Spark write.
+
+    Writes with dynamic partition overwrite leave no ``_SUCCESS`` marker at
+    the root; their partition directories (like appended files) only appear
+    when the job commits, so any visible child means committed data.
+    """
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(hpath))
+
+
 def input_size(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` (a directory, file or glob) from file-system
     metadata only; nothing is read."""

@@ -53,6 +53,7 @@ def silver_fold_stream(
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     grain: str = "account",
+    cross_batch_dedup: bool = False,
 ) -> StreamingQuery:
     """Process new files into Silver, one snapshot version per micro-batch.
 
@@ -62,7 +63,7 @@ def silver_fold_stream(
     ckpt = checkpoint or f"{spec.paths.checkpoints}/silver_fold"
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        fold_batch(df.sparkSession, df, batch_id, spec, cutoff, grain)
+        fold_batch(df.sparkSession, df, batch_id, spec, cutoff, grain, cross_batch_dedup)
 
     w = event_stream(spark, source_dir, max_files_per_trigger).writeStream.foreachBatch(on_batch).option(
         "checkpointLocation", ckpt

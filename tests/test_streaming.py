@@ -102,3 +102,14 @@ def test_day_grain_stream_answers_any_midnight_cutoff(spark, tmp_root, landed):
     v = quality.valid_events(tx)
     for cutoff in (dt.datetime(2024, 1, 10), fx.FIXTURE_CUTOFF):
         assert _rows(silver_view(spark, spec, cutoff)) == _rows(balances.silver_balances(v, cutoff))
+
+
+def test_fold_stream_skips_redelivered_file(spark, tmp_root, landed):
+    src, tx = landed
+    # the last week's events land a second time as a new file
+    tx.filter(F.dayofmonth("event_time") >= 22).coalesce(1).write.mode("append").parquet(src)
+    spec = PipelineSpec(root=os.path.join(tmp_root, "tables_dedup"), cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    q = st.silver_fold_stream(spark, src, spec, fx.FIXTURE_CUTOFF, max_files_per_trigger=1, cross_batch_dedup=True)
+    q.awaitTermination(300)
+    want = balances.silver_balances(quality.valid_events(tx), fx.FIXTURE_CUTOFF)
+    assert _rows(tables.SnapshotTable(spec.paths.silver).read(spark)) == _rows(want)

@@ -99,3 +99,12 @@ def test_input_size_and_scale_settings(spark, tmp_root):
     big = scale_settings(100_000 * GIB, total_cores=8000)
     assert big["spark.sql.shuffle.partitions"] == str(100_000)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_has_data_sees_dynamic_partition_writes(spark, tmp_root):
+    from ledgerflow.plans.pipeline import _write_partition
+
+    p = os.path.join(tmp_root, "dyn")
+    assert not tables.has_data(spark, p)
+    _write_partition(spark.createDataFrame([(1, "x")], "v long, k string"), p, ["k"])
+    assert tables.has_data(spark, p) and not tables.exists(spark, p)
