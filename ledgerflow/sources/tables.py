@@ -97,10 +97,20 @@ def write_routed(df: DataFrame, routed_path: str, **rules) -> dict[str, int]:
     """
     from pyspark.sql import Observation
 
-    tagged = quality.with_reasons(df, **rules).withColumn(
-        ROUTE, F.when(quality.is_valid(), F.lit("valid")).otherwise(F.lit("quarantine"))
+    from ledgerflow.config import TRANSACTION_TYPES, Columns
+    from ledgerflow.functions.rules import is_rejected, quarantine_reasons
+
+    cols = rules.get("cols", Columns())
+    types = tuple(rules.get("transaction_types", TRANSACTION_TYPES))
+    rejected = is_rejected(cols, types)
+    # the reasons array is only built for rejected rows (NULL when valid)
+    reasons = F.when(rejected, quarantine_reasons(cols, types))
+    tagged = (
+        df.withColumn(quality.REASONS, reasons)
+        .withColumn(quality.REASON, F.get(F.col(quality.REASONS), 0))
+        .withColumn(ROUTE, F.when(rejected, F.lit("quarantine")).otherwise(F.lit("valid")))
     )
-    amount = rules["cols"].amount if "cols" in rules else "amount"
+    amount = cols.amount
     obs = Observation("bronze_routing")
     observed = tagged.observe(
         obs,
@@ -109,7 +119,6 @@ def write_routed(df: DataFrame, routed_path: str, **rules) -> dict[str, int]:
         F.count(F.when(F.col(ROUTE) == "quarantine", 1)).alias("quarantine"),
         F.count(F.when(F.col(amount).isNull(), 1)).alias("null_amount"),
     )
-    # (reasons are an empty array on the valid partition)
     observed.write.mode("append").partitionBy(ROUTE).parquet(routed_path)
     return dict(obs.get)
 
