@@ -2,9 +2,10 @@
 
 * ``silver_fold_stream``: files -> ``foreachBatch`` fold into Silver snapshots,
   keyed by the micro-batch id (a replay rebuilds the same version).
-* ``account_totals_stream``: the Silver aggregate as a native stateful
-  aggregate in ``update`` mode (conditional sums; ``pivot`` is not allowed on
-  a stream).
+* ``account_totals_stream`` / ``account_totals_table_stream``: the Silver
+  aggregate as a native stateful aggregate in ``update`` mode (conditional
+  sums; ``pivot`` is not allowed on a stream), to a memory table or upserted
+  into Silver snapshots.
 * ``daily_flow_stream``: 1-day tumbling windows with a watermark, ``append``
   mode: each closed day is emitted once.
 * ``dedup_stream``: ``dropDuplicatesWithinWatermark`` on the event key.
@@ -98,6 +99,40 @@ def account_totals_stream(
     return _trigger(w, available_now).start()
 
 
+def account_totals_table_stream(
+    spark: SparkSession,
+    source_dir: str,
+    spec: PipelineSpec,
+    cutoff: dt.datetime,
+    checkpoint: str | None = None,
+    max_files_per_trigger: int | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Update-mode stateful aggregate with a durable, replay-safe sink.
+
+    The state store keeps one running row per account; each micro-batch
+    emits the accounts it changed with their full current totals, which are
+    upserted (replaced, not added) into Silver version ``batch_id + 1`` built
+    from the latest version below it. Replaying a batch rebuilds the same
+    version. (Use the RocksDB state store provider for large account counts.)
+    """
+    from ledgerflow.operators import merge
+    from ledgerflow.sources import tables
+
+    ckpt = checkpoint or f"{spec.paths.checkpoints}/account_totals"
+    cols = spec.cfg.cols
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        store = tables.SnapshotTable(spec.paths.silver)
+        base = store.latest(df.sparkSession, below=batch_id + 1)
+        new = df if base is None else merge.upsert(store.read(df.sparkSession, base), df, cols.account_id)
+        store.write(new.select(*cols.silver_columns), batch_id + 1)
+
+    agg = account_totals(event_stream(spark, source_dir, max_files_per_trigger), cutoff, cols)
+    w = agg.writeStream.outputMode("update").foreachBatch(on_batch).option("checkpointLocation", ckpt)
+    return _trigger(w, available_now).start()
+
+
 def daily_flow(events: DataFrame, watermark: str = "1 day", cols: Columns = Columns()) -> DataFrame:
     """Net flow per account and calendar day; with a watermark, append mode
     emits a day once the watermark has passed its end."""

@@ -113,3 +113,14 @@ def test_fold_stream_skips_redelivered_file(spark, tmp_root, landed):
     q.awaitTermination(300)
     want = balances.silver_balances(quality.valid_events(tx), fx.FIXTURE_CUTOFF)
     assert _rows(tables.SnapshotTable(spec.paths.silver).read(spark)) == _rows(want)
+
+
+def test_update_mode_aggregate_upserts_durable_table(spark, tmp_root, landed):
+    src, tx = landed
+    spec = PipelineSpec(root=os.path.join(tmp_root, "tables_upd"), cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    q = st.account_totals_table_stream(spark, src, spec, fx.FIXTURE_CUTOFF, max_files_per_trigger=1)
+    q.awaitTermination(300)
+    store = tables.SnapshotTable(spec.paths.silver)
+    assert len(store.versions(spark)) == 4
+    want = balances.silver_balances(quality.valid_events(tx), fx.FIXTURE_CUTOFF)
+    assert _rows(store.read(spark)) == _rows(want)
