@@ -38,6 +38,9 @@ class PipelineSpec:
     source: str | None = None  # raw event files (dir or glob); default <root>/raw
     cfg: LedgerConfig = field(default_factory=LedgerConfig)
     dedup: bool = True
+    # incremental Silver: "account" (fixed cutoff) or "day" (any midnight cutoff)
+    grain: str = "account"
+    cross_batch_dedup: bool = False
 
     @property
     def paths(self) -> TablePaths:
@@ -49,8 +52,9 @@ class PipelineSpec:
 
     @classmethod
     def from_json(cls, text: str) -> "PipelineSpec":
-        """``{"root": ..., "source": ..., "dedup": true, "ledger": {...}}``;
-        ``ledger`` as in ``config.ledger_config_from_dict``."""
+        """``{"root": ..., "source": ..., "dedup": true, "grain": "account",
+        "cross_batch_dedup": false, "ledger": {...}}``; ``ledger`` as in
+        ``config.ledger_config_from_dict``."""
         import json
 
         from ledgerflow.config import ledger_config_from_dict
@@ -61,6 +65,8 @@ class PipelineSpec:
             source=d.get("source"),
             cfg=ledger_config_from_dict(d.get("ledger", {})),
             dedup=bool(d.get("dedup", True)),
+            grain=d.get("grain", "account"),
+            cross_batch_dedup=bool(d.get("cross_batch_dedup", False)),
         )
 
 
@@ -107,8 +113,8 @@ def fold_batch(
     batch_id: int,
     spec: PipelineSpec,
     cutoff: dt.datetime | None = None,
-    grain: str = "account",
-    cross_batch_dedup: bool = False,
+    grain: str | None = None,
+    cross_batch_dedup: bool | None = None,
 ) -> int:
     """Fold one micro-batch of events into Silver as version ``batch_id + 1``.
 
@@ -131,6 +137,9 @@ def fold_batch(
     its watermark, so it only suits sources whose late events carry no money.
     """
     cols = spec.cfg.cols
+    grain = grain or spec.grain
+    cross_batch_dedup = spec.cross_batch_dedup if cross_batch_dedup is None else cross_batch_dedup
+    cutoff = cutoff or spec.cfg.cutoff
     valid = quality.valid_events(ev.normalize(batch, cols), cols, spec.cfg.transaction_types)
     if spec.dedup:
         valid = quality.dedup_latest(valid.select(*cols.event_columns), cols.event_id, (cols.event_time, cols.amount))

@@ -53,8 +53,8 @@ def silver_fold_stream(
     checkpoint: str | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
-    grain: str = "account",
-    cross_batch_dedup: bool = False,
+    grain: str | None = None,
+    cross_batch_dedup: bool | None = None,
 ) -> StreamingQuery:
     """Process new files into Silver, one snapshot version per micro-batch.
 

@@ -186,3 +186,10 @@ def test_cross_batch_redelivery_is_folded_once(spark, tmp_root):
         if grain == "day":
             got = pl.silver_view(spark, spec, fx.FIXTURE_CUTOFF)
         assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_spec_json_carries_incremental_options():
+    import json
+
+    spec = pl.PipelineSpec.from_json(json.dumps({"root": "/x", "grain": "day", "cross_batch_dedup": True}))
+    assert spec.grain == "day" and spec.cross_batch_dedup and spec.paths.seen_events.startswith("/x")
