@@ -60,3 +60,26 @@ def upsert(
         else:
             out.append(F.col(f"t.{c}").alias(c))
     return j.select(*out)
+
+
+def upsert_touched_only(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    update_cols: list[str] | None = None,
+    check_source: bool = True,
+) -> DataFrame:
+    """``upsert`` for a source much smaller than the target (same rows).
+
+    Only target rows whose key is in the source take part in the outer join;
+    the rest are carried over by an anti join. The source keys go through one
+    shuffle, so AQE measures them and broadcasts them into the semi and anti
+    joins when small: the large target is then read once per join and never
+    shuffled. Target rows with a NULL key are kept, as in ``upsert``.
+    """
+    src = unique_source(source, key) if check_source else source
+    keys = src.select(key)
+    touched = target.join(keys, key, "left_semi")
+    untouched = target.join(keys, key, "left_anti")
+    merged = upsert(touched, src, key, update_cols, insert=True, check_source=False)
+    return merged.unionByName(untouched.select(*target.columns))

@@ -137,6 +137,11 @@ def q_merge_upsert(spark, sf):
     return merge.upsert(stored(spark, sf), incoming(spark, sf), "account_id")
 
 
+def q_merge_upsert_touched_only(spark, sf):
+    """Upsert that joins only the target rows the source touches."""
+    return merge.upsert_touched_only(stored(spark, sf), incoming(spark, sf), "account_id")
+
+
 def q_merge_upsert_partial(spark, sf):
     return merge.upsert(stored(spark, sf), incoming(spark, sf), "account_id", update_cols=["total_amount"])
 

@@ -242,6 +242,7 @@ def build() -> dict[str, str]:
     q["fold_touched_only"] = sql(BASE + STORED, FOLD)
     q["merge_upsert"] = sql(BASE + STORED, _upsert(["total_amount", "amount_cdi_applicable", "amount_cdi_not_applicable"]))
     q["merge_upsert_partial"] = sql(BASE + STORED, _upsert(["total_amount"]))
+    q["merge_upsert_touched_only"] = q["merge_upsert"]
     q["cutoff_from_data"] = sql(BASE, "select date_trunc('day', max(event_time) - interval 24 hours) as cutoff from valid")
     q["cutoff_from_as_of"] = sql(
         BASE,

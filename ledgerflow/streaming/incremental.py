@@ -125,7 +125,8 @@ def account_totals_table_stream(
     def on_batch(df: DataFrame, batch_id: int) -> None:
         store = tables.SnapshotTable(spec.paths.silver)
         base = store.latest(df.sparkSession, below=batch_id + 1)
-        new = df if base is None else merge.upsert(store.read(df.sparkSession, base), df, cols.account_id)
+        # the batch holds only the accounts it changed: carry the rest over
+        new = df if base is None else merge.upsert_touched_only(store.read(df.sparkSession, base), df, cols.account_id)
         store.write(new.select(*cols.silver_columns), batch_id + 1)
 
     agg = account_totals(event_stream(spark, source_dir, max_files_per_trigger), cutoff, cols)

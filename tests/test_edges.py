@@ -259,3 +259,16 @@ def test_bucketed_trailing_min_equals_plain_range_window(spark, unit):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
     assert choose_frame_unit(h, "account_id", "event_time") == "day"
     assert choose_frame_unit(h, "account_id", "event_time", max_rows=1) == "minute"
+
+
+def test_upsert_touched_only_equals_upsert(spark):
+    target = spark.createDataFrame(
+        [(f"k{i}", i, f"t{i}") for i in range(40)] + [(None, -1, "nullkey")], "k string, v int, tag string"
+    )
+    source = spark.createDataFrame([(f"k{i}", 100 + i) for i in range(30, 50)], "k string, v int")
+    a = merge.upsert(target, source, "k")
+    b = merge.upsert_touched_only(target, source, "k")
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    c = merge.upsert(target, source, "k", update_cols=[])
+    d = merge.upsert_touched_only(target, source, "k", update_cols=[])
+    assert sorted(map(tuple, c.collect()), key=str) == sorted(map(tuple, d.collect()), key=str)
