@@ -18,6 +18,7 @@ REASON_TYPE_NULL = "transaction_type_null"
 REASON_TYPE_INVALID = "transaction_type_invalid"
 REASON_TIME_NULL = "event_time_null"
 REASON_AMOUNT_NULL = "amount_null"
+REASON_EVENT_ID_NULL = "event_id_null"
 REASON_ORDER = (
     REASON_USER_NULL,
     REASON_ACCOUNT_NULL,
@@ -25,14 +26,19 @@ REASON_ORDER = (
     REASON_TYPE_INVALID,
     REASON_TIME_NULL,
     REASON_AMOUNT_NULL,
+    REASON_EVENT_ID_NULL,
 )
 
 
-def quarantine_checks(cols: Columns, transaction_types: tuple[str, ...]) -> list[tuple[Column, str]]:
+def quarantine_checks(
+    cols: Columns, transaction_types: tuple[str, ...], with_event_id: bool = False
+) -> list[tuple[Column, str]]:
     """(predicate, reason) pairs in reason order. Every predicate is
     NULL-free (built from ``isNull`` / ``isNotNull``), so routing on them is
     total: a NULL type fails ``transaction_type_null`` instead of making the
     predicate NULL and falling out of both the valid and the quarantine side.
+    When the input carries an event id it is required too (deduplication
+    groups by it, so NULL ids would otherwise collapse into one event).
     """
     t = F.col(cols.transaction_type)
     return [
@@ -42,21 +48,21 @@ def quarantine_checks(cols: Columns, transaction_types: tuple[str, ...]) -> list
         (t.isNotNull() & ~t.isin(*transaction_types), REASON_TYPE_INVALID),
         (F.col(cols.event_time).isNull(), REASON_TIME_NULL),
         (F.col(cols.amount).isNull(), REASON_AMOUNT_NULL),
-    ]
+    ] + ([(F.col(cols.event_id).isNull(), REASON_EVENT_ID_NULL)] if with_event_id else [])
 
 
-def is_rejected(cols: Columns, transaction_types: tuple[str, ...]) -> Column:
+def is_rejected(cols: Columns, transaction_types: tuple[str, ...], with_event_id: bool = False) -> Column:
     """True when any check fails (a plain boolean: cheap on the valid path)."""
-    conds = [c for c, _ in quarantine_checks(cols, transaction_types)]
+    conds = [c for c, _ in quarantine_checks(cols, transaction_types, with_event_id)]
     out = conds[0]
     for c in conds[1:]:
         out = out | c
     return out
 
 
-def quarantine_reasons(cols: Columns, transaction_types: tuple[str, ...]) -> Column:
+def quarantine_reasons(cols: Columns, transaction_types: tuple[str, ...], with_event_id: bool = False) -> Column:
     """``array<string>`` of every failed check; empty means the row is valid."""
-    checks = quarantine_checks(cols, transaction_types)
+    checks = quarantine_checks(cols, transaction_types, with_event_id)
     return F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in checks]))
 
 

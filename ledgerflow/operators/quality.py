@@ -14,9 +14,13 @@ REASONS = "reasons"
 REASON = "reason"
 
 
+def _has_id(df: DataFrame, cols: Columns) -> bool:
+    return cols.event_id in df.columns
+
+
 def with_reasons(df: DataFrame, cols: Columns = Columns(), transaction_types=TRANSACTION_TYPES) -> DataFrame:
     """Add ``reasons`` (all failed checks) and ``reason`` (the first one)."""
-    return df.withColumn(REASONS, quarantine_reasons(cols, tuple(transaction_types))).withColumn(
+    return df.withColumn(REASONS, quarantine_reasons(cols, tuple(transaction_types), _has_id(df, cols))).withColumn(
         REASON, F.get(F.col(REASONS), 0)
     )
 
@@ -28,14 +32,14 @@ def route(df: DataFrame, cols: Columns = Columns(), transaction_types=TRANSACTIO
     their ``reasons`` array. Writers that need both sides should use
     ``sources.tables.write_routed`` (one scan, one job).
     """
-    rejected = is_rejected(cols, tuple(transaction_types))
+    rejected = is_rejected(cols, tuple(transaction_types), _has_id(df, cols))
     valid = df.filter(~rejected)
     bad = with_reasons(df.filter(rejected), cols, transaction_types)
     return valid, bad
 
 
 def valid_events(df: DataFrame, cols: Columns = Columns(), transaction_types=TRANSACTION_TYPES) -> DataFrame:
-    return df.filter(~is_rejected(cols, tuple(transaction_types)))
+    return df.filter(~is_rejected(cols, tuple(transaction_types), _has_id(df, cols)))
 
 
 def reason_counts(df: DataFrame, cols: Columns = Columns(), transaction_types=TRANSACTION_TYPES) -> DataFrame:
@@ -46,7 +50,7 @@ def reason_counts(df: DataFrame, cols: Columns = Columns(), transaction_types=TR
 
 def routing_counts(df: DataFrame, cols: Columns = Columns(), transaction_types=TRANSACTION_TYPES) -> DataFrame:
     """``n_in, n_valid, n_bad`` in one pass; n_in = n_valid + n_bad always."""
-    rejected = is_rejected(cols, tuple(transaction_types))
+    rejected = is_rejected(cols, tuple(transaction_types), _has_id(df, cols))
     return df.agg(
         F.count(F.lit(1)).alias("n_in"),
         F.count(F.when(~rejected, 1)).alias("n_valid"),
@@ -81,7 +85,7 @@ def dq_metrics(
     """Per layer (raw, valid): rows, null money, null ids, future / pre-epoch
     timestamps, negative amounts. One scan; valid metrics are conditional sums.
     """
-    ok = ~is_rejected(cols, tuple(transaction_types))
+    ok = ~is_rejected(cols, tuple(transaction_types), _has_id(raw, cols))
     ts = F.col(cols.event_time)
     metrics = {
         "n": F.lit(True),

@@ -40,7 +40,8 @@ select *,
        when transaction_type is null then 'transaction_type_null'
        when transaction_type not in {TYPES} then 'transaction_type_invalid'
        when event_time is null then 'event_time_null'
-       when amount is null then 'amount_null' end as reason
+       when amount is null then 'amount_null'
+       when event_id is null then 'event_id_null' end as reason
 from tx"""
 
 EV = "event_id, user_id, account_id, transaction_type, event_time, amount"

@@ -14,8 +14,9 @@ def normalize(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
 
     ``event_time`` held as text is parsed with ``try_to_timestamp`` (so a
     textual comparison with the cutoff can never happen); ``amount`` is
-    converted to exact money with ``try_cast``. Values that do not parse become
-    NULL and are quarantined by the routing checks. Extra columns pass through.
+    converted to exact money with ``try_cast`` and ``event_id`` to a long.
+    Values that do not parse become NULL and are quarantined by the routing
+    checks. Extra columns pass through.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     out = df
@@ -27,6 +28,9 @@ def normalize(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     amt = fields.get(cols.amount)
     if amt is not None and amt != T.DecimalType(18, 2):
         out = out.withColumn(cols.amount, F.col(cols.amount).try_cast(MONEY_TYPE))
+    eid = fields.get(cols.event_id)
+    if eid is not None and not isinstance(eid, T.LongType):
+        out = out.withColumn(cols.event_id, F.col(cols.event_id).try_cast("long"))
     for c in (cols.user_id, cols.account_id, cols.transaction_type):
         if c in fields and not isinstance(fields[c], T.StringType):
             out = out.withColumn(c, F.col(c).cast("string"))

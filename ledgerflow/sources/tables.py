@@ -102,9 +102,10 @@ def write_routed(df: DataFrame, routed_path: str, **rules) -> dict[str, int]:
 
     cols = rules.get("cols", Columns())
     types = tuple(rules.get("transaction_types", TRANSACTION_TYPES))
-    rejected = is_rejected(cols, types)
+    with_id = cols.event_id in df.columns
+    rejected = is_rejected(cols, types, with_id)
     # the reasons array is only built for rejected rows (NULL when valid)
-    reasons = F.when(rejected, quarantine_reasons(cols, types))
+    reasons = F.when(rejected, quarantine_reasons(cols, types, with_id))
     tagged = (
         df.withColumn(quality.REASONS, reasons)
         .withColumn(quality.REASON, F.get(F.col(quality.REASONS), 0))

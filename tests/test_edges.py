@@ -272,3 +272,14 @@ def test_upsert_touched_only_equals_upsert(spark):
     c = merge.upsert(target, source, "k", update_cols=[])
     d = merge.upsert_touched_only(target, source, "k", update_cols=[])
     assert sorted(map(tuple, c.collect()), key=str) == sorted(map(tuple, d.collect()), key=str)
+
+
+def test_null_event_id_is_quarantined_last(spark):
+    rows = [(None, "u", "a", "DEPOSIT", ts(1), Decimal("1")), (None, None, "a", "DEPOSIT", ts(1), Decimal("1")),
+            (3, "u", "a", "DEPOSIT", ts(1), Decimal("1"))]
+    valid, bad = quality.route(_events(spark, rows))
+    assert [r.event_id for r in valid.collect()] == [3]
+    assert sorted(r.reason for r in bad.collect()) == ["event_id_null", "user_id_null"]
+    # without an event id column the check does not apply
+    no_id = _events(spark, rows).drop("event_id")
+    assert quality.valid_events(no_id).count() == 2

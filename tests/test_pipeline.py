@@ -193,3 +193,19 @@ def test_spec_json_carries_incremental_options():
 
     spec = pl.PipelineSpec.from_json(json.dumps({"root": "/x", "grain": "day", "cross_batch_dedup": True}))
     assert spec.grain == "day" and spec.cross_batch_dedup and spec.paths.seen_events.startswith("/x")
+
+
+def test_bronze_reads_csv_source(spark, tmp_root):
+    raw = fx.wallet_events(spark, SF_SMALL).select(
+        F.col("event_id").cast("string").alias("event_id"), "user_id", "account_id", "transaction_type",
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),
+        F.col("amount").cast("string").alias("amount"),
+    )
+    src = os.path.join(tmp_root, "raw_csv")
+    raw.coalesce(2).write.option("header", "true").csv(src)
+    spec = pl.PipelineSpec(root=tmp_root, source=src, source_format="csv", cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    counts = pl.run_bronze(spark, spec)
+    assert counts["rows"] == 1000 and counts["valid"] + counts["quarantine"] == 1000
+    pl.run_silver(spark, spec)
+    got = sorted(map(tuple, tables.SnapshotTable(spec.paths.silver).read(spark).collect()), key=str)
+    assert got == sorted(map(tuple, q_silver_balances(spark, SF_SMALL).collect()), key=str)
