@@ -6,6 +6,7 @@ import datetime as dt
 import os
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.config import LedgerConfig, TablePaths
@@ -195,15 +196,17 @@ def test_spec_json_carries_incremental_options():
     assert spec.grain == "day" and spec.cross_batch_dedup and spec.paths.seen_events.startswith("/x")
 
 
-def test_bronze_reads_csv_source(spark, tmp_root):
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_bronze_reads_text_sources(spark, tmp_root, fmt):
     raw = fx.wallet_events(spark, SF_SMALL).select(
         F.col("event_id").cast("string").alias("event_id"), "user_id", "account_id", "transaction_type",
         F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),
         F.col("amount").cast("string").alias("amount"),
     )
-    src = os.path.join(tmp_root, "raw_csv")
-    raw.coalesce(2).write.option("header", "true").csv(src)
-    spec = pl.PipelineSpec(root=tmp_root, source=src, source_format="csv", cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    src = os.path.join(tmp_root, f"raw_{fmt}")
+    writer = raw.coalesce(2).write
+    (writer.option("header", "true").csv(src) if fmt == "csv" else writer.json(src))
+    spec = pl.PipelineSpec(root=tmp_root, source=src, source_format=fmt, cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
     counts = pl.run_bronze(spark, spec)
     assert counts["rows"] == 1000 and counts["valid"] + counts["quarantine"] == 1000
     pl.run_silver(spark, spec)
