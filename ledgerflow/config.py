@@ -166,8 +166,9 @@ class LedgerConfig:
     transaction_types: tuple[str, ...] = TRANSACTION_TYPES
     # Eligibility cutoff; None means "derive from the data" (midnight of max - 24h).
     cutoff: dt.datetime | None = None
-    # Granularity of the time buckets that split per-account ordered work.
-    time_bucket: str = "hour"
+    # Time buckets that split per-account ordered work: a unit ("hour"), a
+    # coarse-to-fine hierarchy, or "auto" (measure, refine only for hot keys).
+    time_bucket: str = "auto"
 
     def with_(self, **changes) -> "LedgerConfig":
         return replace(self, **changes)
@@ -191,5 +192,5 @@ def ledger_config_from_dict(d: dict) -> LedgerConfig:
         rule=rule,
         transaction_types=tuple(d.get("transaction_types", TRANSACTION_TYPES)),
         cutoff=None if cutoff is None else dt.datetime.fromisoformat(cutoff),
-        time_bucket=d.get("time_bucket", "hour"),
+        time_bucket=d.get("time_bucket", "auto"),
     )
