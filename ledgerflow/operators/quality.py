@@ -91,6 +91,7 @@ def dq_metrics(
         "n": F.lit(True),
         "null_amount": F.col(cols.amount).isNull(),
         "null_ids": F.col(cols.user_id).isNull() | F.col(cols.account_id).isNull(),
+        "null_event_id": F.col(cols.event_id).isNull() if _has_id(raw, cols) else F.lit(False),
         "future_ts": ts > F.lit(as_of).cast("timestamp"),
         "pre_epoch_ts": ts < F.lit(dt.datetime(1970, 1, 1)).cast("timestamp"),
         "negative_amount": F.col(cols.amount) < 0,

@@ -332,6 +332,7 @@ def build() -> dict[str, str]:
     metrics = (
         "count(*) as n, count(*) filter (where amount is null) as null_amount, "
         "count(*) filter (where user_id is null or account_id is null) as null_ids, "
+        "count(*) filter (where event_id is null) as null_event_id, "
         f"count(*) filter (where event_time > {DQ_AS_OF}) as future_ts, "
         "count(*) filter (where event_time < TIMESTAMP '1970-01-01 00:00:00') as pre_epoch_ts, "
         "count(*) filter (where amount < 0) as negative_amount"
