@@ -11,8 +11,11 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerflow") -> SparkSession:
-    """Local session with the settings every test and bench run shares."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerflow", extra: dict | None = None
+) -> SparkSession:
+    """Local session with the settings every test and bench run shares
+    (``extra``: further builder settings, e.g. an event-log folder)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="ledgerflow-ckpt-"))
@@ -27,6 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
