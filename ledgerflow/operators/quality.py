@@ -82,8 +82,9 @@ def dq_metrics(
     cols: Columns = Columns(),
     transaction_types=TRANSACTION_TYPES,
 ) -> DataFrame:
-    """Per layer (raw, valid): rows, null money, null ids, future / pre-epoch
-    timestamps, negative amounts. One scan; valid metrics are conditional sums.
+    """Per layer (raw, valid): rows, null money, null user/account ids, null
+    event ids, future / pre-epoch timestamps, negative amounts. One scan;
+    valid-layer metrics are conditional counts over the same rows.
     """
     ok = ~is_rejected(cols, tuple(transaction_types), _has_id(raw, cols))
     ts = F.col(cols.event_time)
