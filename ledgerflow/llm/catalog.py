@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import exact_dedup, mixing, pii, token_files
+from ledgerflow.llm import exact_dedup, language_id, minhash, mixing, pii, token_files, toxicity
 from ledgerflow.llm.common import table
 from ledgerflow.session import scratch_path
 
@@ -28,6 +28,25 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    models = language_id.train_on(docs)
+    found = language_id.identify(docs.select("doc_id", "text"), models)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter(~toxicity.held_out()))
+    scored = toxicity.score_texts(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_ids(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"))
@@ -38,7 +57,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_mixing, op8_token_files, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii, op3_mixing, op4_language_id, op6_minhash, op7_toxicity, op8_token_files, op9_exact_dedup)}
 
 ORACLE_SQL = {
     "op3_mixing": r"""

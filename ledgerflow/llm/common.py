@@ -38,3 +38,21 @@ def id_bucket(col: str, n: int) -> Column:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: A key is heavy from this share of all rows on, so at most HEAVY_SHARE keys are.
+HEAVY_SHARE = 1000
+HEAVY_LEAST = 200
+
+
+def join_by_key(rows: DataFrame, n_rows: int, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Left join of ``rows`` to ``groups`` (one row per key, ``size`` rows each) that no heavy key can skew.
+
+    The at most HEAVY_SHARE heavy groups are broadcast; the rest is an
+    ordinary shuffle join, none of whose keys has many rows.
+    """
+    heavy_from = max(HEAVY_LEAST, n_rows // HEAVY_SHARE)
+    heavy = F.broadcast(groups.filter(F.col(size) >= heavy_from))
+    light = groups.filter(F.col(size) < heavy_from)
+    rest = rows.join(heavy.select(*keys), keys, "left_anti")
+    return rows.join(heavy, keys).unionByName(rest.join(light, keys, "left"))
