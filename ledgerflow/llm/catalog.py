@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import exact_dedup, language_id, minhash, mixing, pii, token_files, toxicity
+from ledgerflow.llm import exact_dedup, language_id, minhash, mixing, pii, token_files, toxicity, vector_graph, wrapper
 from ledgerflow.llm.common import table
 from ledgerflow.session import scratch_path
 
@@ -24,6 +24,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_pii(table(spark, sf_dir, "documents")))
 
 
+def op2_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op5_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
@@ -57,7 +65,20 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_mixing, op4_language_id, op6_minhash, op7_toxicity, op8_token_files, op9_exact_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii,
+        op2_wrapper,
+        op3_mixing,
+        op4_language_id,
+        op5_vector_graph,
+        op6_minhash,
+        op7_toxicity,
+        op8_token_files,
+        op9_exact_dedup,
+    )
+}
 
 ORACLE_SQL = {
     "op3_mixing": r"""
