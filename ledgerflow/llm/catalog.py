@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import exact_dedup, language_id, minhash, mixing, pii, token_files, toxicity, vector_graph, wrapper
+from ledgerflow.llm import exact_dedup, language_id, minhash, mixing, piece_lattice, pii, token_files, toxicity, vector_graph, wrapper
 from ledgerflow.llm.common import table
 from ledgerflow.session import scratch_path
 
@@ -65,6 +65,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.encode(table(spark, sf_dir, "documents"), piece_lattice.Pieces.load(tokenizer_path("piece_bpe_32k.model")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,6 +81,7 @@ QUERIES = {
         op7_toxicity,
         op8_token_files,
         op9_exact_dedup,
+        op10_piece_lattice,
     )
 }
 
