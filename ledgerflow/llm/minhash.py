@@ -326,3 +326,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT) ->
     joined = join_by_key(linkable.select("doc_id", "n_shingles", "hi", "lo"), n_rows, stage(of_class, "minhash-of-class"), ["hi", "lo"], "members")
     alone = rows.filter("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return joined.select("doc_id", "n_shingles", "component_id").unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_first(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, whose doc_id is the smallest of its group of near duplicates."""
+    gone = near_duplicates(docs, words, percent).filter("not kept").select("doc_id").distinct()
+    return docs.join(stage(gone, "minhash-gone"), "doc_id", "left_anti")

@@ -13,7 +13,7 @@ is sorted row by row. Only DataFrame operations: no Python on the executors.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import WORD, stage, text_or_empty
@@ -32,16 +32,14 @@ def quality(size, chars):
     return F.when((mean >= 3) & (mean <= 12), 1.0).otherwise(0.5)
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, key, bucket) per row; key and bucket rise together."""
-    text = text_or_empty()
+def sized(docs: DataFrame, *carry: Column) -> DataFrame:
+    """(doc_id, source, size, key, bucket) per row, and what it carries; key and bucket rise together."""
     u = (F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
-    return (
-        docs.select("doc_id", "source", text.alias("text"))
-        .select("doc_id", "source", F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"), F.char_length("text").alias("chars"), u.alias("u"))
-        .withColumn("key", -F.log("u") / quality(F.col("size"), F.col("chars")))
-        .select("doc_id", "source", "size", "key", F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int").alias("bucket"))
-    )
+    size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
+    key = -F.log("u") / quality(F.col("size"), F.col("chars"))
+    bucket = F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    rows = docs.select("doc_id", "source", size.alias("size"), F.char_length(text_or_empty()).alias("chars"), u.alias("u"), *carry)
+    return rows.withColumn("key", key).withColumn("bucket", bucket).drop("chars", "u")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -70,16 +68,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     return level.select("source", "source_size", F.least(F.col("cap").cast("double"), F.col("final.level") * F.col("w")).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """Per row of ``docs``: doc_id, size, source_size, target, taken.
-
-    Needs doc_id, text and source; other columns are ignored. A null text has
-    size 0 and is never taken; a null source is a source of its own, the
-    last. Equal keys (repeated ids) are told apart by size, equal rows may
-    swap. The document that the budget cuts is taken whole if that comes
-    nearer to it. An empty table gives an empty result.
-    """
-    rows = stage(sized(docs), "mix-sized")
+def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """One row per source of ``sized`` rows: source_size, target, epochs, the rest of the budget, the bucket it cuts and the sizes before that bucket."""
     by_bucket = stage(rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")), "mix-buckets")
     goal = targets(by_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights)
     goal = goal.withColumn("epochs", F.least(F.floor(F.col("target") / F.greatest("source_size", F.lit(1))), F.lit(MAX_EPOCHS)).cast("long")).withColumn(
@@ -95,31 +85,43 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
         .groupBy("g.source")
         .agg(F.min("bucket").alias("cut"), F.min("start").alias("cut_start"))
     )
-    plan = stage(
+    all_or_none = F.when(F.col("rest") > 0, BUCKETS).otherwise(-1)
+    return stage(
         goal.alias("g")
         .join(cut.alias("c"), F.col("g.source").eqNullSafe(F.col("c.source")), "left")
-        .select(
-            "g.source",
-            "source_size",
-            "target",
-            "epochs",
-            "rest",
-            F.coalesce("cut", F.when(F.col("rest") > 0, BUCKETS).otherwise(-1)).alias("cut"),
-            "cut_start",
-        ),
+        .select("g.source", "source_size", "target", "epochs", "rest", F.coalesce("cut", all_or_none).alias("cut"), "cut_start"),
         "mix-plan",
     )
-    full = rows.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))).select("r.*", "source_size", "target", "epochs", "rest", "cut", "cut_start")
+
+
+def draw(rows: DataFrame, plan: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken and what is carried, per row of ``sized``."""
+    mine = plan.withColumnRenamed("source", "plan_source")
+    full = rows.join(mine, F.col("source").eqNullSafe(F.col("plan_source")))
     here = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("cut_start") + F.coalesce(F.sum("size").over(here), F.lit(0).cast("long"))
     out = ["doc_id", "size", "source_size", "target"]
-    sure = full.filter(F.col("bucket") != F.col("cut")).select(
-        *out, (F.col("size") * (F.col("epochs") + (F.col("bucket") < F.col("cut")).cast("long"))).alias("taken")
-    )
-    edge = (
-        full.filter(F.col("bucket") == F.col("cut"))
-        .withColumn("before", before)
-        .withColumn("more", (F.col("before") + F.col("size") / 2 <= F.col("rest")) & (F.col("before") <= F.col("rest")))
-        .select(*out, (F.col("size") * (F.col("epochs") + F.col("more").cast("long"))).alias("taken"))
-    )
-    return sure.unionByName(edge)
+    taken = lambda more: (F.col("size") * (F.col("epochs") + more.cast("long"))).alias("taken")
+    sure = full.filter(F.col("bucket") != F.col("cut")).select(*out, taken(F.col("bucket") < F.col("cut")), *carried)
+    edge = full.filter(F.col("bucket") == F.col("cut")).withColumn("before", before)
+    return sure.unionByName(edge.select(*out, taken(F.col("before") + F.col("size") / 2 <= F.col("rest")), *carried))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """Per row of ``docs``: doc_id, size, source_size, target, taken.
+
+    Needs doc_id, text and source; other columns are ignored. A null text has
+    size 0 and is never taken; a null source is a source of its own, the
+    last. Equal keys (repeated ids) are told apart by size, equal rows may
+    swap. The document that the budget cuts is taken whole if that comes
+    nearer to it. An empty table gives an empty result.
+    """
+    rows = stage(sized(docs), "mix-sized")
+    return draw(rows, plan(rows, weights))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """The rows of ``docs``, all columns, as often as the mix takes them."""
+    decided = draw(sized(docs, F.struct("*").alias("mixed_row")), plan(stage(sized(docs), "mix-sized"), weights), "mixed_row")
+    times = (F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
+    return decided.filter("taken > 0").select(F.explode(F.array_repeat("mixed_row", times)).alias("mixed_row")).select("mixed_row.*")
