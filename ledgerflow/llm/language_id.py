@@ -5,8 +5,10 @@ character 4-grams per language come from all training texts; Spark sums them
 and derives the Kneser-Ney tables (absolute discount, continuation counts,
 interpolation down to a uniform model). The models are then sorted arrays of
 64-bit n-gram hashes with one log probability per language. A text goes to
-the language with the lowest cross-entropy per character; it is rejected
-where even that lies far above what the language's own training text has.
+the language with the lowest cross-entropy per character. It is rejected
+where its words, each under the language that fits it best, still lie far
+above what that language's own training text has; so a text that mixes known
+languages stays.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ ORDER = 4
 CODE_BITS = 22
 #: A text is rejected above its language's mean cross-entropy by this many standard errors and nats.
 REJECT_ERRORS = 8.0
-REJECT_NATS = 0.75
+REJECT_NATS = 1.0
 #: Characters that count as independent evidence for the score.
 EVIDENCE = 40
 #: Words a worker remembers.
@@ -162,6 +164,8 @@ def build(tables: pd.DataFrame, order: int = ORDER) -> Models:
     kinds = tables[tables["k"] == 1].groupby("lang").size()
     uniform = np.array([-np.log(kinds.get(x, 0) + 1.0) for x in langs], np.float32)
     m = Models(langs, order, {}, {}, {}, {}, uniform, np.zeros(len(langs)), np.zeros(len(langs)))
+    if not langs:
+        return m
     for k in range(1, order + 1):
         part = tables[tables["k"] == k]
         lang = part["lang"].map(column).to_numpy()
@@ -205,12 +209,12 @@ class Scorer:
     def __init__(self, models: Models):
         self.m = models
         self.place: dict[str, int] = {}
-        self.table = np.zeros((0, len(models.langs) + 1), np.float64)
+        self.table = np.zeros((0, len(models.langs) + 2), np.float64)
 
     def _words(self, words: list[str]) -> np.ndarray:
-        """Per word its log probability by language, then its characters (with the end)."""
+        """Per word its log probability by language, the best of these, then its characters (with the end)."""
         order = self.m.order
-        out = np.zeros((len(words), len(self.m.langs) + 1))
+        out = np.zeros((len(words), len(self.m.langs) + 2))
         for a in range(0, len(words), 20_000):
             part = words[a : a + 20_000]
             pad = " " * (order - 1)
@@ -220,12 +224,16 @@ class Scorer:
             rows = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths + 1)])[:-1], lengths + 1) + np.arange(int((lengths + 1).sum()))
             grams = np.lib.stride_tricks.sliding_window_view(points, order)[rows]
             first = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
-            out[a : a + len(part), :-1] = np.add.reduceat(self.m.log_probabilities(grams).astype(np.float64), first, axis=0)
+            sums = np.add.reduceat(self.m.log_probabilities(grams).astype(np.float64), first, axis=0)
+            out[a : a + len(part), :-2] = sums
+            out[a : a + len(part), -2] = sums.max(axis=1)
             out[a : a + len(part), -1] = lengths + 1
         return out
 
     def texts(self, texts: list[str | None]) -> np.ndarray:
-        """Per text: log probability by language, then the number of characters (0: no letter)."""
+        """Per text: log probability by language, with the best language word by word, then the number of characters (0: no letter)."""
+        if not self.m.langs:
+            return np.zeros((len(texts), 2))
         split = [words_of(t) if t else [] for t in texts]
         new = list({w for words in split for w in words if w not in self.place})
         if len(self.place) + len(new) > CACHED_WORDS:
@@ -240,7 +248,7 @@ class Scorer:
                 self.table = grown
             self.table[base : base + len(new)] = self._words(new)
         get = self.place.__getitem__
-        out = np.zeros((len(texts), self.table.shape[1] if len(self.table) else len(self.m.langs) + 1))
+        out = np.zeros((len(texts), self.table.shape[1] if len(self.table) else len(self.m.langs) + 2))
         for i, words in enumerate(split):
             if words:
                 out[i] = self.table[np.fromiter(map(get, words), np.int64, len(words))].sum(axis=0)
@@ -252,7 +260,7 @@ def judge(models: Models, sums: np.ndarray) -> tuple[list[str], np.ndarray, np.n
     n = sums[:, -1]
     if not models.langs:
         return [UNKNOWN] * len(sums), np.zeros(len(sums)), np.ones(len(sums), bool)
-    mean = sums[:, :-1] / np.maximum(n, 1)[:, None]
+    mean = sums[:, :-2] / np.maximum(n, 1)[:, None]
     best = mean.argmax(axis=1)  # ties: the first language by code point
     top = mean[np.arange(len(mean)), best]
     score = 1.0 / np.exp((mean - top[:, None]) * np.minimum(n, EVIDENCE)[:, None]).sum(axis=1)
@@ -261,7 +269,7 @@ def judge(models: Models, sums: np.ndarray) -> tuple[list[str], np.ndarray, np.n
     return (
         [UNKNOWN if e else models.langs[b] for e, b in zip(empty, best, strict=True)],
         np.where(empty, 0.0, score),
-        empty | (-top > limit),
+        empty | (-sums[:, -2] / np.maximum(n, 1) > limit),
     )
 
 
