@@ -101,8 +101,10 @@ _PLAIN_DOT = r"\s+(?:dot|punkt|punto)\s+"
 #: Endings that a disguise in plain words ("x at y dot com") must have.
 _ENDINGS = r"com|org|net|edu|gov|info|io|de|fr|es|it|nl|eu|uk|us|ca|ch|at"
 _PART = r"[A-Za-z0-9-]+"
+#: Words that are no host after a plain "at".
+_NO_HOST = r"(?!(?:the|an?|this|that|my|our|your|his|her|their|its|all|any|some|every)\s)"
 _MARKED = re.compile(rf"(?:(?<=[A-Za-z0-9_%+-])(?P<at>{_AT})(?=[A-Za-z0-9]))|(?:(?<=[A-Za-z0-9])(?P<dot>{_DOT})(?=[A-Za-z0-9]))", re.I)
-_WORDS = re.compile(rf"(?<=[A-Za-z0-9_%+-])(?P<at>{_AT}|\s+at\s+|@)(?P<host>{_PART}(?:(?:\.|{_DOT}|{_PLAIN_DOT}){_PART})*?(?:{_PLAIN_DOT})(?:{_ENDINGS}))(?![A-Za-z0-9])", re.I)
+_WORDS = re.compile(rf"(?<=[A-Za-z0-9_%+-])(?P<at>{_AT}|\s+at\s+{_NO_HOST}|@)(?P<host>{_PART}(?:(?:\.|{_DOT}|{_PLAIN_DOT}){_PART})*?(?:{_PLAIN_DOT})(?:{_ENDINGS}))(?![A-Za-z0-9])", re.I)
 _ANY_DOT = re.compile(rf"{_DOT}|{_PLAIN_DOT}", re.I)
 _MIXED_RUN = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OoIlSB][0-9OoIlSB .()\-]{5,}[0-9OoIlSB](?![A-Za-z0-9])")
 _MIXED = str.maketrans("OoIlSB", "001158")
