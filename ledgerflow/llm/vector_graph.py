@@ -163,6 +163,8 @@ def build_block(part: pd.DataFrame) -> pd.DataFrame:
     edges = _pruned(_unit(part["embedding"].tolist()), int(part["shard"].iloc[0]) + 1)
     a, k = np.nonzero(edges >= 0)
     b = edges[a, k]
+    if not len(a):
+        return pd.DataFrame({"vec_id": np.zeros(0, np.int64), "neighbours": np.zeros(0, object)})
     both = pd.DataFrame({"vec_id": ids[np.concatenate([a, b])], "neighbours": ids[np.concatenate([b, a])]}).drop_duplicates()
     return both.groupby("vec_id")["neighbours"].agg(list).reset_index()
 
@@ -340,17 +342,18 @@ def audit(vectors: DataFrame, result: DataFrame, threshold: float = COSINE, ever
     rows = full.join(good, ["vec_id", "label"])
     n_blocks = rows.groupBy("label", "dim").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     dealt = rows.join(F.broadcast(n_blocks), ["label", "dim"]).withColumn("rows", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    queries = dealt.filter(F.col("vec_id") % every == 0).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asked = dealt.filter(F.col("vec_id") % every == 0).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    queries = asked.select("label", "dim", "with", "vec_id", "embedding").toDF("q_label", "q_dim", "q_with", "vec_id", "embedding")
 
     def present(key, q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(r):
-            return pd.DataFrame({"vec_id": [], "present": []})
+            return pd.DataFrame({"vec_id": np.zeros(0, np.int64), "present": np.zeros(0, np.int64)})
         sim = _unit(q["embedding"].tolist()) @ _unit(r["embedding"].tolist()).T >= threshold
         sim &= q["vec_id"].to_numpy()[:, None] != r["vec_id"].to_numpy()[None, :]
         return pd.DataFrame({"vec_id": q["vec_id"], "present": sim.sum(axis=1)})
 
     brute = (
-        queries.groupBy("label", "dim", "with")
+        queries.groupBy("q_label", "q_dim", "q_with")
         .cogroup(dealt.groupBy("label", "dim", "rows"))
         .applyInPandas(present, "vec_id bigint, present bigint")
         .groupBy("vec_id")
