@@ -2,29 +2,26 @@
 
 Each text (white-space runs made one blank) is an entry under its 64-bit hash.
 The directory maps the leading hash bits to buckets: a bucket over capacity is
-split by one more bit, which doubles the directory where needed. The index
-holds one row per hash (map-side combined, so a text that a third of the rows
-share is one row before the shuffle) and is written in bucket order, one key
-range per owner task. Hashes that more than one row has are chains: the
-owners fetch those rows' texts and group them by their bytes.
+split by one more bit, which doubles the directory where needed. Texts meet
+under their hash and are compared by their bytes; copies are combined before
+the shuffle, so a text that a third of the rows share is one row a task. What
+shares a hash without being equal is chained. The index, one row per distinct
+text, is written in bucket order, one key range per owner task.
 
 Only DataFrame operations: no Python on the executors.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import SPACE, shuffle_width, stage, text_or_empty
+from ledgerflow.llm.common import SPACE, join_by_key, shuffle_width, stage, text_or_empty
 
 #: Keys a bucket holds before it is split.
 CAPACITY = 100_000
 #: The directory never exceeds 2 ** MAX_DEPTH slots (a few MB when broadcast).
 MAX_DEPTH = 18
-#: A group is heavy from this share of all rows on, so there are at most 1,000 heavy groups.
-HEAVY_SHARE = 1000
-HEAVY_LEAST = 200
 
 
 def normalised(col: str = "text"):
@@ -56,18 +53,33 @@ def directory(keys: DataFrame, depth: int, capacity: int, hash_bits: int = 64) -
     )
 
 
-def build_index(entries: DataFrame, capacity: int = CAPACITY, hash_bits: int = 64) -> DataFrame:
-    """The index: (bucket, local_depth, h, n, first_id), written in bucket order."""
-    spark = entries.sparkSession
-    keys = stage(entries.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")), "exact-keys")
-    depth = min(max((keys.count() // max(capacity, 1)).bit_length() + 2, 1), MAX_DEPTH, hash_bits)
-    slots = directory(keys, depth, capacity, hash_bits)  # at most 2 ** MAX_DEPTH rows
+def chains(texts: DataFrame) -> DataFrame:
+    """(h, text_sha256, keep_id, group_size) per distinct text of (doc_id, h, norm).
+
+    Texts of one hash are compared by their bytes, as the grouping key; copies
+    are combined before the shuffle, so a group of any size is one row a task.
+    """
+    return (
+        texts.groupBy("h", "norm")
+        .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+        .select("h", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size")
+    )
+
+
+def build_index(chained: DataFrame, capacity: int = CAPACITY, hash_bits: int = 64) -> DataFrame:
+    """The index: (bucket, local_depth, h, chain, text_sha256, keep_id, group_size), written in bucket order.
+
+    chain numbers the distinct texts of one hash from 1.
+    """
+    depth = min(max((chained.count() // max(capacity, 1)).bit_length() + 2, 1), MAX_DEPTH, hash_bits)
+    slots = directory(chained.select("h").distinct(), depth, capacity, hash_bits)  # at most 2 ** MAX_DEPTH rows
     index = (
-        keys.withColumn("slot", F.shiftrightunsigned("h", hash_bits - depth))
+        chained.withColumn("slot", F.shiftrightunsigned("h", hash_bits - depth))
         .join(F.broadcast(slots), "slot")
-        .select("bucket", "local_depth", "h", "n", "first_id")
-        .repartitionByRange(shuffle_width(spark), "bucket", "h")
-        .sortWithinPartitions("bucket", "h")
+        .withColumn("chain", F.row_number().over(Window.partitionBy("h").orderBy("text_sha256")))
+        .select("bucket", "local_depth", "h", "chain", "text_sha256", "keep_id", "group_size")
+        .repartitionByRange(shuffle_width(chained.sparkSession), "bucket", "h")
+        .sortWithinPartitions("bucket", "h", "chain")
     )
     return stage(index, "exact-index")
 
@@ -81,38 +93,23 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY, hash_bits: int = 64)
     doc_id is kept only when its whole group has none. An empty table gives
     an empty result. Texts of any length are compared whole.
     """
-    norm = normalised()
-    entries = stage(
-        docs.select("doc_id", norm.alias("norm")).select(
-            "doc_id", hash_key(F.col("norm"), hash_bits).alias("h"), F.sha2("norm", 256).alias("text_sha256")
-        ),
-        "exact-entries",
-    )
-    heavy_from = max(HEAVY_LEAST, entries.count() // HEAVY_SHARE)
-    chained = build_index(entries, capacity, hash_bits).filter("n > 1")
-    heavy = chained.filter(F.col("n") >= heavy_from).select("h")  # at most HEAVY_SHARE rows
-    light = chained.filter(F.col("n") < heavy_from).select("h")
-
-    texts = docs.select("doc_id", norm.alias("norm")).withColumn("h", hash_key(F.col("norm"), hash_bits))
-    same_bytes = [F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")]
-    chains = stage(
-        texts.join(F.broadcast(heavy), "h")
-        .groupBy("h", "norm")
-        .agg(*same_bytes)
-        .unionByName(texts.join(light, "h", "left_semi").groupBy("h", "norm").agg(*same_bytes))
-        .select("h", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size"),
-        "exact-chains",
-    )
-    key = ["h", "text_sha256"]
-    large = F.broadcast(chains.filter(F.col("group_size") >= heavy_from))  # at most HEAVY_SHARE rows
-    small = chains.filter(F.col("group_size") < heavy_from)
-    found = entries.join(large, key).unionByName(
-        entries.join(large.select(*key), key, "left_anti").join(small, key, "left"), allowMissingColumns=True
-    )
-    single = F.col("group_size").isNull()
-    return found.select(
-        "doc_id",
-        F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        "text_sha256",
-    ).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    texts = docs.select("doc_id", normalised().alias("norm")).withColumn("h", hash_key(F.col("norm"), hash_bits))
+    entries = stage(texts.select("doc_id", "h", F.sha2("norm", 256).alias("text_sha256")), "exact-entries")
+    index = build_index(stage(chains(texts), "exact-chains"), capacity, hash_bits)
+    found = join_by_key(entries, entries.count(), index.select("h", "text_sha256", "keep_id", "group_size"), ["h", "text_sha256"], "group_size")
+    return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+def keep_first(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: one row per group of equal texts, that of the smallest doc_id.
+
+    Of rows that repeat both doc_id and text one stays. A group without any
+    doc_id keeps one of its rows.
+    """
+    texts = docs.select("doc_id", normalised().alias("norm")).withColumn("h", hash_key(F.col("norm")))
+    index = build_index(stage(chains(texts), "exact-chains"), capacity)
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    stays = index.select(name("keep_id").alias("k"), F.col("text_sha256").alias("t"))
+    rows = docs.select(F.struct("*").alias("row"), name("doc_id").alias("k"), F.sha2(normalised(), 256).alias("t"))
+    one = F.row_number().over(Window.partitionBy("k", "t").orderBy(F.lit(0)))
+    return rows.join(stays, ["k", "t"], "left_semi").withColumn("i", one).filter("i = 1").select("row.*")
