@@ -34,6 +34,10 @@ AUDIT_TABLE_DIR = "daily_cdi_stagin_audit"
 PAYOUT_TABLE_DIR = "daily_cdi_bonus"
 BALANCE_TABLE_DIR = "account_balance_last_day_cdi"
 
+# Events outside [first, last) are quarantined: one impossible time would move
+# a data-driven cutoff and stretch every daily balance to its date.
+TIME_RANGE: tuple[dt.datetime, dt.datetime] = (dt.datetime(1970, 1, 1), dt.datetime(2100, 1, 1))
+
 # Rates are carried as decimal(9,8): exact, and wide enough for any daily rate.
 RATE_TYPE = "decimal(9,8)"
 
@@ -86,8 +90,8 @@ class Columns:
 class AccrualRule:
     """Interest rule: ``bonus = base * rate`` when ``base > min_balance``.
 
-    ``min_balance=None`` drops the threshold; ``base="total"`` applies the
-    threshold and the rate to ``total_amount`` instead of the accrual base.
+    ``min_balance=None`` drops the threshold; ``base="total"`` tests the
+    threshold on ``total_amount``; the rate always applies to the accrual base.
     """
 
     rate: str = DAILY_RATE
@@ -132,9 +136,14 @@ class TablePaths:
 
     @property
     def seen_events(self) -> str:
-        """Event-id index of the incremental fold, partitioned by (day, batch)."""
+        """Events folded so far, partitioned by batch."""
         return self._p("silver", "_seen_events")
 
+    @property
+    def fold_quarantine(self) -> str:
+        """Rows that the incremental fold rejected, partitioned by batch."""
+        return self._p("silver", "_quarantine")
+
     @property
     def audit(self) -> str:
         return self._p("gold", AUDIT_TABLE_DIR)
@@ -164,11 +173,12 @@ class LedgerConfig:
     cols: Columns = field(default_factory=Columns)
     rule: AccrualRule = field(default_factory=AccrualRule)
     transaction_types: tuple[str, ...] = TRANSACTION_TYPES
+    # Event times from the first to before the last are taken.
+    time_range: tuple[dt.datetime, dt.datetime] = TIME_RANGE
     # Eligibility cutoff; None means "derive from the data" (midnight of max - 24h).
     cutoff: dt.datetime | None = None
-    # Time buckets that split per-account ordered work: a unit ("hour"), a
-    # coarse-to-fine hierarchy, or "auto" (measure, refine only for hot keys).
-    time_bucket: str = "auto"
+    # Without a cutoff: the day of the run; the cutoff is midnight of the day before it.
+    run_date: dt.date | None = None
 
     def with_(self, **changes) -> "LedgerConfig":
         return replace(self, **changes)
@@ -179,7 +189,8 @@ def ledger_config_from_dict(d: dict) -> LedgerConfig:
 
     Keys: ``columns`` (name overrides), ``rate``, ``min_balance`` (null for no
     threshold), ``accrual_base``, ``transaction_types``, ``cutoff`` (ISO text
-    or null for data-driven), ``time_bucket``. Missing keys keep defaults.
+    or null), ``run_date`` (ISO date or null for data-driven). Missing keys keep
+    defaults.
     """
     rule = AccrualRule(
         rate=str(d.get("rate", DAILY_RATE)),
@@ -191,6 +202,7 @@ def ledger_config_from_dict(d: dict) -> LedgerConfig:
         cols=Columns(**d.get("columns", {})),
         rule=rule,
         transaction_types=tuple(d.get("transaction_types", TRANSACTION_TYPES)),
+        time_range=tuple(dt.datetime.fromisoformat(t) for t in d["time_range"]) if d.get("time_range") else TIME_RANGE,
         cutoff=None if cutoff is None else dt.datetime.fromisoformat(cutoff),
-        time_bucket=d.get("time_bucket", "auto"),
+        run_date=None if d.get("run_date") is None else dt.date.fromisoformat(d["run_date"]),
     )

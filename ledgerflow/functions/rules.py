@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerflow.config import AccrualRule, Columns
+from ledgerflow.config import TIME_RANGE, AccrualRule, Columns
 from ledgerflow.functions.money import decimal_lit, money, rate_lit, zero
+from ledgerflow.functions.timeutil import ts_lit
 
 # Quarantine reason codes, in the order they are tested (the first one that
 # applies is the row's primary reason).
@@ -17,6 +18,7 @@ REASON_ACCOUNT_NULL = "account_id_null"
 REASON_TYPE_NULL = "transaction_type_null"
 REASON_TYPE_INVALID = "transaction_type_invalid"
 REASON_TIME_NULL = "event_time_null"
+REASON_TIME_RANGE = "event_time_out_of_range"
 REASON_AMOUNT_NULL = "amount_null"
 REASON_EVENT_ID_NULL = "event_id_null"
 REASON_ORDER = (
@@ -25,13 +27,14 @@ REASON_ORDER = (
     REASON_TYPE_NULL,
     REASON_TYPE_INVALID,
     REASON_TIME_NULL,
+    REASON_TIME_RANGE,
     REASON_AMOUNT_NULL,
     REASON_EVENT_ID_NULL,
 )
 
 
 def quarantine_checks(
-    cols: Columns, transaction_types: tuple[str, ...], with_event_id: bool = False
+    cols: Columns, transaction_types: tuple[str, ...], with_event_id: bool = False, time_range=TIME_RANGE
 ) -> list[tuple[Column, str]]:
     """(predicate, reason) pairs in reason order. Every predicate is
     NULL-free (built from ``isNull`` / ``isNotNull``), so routing on them is
@@ -41,35 +44,37 @@ def quarantine_checks(
     groups by it, so NULL ids would otherwise collapse into one event).
     """
     t = F.col(cols.transaction_type)
+    at = F.col(cols.event_time)
+    in_range = (at >= ts_lit(time_range[0])) & (at < ts_lit(time_range[1]))
     return [
         (F.col(cols.user_id).isNull(), REASON_USER_NULL),
         (F.col(cols.account_id).isNull(), REASON_ACCOUNT_NULL),
         (t.isNull(), REASON_TYPE_NULL),
         (t.isNotNull() & ~t.isin(*transaction_types), REASON_TYPE_INVALID),
-        (F.col(cols.event_time).isNull(), REASON_TIME_NULL),
+        (at.isNull(), REASON_TIME_NULL),
+        (at.isNotNull() & ~in_range, REASON_TIME_RANGE),
         (F.col(cols.amount).isNull(), REASON_AMOUNT_NULL),
     ] + ([(F.col(cols.event_id).isNull(), REASON_EVENT_ID_NULL)] if with_event_id else [])
 
 
-def is_rejected(cols: Columns, transaction_types: tuple[str, ...], with_event_id: bool = False) -> Column:
+def is_rejected(cols: Columns, transaction_types: tuple[str, ...], with_event_id: bool = False, time_range=TIME_RANGE) -> Column:
     """True when any check fails (a plain boolean: cheap on the valid path)."""
-    conds = [c for c, _ in quarantine_checks(cols, transaction_types, with_event_id)]
+    conds = [c for c, _ in quarantine_checks(cols, transaction_types, with_event_id, time_range)]
     out = conds[0]
     for c in conds[1:]:
         out = out | c
     return out
 
 
-def quarantine_reasons(cols: Columns, transaction_types: tuple[str, ...], with_event_id: bool = False) -> Column:
+def quarantine_reasons(cols: Columns, transaction_types: tuple[str, ...], with_event_id: bool = False, time_range=TIME_RANGE) -> Column:
     """``array<string>`` of every failed check; empty means the row is valid."""
-    checks = quarantine_checks(cols, transaction_types, with_event_id)
+    checks = quarantine_checks(cols, transaction_types, with_event_id, time_range)
     return F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in checks]))
 
 
 def is_eligible(cols: Columns, cutoff: dt.datetime | Column) -> Column:
     """Money that arrived strictly before the cutoff is eligible."""
-    c = cutoff if isinstance(cutoff, Column) else F.lit(cutoff).cast("timestamp")
-    return F.col(cols.event_time) < c
+    return F.col(cols.event_time) < ts_lit(cutoff)
 
 
 def accrual_base(early: Column, late: Column) -> Column:

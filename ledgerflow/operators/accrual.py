@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 from ledgerflow.config import AccrualRule, Columns
 from ledgerflow.functions.rules import accrual_base, bonus, final_balance
 
-# A densified rate table holds one row per calendar day of the requested span.
-# It is broadcast only when that span is under this bound (about 270 years).
-MAX_BROADCAST_RATE_DAYS = 100_000
-
-
 @dataclass(frozen=True)
 class GoldFrames:
     audit: DataFrame
@@ -82,31 +77,30 @@ def dense_rates(rates: DataFrame, through: dt.date, since: dt.date | None = None
     w = Window.orderBy("rate_date")
     end = F.least(F.coalesce(F.date_sub(F.lead("rate_date").over(w), 1), F.lit(through)), F.lit(through))
     start = F.col("rate_date") if since is None else F.greatest(F.col("rate_date"), F.lit(since))
-    spans = rates.select(start.alias("_start"), "rate", end.alias("_end"))
+    spans = unique_rates(rates).select(start.alias("_start"), "rate", end.alias("_end"))
     return spans.filter(F.col("_start") <= F.col("_end")).select(
         F.explode(F.sequence("_start", "_end")).alias("d"), "rate"
     )
 
 
-def _dense_join_side(rates: DataFrame, since: dt.date, through: dt.date) -> DataFrame:
-    """The dense rate table clipped to ``[since, through]`` has at most
-    ``through - since + 1`` rows: broadcast it only under the bound."""
-    dense = dense_rates(rates, through, since)
-    if (through - since).days + 1 <= MAX_BROADCAST_RATE_DAYS:
-        return F.broadcast(dense)
-    return dense
+def unique_rates(rates: DataFrame) -> DataFrame:
+    """``rate_date, rate``; the job fails if a date repeats (two rates for one
+    day would pay it twice, or at random)."""
+    g = rates.groupBy("rate_date").agg(F.count(F.lit(1)).alias("_n"), F.any_value("rate").alias("rate"))
+    repeated = F.raise_error(F.concat(F.lit("rate table repeats "), F.col("rate_date").cast("string")))
+    return g.select(F.when(F.col("_n") > 1, repeated).otherwise(F.col("rate_date")).alias("rate_date"), "rate")
 
 
 def rate_asof(days: DataFrame, rates: DataFrame, since: dt.date, through: dt.date) -> DataFrame:
     """``d, rate`` for each day in ``days`` (column ``d``, within
     ``[since, through]``) that has a rate in force."""
-    return days.join(_dense_join_side(rates, since, through), "d")
+    return days.join(dense_rates(rates, through, since), "d")
 
 
 def accrual_by_rate_date(daily: DataFrame, rates: DataFrame, rule: AccrualRule = AccrualRule(), cols: Columns = Columns()) -> DataFrame:
     """``account_id, d, rate, cdi_bonus`` on days whose rate is published that
     very day (exact date match; the join strategy is left to AQE)."""
-    r = rates.select(F.col("rate_date").alias("d"), "rate")
+    r = unique_rates(rates).select(F.col("rate_date").alias("d"), "rate")
     j = daily.join(r, "d")
     base = F.least(F.col("opening"), F.col("closing"))
     return j.select(cols.account_id, "d", "rate", bonus(base, rule, F.col("rate")).alias(cols.cdi_bonus))
@@ -126,7 +120,7 @@ def daily_payout(
     calendar day; the threshold is strict. Days before the first rate are not
     paid. ``[since, through]`` must cover the days of ``daily``.
     """
-    j = daily.join(_dense_join_side(rates, since, through), "d")
+    j = daily.join(dense_rates(rates, through, since), "d")
     base = F.least(F.col("opening"), F.col("closing"))
     return j.select(cols.account_id, "d", bonus(base, rule, F.col("rate")).alias(cols.cdi_bonus))
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ledgerflow.config import Columns, LedgerConfig
 from ledgerflow.functions.money import money, zero
 from ledgerflow.functions.rules import accrual_base, is_eligible
-from ledgerflow.functions.timeutil import cutoff_from_as_of, cutoff_from_max
-from ledgerflow.operators.ordered import choose_frame_unit, running_total, trailing_min_24h
+from ledgerflow.functions.timeutil import cutoff_from_as_of, cutoff_from_max, ts_lit, ts_text
+from ledgerflow.operators.ordered import lowest_running_total, running_total, trailing_min_24h
 
 
 # --- cutoffs -----------------------------------------------------------------
@@ -29,13 +29,17 @@ def as_of_cutoffs(events: DataFrame, cols: Columns = Columns()) -> DataFrame:
 
 
 def resolve_cutoff(events: DataFrame, cfg: LedgerConfig) -> dt.datetime:
-    """The configured cutoff, or the data-driven one (one scalar to the driver)."""
+    """The configured cutoff, that of the configured run date (midnight of the
+    day before it), or the data-driven one (one scalar to the driver)."""
     if cfg.cutoff is not None:
         return cfg.cutoff
-    row = data_cutoff(events, cfg.cols).first()
+    if cfg.run_date is not None:
+        return dt.datetime.combine(cfg.run_date, dt.time()) - dt.timedelta(days=1)
+    # as text: a collected timestamp would be shifted into the driver's OS time zone
+    row = data_cutoff(events, cfg.cols).select(ts_text("cutoff").alias("cutoff")).first()
     if row is None or row["cutoff"] is None:
         raise ValueError("cannot derive a cutoff from an empty event set")
-    return row["cutoff"]
+    return dt.datetime.fromisoformat(row["cutoff"])
 
 
 # --- account aggregate (Silver) ----------------------------------------------
@@ -145,44 +149,38 @@ def accounts_at(state: DataFrame, cutoff: dt.datetime, cols: Columns = Columns()
 
 # --- wallet history -----------------------------------------------------------
 
-def wallet_history(events: DataFrame, cols: Columns = Columns(), unit: str = "hour") -> DataFrame:
+def wallet_history(events: DataFrame, cols: Columns = Columns()) -> DataFrame:
     """``account_id, event_id, event_time, amount, balance``: the running balance
     per account in (event_time, event_id) order."""
     base = events.select(cols.account_id, cols.event_id, cols.event_time, cols.amount)
-    return running_total(base, cols.account_id, cols.event_time, cols.event_id, cols.amount, "balance", unit)
+    return running_total(base, cols.account_id, cols.event_time, cols.event_id, cols.amount, "balance")
 
 
-def balance_intervals(events: DataFrame, cols: Columns = Columns(), unit: str = "hour") -> DataFrame:
+def balance_intervals(events: DataFrame, cols: Columns = Columns()) -> DataFrame:
     """``account_id, event_id, balance, valid_from, valid_to``: each balance holds
     from its event until the account's next event (NULL for the latest)."""
     base = events.select(cols.account_id, cols.event_id, cols.event_time, cols.amount)
-    h = running_total(
-        base, cols.account_id, cols.event_time, cols.event_id, cols.amount, "balance", unit, with_next_ts="valid_to"
-    )
+    h = running_total(base, cols.account_id, cols.event_time, cols.event_id, cols.amount, "balance", with_next_ts="valid_to")
     return h.select(
         cols.account_id, cols.event_id, "balance", F.col(cols.event_time).alias("valid_from"), "valid_to"
     )
 
 
-def rolling_24h_min(
-    events: DataFrame, cols: Columns = Columns(), unit: str = "hour", frame_unit: str = "auto"
-) -> DataFrame:
+def rolling_24h_min(events: DataFrame, cols: Columns = Columns()) -> DataFrame:
     """``account_id, event_id, min_balance``: the lowest running balance among the
-    account's events in the 24 hours up to and including each event.
-
-    ``unit`` splits the running balance, ``frame_unit`` the 24-hour frame
-    (``auto``: per (account, day) unless one account-day is too big, then
-    per hour or minute)."""
-    if frame_unit == "auto":
-        # rows per (account, day) are the same before and after the history
-        # step, so measure them on the events (a scan + map-side-combined count)
-        frame_unit = choose_frame_unit(events, cols.account_id, cols.event_time)
-    h = wallet_history(events, cols, unit)
-    r = trailing_min_24h(h, cols.account_id, cols.event_time, "balance", "min_balance", frame_unit, cols.event_id)
+    account's events in the 24 hours up to and including each event. One row
+    per delivered event: a repeated delivery keeps its own row."""
+    h = wallet_history(events, cols)
+    r = trailing_min_24h(h, cols.account_id, cols.event_time, "balance", "min_balance")
     return r.select(cols.account_id, cols.event_id, "min_balance")
 
 
-def stationary_balance(events: DataFrame, cutoff, cols: Columns = Columns(), unit: str = "hour") -> DataFrame:
+def lowest_balance(events: DataFrame, cols: Columns = Columns()) -> DataFrame:
+    """``account_id, min_balance``: the lowest running balance of each account."""
+    return lowest_running_total(events, cols.account_id, cols.event_time, cols.event_id, cols.amount, "min_balance")
+
+
+def stationary_balance(events: DataFrame, cutoff, cols: Columns = Columns()) -> DataFrame:
     """``account_id, stationary, parity_base``.
 
     ``stationary`` is the money that stayed put from the cutoff to the end of
@@ -193,13 +191,11 @@ def stationary_balance(events: DataFrame, cutoff, cols: Columns = Columns(), uni
     Only events after the cutoff enter the ordered (window) step; the balance
     at the cutoff comes from the same hash aggregate as Silver.
     """
-    c = cutoff if isinstance(cutoff, Column) else F.lit(cutoff).cast("timestamp")
     buckets = silver_balances(events, cutoff, cols)
-    late = events.filter(F.col(cols.event_time) >= c).select(
+    late = events.filter(F.col(cols.event_time) >= ts_lit(cutoff)).select(
         cols.account_id, cols.event_id, cols.event_time, cols.amount
     )
-    prefix = running_total(late, cols.account_id, cols.event_time, cols.event_id, cols.amount, "_prefix", unit)
-    low = prefix.groupBy(cols.account_id).agg(F.min("_prefix").alias("_min_prefix"))
+    low = lowest_running_total(late, cols.account_id, cols.event_time, cols.event_id, cols.amount, "_min_prefix")
     early = F.col(cols.amount_cdi_applicable)
     return buckets.join(low, cols.account_id, "left").select(
         cols.account_id,

@@ -19,7 +19,7 @@ def check(df: DataFrame, expected: T.StructType, key: list[str]) -> list[Violati
     """Compare ``df`` with a contract; empty list means it holds.
 
     Types must match exactly (money stays decimal(18,2)); key columns must be
-    non-null and unique. Null and duplicate checks run as one aggregate over
+    non-null and unique, other columns non-null where the contract says so. Null and duplicate checks run as one aggregate over
     the key (partial counts map-side), never by collecting rows.
     """
     out: list[Violation] = []
@@ -34,6 +34,10 @@ def check(df: DataFrame, expected: T.StructType, key: list[str]) -> list[Violati
             out.append(Violation("extra_column", name))
     if any(v.kind == "missing_column" and v.detail in key for v in out):
         return out
+    required = [f.name for f in expected.fields if not f.nullable and f.name in actual and f.name not in key]
+    if required:
+        nulls = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in required]).first()
+        out += [Violation("null_value", f"{c}: {nulls[c]} nulls") for c in required if nulls[c]]
     null_key = F.lit(False)
     for k in key:
         null_key = null_key | F.col(k).isNull()
@@ -47,3 +51,9 @@ def check(df: DataFrame, expected: T.StructType, key: list[str]) -> list[Violati
     if stats["null_keys"]:
         out.append(Violation("null_key", f"{stats['null_keys']} null keys"))
     return out
+
+
+def require(df: DataFrame, expected: T.StructType, key: list[str], what: str) -> None:
+    """Raise if ``df`` breaks its contract: the gate before a table is published."""
+    if broken := check(df, expected, key):
+        raise ValueError(f"{what} breaks its contract: " + "; ".join(f"{v.kind} {v.detail}" for v in broken))

@@ -2,20 +2,49 @@
 
 A plain ``Window.partitionBy(account)`` puts every event of an account into
 one task. If one account holds a third of all rows, that task holds a third
-of the data. Everything here splits the ordered work by *(key, time bucket)*
-instead, then stitches buckets together with a second, tiny window over
-per-bucket totals (its size grows with the time span, not with the rows).
+of the data. Everything here splits the ordered work by a fixed hierarchy of
+buckets instead, the same at every data size:
+
+    hour  >  (second, range of 65,536 tie-break values)
+
+and stitches the buckets together with windows over per-bucket totals. Ids
+being unique, the finest bucket holds at most 65,536 different events, even
+where an account has most rows at one identical time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.functions.money import money
 
-BUCKET = "_bucket"
 DAY_MICROS = 24 * 3600 * 1_000_000
+MINUTE_MICROS = 60 * 1_000_000
+#: A finest bucket spans 2 ** TIE_BITS values of an integral tie-break column.
+TIE_BITS = 16
+#: ... or the values of a text one that start with the same so many characters.
+TIE_PREFIX = 8
+
+_HOUR, _FINE = "_b0", ["_b1", "_b2"]
+
+
+def _bucketed(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:
+    """Rows with a key and a time, with their buckets, dealt by (key, finest bucket).
+
+    The explicit exchange serves the in-bucket window and the bucket totals
+    alike, so the input is computed and shuffled once.
+    """
+    x = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    integral = isinstance(df.schema[tiebreak].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    tie = F.shiftright(F.col(tiebreak).cast("long"), TIE_BITS) if integral else F.substring(F.col(tiebreak).cast("string"), 1, TIE_PREFIX)
+    x = x.withColumn(_HOUR, F.date_trunc("hour", F.col(ts))).withColumn("_b1", F.date_trunc("second", F.col(ts))).withColumn("_b2", tie)
+    return x.repartition(F.col(key), F.col(_HOUR), *map(F.col, _FINE))
+
+
+def _before(w, c: str):
+    return F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def running_total(
@@ -25,191 +54,96 @@ def running_total(
     tiebreak: str,
     value: str,
     out: str,
-    unit: str | tuple[str, ...] = "hour",
     with_next_ts: str | None = None,
 ) -> DataFrame:
     """``out`` = sum of ``value`` over rows of the same ``key`` ordered by
     (``ts``, ``tiebreak``) up to and including the current row.
 
     Optionally ``with_next_ts`` = ``ts`` of the next row of the same key
-    (``lead``), also computed bucket-wise. Rows with a NULL key or ``ts`` are
-    dropped.
-
-    ``unit`` is one time unit or a coarse-to-fine hierarchy such as
-    ``("hour", "second")``; ``"auto"`` measures the data and picks one (see
-    ``choose_units``). With levels b0..bn, each row's balance is its running
-    sum inside its finest bucket plus, for every level, the sum of the earlier
-    buckets inside the same parent bucket. So every window is bounded: buckets
-    per key at the top level (the time span), buckets per parent below it, and
-    rows per finest bucket.
-
-    Plan: one shuffle of the rows by (key, finest bucket) for the in-bucket
-    window; one map-side-combined aggregate to the finest buckets, rolled up
-    per level; a small window per level; joins on bucket keys that AQE
-    broadcasts when the bucket tables are small.
+    (``lead``). Rows with a NULL key or ``ts`` are dropped; repeated rows stay.
+
+    Plan: one shuffle of the rows by (key, finest bucket), used by the
+    in-bucket window and by the bucket totals; the totals are offset within
+    their hour and the hours within their key; one join brings each finest
+    bucket's offset back to its rows.
     """
-    if unit == "auto":
-        unit = choose_units(df, key, ts)
-    units = (unit,) if isinstance(unit, str) else tuple(unit)
-    levels = [f"_b{i}" for i in range(len(units))]
-    # A row without key or time has no place in any history. Stating it here
-    # (rather than leaving it to the joins below) also keeps every branch's
-    # inferred filters identical, so AQE can reuse the shared aggregate.
-    x = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    for name, u in zip(levels, units):
-        # non-nullable by construction (ts is non-null here), so no branch
-        # gets its own inferred IS NOT NULL filter
-        x = x.withColumn(name, F.coalesce(F.date_trunc(u, F.col(ts)), F.lit(0).cast("timestamp")))
-    finest = levels[-1]
-
-    wb = Window.partitionBy(key, finest).orderBy(F.col(ts), F.col(tiebreak))
-    result = x.withColumn("_run", F.sum(value).over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+    x = _bucketed(df, key, ts, tiebreak)
+    grp = [key, _HOUR, *_FINE]
+    wb = Window.partitionBy(*grp).orderBy(F.col(ts), F.col(tiebreak))
+    rows = x.withColumn("_run", F.sum(value).over(wb.rowsBetween(Window.unboundedPreceding, 0)))
     if with_next_ts:
-        result = result.withColumn("_lead", F.lead(ts).over(wb))
-
-    # Bucket totals: a hash aggregate straight over the input (partial sums
-    # combined map-side, three pruned columns read), rolled up level by level.
-    # Deriving them from the windowed rows would shuffle every row again.
-    per_finest = x.groupBy(key, *levels).agg(F.sum(value).alias("_s"), F.min(ts).alias("_st"))
-    total = F.col("_run")
-    nexts = [F.col("_lead")] if with_next_ts else []
-    for i, name in enumerate(levels):
-        parent = [key, *levels[:i]]
-        grp = [*parent, name]
-        per = per_finest if i == len(levels) - 1 else per_finest.groupBy(*grp).agg(
-            F.sum("_s").alias("_s"), F.min("_st").alias("_st")
-        )
-        wk = Window.partitionBy(*parent).orderBy(name)
-        offsets = per.select(
-            *grp,
-            F.coalesce(F.sum("_s").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_off{i}"),
-            F.lead("_st").over(wk).alias(f"_nx{i}"),
-        )
-        result = result.join(offsets, grp)
-        total = total + F.col(f"_off{i}")
-    if with_next_ts:
-        nexts += [F.col(f"_nx{i}") for i in reversed(range(len(levels)))]
-    result = result.withColumn(out, money(total))
-    if with_next_ts:
-        result = result.withColumn(with_next_ts, F.coalesce(*nexts))
-    helper = [*levels, "_run", "_lead"] + [f"_off{i}" for i in range(len(levels))] + [f"_nx{i}" for i in range(len(levels))]
-    return result.drop(*helper)
-
-
-def choose_units(df: DataFrame, key: str, ts: str, max_rows: int = 2_000_000) -> tuple[str, ...]:
-    """Bucket hierarchy for ``running_total``: hours, refined to minutes and
-    then seconds only while some (key, bucket) still holds more than
-    ``max_rows`` rows. Each probe is one aggregate combined map-side; its
-    scalar result is all that reaches the driver."""
-    chosen: list[str] = []
-    for u in ("hour", "minute", "second"):
-        chosen.append(u)
-        biggest = (
-            df.groupBy(key, F.date_trunc(u, F.col(ts)).alias("_b"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.max("_n").alias("m"))
-            .first()["m"]
-        )
-        if biggest is None or biggest <= max_rows:
-            break
-    return tuple(chosen)
-
-
-_UNIT_MICROS = {"hour": 3600 * 1_000_000, "minute": 60 * 1_000_000}
-
-
-def trailing_min_24h(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    value: str,
-    out: str,
-    unit: str = "day",
-    ident: str | None = None,
-) -> DataFrame:
+        rows = rows.withColumn("_lead", F.lead(ts).over(wb))
+    fine = x.groupBy(*grp).agg(F.sum(value).alias("_s"), F.min(ts).alias("_st"))
+    w1 = Window.partitionBy(key, _HOUR).orderBy(*_FINE)
+    fine = fine.withColumn("_o1", _before(w1, "_s")).withColumn("_n1", F.lead("_st").over(w1))
+    hours = fine.groupBy(key, _HOUR).agg(F.sum("_s").alias("_hs"), F.min("_st").alias("_hst"))
+    w0 = Window.partitionBy(key).orderBy(_HOUR)
+    hours = hours.select(key, _HOUR, _before(w0, "_hs").alias("_o0"), F.lead("_hst").over(w0).alias("_n0"))
+    offsets = fine.join(hours, [key, _HOUR]).select(*grp, (F.col("_o0") + F.col("_o1")).alias("_off"), F.coalesce("_n1", "_n0").alias("_nx"))
+    # every column but the tie range is non-null
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) if c == "_b2" else F.col(f"r.{c}") == F.col(f"o.{c}") for c in grp]
+    joined = rows.alias("r").join(offsets.alias("o"), same)
+    keep = [F.col(f"r.{c}").alias(c) for c in df.columns]
+    extra = [F.coalesce("_lead", "_nx").alias(with_next_ts)] if with_next_ts else []
+    return joined.select(*keep, money(F.col("_run") + F.col("_off")).alias(out), *extra)
+
+
+def lowest_running_total(df: DataFrame, key: str, ts: str, tiebreak: str, value: str, out: str) -> DataFrame:
+    """``key, out``: the lowest value that ``running_total`` takes per key.
+
+    Buckets are reduced to (sum, lowest prefix) and combined level by level;
+    nothing is joined back to the rows.
+    """
+    x = _bucketed(df, key, ts, tiebreak)
+    grp = [key, _HOUR, *_FINE]
+    wb = Window.partitionBy(*grp).orderBy(F.col(ts), F.col(tiebreak))
+    level = x.withColumn("_low", F.sum(value).over(wb.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*grp).agg(
+        F.sum(value).alias("_s"), F.min("_low").alias("_low")
+    )
+    for parent, order in (([key, _HOUR], _FINE), ([key], [_HOUR])):
+        w = Window.partitionBy(*parent).orderBy(*order)
+        level = level.withColumn("_low", _before(w, "_s") + F.col("_low")).groupBy(*parent).agg(F.sum("_s").alias("_s"), F.min("_low").alias("_low"))
+    return level.select(key, money(F.col("_low")).alias(out))
+
+
+def trailing_min_24h(df: DataFrame, key: str, ts: str, value: str, out: str) -> DataFrame:
     """``out`` = min of ``value`` over rows of the same key with ``ts`` in
     ``[current ts - 24h, current ts]`` (a RANGE frame: rows with the same
     ``ts`` are peers and all included).
 
-    ``unit="day"``: each row is placed in its own (key, day) partition and
-    copied once into the next day's partition as context; one shuffle of two
-    rows per input row, a task holds at most two days of one key.
-
-    ``unit="hour"`` / ``"minute"`` (needs ``ident``, unique per key and time):
-    the 24-hour frame is cut at bucket edges into (a) the current bucket up to
-    the row, (b) the whole buckets in between and (c) the tail of the bucket
-    where the frame starts. Each row also emits a probe row at ``ts - 24h``
-    into that bucket; one window per (key, bucket) gives rows their running
-    minimum (a) and probes the suffix minimum from their start (c). Part (b)
-    is a window over a small per-(key, bucket) minimum table. The parts are
-    combined by grouping on the row identity, which spreads a hot key evenly.
-    A task then holds one bucket of one key.
-
-    ``unit="auto"`` keeps ``day`` unless some (key, day) holds more than
-    ``choose_frame_unit``'s row limit. The bucketed form reads its input twice
-    (rows and bucket minima), so an expensive input is best materialized first.
+    Peers share their frame, so the rows are first reduced to one per (key,
+    time), map-side combined: rows at one identical time, repeated
+    deliveries among them, are one row here and all come back in the join at
+    the end. The frame is cut at minute edges into (a) the current minute up
+    to the row, (b) the whole minutes in between and (c) the tail of the
+    minute where the frame starts. Each time also emits a probe at
+    ``ts - 24h`` into that minute; one window per (key, minute) gives times
+    their running minimum (a) and probes the suffix minimum (c). Part (b) is a
+    window over a per-(key, minute) minimum table. No task holds more than the
+    different times of one key's minute, and no size decides the form.
     """
-    if unit == "auto":
-        unit = choose_frame_unit(df, key, ts) if ident else "day"
-    if unit == "day":
-        d = F.to_date(F.col(ts))
-        x = df.withColumn("_part", F.explode(F.array(d, F.date_add(d, 1)))).withColumn("_halo", F.col("_part") != d)
-        w = Window.partitionBy(key, "_part").orderBy(F.unix_micros(F.col(ts))).rangeBetween(-DAY_MICROS, 0)
-        return x.withColumn(out, F.min(value).over(w)).filter(~F.col("_halo")).drop("_part", "_halo")
-    if ident is None:
-        raise ValueError("bucketed trailing minimum needs a row identity column")
-    size = _UNIT_MICROS[unit]
-    per_frame = DAY_MICROS // size  # buckets per 24 hours
-    carried = [c for c in df.columns if c not in (key, ident)]
-    us = F.unix_micros(F.col(ts))
-    base = df.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / size))
-    row = F.struct(
-        F.lit(1).alias("_kind"),
-        F.col("_us").alias("_t"),
-        F.col("_b").alias("_part"),
-        *[F.col(c).alias(f"_c_{c}") for c in carried],
-    )
-    probe = F.struct(
-        F.lit(0).alias("_kind"),
-        (F.col("_us") - DAY_MICROS).alias("_t"),
-        (F.col("_b") - per_frame).alias("_part"),
-        *[F.lit(None).cast(df.schema[c].dataType).alias(f"_c_{c}") for c in carried],
-    )
-    x = base.select(key, ident, "_us", "_b", F.col(value).alias("_v"), F.explode(F.array(row, probe)).alias("_r")).select(
-        key, ident, "_us", "_b", "_v", "_r.*"
+    per_frame = DAY_MICROS // MINUTE_MICROS
+    times = (
+        df.groupBy(key, F.unix_micros(F.col(ts)).alias("_us"))
+        .agg(F.min(value).alias("_v"))
+        .withColumn("_b", F.floor(F.col("_us") / MINUTE_MICROS))
     )
+    row = F.struct(F.lit(1).alias("_kind"), F.col("_us").alias("_t"), F.col("_b").alias("_part"))
+    probe = F.struct(F.lit(0).alias("_kind"), (F.col("_us") - DAY_MICROS).alias("_t"), (F.col("_b") - per_frame).alias("_part"))
+    x = times.select(key, "_us", "_b", "_v", F.explode(F.array(row, probe)).alias("_r")).select(key, "_us", "_b", "_v", "_r.*")
     real = F.when(F.col("_kind") == 1, F.col("_v"))
     wp = Window.partitionBy(key, "_part").orderBy("_t")
-    x = x.withColumn("_upto", F.min(real).over(wp.rangeBetween(Window.unboundedPreceding, 0))).withColumn(
-        "_from", F.min(real).over(wp.rangeBetween(0, Window.unboundedFollowing))
-    )
+    upto = F.min(real).over(wp.rangeBetween(Window.unboundedPreceding, 0))
+    since = F.min(real).over(wp.rangeBetween(0, Window.unboundedFollowing))
+    x = x.withColumn("_upto", upto).withColumn("_from", since)
     part = F.when(F.col("_kind") == 1, F.col("_upto")).otherwise(F.col("_from"))
-
-    # (b): minimum of every whole bucket strictly between the frame's two ends
-    bucket_min = base.groupBy(key, "_b").agg(F.min(value).alias("_bmin"))
+    minutes = times.groupBy(key, "_b").agg(F.min("_v").alias("_bmin"))
     wb = Window.partitionBy(key).orderBy("_b").rangeBetween(-(per_frame - 1), -1)
-    between = bucket_min.select(key, "_b", F.min("_bmin").over(wb).alias("_mid"))
-
-    pieces = x.select(key, ident, "_us", "_b", part.alias("_p"), *[f"_c_{c}" for c in carried]).join(
-        between, [key, "_b"], "left"
-    )
-    combined = pieces.groupBy(key, ident, "_us").agg(
-        F.min(F.least(F.col("_p"), F.col("_mid"))).alias(out),
-        *[F.max(f"_c_{c}").alias(c) for c in carried],
+    between = minutes.select(key, "_b", F.min("_bmin").over(wb).alias("_mid"))
+    lows = (
+        x.select(key, "_us", "_b", part.alias("_p"))
+        .join(between, [key, "_b"], "left")
+        .groupBy(key, "_us")
+        .agg(F.min(F.least("_p", "_mid")).alias(out))
     )
-    return combined.select(*df.columns, out)
-
-
-def choose_frame_unit(df: DataFrame, key: str, ts: str, max_rows: int = 2_000_000) -> str:
-    """``day`` while every (key, day) holds at most ``max_rows`` rows, else
-    ``hour``, else ``minute`` (one map-side-combined aggregate per probe)."""
-    for u in ("day", "hour"):
-        biggest = (
-            df.groupBy(key, F.date_trunc(u, F.col(ts)).alias("_b"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.max("_n").alias("m"))
-            .first()["m"]
-        )
-        if biggest is None or biggest <= max_rows:
-            return u
-    return "minute"
+    return df.withColumn("_us", F.unix_micros(F.col(ts))).join(lows, [key, "_us"]).select(*df.columns, out)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.config import Columns, TRANSACTION_TYPES
 from ledgerflow.functions.rules import is_rejected, quarantine_reasons
+from ledgerflow.functions.timeutil import ts_lit
 
 REASONS = "reasons"
 REASON = "reason"
@@ -61,9 +62,9 @@ def routing_counts(df: DataFrame, cols: Columns = Columns(), transaction_types=T
 def dedup_latest(df: DataFrame, key: str = "event_id", order: tuple[str, ...] = ("event_time", "amount")) -> DataFrame:
     """Keep one row per ``key``: the greatest by ``order`` (latest correction).
 
-    A hash aggregate with ``max_by``: partial aggregation collapses duplicates
-    map-side, so a key with a huge number of copies never reaches one task
-    whole. Ties on the full ``order`` tuple keep the greatest remaining row.
+    ``max_by`` over structs, planned as sort aggregates: each side of the one
+    shuffle sorts by the key, and copies collapse map-side, so a key with a
+    huge number of copies never reaches one task whole. Ties on the full ``order`` tuple keep the greatest remaining row.
     """
     rest = [c for c in df.columns if c != key]
     ordering = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])
@@ -93,8 +94,8 @@ def dq_metrics(
         "null_amount": F.col(cols.amount).isNull(),
         "null_ids": F.col(cols.user_id).isNull() | F.col(cols.account_id).isNull(),
         "null_event_id": F.col(cols.event_id).isNull() if _has_id(raw, cols) else F.lit(False),
-        "future_ts": ts > F.lit(as_of).cast("timestamp"),
-        "pre_epoch_ts": ts < F.lit(dt.datetime(1970, 1, 1)).cast("timestamp"),
+        "future_ts": ts > ts_lit(as_of),
+        "pre_epoch_ts": ts < ts_lit(dt.datetime(1970, 1, 1)),
         "negative_amount": F.col(cols.amount) < 0,
     }
     aggs = []
@@ -111,16 +112,19 @@ def dq_metrics(
 
 def volume_drop(raw: DataFrame, fraction: float = 0.5, ts_col: str = "event_time", lookback_days: int = 7) -> DataFrame:
     """Days whose row count is below ``fraction`` x the mean of the previous
-    ``lookback_days`` calendar days that had rows: ``d, n, mean_prev``.
+    ``lookback_days`` calendar days: ``d, n, mean_prev_7``.
 
-    Rows are pre-aggregated to one per day before the (global) window, so the
-    window input is bounded by the number of days, not by the data.
+    Every calendar day between the first and the last one counts, a day
+    without rows with 0, so an outage is reported. Days before the first one
+    are not part of a mean. Rows are pre-aggregated to one per day before the
+    (global) window, so its input is bounded by the number of days.
     """
-    daily = raw.groupBy(F.to_date(ts_col).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    daily = raw.groupBy(F.to_date(ts_col).alias("d")).agg(F.count(F.lit(1)).alias("n")).filter("d is not null")
+    calendar = daily.agg(F.sequence(F.min("d"), F.max("d")).alias("days")).select(F.explode("days").alias("d"))
+    full = calendar.join(daily, "d", "left").select("d", F.coalesce("n", F.lit(0)).alias("n"))
     w = Window.orderBy(F.unix_date("d")).rangeBetween(-lookback_days, -1)
-    mean_prev = F.avg("n").over(w)
     return (
-        daily.withColumn("_mean", mean_prev)
+        full.withColumn("_mean", F.avg("n").over(w))
         .filter(F.col("n") < F.lit(fraction) * F.col("_mean"))
         .select("d", "n", F.col("_mean").cast("decimal(18,4)").alias("mean_prev_7"))
     )

@@ -9,23 +9,19 @@ same values whatever their time zone.
 from __future__ import annotations
 
 import datetime as dt
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.config import AccrualRule, Columns, LedgerConfig
-from ledgerflow.functions.timeutil import wall_clock
+from ledgerflow.functions.timeutil import ts_lit, wall_clock
 from ledgerflow.operators import accrual, balances, merge, quality
 from ledgerflow.session import scratch_path
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.sources import tables
 
 COLS = Columns()
-# Hour buckets are pinned for the fixture: its largest account-hour holds a
-# handful of rows, so the "auto" probe would cost a job and pick "hour" anyway.
-CFG = LedgerConfig(cutoff=fx.FIXTURE_CUTOFF, time_bucket="hour")
 CUTOFF = fx.FIXTURE_CUTOFF
 BUSINESS_DATE = fx.FIXTURE_CUTOFF.date()
 RUN_ID = "fixture-run"
@@ -39,35 +35,29 @@ def tx(spark: SparkSession, sf: str) -> DataFrame:
     return fx.wallet_events(spark, sf)
 
 
-@functools.lru_cache(maxsize=64)
 def valid(spark: SparkSession, sf: str) -> DataFrame:
     return quality.valid_events(tx(spark, sf))
 
 
-@functools.lru_cache(maxsize=64)
 def prior(spark: SparkSession, sf: str) -> DataFrame:
     """Valid events already processed by the previous run (before the last day)."""
-    return valid(spark, sf).filter(F.col("event_time") < F.lit(fx.LAST_BATCH_START).cast("timestamp"))
+    return valid(spark, sf).filter(F.col("event_time") < ts_lit(fx.LAST_BATCH_START))
 
 
-@functools.lru_cache(maxsize=64)
 def last_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Valid events of the latest micro-batch (the last day)."""
-    return valid(spark, sf).filter(F.col("event_time") >= F.lit(fx.LAST_BATCH_START).cast("timestamp"))
+    return valid(spark, sf).filter(F.col("event_time") >= ts_lit(fx.LAST_BATCH_START))
 
 
-@functools.lru_cache(maxsize=64)
 def silver(spark: SparkSession, sf: str) -> DataFrame:
     return balances.silver_balances(valid(spark, sf), CUTOFF)
 
 
-@functools.lru_cache(maxsize=64)
 def stored(spark: SparkSession, sf: str) -> DataFrame:
     """Silver as stored by the previous run, with a column the source lacks."""
     return balances.silver_balances(prior(spark, sf), CUTOFF).withColumn("tag", F.lit("stored"))
 
 
-@functools.lru_cache(maxsize=64)
 def incoming(spark: SparkSession, sf: str) -> DataFrame:
     return balances.silver_balances(last_batch(spark, sf), CUTOFF)
 
@@ -100,8 +90,8 @@ def q_schema_evolution_union(spark, sf):
     column; read back with schema merge (older rows get NULL)."""
     path = scratch_path(spark, "schema-evolution")
     v = valid(spark, sf)
-    early = v.filter(F.col("event_time") < F.lit(CUTOFF).cast("timestamp"))
-    late = v.filter(F.col("event_time") >= F.lit(CUTOFF).cast("timestamp")).withColumn(
+    early = v.filter(F.col("event_time") < ts_lit(CUTOFF))
+    late = v.filter(F.col("event_time") >= ts_lit(CUTOFF)).withColumn(
         "channel", F.lower(F.col("transaction_type"))
     )
     tables.append(early, path)
@@ -168,20 +158,20 @@ def q_cutoff_from_as_of(spark, sf):
 
 
 def q_wallet_history(spark, sf):
-    return _events_out(balances.wallet_history(valid(spark, sf), unit=CFG.time_bucket))
+    return _events_out(balances.wallet_history(valid(spark, sf)))
 
 
 def q_balance_intervals(spark, sf):
-    b = balances.balance_intervals(valid(spark, sf), unit=CFG.time_bucket)
+    b = balances.balance_intervals(valid(spark, sf))
     return b.withColumn("valid_from", wall_clock("valid_from")).withColumn("valid_to", wall_clock("valid_to"))
 
 
 def q_rolling_24h_min(spark, sf):
-    return balances.rolling_24h_min(valid(spark, sf), unit=CFG.time_bucket)
+    return balances.rolling_24h_min(valid(spark, sf))
 
 
 def q_stationary_balance(spark, sf):
-    return balances.stationary_balance(valid(spark, sf), CUTOFF, unit=CFG.time_bucket)
+    return balances.stationary_balance(valid(spark, sf), CUTOFF)
 
 
 def q_daily_balance(spark, sf):
@@ -305,8 +295,7 @@ def q_dq_duplicate_keys(spark, sf):
 
 
 def q_dq_negative_balance(spark, sf):
-    h = balances.wallet_history(valid(spark, sf), unit=CFG.time_bucket)
-    return h.groupBy("account_id").agg(F.min("balance").alias("min_balance")).filter(F.col("min_balance") < 0)
+    return balances.lowest_balance(valid(spark, sf)).filter(F.col("min_balance") < 0)
 
 
 def q_dq_gold_checks(spark, sf):
@@ -331,7 +320,7 @@ def q_gold_audit_orders(spark, sf):
 
 
 def q_wallet_history_orders(spark, sf):
-    return _events_out(balances.wallet_history(_orders_valid(spark, sf), unit="day"))
+    return _events_out(balances.wallet_history(_orders_valid(spark, sf)))
 
 
 QUERIES: dict[str, Query] = {

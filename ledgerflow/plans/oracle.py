@@ -357,7 +357,9 @@ def build() -> dict[str, str]:
         BASE,
         "select d, n, cast(m as DECIMAL(18,4)) as mean_prev_7 from ("
         "select d, n, avg(n) over (order by datediff('day', DATE '1970-01-01', d) range between 7 preceding and 1 preceding) as m "
-        "from (select cast(event_time as date) as d, count(*) as n from tx group by 1)) where n < 1.0 * m",
+        "from (select c.d, count(t.event_id) as n from (select cast(unnest(generate_series((select min(cast(event_time as date)) from tx), "
+        "(select max(cast(event_time as date)) from tx), interval 1 day)) as date) as d) c "
+        "left join tx t on cast(t.event_time as date) = c.d group by 1)) where n < 1.0 * m",
     )
     ov = [("tx", WORDERS), ("routed", ROUTED), ("valid", VALID)]
     q["gold_audit_orders"] = sql(

@@ -4,12 +4,14 @@ Idempotence rules (what a rerun or a replay does):
 
 * Bronze appends, so the same file landed twice gives duplicate rows; Silver
   deduplicates on ``event_id`` before aggregating, so balances do not change.
-* Silver full recompute writes a new snapshot version from all of Bronze
-  (replace, never add). The incremental fold builds version N from the latest
-  complete version below N, so replaying micro-batch N is a no-op.
+* Silver has one line of versions. A full recompute adds a version made from
+  all of Bronze; a fold adds one made from the latest version plus a
+  micro-batch. Each records the last batch it contains: a fold whose batch
+  does not follow is refused, a replayed batch rebuilds its own version.
 * Gold writes the audit partition (business_date, run_id) with dynamic
   partition overwrite, publishes only payouts whose (account, business_date)
-  is not yet published, and upserts balances into a new snapshot version.
+  is not yet published, and upserts balances, derived from the payout that was
+  published, into a new snapshot version; a balance never goes back in time.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.config import LedgerConfig, TablePaths
-from ledgerflow.operators import accrual, balances, merge, quality
+from ledgerflow import schema
+from ledgerflow.config import MONEY_TYPE, Columns, LedgerConfig, TablePaths
+from ledgerflow.operators import accrual, balances, contracts, merge, quality
 from ledgerflow.sources import events as ev
 from ledgerflow.sources import tables
 
@@ -40,7 +43,7 @@ class PipelineSpec:
     dedup: bool = True
     # incremental Silver: "account" (fixed cutoff) or "day" (any midnight cutoff)
     grain: str = "account"
-    cross_batch_dedup: bool = False
+    cross_batch_dedup: bool = True
     source_format: str = "parquet"  # parquet | csv | json
 
     @property
@@ -54,7 +57,7 @@ class PipelineSpec:
     @classmethod
     def from_json(cls, text: str) -> "PipelineSpec":
         """``{"root": ..., "source": ..., "dedup": true, "grain": "account",
-        "cross_batch_dedup": false, "ledger": {...}}``; ``ledger`` as in
+        "cross_batch_dedup": true, "ledger": {...}}``; ``ledger`` as in
         ``config.ledger_config_from_dict``."""
         import json
 
@@ -67,7 +70,7 @@ class PipelineSpec:
             cfg=ledger_config_from_dict(d.get("ledger", {})),
             dedup=bool(d.get("dedup", True)),
             grain=d.get("grain", "account"),
-            cross_batch_dedup=bool(d.get("cross_batch_dedup", False)),
+            cross_batch_dedup=bool(d.get("cross_batch_dedup", True)),
             source_format=d.get("source_format", "parquet"),
         )
 
@@ -77,9 +80,9 @@ class PipelineSpec:
 def run_bronze(spark: SparkSession, spec: PipelineSpec) -> dict[str, int]:
     """Read raw events once and append them to the valid / quarantine tables;
     returns the row counts observed during the write."""
-    raw = ev.normalize(read_raw(spark, spec), spec.cfg.cols)
+    raw = ev.normalize(tables.with_raw(read_raw(spark, spec)), spec.cfg.cols)
     counts = tables.write_routed(
-        raw, spec.paths.routed, cols=spec.cfg.cols, transaction_types=spec.cfg.transaction_types
+        raw, spec.paths.routed, cols=spec.cfg.cols, transaction_types=spec.cfg.transaction_types, time_range=spec.cfg.time_range
     )
     if counts["rows"] != counts["valid"] + counts["quarantine"]:
         raise RuntimeError(f"routing lost rows: {counts}")
@@ -101,24 +104,43 @@ def read_raw(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     raise ValueError(f"unsupported source format {fmt!r}")
 
 
+def bronze_valid(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
+    """Valid Bronze rows as delivered: the event columns that the source has."""
+    df = spark.read.parquet(spec.paths.bronze)
+    return df.select(*[c for c in spec.cfg.cols.event_columns if c in df.columns])
+
+
+def _deduplicated(df: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """The latest version of each event; events without an id column stay as they are."""
+    cols = spec.cfg.cols
+    if spec.dedup and cols.event_id in df.columns:
+        return quality.dedup_latest(df, cols.event_id, (cols.event_time, cols.amount))
+    return df
+
+
 def bronze_events(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     """Valid Bronze rows, deduplicated on the event key (latest correction wins)."""
-    df = spark.read.parquet(spec.paths.bronze).select(*spec.cfg.cols.event_columns)
-    if spec.dedup:
-        df = quality.dedup_latest(df, spec.cfg.cols.event_id, (spec.cfg.cols.event_time, spec.cfg.cols.amount))
-    return df
+    return _deduplicated(bronze_valid(spark, spec), spec)
 
 
 # --- Silver ------------------------------------------------------------------------
 
 def run_silver(spark: SparkSession, spec: PipelineSpec) -> int:
-    """Full recompute from Bronze into a new Silver snapshot; returns its version."""
+    """Full recompute from Bronze into a new Silver snapshot; returns its version.
+
+    The data-driven cutoff comes from the latest delivered time, which needs
+    no deduplication. The version keeps the number of the last batch folded
+    before it, so the stream goes on from there.
+    """
+    cutoff = balances.resolve_cutoff(bronze_valid(spark, spec), spec.cfg)
     events = bronze_events(spark, spec)
-    cutoff = balances.resolve_cutoff(events, spec.cfg)
-    silver = balances.silver_balances(events, cutoff, spec.cfg.cols)
+    silver = balances.day_state(events, spec.cfg.cols) if spec.grain == "day" else balances.silver_balances(events, cutoff, spec.cfg.cols)
     store = tables.SnapshotTable(spec.paths.silver)
-    version = store.next_version(spark)
-    store.write(silver, version)
+    latest = store.latest(spark)
+    version = 0 if latest is None else latest + 1
+    last_batch = None if latest is None else store.meta(spark, latest).get("last_batch")
+    store.write(silver, version, kind="recompute", grain=spec.grain, cutoff=cutoff.isoformat(), last_batch=last_batch)
+    store.drop_below(spark, version)
     log.info("silver: version %d (cutoff %s)", version, cutoff)
     return version
 
@@ -132,35 +154,40 @@ def fold_batch(
     grain: str | None = None,
     cross_batch_dedup: bool | None = None,
 ) -> int:
-    """Fold one micro-batch of events into Silver as version ``batch_id + 1``.
+    """Fold one micro-batch of events into Silver as a new version; returns it.
 
-    The base is the latest complete version *below* that, so a replayed batch
-    rebuilds the same snapshot instead of adding its money twice.
+    The batch must follow the last one that the latest version contains. A
+    batch that a version was already made of is replayed: that version is
+    rebuilt from the one below it, so nothing is added twice. Any other batch
+    is refused, among them the first batch of a stream that starts over a
+    table recomputed from the same Bronze rows.
 
     ``grain="account"`` stores the four Silver columns for a fixed ``cutoff``;
     only the accounts in the batch are re-aggregated, the rest carried over.
     ``grain="day"`` stores net flow per (account, day): late events fold into
     their own day and ``silver_view`` reads out any midnight cutoff later.
 
-    Duplicates are removed within the batch (latest correction wins). With
-    ``cross_batch_dedup`` an event id already folded by an earlier batch is
-    skipped too (first delivery wins): ids are indexed by (event day, batch
-    id), a batch reads only the index partitions of its own event days and of
-    earlier batch ids, and writes its ids with dynamic partition overwrite,
-    so a replayed batch sees exactly what its first attempt saw. Without it, a
-    later redelivery is removed by the full recompute (``run_silver``
-    deduplicates over all of Bronze); ``dedup_stream`` drops events later than
-    its watermark, so it only suits sources whose late events carry no money.
+    Rejected rows go to the fold's quarantine table, one partition per batch.
+    Duplicates are removed within the batch, and across batches with
+    ``cross_batch_dedup``: latest correction wins in either case, an event
+    folded earlier being reversed before its correction is added. Events
+    without an id column are folded as they come.
     """
     cols = spec.cfg.cols
     grain = grain or spec.grain
     cross_batch_dedup = spec.cross_batch_dedup if cross_batch_dedup is None else cross_batch_dedup
     cutoff = cutoff or spec.cfg.cutoff
-    valid = quality.valid_events(ev.normalize(batch, cols), cols, spec.cfg.transaction_types)
-    if spec.dedup:
-        valid = quality.dedup_latest(valid.select(*cols.event_columns), cols.event_id, (cols.event_time, cols.amount))
-    if cross_batch_dedup:
-        valid = _skip_seen_events(spark, valid, batch_id, spec)
+    store = tables.SnapshotTable(spec.paths.silver)
+    version, base = _place_of(spark, store, batch_id)
+    routed = tables.tag_routes(
+        ev.normalize(tables.with_raw(batch), cols), cols, spec.cfg.transaction_types, spec.cfg.time_range
+    )
+    bad = routed.filter(F.col(tables.ROUTE) == "quarantine").drop(tables.ROUTE).withColumn("batch", F.lit(batch_id).cast("long"))
+    tables.write_partitions(bad, spec.paths.fold_quarantine, ["batch"])
+    valid = routed.filter(F.col(tables.ROUTE) == "valid").select(*[c for c in cols.event_columns if c in batch.columns])
+    valid = _deduplicated(valid, spec)
+    if cross_batch_dedup and spec.dedup and cols.event_id in valid.columns:
+        valid = _net_of_earlier(spark, valid, batch_id, spec)
     if grain == "day":
         incoming = balances.day_state(valid, cols)
         merge_fn = balances.fold_day_state
@@ -171,38 +198,56 @@ def fold_batch(
         merge_fn = balances.fold_touched_only
     else:
         raise ValueError(f"unknown grain {grain!r}")
-    store = tables.SnapshotTable(spec.paths.silver)
-    version = batch_id + 1
-    base = store.latest(spark, below=version)
     new = incoming if base is None else merge_fn(store.read(spark, base), incoming, cols)
-    store.write(new, version)
+    store.write(new, version, kind="fold", grain=grain, cutoff=cutoff and cutoff.isoformat(), last_batch=batch_id, base=base)
+    store.drop_below(spark, version)
     return version
 
 
-def _skip_seen_events(spark: SparkSession, valid: DataFrame, batch_id: int, spec: PipelineSpec) -> DataFrame:
-    """Drop events whose id an earlier batch folded; record this batch's ids.
-
-    The batch's event days (one short list) drive partition pruning on the
-    index, so a batch reads the ids of its own days only, never the whole
-    history. The index is written before the snapshot: if the snapshot write
-    fails, the replay ignores this batch's partitions (batch < N) and rewrites
-    them.
+def _place_of(spark: SparkSession, store: tables.SnapshotTable, batch_id: int) -> tuple[int, int | None]:
+    """(version to write, version to build from) for a micro-batch, or an error if it does not follow."""
+    latest = store.latest(spark)
+    if latest is None:
+        if batch_id:
+            raise ValueError(f"batch {batch_id} does not follow: there is no table yet")
+        return 0, None
+    meta = store.meta(spark, latest)
+    last = meta.get("last_batch")
+    if last is not None and batch_id == last + 1:
+        return latest + 1, latest
+    if meta.get("kind") == "fold" and batch_id == last:
+        return latest, meta["base"]
+    raise ValueError(f"batch {batch_id} does not follow version {latest} ({meta})")
+
+
+def _net_of_earlier(spark: SparkSession, valid: DataFrame, batch_id: int, spec: PipelineSpec) -> DataFrame:
+    """The batch's events net of what earlier batches folded for the same ids.
+
+    An incoming event later than its folded version (by time, then amount)
+    comes with a reversal of that version; one that is not later is dropped.
+    The folded events are kept by batch, the current one's with dynamic
+    partition overwrite; only batches below this one are read, so a replay
+    sees what its first attempt saw. The batch's ids are the small side of
+    the join; the folded events are read once and not shuffled for it.
     """
     cols = spec.cfg.cols
-    day = F.to_date(cols.event_time)
-    days = [r[0] for r in valid.select(day.alias("d")).distinct().collect()]
-    if tables.has_data(spark, spec.paths.seen_events) and days:
-        seen = (
-            spark.read.parquet(spec.paths.seen_events)
-            .filter(F.col("day").cast("date").isin(days) & (F.col("batch").cast("long") < F.lit(batch_id)))
-            .select(cols.event_id)
+    key, order = cols.event_id, (cols.event_time, cols.amount)
+    mine = valid.select(key, *[c for c in valid.columns if c != key])
+    if tables.has_data(spark, spec.paths.seen_events):
+        ids = mine.select(key).distinct()
+        earlier = spark.read.parquet(spec.paths.seen_events).filter(F.col("batch").cast("long") < F.lit(batch_id))
+        earlier = quality.dedup_latest(earlier.select(*mine.columns).join(ids, key, "left_semi"), key, order)
+        rank = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in order])
+        pairs = mine.alias("new").join(earlier.alias("old"), F.col(f"new.{key}") == F.col(f"old.{key}"), "left")
+        pairs = pairs.filter(F.col(f"old.{key}").isNull() | (rank("new") > rank("old")))
+        fresh = pairs.select(*[F.col(f"new.{c}").alias(c) for c in mine.columns])
+        undo = pairs.filter(F.col(f"old.{key}").isNotNull()).select(
+            *[(-F.col(f"old.{c}")).cast(valid.schema[c].dataType).alias(c) if c == cols.amount else F.col(f"old.{c}").alias(c) for c in mine.columns]
         )
-        valid = valid.join(seen, cols.event_id, "left_anti")
-    ids = valid.select(cols.event_id, day.alias("day"), F.lit(batch_id).cast("long").alias("batch"))
-    _write_partition(ids, spec.paths.seen_events, ["day", "batch"])
-    # the fold re-evaluates the same anti join; the filter batch < N keeps the
-    # partitions just written out of it, so both evaluations agree
-    return valid
+    else:
+        fresh, undo = mine, None
+    tables.write_partitions(fresh.withColumn("batch", F.lit(batch_id).cast("long")), spec.paths.seen_events, ["batch"])
+    return fresh if undo is None else fresh.unionByName(undo)
 
 
 def silver_view(spark: SparkSession, spec: PipelineSpec, cutoff: dt.datetime) -> DataFrame:
@@ -226,8 +271,10 @@ def run_gold(
     """
     cols = spec.cfg.cols
     silver = tables.SnapshotTable(spec.paths.silver).read(spark)
+    if spec.cfg.cols == Columns():
+        contracts.require(silver, schema.SILVER, [cols.account_id], "silver")
     frames = accrual.gold_frames(silver, business_date, run_id, spec.cfg.rule, cols)
-    _write_partition(frames.audit, spec.paths.audit, [cols.business_date, cols.run_id])
+    tables.write_partitions(frames.audit, spec.paths.audit, [cols.business_date, cols.run_id])
 
     audit = (
         spark.read.parquet(spec.paths.audit)
@@ -238,23 +285,14 @@ def run_gold(
         .withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
         .withColumn(cols.run_id, F.col(cols.run_id).cast("string"))
     )
-    _publish_payouts(spark, audit, spec, replace_payouts)
-    _upsert_balances(spark, audit, spec)
+    _publish_payouts(spark, audit, business_date, spec, replace_payouts)
+    _upsert_balances(spark, audit, business_date, spec)
     log.info("gold: business_date=%s run_id=%s", business_date, run_id)
 
 
-def _write_partition(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
-
-def _publish_payouts(spark: SparkSession, audit: DataFrame, spec: PipelineSpec, replace: bool = False) -> None:
+def _publish_payouts(
+    spark: SparkSession, audit: DataFrame, business_date: dt.date, spec: PipelineSpec, replace: bool = False
+) -> None:
     """Append payouts whose (account, business_date) is not yet published, or,
     with ``replace``, overwrite the business dates present in ``audit``."""
     cols = spec.cfg.cols
@@ -267,33 +305,44 @@ def _publish_payouts(spark: SparkSession, audit: DataFrame, spec: PipelineSpec,
     )
     keys = [cols.account_id, cols.business_date]
     if replace:
-        _write_partition(candidate, spec.paths.payout, [cols.business_date])
+        tables.write_partitions(candidate, spec.paths.payout, [cols.business_date])
         return
     if tables.has_data(spark, spec.paths.payout):
-        dates = [r[0] for r in audit.select(cols.business_date).distinct().collect()]
-        published = (
-            spark.read.parquet(spec.paths.payout)
-            .withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
-            .filter(F.col(cols.business_date).isin(dates))
-        )
-        candidate = accrual.new_payouts_only(candidate, published, keys)
+        candidate = accrual.new_payouts_only(candidate, _published(spark, business_date, spec), keys)
     candidate.write.mode("append").partitionBy(cols.business_date).parquet(spec.paths.payout)
 
 
-def _upsert_balances(spark: SparkSession, audit: DataFrame, spec: PipelineSpec) -> None:
+def _published(spark: SparkSession, business_date: dt.date, spec: PipelineSpec) -> DataFrame:
+    """The payouts of one business date (partition pruning)."""
     cols = spec.cfg.cols
-    source = audit.select(
+    rows = spark.read.parquet(spec.paths.payout).withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
+    return rows.filter(F.col(cols.business_date) == F.lit(business_date))
+
+
+def _upsert_balances(spark: SparkSession, audit: DataFrame, business_date: dt.date, spec: PipelineSpec) -> None:
+    """Current balances from the payouts that are published for the date, so
+    the two tables agree whatever a rerun computed. An account whose stored
+    balance is of a later date keeps it."""
+    cols = spec.cfg.cols
+    paid = _published(spark, business_date, spec).select(cols.account_id, F.col(cols.cdi_bonus).alias("_paid"))
+    bonus = F.coalesce("_paid", F.lit(0).cast(MONEY_TYPE))
+    source = audit.join(paid, cols.account_id, "left").select(
         cols.account_id,
-        F.col(cols.final_balance).alias(cols.current_balance),
-        F.col(cols.cdi_bonus).alias(cols.last_day_bonus),
+        (F.col(cols.total_amount) + bonus).cast(MONEY_TYPE).alias(cols.current_balance),
+        bonus.alias(cols.last_day_bonus),
+        cols.business_date,
     )
     store = tables.SnapshotTable(spec.paths.balance)
     latest = store.latest(spark)
     if latest is None:
-        store.write(source, 0)
+        store.write(source, 0, business_date=str(business_date))
         return
-    new = merge.upsert(store.read(spark, latest), source, cols.account_id, [cols.current_balance, cols.last_day_bonus])
-    store.write(new, latest + 1)
+    stored = store.read(spark, latest)
+    newer = stored.filter(F.col(cols.business_date) > F.lit(business_date)).select(cols.account_id)
+    source = source.join(newer, cols.account_id, "left_anti")
+    update = [cols.current_balance, cols.last_day_bonus, cols.business_date]
+    store.write(merge.upsert(stored, source, cols.account_id, update), latest + 1, business_date=str(business_date))
+    store.drop_below(spark, latest + 1)
 
 
 # --- daily payouts (calendar days, date-varying rate) ---------------------------------
@@ -363,8 +412,9 @@ def tasks(
 
     def gold(spark: SparkSession) -> None:
         bd = business_date
-        if bd is None:
-            bd = balances.resolve_cutoff(bronze_events(spark, spec), spec.cfg).date()
+        if bd is None:  # the cutoff that Silver was made with
+            store = tables.SnapshotTable(spec.paths.silver)
+            bd = dt.datetime.fromisoformat(store.meta(spark, store.latest(spark))["cutoff"]).date()
         run_gold(spark, spec, bd, run_id)
 
     out: dict[str, Callable[[SparkSession], object]] = {

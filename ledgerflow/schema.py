@@ -19,10 +19,10 @@ EVENT = T.StructType(
 
 SILVER = T.StructType(
     [
-        T.StructField("account_id", T.StringType(), True),
-        T.StructField("total_amount", MONEY, True),
-        T.StructField("amount_cdi_applicable", MONEY, True),
-        T.StructField("amount_cdi_not_applicable", MONEY, True),
+        T.StructField("account_id", T.StringType(), False),
+        T.StructField("total_amount", MONEY, False),
+        T.StructField("amount_cdi_applicable", MONEY, False),
+        T.StructField("amount_cdi_not_applicable", MONEY, False),
     ]
 )
 
@@ -41,5 +41,6 @@ BALANCE = T.StructType(
         T.StructField("account_id", T.StringType(), True),
         T.StructField("current_balance", MONEY, True),
         T.StructField("last_day_bonus", MONEY, True),
+        T.StructField("business_date", T.DateType(), True),
     ]
 )

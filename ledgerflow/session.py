@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,13 +49,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests)
-    create a private folder under the system temp dir and register it.
+    Read from ``spark.checkpoint.dir``; only when it is unset on a local master
+    (tests) create a private folder under the system temp dir and register it.
+    On a cluster a machine-local folder would be invisible to the other
+    machines, so an unset folder is an error there.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[(?!.*,.*,)|$)", spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)

@@ -11,7 +11,6 @@ to do; ``error`` events map to an out-of-domain type code.
 from __future__ import annotations
 
 import datetime as dt
-import functools
 import os
 from dataclasses import dataclass
 from decimal import Decimal
@@ -22,6 +21,7 @@ from pyspark.sql import types as T
 
 from ledgerflow.config import RATE_TYPE
 from ledgerflow.functions.money import money
+from ledgerflow.functions.timeutil import ts_lit
 
 
 @dataclass(frozen=True)
@@ -52,10 +52,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-# The driver's tables are read-only, so each adapter is resolved once per
-# session and directory (like registering a catalog table): later queries
-# reuse the analyzed relation instead of listing files and reading footers.
-@functools.lru_cache(maxsize=64)
 def wallet_events(spark: SparkSession, sf_dir: str, defects: Defects = Defects()) -> DataFrame:
     """``events`` as signed wallet changes (the ``tx`` fixture)."""
     ev = table(spark, sf_dir, "events")
@@ -88,7 +84,6 @@ def wallet_events(spark: SparkSession, sf_dir: str, defects: Defects = Defects()
     )
 
 
-@functools.lru_cache(maxsize=64)
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as wallet changes: larger balances over several years."""
     o = table(spark, sf_dir, "orders")
@@ -119,7 +114,7 @@ def redelivered(valid: DataFrame, since: dt.datetime) -> DataFrame:
     Every event from ``since`` on is delivered a second time, one minute
     later, with its amount raised by 1.00: the later copy is the correction.
     """
-    again = valid.filter(F.col("event_time") >= F.lit(since).cast("timestamp")).select(
+    again = valid.filter(F.col("event_time") >= ts_lit(since)).select(
         "event_id",
         "user_id",
         "account_id",

@@ -5,6 +5,7 @@ read), partitioned exports and catalog tables.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from dataclasses import dataclass
@@ -12,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.config import TIME_RANGE, TRANSACTION_TYPES, Columns
+from ledgerflow.functions.rules import is_rejected, quarantine_reasons
 from ledgerflow.operators import quality
 
 _VERSION_DIR = re.compile(r"^version=(\d+)$")
@@ -30,15 +33,6 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def read_events(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Scan raw event files (a directory or a glob); an explicit schema avoids
-    a footer-inference pass and is required by the streaming twin."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a committed Spark write (its ``_SUCCESS`` marker)."""
     jvm = spark._jvm
@@ -84,6 +78,27 @@ def _list_dirs(spark: SparkSession, path: str) -> list[str]:
 # --- Bronze: one scan, two tables --------------------------------------------------
 
 ROUTE = "route"
+RAW = "raw"
+
+
+def with_raw(df: DataFrame) -> DataFrame:
+    """``df`` with its values as delivered, as text, in one struct column:
+    evidence for rows that are rejected once the columns are normalised."""
+    return df.withColumn(RAW, F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns]))
+
+
+def tag_routes(df: DataFrame, cols: Columns = Columns(), types=TRANSACTION_TYPES, time_range=TIME_RANGE) -> DataFrame:
+    """Add ``route`` and, for rejected rows only, their reasons; the raw values
+    stay with rejected rows and become NULL on valid ones."""
+    with_id = cols.event_id in df.columns
+    rejected = is_rejected(cols, tuple(types), with_id, time_range)
+    reasons = F.when(rejected, quarantine_reasons(cols, tuple(types), with_id, time_range))
+    out = (
+        df.withColumn(quality.REASONS, reasons)
+        .withColumn(quality.REASON, F.get(F.col(quality.REASONS), 0))
+        .withColumn(ROUTE, F.when(rejected, F.lit("quarantine")).otherwise(F.lit("valid")))
+    )
+    return out.withColumn(RAW, F.when(rejected, F.col(RAW))) if RAW in df.columns else out
 
 
 def write_routed(df: DataFrame, routed_path: str, **rules) -> dict[str, int]:
@@ -97,20 +112,9 @@ def write_routed(df: DataFrame, routed_path: str, **rules) -> dict[str, int]:
     """
     from pyspark.sql import Observation
 
-    from ledgerflow.config import TRANSACTION_TYPES, Columns
-    from ledgerflow.functions.rules import is_rejected, quarantine_reasons
-
     cols = rules.get("cols", Columns())
     types = tuple(rules.get("transaction_types", TRANSACTION_TYPES))
-    with_id = cols.event_id in df.columns
-    rejected = is_rejected(cols, types, with_id)
-    # the reasons array is only built for rejected rows (NULL when valid)
-    reasons = F.when(rejected, quarantine_reasons(cols, types, with_id))
-    tagged = (
-        df.withColumn(quality.REASONS, reasons)
-        .withColumn(quality.REASON, F.get(F.col(quality.REASONS), 0))
-        .withColumn(ROUTE, F.when(rejected, F.lit("quarantine")).otherwise(F.lit("valid")))
-    )
+    tagged = tag_routes(df, cols, types, rules.get("time_range", TIME_RANGE))
     amount = cols.amount
     obs = Observation("bronze_routing")
     observed = tagged.observe(
@@ -171,28 +175,47 @@ class SnapshotTable:
             raise FileNotFoundError(f"no complete snapshot under {self.root}")
         return spark.read.parquet(self.path(v))
 
-    def write(self, df: DataFrame, version: int) -> None:
-        """Write version N (overwriting only an incomplete or replayed N)."""
+    def write(self, df: DataFrame, version: int, **meta) -> None:
+        """Write version N (overwriting only an incomplete or replayed N).
+
+        ``meta`` says what the version holds (kind, grain, cutoff, last batch,
+        the version it was built from); it is stored beside the versions,
+        before the data, so a complete version always has it.
+        """
+        spark = df.sparkSession
+        row = spark.createDataFrame([(version, json.dumps(meta, sort_keys=True))], "version int, meta string")
+        row.coalesce(1).write.mode("overwrite").parquet(os.path.join(self.root, "_meta", f"v{version}"))
         df.write.mode("overwrite").parquet(self.path(version))
 
+    def meta(self, spark: SparkSession, version: int) -> dict:
+        """What ``write`` was told about a version (empty if nothing)."""
+        path = os.path.join(self.root, "_meta", f"v{version}")
+        return json.loads(spark.read.schema("version int, meta string").parquet(path).first()["meta"]) if exists(spark, path) else {}
+
+    def drop_below(self, spark: SparkSession, version: int, keep: int = 2) -> None:
+        """Remove all but the newest ``keep`` complete versions below ``version``."""
+        for v in [v for v in self.versions(spark) if v < version][:-keep or None]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(self.path(v))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def next_version(self, spark: SparkSession) -> int:
         v = self.latest(spark)
         return 0 if v is None else v + 1
 
 
+def write_partitions(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "parquet") -> None:
+    """Replace exactly the partitions present in ``df``. The overwrite mode is
+    an option of this write alone; other writes of the session keep theirs."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).format(fmt)
+    if fmt == "csv":
+        writer = writer.option("header", "true")
+    writer.save(path)
+
+
 def export_partitions(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> None:
     """Bulk-load export: one directory per ``partition_col`` value; rerunning a
-    date replaces only that date's partition (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        writer = df.write.mode("overwrite").partitionBy(partition_col).format(fmt)
-        if fmt == "csv":
-            writer = writer.option("header", "true")
-        writer.save(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    date replaces only that date's partition."""
+    write_partitions(df, path, [partition_col], fmt)
 
 
 # --- catalog tables ----------------------------------------------------------------
@@ -201,9 +224,30 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """Batch read of a catalog table by name."""
+    return spark.table(name)
+
+
 def append_table(df: DataFrame, name: str) -> None:
-    """Append to a managed table, creating it on first use."""
-    if table_exists(df.sparkSession, name):
-        df.write.mode("append").insertInto(name)
-    else:
-        df.write.mode("overwrite").saveAsTable(name)
+    """Append to a managed table by column name, creating it on first use.
+
+    Columns that the table lacks are added to it (older rows show NULL);
+    columns that ``df`` lacks are written as NULL.
+    """
+    spark = df.sparkSession
+    if not table_exists(spark, name):
+        df.write.saveAsTable(name)
+        return
+    known = {f.name for f in spark.table(name).schema.fields}
+    new = [f for f in df.schema.fields if f.name not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    target = spark.table(name).schema
+    cols = [F.col(f.name) if f.name in df.columns else F.lit(None) for f in target.fields]
+    df.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(cols, target.fields, strict=True)]).write.mode("append").insertInto(name)
+
+
+def overwrite_table(df: DataFrame, name: str) -> None:
+    """Replace a managed table, schema included."""
+    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)

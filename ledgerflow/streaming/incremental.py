@@ -2,14 +2,17 @@
 
 * ``silver_fold_stream``: files -> ``foreachBatch`` fold into Silver snapshots,
   keyed by the micro-batch id (a replay rebuilds the same version).
-* ``account_totals_stream`` / ``account_totals_table_stream``: the Silver
-  aggregate as a native stateful aggregate in ``update`` mode (conditional
-  sums; ``pivot`` is not allowed on a stream), to a memory table or upserted
-  into Silver snapshots.
+* ``account_totals_table_stream``: the Silver aggregate as a native stateful
+  aggregate in ``update`` mode (conditional sums; ``pivot`` is not allowed on a
+  stream), upserted into Silver snapshots.
 * ``daily_flow_stream``: 1-day tumbling windows with a watermark, ``append``
-  mode: each closed day is emitted once.
+  mode: each closed day is emitted once; ``late_flow`` gives what came after.
 * ``dedup_stream``: ``dropDuplicatesWithinWatermark`` on the event key.
-* ``append_stream``: plain file sink (append), checkpointed.
+* ``bronze_stream``: normalised events to the valid and the quarantine
+  partition of one checkpointed file sink; every row lands in one of them.
+
+The stateful queries count valid rows only; run them over the valid partition
+that ``bronze_stream`` writes, or beside it: it keeps what they pass over.
 """
 
 from __future__ import annotations
@@ -20,16 +23,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerflow.config import Columns
+from ledgerflow.config import Columns, LedgerConfig
 from ledgerflow.functions.money import money, zero
 from ledgerflow.functions.rules import is_eligible
-from ledgerflow.operators import quality
-from ledgerflow.plans.pipeline import PipelineSpec, fold_batch
+from ledgerflow.operators import balances, merge, quality
+from ledgerflow.plans.pipeline import PipelineSpec, _place_of, fold_batch
 from ledgerflow.schema import EVENT
+from ledgerflow.sources import events as ev
+from ledgerflow.sources import tables
+
 
+def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None, schema=None) -> DataFrame:
+    """Streaming scan of a directory of event Parquet files.
 
-def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None, schema=EVENT) -> DataFrame:
-    """Streaming scan of a directory of event Parquet files (explicit schema)."""
+    The schema is that of the files already there (raw sources may hold text
+    times or double amounts), else the event contract.
+    """
+    if schema is None:
+        schema = spark.read.parquet(source_dir).schema if tables.has_data(spark, source_dir) else EVENT
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -74,7 +85,7 @@ def silver_fold_stream(
 
 def account_totals(events: DataFrame, cutoff: dt.datetime, cols: Columns = Columns()) -> DataFrame:
     """Silver aggregate as one stateful aggregate (valid rows only)."""
-    valid = quality.valid_events(events, cols)
+    valid = quality.valid_events(ev.normalize(events, cols), cols)
     flag = is_eligible(cols, cutoff)
     early = F.coalesce(money(F.sum(F.when(flag, F.col(cols.amount)))), zero())
     late = F.coalesce(money(F.sum(F.when(~flag, F.col(cols.amount)))), zero())
@@ -85,20 +96,6 @@ def account_totals(events: DataFrame, cutoff: dt.datetime, cols: Columns = Colum
     )
 
 
-def account_totals_stream(
-    spark: SparkSession, source_dir: str, cutoff: dt.datetime, query_name: str, checkpoint: str, available_now: bool = True
-) -> StreamingQuery:
-    """Update-mode stateful aggregate into an in-memory table named ``query_name``."""
-    agg = account_totals(event_stream(spark, source_dir), cutoff)
-    w = (
-        agg.writeStream.outputMode("update")
-        .format("memory")
-        .queryName(query_name)
-        .option("checkpointLocation", checkpoint)
-    )
-    return _trigger(w, available_now).start()
-
-
 def account_totals_table_stream(
     spark: SparkSession,
     source_dir: str,
@@ -112,22 +109,22 @@ def account_totals_table_stream(
 
     The state store keeps one running row per account; each micro-batch
     emits the accounts it changed with their full current totals, which are
-    upserted (replaced, not added) into Silver version ``batch_id + 1`` built
-    from the latest version below it. Replaying a batch rebuilds the same
-    version. (Use the RocksDB state store provider for large account counts.)
+    upserted (replaced, not added) into a new Silver version. A batch that does
+    not follow the latest version is refused; a replayed one rebuilds its own.
+    (Use the RocksDB state store provider for large account counts.)
     """
-    from ledgerflow.operators import merge
-    from ledgerflow.sources import tables
-
     ckpt = checkpoint or f"{spec.paths.checkpoints}/account_totals"
     cols = spec.cfg.cols
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
         store = tables.SnapshotTable(spec.paths.silver)
-        base = store.latest(df.sparkSession, below=batch_id + 1)
+        version, base = _place_of(df.sparkSession, store, batch_id)
         # the batch holds only the accounts it changed: carry the rest over
         new = df if base is None else merge.upsert_touched_only(store.read(df.sparkSession, base), df, cols.account_id)
-        store.write(new.select(*cols.silver_columns), batch_id + 1)
+        store.write(
+            new.select(*cols.silver_columns), version, kind="fold", grain="account", cutoff=cutoff.isoformat(), last_batch=batch_id, base=base
+        )
+        store.drop_below(df.sparkSession, version)
 
     agg = account_totals(event_stream(spark, source_dir, max_files_per_trigger), cutoff, cols)
     w = agg.writeStream.outputMode("update").foreachBatch(on_batch).option("checkpointLocation", ckpt)
@@ -137,7 +134,7 @@ def account_totals_table_stream(
 def daily_flow(events: DataFrame, watermark: str = "1 day", cols: Columns = Columns()) -> DataFrame:
     """Net flow per account and calendar day; with a watermark, append mode
     emits a day once the watermark has passed its end."""
-    valid = quality.valid_events(events, cols)
+    valid = quality.valid_events(ev.normalize(events, cols), cols)
     return (
         valid.withWatermark(cols.event_time, watermark)
         .groupBy(cols.account_id, F.window(cols.event_time, "1 day").alias("w"))
@@ -152,39 +149,58 @@ def daily_flow_stream(
     out_path: str,
     checkpoint: str,
     watermark: str = "1 day",
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    cols: Columns = Columns(),
 ) -> StreamingQuery:
-    flows = daily_flow(event_stream(spark, source_dir, max_files_per_trigger), watermark)
+    flows = daily_flow(event_stream(spark, source_dir, max_files_per_trigger), watermark, cols)
     w = flows.writeStream.outputMode("append").format("parquet").option("path", out_path).option(
         "checkpointLocation", checkpoint
     )
     return _trigger(w, available_now).start()
 
 
+def late_flow(events: DataFrame, emitted: DataFrame, cols: Columns = Columns()) -> DataFrame:
+    """``account_id, d, net``: the flow of closed days that ``daily_flow_stream``
+    did not emit, because its events came after the watermark.
+
+    The side table of the stream: all valid events against what was emitted,
+    for the days up to the last emitted one. Emitted plus late is the whole
+    flow of those days.
+    """
+    whole = balances.daily_net(quality.valid_events(ev.normalize(events, cols), cols), cols)
+    last = emitted.agg(F.max("d").alias("_last"))
+    minus = emitted.select(cols.account_id, "d", (-F.col("net")).alias("net"))
+    both = whole.unionByName(minus).join(F.broadcast(last), F.col("d") <= F.col("_last")).drop("_last")  # one row
+    return both.groupBy(cols.account_id, "d").agg(money(F.sum("net")).alias("net")).filter("net <> 0")
+
+
 def dedup_stream(
     spark: SparkSession,
     source_dir: str,
     out_path: str,
     checkpoint: str,
     watermark: str = "1 day",
-    key: str = "event_id",
+    cols: Columns = Columns(),
     available_now: bool = True,
 ) -> StreamingQuery:
     """Drop repeated deliveries of an event that arrive within the watermark."""
-    ev = event_stream(spark, source_dir).withWatermark("event_time", watermark).dropDuplicatesWithinWatermark([key])
-    w = ev.writeStream.outputMode("append").format("parquet").option("path", out_path).option(
-        "checkpointLocation", checkpoint
-    )
+    events = ev.normalize(event_stream(spark, source_dir), cols).withWatermark(cols.event_time, watermark)
+    w = events.dropDuplicatesWithinWatermark([cols.event_id]).writeStream.outputMode("append").format("parquet").option(
+        "path", out_path
+    ).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now).start()
 
 
-def append_stream(
-    spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, available_now: bool = True
+def bronze_stream(
+    spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, spec: PipelineSpec | None = None, available_now: bool = True
 ) -> StreamingQuery:
-    """Route new files to the valid table (append, checkpointed)."""
-    valid = quality.valid_events(event_stream(spark, source_dir))
-    w = valid.writeStream.outputMode("append").format("parquet").option("path", out_path).option(
+    """New files, normalised, to ``out_path/route=valid`` and ``route=quarantine``
+    (append, checkpointed); rejected rows keep their raw values and reasons."""
+    cfg = spec.cfg if spec else LedgerConfig()
+    events = ev.normalize(tables.with_raw(event_stream(spark, source_dir)), cfg.cols)
+    routed = tables.tag_routes(events, cfg.cols, cfg.transaction_types, cfg.time_range)
+    w = routed.writeStream.outputMode("append").format("parquet").partitionBy(tables.ROUTE).option("path", out_path).option(
         "checkpointLocation", checkpoint
     )
     return _trigger(w, available_now).start()

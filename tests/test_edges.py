@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerflow.config import AccrualRule
+from ledgerflow.config import LedgerConfig, AccrualRule
 from ledgerflow.operators import accrual, balances, merge, quality
 from ledgerflow.operators.ordered import running_total, trailing_min_24h
 from ledgerflow.schema import EVENT
@@ -139,25 +139,85 @@ def test_invariants_on_random_frames(spark):
     assert sorted(touched.collect()) == sorted(whole.collect())
 
 
-@pytest.mark.parametrize("unit", ["minute", "hour", "day"])
-def test_bucketed_running_total_equals_plain_window(spark, unit):
-    df = _random_events(spark, n=500).select("account_id", "event_id", "event_time", "amount")
-    got = running_total(df, "account_id", "event_time", "event_id", "amount", "balance", unit, with_next_ts="nxt")
+def _hot_events(spark):
+    """Random events, repeated deliveries, and one account with most rows at one identical time."""
+    df = _random_events(spark, n=500)
+    again = df.filter(F.col("event_id") % 40 == 0)
+    same = spark.range(10_000, 11_500).select(
+        F.col("id").alias("event_id"), F.lit("u").alias("user_id"), F.lit("hot").alias("account_id"), F.lit("DEPOSIT").alias("transaction_type"),
+        F.lit("2024-01-09 10:00:00").cast("timestamp").alias("event_time"), ((F.col("id") % 7) - 3).cast("decimal(18,2)").alias("amount"),
+    )
+    return df.unionByName(again).unionByName(same).select("account_id", "event_id", "event_time", "amount")
+
+
+def test_bucketed_running_total_equals_plain_window(spark, monkeypatch):
+    from ledgerflow.operators import ordered
+
+    monkeypatch.setattr(ordered, "TIE_BITS", 4)  # the hot time is split into many tie-break ranges
+    df = _hot_events(spark).dropDuplicates(["event_id"])
+    got = running_total(df, "account_id", "event_time", "event_id", "amount", "balance", with_next_ts="nxt")
     w = Window.partitionBy("account_id").orderBy("event_time", "event_id")
     want = df.withColumn("balance", F.sum("amount").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("decimal(18,2)")).withColumn(
         "nxt", F.lead("event_time").over(w)
     )
     cols = ["account_id", "event_id", "balance", "nxt"]
-    assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
+    assert sorted(got.select(*cols).collect(), key=str) == sorted(want.select(*cols).collect(), key=str)
+    low = ordered.lowest_running_total(df, "account_id", "event_time", "event_id", "amount", "low")
+    assert sorted(low.collect()) == sorted(want.groupBy("account_id").agg(F.min("balance")).collect())
+    text = df.withColumn("event_id", F.format_string("%012d", "event_id"))  # a text tie-break orders the same way
+    got = running_total(text, "account_id", "event_time", "event_id", "amount", "balance")
+    assert sorted(r.balance for r in got.collect()) == sorted(r.balance for r in want.collect())
 
 
 def test_trailing_min_equals_plain_range_window(spark):
-    df = _random_events(spark, n=500)
+    """One form at every size; repeated deliveries keep their rows."""
+    df = _hot_events(spark)
     h = balances.wallet_history(df)
+    assert h.count() == df.count()
     got = trailing_min_24h(h, "account_id", "event_time", "balance", "m")
     w = Window.partitionBy("account_id").orderBy(F.unix_micros("event_time")).rangeBetween(-86_400_000_000, 0)
     want = h.withColumn("m", F.min("balance").over(w))
-    assert sorted(got.select("event_id", "m").collect()) == sorted(want.select("event_id", "m").collect())
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+
+
+def test_cutoff_does_not_depend_on_the_os_time_zone(spark):
+    import os
+    import time
+
+    rows = [(1, "u", "a", "DEPOSIT", dt.datetime(2024, 1, 29, 1), Decimal("5"))]
+    df = spark.createDataFrame(rows, "event_id long, user_id string, account_id string, transaction_type string, event_time timestamp_ntz, amount decimal(18,2)")
+    df = df.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    was = os.environ.get("TZ")
+    try:
+        for zone in ("UTC", "America/Sao_Paulo", "Asia/Tokyo"):
+            os.environ["TZ"] = zone
+            time.tzset()
+            assert balances.flag_eligibility(df, dt.datetime(2024, 1, 29)).first().cdi_applicable is False
+            assert balances.resolve_cutoff(df, LedgerConfig()) == dt.datetime(2024, 1, 28)
+    finally:
+        os.environ.pop("TZ") if was is None else os.environ.update(TZ=was)
+        time.tzset()
+    assert balances.resolve_cutoff(df, LedgerConfig(run_date=dt.date(2024, 3, 1))) == dt.datetime(2024, 2, 29)
+
+
+def test_impossible_times_are_quarantined(spark):
+    rows = [(i, "u", "a", "DEPOSIT", dt.datetime(y, 1, 5), Decimal("1")) for i, y in enumerate((1969, 2024, 2124))]
+    valid, bad = quality.route(_events(spark, rows))
+    assert [r.event_id for r in valid.collect()] == [1]
+    assert {r.reason for r in bad.collect()} == {"event_time_out_of_range"}
+
+
+def test_repeated_rate_dates_fail(spark):
+    rates = spark.createDataFrame([(dt.date(2024, 1, 1), Decimal("0.1")), (dt.date(2024, 1, 1), Decimal("0.2"))], "rate_date date, rate decimal(9,8)")
+    days = spark.createDataFrame([(dt.date(2024, 1, 2),)], "d date")
+    with pytest.raises(Exception, match="repeats"):
+        accrual.rate_asof(days, rates, dt.date(2024, 1, 1), dt.date(2024, 1, 3)).collect()
+
+
+def test_an_empty_day_is_a_volume_drop(spark):
+    rows = [(100 * d + i, "u", "a", "DEPOSIT", ts(d, i), Decimal("1")) for d in (*range(1, 11), 12) for i in range(10)]
+    got = quality.volume_drop(_events(spark, rows)).collect()
+    assert [(r.d.day, r.n, r.mean_prev_7) for r in got] == [(11, 0, Decimal("10.0000"))]
 
 
 def test_stationary_catches_recovered_dip(spark):
@@ -227,40 +287,6 @@ def test_rate_asof_fills_gaps(spark):
     }
 
 
-@pytest.mark.parametrize("units", [("day", "hour"), ("day", "hour", "minute"), "auto"])
-def test_hierarchical_running_total_equals_plain_window(spark, units):
-    from ledgerflow.operators.ordered import choose_units
-
-    df = _random_events(spark, n=600).select("account_id", "event_id", "event_time", "amount")
-    got = running_total(df, "account_id", "event_time", "event_id", "amount", "balance", units, with_next_ts="nxt")
-    w = Window.partitionBy("account_id").orderBy("event_time", "event_id")
-    want = df.withColumn(
-        "balance", F.sum("amount").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("decimal(18,2)")
-    ).withColumn("nxt", F.lead("event_time").over(w))
-    cols = ["account_id", "event_id", "balance", "nxt"]
-    assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
-    # a tiny row limit forces the refinement down the hierarchy
-    assert choose_units(df, "account_id", "event_time", max_rows=1) == ("hour", "minute", "second")
-    assert choose_units(df, "account_id", "event_time") == ("hour",)
-
-
-@pytest.mark.parametrize("unit", ["hour", "minute"])
-def test_bucketed_trailing_min_equals_plain_range_window(spark, unit):
-    from ledgerflow.operators.ordered import choose_frame_unit
-
-    df = _random_events(spark, n=700)
-    # peers: a few rows share their timestamp with another row of the same account
-    df = df.unionByName(df.filter(F.col("event_id") % 50 == 0).withColumn("event_id", F.col("event_id") + 10_000))
-    h = balances.wallet_history(df)
-    got = trailing_min_24h(h, "account_id", "event_time", "balance", "m", unit=unit, ident="event_id")
-    assert got.columns == h.columns + ["m"]
-    w = Window.partitionBy("account_id").orderBy(F.unix_micros("event_time")).rangeBetween(-86_400_000_000, 0)
-    want = h.withColumn("m", F.min("balance").over(w))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
-    assert choose_frame_unit(h, "account_id", "event_time") == "day"
-    assert choose_frame_unit(h, "account_id", "event_time", max_rows=1) == "minute"
-
-
 def test_upsert_touched_only_equals_upsert(spark):
     target = spark.createDataFrame(
         [(f"k{i}", i, f"t{i}") for i in range(40)] + [(None, -1, "nullkey")], "k string, v int, tag string"

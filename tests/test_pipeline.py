@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerflow.config import LedgerConfig, TablePaths
 from ledgerflow.plans import pipeline as pl
 from ledgerflow.plans.catalog import q_gold_account_balance, q_silver_balances
+from ledgerflow.schema import EVENT, SILVER
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.sources import tables
 
@@ -189,6 +190,97 @@ def test_cross_batch_redelivery_is_folded_once(spark, tmp_root):
         assert sorted(map(tuple, got.collect()), key=str) == want
 
 
+def _event(i, account, time, amount):
+    return (i, "u", account, "DEPOSIT", dt.datetime.fromisoformat(time), Decimal(amount))
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, EVENT)
+
+
+def _totals(spark, spec):
+    return {r.account_id: r.total_amount for r in tables.SnapshotTable(spec.paths.silver).read(spark).collect()}
+
+
+def test_recompute_and_folds_share_one_line(spark, tmp_root):
+    spec = pl.PipelineSpec(root=tmp_root, cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    first = _frame(spark, [_event(1, "a", "2024-01-05", "100")])
+    bronze = _frame(spark, [_event(1, "a", "2024-01-05", "100"), _event(2, "a", "2024-01-06", "50")])
+    tables.write_routed(bronze, spec.paths.routed)
+    pl.fold_batch(spark, first, 0, spec)
+    pl.run_silver(spark, spec)
+    assert _totals(spark, spec) == {"a": Decimal("150.00")}
+    later = _frame(spark, [_event(3, "a", "2024-01-07", "7")])
+    for _ in range(2):  # the second is a replay
+        pl.fold_batch(spark, later, 1, spec)
+        assert _totals(spark, spec) == {"a": Decimal("157.00")}
+    with pytest.raises(ValueError, match="does not follow"):
+        pl.fold_batch(spark, later, 3, spec)
+
+
+def test_stream_over_a_recomputed_table_is_refused(spark, tmp_root):
+    spec = pl.PipelineSpec(root=tmp_root, cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    bronze = _frame(spark, [_event(1, "a", "2024-01-05", "100"), _event(2, "a", "2024-01-06", "50")])
+    tables.write_routed(bronze, spec.paths.routed)
+    pl.run_silver(spark, spec)
+    with pytest.raises(ValueError, match="does not follow"):
+        pl.fold_batch(spark, bronze, 0, spec)
+    assert _totals(spark, spec) == {"a": Decimal("150.00")}
+
+
+@pytest.mark.parametrize("grain", ["account", "day"])
+def test_correction_in_a_later_batch_wins(spark, tmp_root, grain):
+    spec = pl.PipelineSpec(root=tmp_root, cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF), grain=grain)
+    batches = [[_event(1, "a", "2024-01-05", "100")], [_event(1, "b", "2024-01-06", "120")], [_event(1, "a", "2024-01-05", "100")]]
+    for n, rows in enumerate(batches):  # the account changes, too; the third is an older copy
+        pl.fold_batch(spark, _frame(spark, rows), n, spec)
+    view = pl.silver_view(spark, spec, fx.FIXTURE_CUTOFF) if grain == "day" else tables.SnapshotTable(spec.paths.silver).read(spark)
+    assert {r.account_id: r.total_amount for r in view.collect()} == {"a": Decimal("0.00"), "b": Decimal("120.00")}
+
+
+def test_five_column_events(spark, tmp_root):
+    """Events without an id, with text time and double amount, in batch and as a fold."""
+    rows = [("u", "a", "DEPOSIT", "2024-01-05T10:00:00.000", 10.0)] * 2 + [("u", "a", "DEPOSIT", "bad", 1.0), ("u", "b", "X", "2024-01-06T00:00:00", 2.0)]
+    raw = spark.createDataFrame(rows, "user_id string, account_id string, transaction_type string, event_time string, amount double")
+    raw.write.parquet(os.path.join(tmp_root, "raw"))
+    spec = pl.PipelineSpec(root=tmp_root)
+    pl.run_pipeline(spark, spec, run_id="r")
+    assert _totals(spark, spec) == {"a": Decimal("20.00")}  # without an id nothing is a duplicate
+    bad = spark.read.parquet(spec.paths.quarantine)
+    assert {r["raw"]["event_time"] for r in bad.collect()} == {"bad", "2024-01-06T00:00:00"}
+    other = pl.PipelineSpec(root=os.path.join(tmp_root, "fold"), cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    pl.fold_batch(spark, raw, 0, other)
+    assert _totals(spark, other) == {"a": Decimal("20.00")}
+    assert spark.read.parquet(other.paths.fold_quarantine).count() == 2
+
+
+def test_balance_follows_the_published_payout(spark, tmp_root):
+    spec = pl.PipelineSpec(root=tmp_root, cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    store, balance = tables.SnapshotTable(spec.paths.silver), tables.SnapshotTable(spec.paths.balance)
+    silver = lambda x: spark.createDataFrame([("a", Decimal(x), Decimal(x), Decimal("0"))], SILVER)
+    read = lambda: [tuple(r) for r in balance.read(spark).select("current_balance", "last_day_bonus", "business_date").collect()]
+    store.write(silver("1000"), 0, kind="recompute")
+    pl.run_gold(spark, spec, dt.date(2024, 1, 29), "r1")
+    store.write(silver("10000"), 1, kind="recompute")
+    pl.run_gold(spark, spec, dt.date(2024, 1, 29), "r2")  # the published payout stays, and so does the bonus
+    assert read() == [(Decimal("10000.55"), Decimal("0.55"), dt.date(2024, 1, 29))]
+    pl.run_gold(spark, spec, dt.date(2024, 1, 30), "r3")
+    latest = read()
+    assert latest == [(Decimal("10005.50"), Decimal("5.50"), dt.date(2024, 1, 30))]
+    pl.run_gold(spark, spec, dt.date(2024, 1, 28), "r4")  # an older date changes nothing
+    assert read() == latest
+
+
+def test_gold_refuses_a_broken_silver(spark, tmp_root):
+    spec = pl.PipelineSpec(root=tmp_root, cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    rows = [("a", Decimal("1"), Decimal("1"), None), ("a", Decimal("1"), Decimal("1"), Decimal("0"))]
+    frame = spark.createDataFrame(rows, "account_id string, total_amount decimal(18,2), amount_cdi_applicable decimal(18,2), amount_cdi_not_applicable decimal(18,2)")
+    tables.SnapshotTable(spec.paths.silver).write(frame, 0)
+    with pytest.raises(ValueError, match="null_value.*duplicate_key"):
+        pl.run_gold(spark, spec, dt.date(2024, 1, 29), "r")
+    assert not tables.has_data(spark, spec.paths.payout)
+
+
 def test_spec_json_carries_incremental_options():
     import json
 

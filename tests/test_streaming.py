@@ -40,19 +40,22 @@ def test_fold_stream_equals_batch_and_restart_is_noop(spark, tmp_root, landed):
     q = st.silver_fold_stream(spark, src, spec, fx.FIXTURE_CUTOFF, max_files_per_trigger=1)
     q.awaitTermination(300)
     store = tables.SnapshotTable(spec.paths.silver)
-    assert len(store.versions(spark)) == 4  # one version per file
+    assert store.latest(spark) == 3  # one version per file
     want = balances.silver_balances(quality.valid_events(tx), fx.FIXTURE_CUTOFF)
     assert _rows(store.read(spark)) == _rows(want)
     # restart on the same checkpoint: nothing new, no new version
     q2 = st.silver_fold_stream(spark, src, spec, fx.FIXTURE_CUTOFF, max_files_per_trigger=1)
     q2.awaitTermination(300)
-    assert len(store.versions(spark)) == 4
+    assert store.latest(spark) == 3
+    # what the stream rejected is kept
+    assert spark.read.parquet(spec.paths.fold_quarantine).count() + quality.valid_events(tx).count() == tx.count()
 
 
 def test_update_mode_aggregate_equals_batch(spark, tmp_root, landed):
     src, tx = landed
-    q = st.account_totals_stream(spark, src, fx.FIXTURE_CUTOFF, "lf_totals", os.path.join(tmp_root, "ck_totals"))
-    q.awaitTermination(300)
+    totals = st.account_totals(st.event_stream(spark, src), fx.FIXTURE_CUTOFF).writeStream.outputMode("update").format("memory")
+    totals = totals.queryName("lf_totals").option("checkpointLocation", os.path.join(tmp_root, "ck_totals"))
+    totals.trigger(availableNow=True).start().awaitTermination(300)
     got = spark.sql("select * from lf_totals")
     want = balances.silver_balances(quality.valid_events(tx), fx.FIXTURE_CUTOFF)
     assert _rows(got) == _rows(want)
@@ -61,7 +64,9 @@ def test_update_mode_aggregate_equals_batch(spark, tmp_root, landed):
 def test_daily_flow_stream_emits_closed_days(spark, tmp_root, landed):
     src, tx = landed
     out = os.path.join(tmp_root, "flow")
-    q = st.daily_flow_stream(spark, src, out, os.path.join(tmp_root, "ck_flow"))
+    late = tx.filter(F.dayofmonth("event_time") == 2)  # delivered again after all else: too late
+    late.coalesce(1).write.mode("append").parquet(src)
+    q = st.daily_flow_stream(spark, src, out, os.path.join(tmp_root, "ck_flow"), max_files_per_trigger=1)
     q.awaitTermination(300)
     got = spark.read.parquet(out)
     batch = balances.daily_net(quality.valid_events(tx))
@@ -69,6 +74,8 @@ def test_daily_flow_stream_emits_closed_days(spark, tmp_root, landed):
     assert max(emitted_days) < dt.date(2024, 1, 30)  # the last days stay open under the watermark
     closed = batch.filter(F.col("d").isin(list(emitted_days)))
     assert _rows(got) == _rows(closed)
+    side = st.late_flow(spark.read.parquet(src), got)
+    assert _rows(side) == _rows(balances.daily_net(quality.valid_events(late)).filter("net <> 0"))
 
 
 def test_dedup_stream_drops_redelivery(spark, tmp_root):
@@ -84,12 +91,21 @@ def test_dedup_stream_drops_redelivery(spark, tmp_root):
     assert got.select("event_id").distinct().count() == v.count()
 
 
-def test_append_stream_routes_valid_rows(spark, tmp_root, landed):
-    src, tx = landed
-    out = os.path.join(tmp_root, "valid_out")
-    q = st.append_stream(spark, src, out, os.path.join(tmp_root, "ck_append"))
-    q.awaitTermination(300)
-    assert spark.read.parquet(out).count() == quality.valid_events(tx).count()
+def test_bronze_stream_keeps_every_row(spark, tmp_root, landed):
+    """Raw types (text time, double amount); rejected rows keep their raw values."""
+    _, tx = landed
+    src = os.path.join(tmp_root, "raw_types")
+    raw = tx.withColumn("event_time", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss")).withColumn("amount", F.col("amount").cast("double"))
+    broken = raw.limit(1).withColumn("event_time", F.lit("not-a-time"))
+    raw.unionByName(broken).write.parquet(src)
+    out = os.path.join(tmp_root, "bronze_out")
+    st.bronze_stream(spark, src, out, os.path.join(tmp_root, "ck_bronze")).awaitTermination(300)
+    got = spark.read.parquet(out)
+    assert got.count() == tx.count() + 1
+    assert got.filter("route = 'valid'").count() == quality.valid_events(tx).count()
+    bad = got.filter("route = 'quarantine'")
+    assert bad.filter("raw is null or reason is null").count() == 0
+    assert bad.filter("raw.event_time = 'not-a-time' and event_time is null").count() == 1
 
 
 def test_day_grain_stream_answers_any_midnight_cutoff(spark, tmp_root, landed):
@@ -121,6 +137,6 @@ def test_update_mode_aggregate_upserts_durable_table(spark, tmp_root, landed):
     q = st.account_totals_table_stream(spark, src, spec, fx.FIXTURE_CUTOFF, max_files_per_trigger=1)
     q.awaitTermination(300)
     store = tables.SnapshotTable(spec.paths.silver)
-    assert len(store.versions(spark)) == 4
+    assert store.latest(spark) == 3
     want = balances.silver_balances(quality.valid_events(tx), fx.FIXTURE_CUTOFF)
     assert _rows(store.read(spark)) == _rows(want)

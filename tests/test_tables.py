@@ -65,8 +65,13 @@ def test_catalog_table_append(spark):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
     assert not tables.table_exists(spark, name)
     tables.append_table(df, name)
-    tables.append_table(df, name)
-    assert spark.table(name).count() == 2
+    # by name, whatever the order; a new column is added
+    tables.append_table(spark.createDataFrame([(2, "b", 0.5)], "v int, k string, x double"), name)
+    assert sorted(map(tuple, tables.read_table(spark, name).collect())) == [("a", 1, None), ("b", 2, 0.5)]
+    tables.append_table(spark.createDataFrame([("c",)], "k string"), name)
+    assert tables.read_table(spark, name).filter("v is null").count() == 1
+    tables.overwrite_table(spark.createDataFrame([(9,)], "only int"), name)
+    assert tables.read_table(spark, name).columns == ["only"]
     spark.sql(f"drop table if exists {name}")
 
 
@@ -78,15 +83,18 @@ def test_payout_contract(spark):
     from ledgerflow.operators.contracts import check
     from ledgerflow.schema import BALANCE
 
-    good = spark.createDataFrame([("a", Decimal("1.00"), Decimal("0.00"))], BALANCE)
+    good = spark.createDataFrame([("a", Decimal("1.00"), Decimal("0.00"), None)], BALANCE)
     assert check(good, BALANCE, ["account_id"]) == []
-    dup = good.unionByName(good).unionByName(spark.createDataFrame([(None, Decimal("1"), Decimal("0"))], BALANCE))
+    dup = good.unionByName(good).unionByName(spark.createDataFrame([(None, Decimal("1"), Decimal("0"), None)], BALANCE))
     kinds = {v.kind for v in check(dup, BALANCE, ["account_id"])}
     assert kinds == {"duplicate_key", "null_key"}
     drift = good.withColumn("current_balance", good.current_balance.cast("double")).withColumn("x", good.account_id)
     kinds = {v.kind for v in check(drift, BALANCE, ["account_id"])}
     assert kinds == {"type", "extra_column"}
     assert isinstance(BALANCE, T.StructType)
+    strict = T.StructType([T.StructField("k", T.StringType(), False), T.StructField("v", T.IntegerType(), False)])
+    nulls = spark.createDataFrame([("a", None), ("b", 1)], "k string, v int")
+    assert {v.kind for v in check(nulls, strict, ["k"])} == {"null_value"}
 
 
 def test_input_size_and_scale_settings(spark, tmp_root):
@@ -102,9 +110,7 @@ def test_input_size_and_scale_settings(spark, tmp_root):
 
 
 def test_has_data_sees_dynamic_partition_writes(spark, tmp_root):
-    from ledgerflow.plans.pipeline import _write_partition
-
     p = os.path.join(tmp_root, "dyn")
     assert not tables.has_data(spark, p)
-    _write_partition(spark.createDataFrame([(1, "x")], "v long, k string"), p, ["k"])
+    tables.write_partitions(spark.createDataFrame([(1, "x")], "v long, k string"), p, ["k"])
     assert tables.has_data(spark, p) and not tables.exists(spark, p)
