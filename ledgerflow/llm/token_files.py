@@ -11,6 +11,7 @@ they can lie in any store.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from ledgerflow.llm.common import shuffle_width
 BLOCK_IDS = 65_536
 END_ID = 1
 #: Words whose ids a worker remembers (about 200 bytes each).
-CACHED_WORDS = 500_000
+CACHED_WORDS = 700_000
 #: Words encoded in one call.
 CALL_WORDS = 512
 
@@ -61,71 +62,91 @@ def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     return np.ascontiguousarray(np.stack(rows, axis=1)).reshape(-1).view("<u4")
 
 
+#: The cutting pattern of tokenizer files of this kind, and the same for lower-cased Latin-1 text, all classes spelled out.
+CUT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LATIN_CUTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+_BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
+
+
 class WordEncoder:
-    """Encodes texts with a tokenizer whose pre-tokens never hold white space.
+    """Encodes texts; words that come again are looked up.
 
-    Such a tokenizer gives a text the ids of its blank-separated words, one
-    after the other; words that come again are looked up. Whether the
-    tokenizer is of that kind is read from its file; otherwise each text is
-    encoded whole.
+    For tokenizer files that lower-case, cut with CUT_PATTERN and merge within
+    cuts, the ids of a text are those of its cuts one after the other, and the
+    cuts of Latin-1 text are found here. Texts beyond Latin-1 or with a
+    special token in them, and other tokenizers, are left to the library.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_word = splits_at_blanks(self.tokenizer.to_str())
+        config = json.loads(self.tokenizer.to_str())
+        self.by_word = cuts_by_pattern(config)
+        self.special = [t["content"] for t in config.get("added_tokens", [])]
+        self.words = Tokenizer.from_file(path)
+        if self.by_word:  # words come lower-cased and cut
+            self.words.normalizer = None
+            self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def cuts(self, text: str) -> list[str] | None:
+        if not self.by_word or _BEYOND_LATIN.search(text) or any(t in text for t in self.special):
+            return None
+        return _LATIN_CUTS.findall(text.lower())
+
     def learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words, many to a call, told apart by their places in the joined text."""
+        """Ids of new words, many to a call, told apart by the cut each id belongs to."""
         out = {}
         for i in range(0, len(words), CALL_WORDS):
             part = words[i : i + CALL_WORDS]
-            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.asarray(got.ids, "<u4")
-            starts = np.cumsum([0] + [len(w) + 1 for w in part])
-            cut = np.searchsorted(np.asarray([a for a, _ in got.offsets], np.int64), starts)
-            for k, w in enumerate(part):
-                out[w] = ids[cut[k] : cut[k + 1]].tobytes()
+            got = self.words.encode(" ".join(part), add_special_tokens=False)
+            data = np.asarray(got.ids, "<u4").tobytes()
+            at = (4 * np.searchsorted(np.asarray(got.word_ids, np.int64), np.arange(len(part) + 1))).tolist()
+            out.update((w, data[a:b]) for w, a, b in zip(part, at, at[1:], strict=False))
         return out
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
-        if not self.by_word:
-            return [self.whole(t) if t else b"" for t in texts]
         known = self.known
-        split = [_BLANKS.split(t) if t else [] for t in texts]
-        new = list({w for words in split for w in words if w not in known and w})
-        fresh = self.learn(new)
-        known[""] = b""
+        split = [self.cuts(t) if t else [] for t in texts]
+        found = [None if words is None else list(map(known.get, words)) for words in split]
+        missed = {w for words, ids in zip(split, found, strict=True) if ids and None in ids for w, i in zip(words, ids, strict=True) if i is None}
+        fresh = self.learn(list(missed))
         if len(known) + len(fresh) <= CACHED_WORDS:
             known.update(fresh)
-            get = known.__getitem__
-        else:
-            get = {**fresh, **{w: known[w] for words in split for w in words if w in known}}.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        out = []
+        for text, words, ids in zip(texts, split, found, strict=True):
+            if ids is None:
+                out.append(self.whole(text))
+            else:
+                out.append(b"".join([fresh[w] if i is None else i for w, i in zip(words, ids, strict=True)] if None in ids else ids))
+        return out
+
 
+_ENCODERS: dict[str, WordEncoder] = {}
 
-_BLANKS = re.compile(r"[ \n\r\t]+")
 
+def encoder(path: str) -> WordEncoder:
+    """One encoder per worker process and file, so that later tasks find the words of earlier ones."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
-def splits_at_blanks(config: str) -> bool:
-    """True for a tokenizer that drops white space before it cuts words and whose pre-tokens are matches of a pattern without it."""
-    import json
 
-    j = json.loads(config)
-    pre = j.get("pre_tokenizer") or {}
-    first = (pre.get("pretokenizers") or [pre])[0]
+def cuts_by_pattern(config: dict) -> bool:
+    """True for a tokenizer file whose normalizer and cuts are those that ``WordEncoder.cuts`` does for Latin-1 text."""
+    steps = [n.get("type") for n in (config.get("normalizer") or {}).get("normalizers", [])]
+    cuts = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     return (
-        first.get("type") == "Split"
-        and first.get("behavior") == "Removed"
-        and first.get("invert") is True
-        and r"[^\s" in str(first.get("pattern"))
-        and r"\s+" not in str(first.get("pattern"))
-        and not any(a.get("lstrip") or a.get("rstrip") for a in j.get("added_tokens", []))
+        steps == ["NFC", "Replace", "Lowercase"]
+        and cuts[0].get("pattern") == {"Regex": CUT_PATTERN}
+        and cuts[0].get("behavior") == "Removed"
+        and cuts[0].get("invert") is True
+        and [c.get("type") for c in cuts[1:]] == ["ByteLevel"]
+        and not any(t.get("lstrip") or t.get("rstrip") or t.get("normalized") for t in config.get("added_tokens", []))
     )
 
 
@@ -139,7 +160,7 @@ def encode_blocks(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, bl
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = WordEncoder(tokenizer_path), np.asarray([end_id], "<u4").tobytes()
+        words, end = encoder(tokenizer_path), np.asarray([end_id], "<u4").tobytes()
         held, size, places, block, first, doc_no, shard = [], 0, [], 0, 0, 0, None
 
         def cut(last: bool) -> Iterator[dict]:
@@ -168,7 +189,7 @@ def encode_blocks(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, bl
             ids, texts, shards = (batch.column(k).to_pylist() for k in range(3))
             shard = shards[0] if shards else shard
             for a in range(0, len(texts), 256):
-                for doc_id, got in zip(ids[a : a + 256], encoder.batch(texts[a : a + 256]), strict=True):
+                for doc_id, got in zip(ids[a : a + 256], words.batch(texts[a : a + 256]), strict=True):
                     n = len(got) // 4 + 1
                     held += [got, end]
                     size += n
