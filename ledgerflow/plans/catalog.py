@@ -54,12 +54,15 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver as stored by the previous run, with a column the source lacks."""
-    return balances.silver_balances(prior(spark, sf), CUTOFF).withColumn("tag", F.lit("stored"))
+    """Silver as stored by the previous run, with a column the source lacks;
+    accounts ending in 5 are not stored yet, so the incoming ones are new."""
+    old = prior(spark, sf).filter(~F.col("account_id").endswith("5"))
+    return balances.silver_balances(old, CUTOFF).withColumn("tag", F.lit("stored"))
 
 
 def incoming(spark: SparkSession, sf: str) -> DataFrame:
-    return balances.silver_balances(last_batch(spark, sf), CUTOFF)
+    """Silver of the latest batch; accounts ending in 8 have nothing in it."""
+    return balances.silver_balances(last_batch(spark, sf).filter(~F.col("account_id").endswith("8")), CUTOFF)
 
 
 def _events_out(df: DataFrame) -> DataFrame:

@@ -174,8 +174,10 @@ def sql(ctes: list[tuple[str, str]], body: str) -> str:
 
 
 STORED = [("prior", PRIOR), ("last_batch", LAST),
-          ("stored", f"select *, 'stored' as tag from ({silver_of('prior')})"),
-          ("incoming", silver_of("last_batch"))]
+          ("prior_known", "select * from prior where account_id not like '%5'"),
+          ("batch_known", "select * from last_batch where account_id not like '%8'"),
+          ("stored", f"select *, 'stored' as tag from ({silver_of('prior_known')})"),
+          ("incoming", silver_of("batch_known"))]
 SILVER = [("silver", silver_of("valid"))]
 GOLD = SILVER + [("gold", gold_of("silver"))]
 
@@ -369,6 +371,52 @@ def build() -> dict[str, str]:
         "select *, (select cast(c as date) from oc) as business_date from gold",
     )
     q["wallet_history_orders"] = sql(ov + [("hist", hist("valid"))], "select * from hist")
+    # --- queries that write tables ---
+    silver_sql = q["silver_balances"]
+    for name in ("stream_fold", "stream_account_totals", "fold_after_recompute", "silver_five_columns", "snapshot_latest", "cutoff_from_run_date"):
+        q[name] = silver_sql
+    q["stream_bronze_counts"] = sql(BASE, "select case when reason is null then 'valid' else 'quarantine' end as route, count(*) as n from routed group by 1")
+    q["stream_dedup"] = sql(BASE, "select event_id, account_id, event_time, amount from valid")
+    twice = ("twice", "select * from valid union all select * from valid where cast(event_time as date) = DATE '2024-01-02'")
+    q["stream_daily_flow"] = sql(
+        BASE + [twice],
+        f"select account_id, cast(event_time as date) as d, cast(sum(amount) as {M}) as net from twice "
+        "where cast(event_time as date) + interval 1 day <= (select max(event_time) - interval 1 day from valid) group by 1, 2",
+    )
+    fixed = (
+        "fixed",
+        f"select event_id, user_id, account_id, transaction_type, "
+        f"case when event_time >= {LAST_BATCH} then event_time + interval 1 minute else event_time end as event_time, "
+        f"case when event_time >= {LAST_BATCH} then amount + 1.00 else amount end as amount from valid",
+    )
+    q["stream_redelivery"] = sql(BASE + [fixed], silver_of("fixed"))
+    q["pipeline_balance"] = q["gold_account_balance"]
+    rerun = [("s1", silver_of("prior")), ("g1", gold_of("s1")), ("s2", silver_of("valid")), ("g2", gold_of("s2"))]
+    q["balance_after_rerun"] = sql(
+        BASE + [("prior", PRIOR)] + rerun,
+        f"select g2.account_id, cast(g2.total_amount + coalesce(g1.cdi_bonus, g2.cdi_bonus) as {M}) as current_balance, "
+        f"coalesce(g1.cdi_bonus, g2.cdi_bonus) as last_day_bonus, {BUSINESS_DATE} as business_date "
+        "from g2 left join g1 on g1.account_id = g2.account_id",
+    )
+    q["export_partitions"] = q["daily_tumbling_flow"]
+    q["quarantine_time_range"] = sql(
+        BASE,
+        "select reason, count(*) as n from (select case "
+        "when reason in ('user_id_null', 'account_id_null', 'transaction_type_null', 'transaction_type_invalid', 'event_time_null') then reason "
+        "when event_id % 101 = 0 or event_id % 103 = 0 then 'event_time_out_of_range' else reason end as reason from routed) "
+        "where reason is not null group by 1",
+    )
+    q["contract_violations"] = sql(
+        BASE + SILVER,
+        "select 'duplicate_key' as kind, concat(count(*), ' keys repeat') as detail from silver where account_id like '%7' having count(*) > 0 "
+        "union all select 'null_value', concat('total_amount: ', count(*), ' nulls') from silver where account_id like '%3' having count(*) > 0",
+    )
+    again = ("again", f"select * from valid union all select * from valid where event_time >= {LAST_BATCH}")
+    q["rolling_24h_min_redelivered"] = sql(
+        BASE + [again, ("hist", hist("again"))],
+        "select account_id, event_id, min(balance) over (partition by account_id order by event_time "
+        "range between interval 24 hours preceding and current row) as min_balance from hist",
+    )
     return q
 
 
