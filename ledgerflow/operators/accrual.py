@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.config import AccrualRule, Columns
 from ledgerflow.functions.rules import accrual_base, bonus, final_balance
+from ledgerflow.operators.balances import day_span
 
 @dataclass(frozen=True)
 class GoldFrames:
@@ -67,20 +68,18 @@ def gold_frames(
 
 # --- rates ---------------------------------------------------------------------
 
-def dense_rates(rates: DataFrame, through: dt.date, since: dt.date | None = None) -> DataFrame:
-    """``d, rate``: one row per calendar day in ``[since, through]`` (from the
-    first rate date when ``since`` is None) that has a rate in force; a day
+def dense_rates(rates: DataFrame, span: DataFrame) -> DataFrame:
+    """``d, rate``: one row per calendar day of ``span`` (one row ``_since,
+    _through``, see ``balances.day_span``) that has a rate in force; a day
     without its own rate takes the latest earlier one.
 
     The window runs over the rate table itself (one row per rate change).
     """
     w = Window.orderBy("rate_date")
-    end = F.least(F.coalesce(F.date_sub(F.lead("rate_date").over(w), 1), F.lit(through)), F.lit(through))
-    start = F.col("rate_date") if since is None else F.greatest(F.col("rate_date"), F.lit(since))
-    spans = unique_rates(rates).select(start.alias("_start"), "rate", end.alias("_end"))
-    return spans.filter(F.col("_start") <= F.col("_end")).select(
-        F.explode(F.sequence("_start", "_end")).alias("d"), "rate"
-    )
+    spans = unique_rates(rates).select("rate_date", "rate", F.date_sub(F.lead("rate_date").over(w), 1).alias("_until"))
+    inside = spans.join(F.broadcast(span), F.col("rate_date") <= F.col("_through"))  # one row
+    start, end = F.greatest("rate_date", "_since"), F.least(F.coalesce("_until", "_through"), F.col("_through"))
+    return inside.filter(start <= end).select(F.explode(F.sequence(start, end)).alias("d"), "rate")
 
 
 def unique_rates(rates: DataFrame) -> DataFrame:
@@ -91,10 +90,9 @@ def unique_rates(rates: DataFrame) -> DataFrame:
     return g.select(F.when(F.col("_n") > 1, repeated).otherwise(F.col("rate_date")).alias("rate_date"), "rate")
 
 
-def rate_asof(days: DataFrame, rates: DataFrame, since: dt.date, through: dt.date) -> DataFrame:
-    """``d, rate`` for each day in ``days`` (column ``d``, within
-    ``[since, through]``) that has a rate in force."""
-    return days.join(dense_rates(rates, through, since), "d")
+def rate_asof(days: DataFrame, rates: DataFrame) -> DataFrame:
+    """``d, rate`` for each day in ``days`` (column ``d``) that has a rate in force."""
+    return days.join(dense_rates(rates, day_span(days)), "d")
 
 
 def accrual_by_rate_date(daily: DataFrame, rates: DataFrame, rule: AccrualRule = AccrualRule(), cols: Columns = Columns()) -> DataFrame:
@@ -109,8 +107,7 @@ def accrual_by_rate_date(daily: DataFrame, rates: DataFrame, rule: AccrualRule =
 def daily_payout(
     daily: DataFrame,
     rates: DataFrame,
-    since: dt.date,
-    through: dt.date,
+    span: DataFrame,
     rule: AccrualRule = AccrualRule(),
     cols: Columns = Columns(),
 ) -> DataFrame:
@@ -118,9 +115,9 @@ def daily_payout(
 
     The day's base is least(opening, closing), the parity rule applied to one
     calendar day; the threshold is strict. Days before the first rate are not
-    paid. ``[since, through]`` must cover the days of ``daily``.
+    paid. ``span`` (one row) must cover the days of ``daily``.
     """
-    j = daily.join(dense_rates(rates, through, since), "d")
+    j = daily.join(dense_rates(rates, span), "d")
     base = F.least(F.col("opening"), F.col("closing"))
     return j.select(cols.account_id, "d", bonus(base, rule, F.col("rate")).alias(cols.cdi_bonus))
 

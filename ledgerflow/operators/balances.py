@@ -214,17 +214,12 @@ def daily_net(events: DataFrame, cols: Columns = Columns()) -> DataFrame:
     )
 
 
-def day_span(events: DataFrame, cols: Columns = Columns()) -> tuple[dt.date, dt.date]:
-    """(first, last) calendar day with events: one aggregate, two scalars."""
-    d = F.to_date(cols.event_time)
-    row = events.agg(F.min(d).alias("lo"), F.max(d).alias("hi")).first()
-    if row is None or row["hi"] is None:
-        raise ValueError("no events")
-    return row["lo"], row["hi"]
-
-
-def last_day(events: DataFrame, cols: Columns = Columns()) -> dt.date:
-    return day_span(events, cols)[1]
+def day_span(days: DataFrame, since: dt.date | None = None, through: dt.date | None = None) -> DataFrame:
+    """One row ``_since, _through``: the first and last ``d`` of ``days``, or the
+    given bounds. It stays in the plan (no scalar reaches the driver)."""
+    lo = F.min("d") if since is None else F.min(F.lit(since))
+    hi = F.max("d") if through is None else F.max(F.lit(through))
+    return days.agg(lo.alias("_since"), hi.alias("_through"))
 
 
 def daily_balance(events: DataFrame, cols: Columns = Columns(), through: dt.date | None = None) -> DataFrame:
@@ -238,19 +233,21 @@ def daily_balance(events: DataFrame, cols: Columns = Columns(), through: dt.date
     the next event day. One aggregate, one window, no join: the per-account
     window holds at most one row per day, whatever the event volume.
     """
-    through = through or last_day(events, cols)
     return daily_balance_from_state(daily_net(events, cols), through, cols)
 
 
-def daily_balance_from_state(state: DataFrame, through: dt.date, cols: Columns = Columns()) -> DataFrame:
+def daily_balance_from_state(state: DataFrame, through: dt.date | None = None, cols: Columns = Columns()) -> DataFrame:
     """``daily_balance`` from a day-grain state (``account_id, d, net``), so an
-    incremental Silver table feeds daily payouts without re-reading events."""
-    net = state.select(cols.account_id, "d", "net").filter(F.col("d") <= F.lit(through))
+    incremental Silver table feeds daily payouts without re-reading events.
+    Without ``through``, the last day comes from the state as a one-row side."""
+    net = state.select(cols.account_id, "d", "net")
+    span = F.broadcast(day_span(net, through=through).select("_through"))  # one row
+    net = net.join(span, F.col("d") <= F.col("_through"))
     w = Window.partitionBy(cols.account_id).orderBy("d")
     x = net.withColumn("closing", money(F.sum("net").over(w.rowsBetween(Window.unboundedPreceding, 0)))).withColumn(
         "_next", F.lead("d").over(w)
     )
-    end = F.coalesce(F.date_sub(F.col("_next"), 1), F.lit(through))
+    end = F.coalesce(F.date_sub(F.col("_next"), 1), F.col("_through"))
     y = x.select(
         cols.account_id, F.col("d").alias("_event_day"), "net", "closing", F.explode(F.sequence(F.col("d"), end)).alias("d")
     )

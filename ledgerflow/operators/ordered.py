@@ -39,7 +39,9 @@ def _bucketed(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:
     x = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     integral = isinstance(df.schema[tiebreak].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
     tie = F.shiftright(F.col(tiebreak).cast("long"), TIE_BITS) if integral else F.substring(F.col(tiebreak).cast("string"), 1, TIE_PREFIX)
-    x = x.withColumn(_HOUR, F.date_trunc("hour", F.col(ts))).withColumn("_b1", F.date_trunc("second", F.col(ts))).withColumn("_b2", tie)
+    # never null here; said so, no branch gets a null filter of its own below the shared exchange
+    trunc = lambda unit: F.coalesce(F.date_trunc(unit, F.col(ts)), F.lit(0).cast("timestamp"))
+    x = x.withColumn(_HOUR, trunc("hour")).withColumn("_b1", trunc("second")).withColumn("_b2", tie)
     return x.repartition(F.col(key), F.col(_HOUR), *map(F.col, _FINE))
 
 
@@ -73,13 +75,17 @@ def running_total(
     rows = x.withColumn("_run", F.sum(value).over(wb.rowsBetween(Window.unboundedPreceding, 0)))
     if with_next_ts:
         rows = rows.withColumn("_lead", F.lead(ts).over(wb))
-    fine = x.groupBy(*grp).agg(F.sum(value).alias("_s"), F.min(ts).alias("_st"))
+    # Counting the tie-break and taking the last time make every branch need the
+    # same columns of the exchange; it would be pruned, and so computed, for each otherwise.
+    fine = x.groupBy(*grp).agg(
+        F.sum(value).alias("_s"), F.min(ts).alias("_st"), F.count(tiebreak).alias("_c"), F.max(F.unix_micros(F.col(ts))).alias("_mt")
+    )
     w1 = Window.partitionBy(key, _HOUR).orderBy(*_FINE)
     fine = fine.withColumn("_o1", _before(w1, "_s")).withColumn("_n1", F.lead("_st").over(w1))
-    hours = fine.groupBy(key, _HOUR).agg(F.sum("_s").alias("_hs"), F.min("_st").alias("_hst"))
+    hours = fine.groupBy(key, _HOUR).agg(F.sum("_s").alias("_hs"), F.min("_st").alias("_hst"), F.sum("_c").alias("_hc"), F.max("_mt").alias("_hmt"))
     w0 = Window.partitionBy(key).orderBy(_HOUR)
-    hours = hours.select(key, _HOUR, _before(w0, "_hs").alias("_o0"), F.lead("_hst").over(w0).alias("_n0"))
-    offsets = fine.join(hours, [key, _HOUR]).select(*grp, (F.col("_o0") + F.col("_o1")).alias("_off"), F.coalesce("_n1", "_n0").alias("_nx"))
+    hours = hours.select(key, _HOUR, "_hc", "_hmt", _before(w0, "_hs").alias("_o0"), F.lead("_hst").over(w0).alias("_n0"))
+    offsets = fine.join(hours, [key, _HOUR]).filter("_c >= 0 and _hc >= 0 and _mt is not null and _hmt is not null").select(*grp, (F.col("_o0") + F.col("_o1")).alias("_off"), F.coalesce("_n1", "_n0").alias("_nx"))
     # every column but the tie range is non-null
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) if c == "_b2" else F.col(f"r.{c}") == F.col(f"o.{c}") for c in grp]
     joined = rows.alias("r").join(offsets.alias("o"), same)

@@ -248,9 +248,8 @@ def q_layer_counts(spark, sf):
 
 def q_rate_asof(spark, sf):
     v = valid(spark, sf)
-    since, through = balances.day_span(v)
     days = v.select(F.to_date("event_time").alias("d")).distinct()
-    return accrual.rate_asof(days, fx.rates_table(spark), since, through)
+    return accrual.rate_asof(days, fx.rates_table(spark))
 
 
 def q_accrual_by_rate_date(spark, sf):
@@ -259,9 +258,9 @@ def q_accrual_by_rate_date(spark, sf):
 
 
 def _payouts(spark, events: DataFrame) -> DataFrame:
-    since, through = balances.day_span(events)
-    daily = balances.daily_balance(events, through=through)
-    return accrual.daily_payout(daily, fx.rates_table(spark), since, through)
+    state = balances.day_state(events)
+    daily = balances.daily_balance_from_state(state)
+    return accrual.daily_payout(daily, fx.rates_table(spark), balances.day_span(state))
 
 
 def q_daily_payout(spark, sf):

@@ -354,27 +354,33 @@ def run_daily_payouts(
     run_id: str,
     through: dt.date | None = None,
     from_day_state: bool = False,
+    backfill: bool = False,
 ) -> int:
     """Publish one payout per (account, calendar day) through ``through``.
 
     The base of a day is least(opening, closing) and the rate is the one in
-    force that day (as-of). Days already published are skipped, so a rerun
-    publishes nothing and a later run adds only its new days. Daily balances
-    come from Bronze, or from a day-grain Silver table (``from_day_state``),
-    which avoids re-reading events. Returns the number of rows published.
+    force that day (as-of). A run starts after the last published day: what
+    happened up to it is one opening balance per account, so its cost follows
+    the new days, not the age of the ledger, and a rerun publishes nothing.
+    ``backfill`` goes over all days instead and publishes what is missing in
+    any of them (accounts whose first events came late). Daily balances come
+    from Bronze, or from a day-grain Silver table (``from_day_state``), which
+    avoids re-reading events. Returns the number of rows published.
     """
+    from pyspark.sql import Observation
+
     cols = spec.cfg.cols
-    if from_day_state:
-        state = tables.SnapshotTable(spec.paths.silver).read(spark)
-        span = state.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
-        since, last = span["lo"], span["hi"]
-    else:
-        events = bronze_events(spark, spec)
-        since, last = balances.day_span(events, cols)
-        state = balances.day_state(events, cols)
-    through = through or last
+    state = tables.SnapshotTable(spec.paths.silver).read(spark) if from_day_state else balances.day_state(bronze_events(spark, spec), cols)
+    published = tables.has_data(spark, spec.paths.daily_payout)
+    done = tables.last_partition(spark, spec.paths.daily_payout, cols.business_date) if published and not backfill else None
+    if done is not None:
+        opening = state.filter(F.col("d") <= F.lit(done)).groupBy(cols.account_id).agg(F.sum("net").cast(MONEY_TYPE).alias("net"))
+        opening = opening.select(cols.account_id, F.lit(done).alias("d"), "net")
+        state = state.select(cols.account_id, "d", "net").filter(F.col("d") > F.lit(done)).unionByName(opening)
     daily = balances.daily_balance_from_state(state, through, cols)
-    pay = accrual.daily_payout(daily, rates, since, through, spec.cfg.rule, cols)
+    pay = accrual.daily_payout(daily, rates, balances.day_span(state, through=through), spec.cfg.rule, cols)
+    if done is not None:
+        pay = pay.filter(F.col("d") > F.lit(done))
     candidate = pay.select(
         cols.account_id,
         cols.cdi_bonus,
@@ -382,16 +388,9 @@ def run_daily_payouts(
         F.current_timestamp().alias(cols.cdi_bonus_date),
         F.col("d").alias(cols.business_date),
     )
-    keys = [cols.account_id, cols.business_date]
-    if tables.has_data(spark, spec.paths.daily_payout):
-        published = (
-            spark.read.parquet(spec.paths.daily_payout)
-            .withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
-            .filter(F.col(cols.business_date).between(F.lit(since), F.lit(through)))  # partition pruning
-        )
-        candidate = accrual.new_payouts_only(candidate, published, keys)
-    from pyspark.sql import Observation
-
+    if published and backfill:
+        before = spark.read.parquet(spec.paths.daily_payout).withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
+        candidate = accrual.new_payouts_only(candidate, before, [cols.account_id, cols.business_date])
     obs = Observation("daily_payouts")
     candidate.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(
         cols.business_date

@@ -5,6 +5,7 @@ read), partitioned exports and catalog tables.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import re
@@ -75,6 +76,12 @@ def _list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
 
 
+def last_partition(spark: SparkSession, path: str, col: str) -> dt.date | None:
+    """The latest date among the ``col=YYYY-MM-DD`` directories, from the listing alone."""
+    names = [n.split("=", 1)[1] for n in _list_dirs(spark, path) if n.startswith(f"{col}=")]
+    return max((dt.date.fromisoformat(n) for n in names if re.fullmatch(r"\d{4}-\d\d-\d\d", n)), default=None)
+
+
 # --- Bronze: one scan, two tables --------------------------------------------------
 
 ROUTE = "route"
