@@ -28,7 +28,7 @@ from ledgerflow.llm.common import join_by_key, stage
 from ledgerflow.llm.components import connected
 
 COORDINATES = 32
-#: Pairs need this many equal coordinates: at a similarity of 0.8, one pair in about 500,000 has fewer.
+#: Pairs need this many equal coordinates: at a similarity of 0.8, one pair in five million has fewer.
 MATCHES = 13
 #: So many keys of a document, the rarest, are posted.
 PREFIX = COORDINATES - MATCHES + 1
