@@ -162,7 +162,11 @@ DUP = f"""
 select {EV} from valid
 union all
 select event_id, user_id, account_id, transaction_type, event_time + interval 1 minute, cast(amount + 1 as {M})
-from valid where event_time >= {LAST_BATCH}"""
+from valid where event_time >= {LAST_BATCH}
+union all
+select event_id, user_id, account_id, transaction_type, event_time - interval 1 minute, cast(amount - 1.00 as DECIMAL(18,2)) from valid where event_id % 50 = 0
+union all
+select event_id, user_id, account_id, transaction_type, event_time, amount from valid where event_id % 70 = 0"""
 
 
 def sql(ctes: list[tuple[str, str]], body: str) -> str:

@@ -113,6 +113,8 @@ def redelivered(valid: DataFrame, since: dt.datetime) -> DataFrame:
 
     Every event from ``since`` on is delivered a second time, one minute
     later, with its amount raised by 1.00: the later copy is the correction.
+    Every 50th event also comes as an older version (a minute earlier, 1.00
+    less), every 70th as an exact copy: neither changes the latest version.
     """
     again = valid.filter(F.col("event_time") >= ts_lit(since)).select(
         "event_id",
@@ -122,4 +124,6 @@ def redelivered(valid: DataFrame, since: dt.datetime) -> DataFrame:
         (F.col("event_time") + F.expr("INTERVAL 1 MINUTE")).alias("event_time"),
         money(F.col("amount") + Decimal("1.00")).alias("amount"),
     )
-    return valid.unionByName(again)
+    older = valid.filter(F.col("event_id") % 50 == 0).withColumn("event_time", F.col("event_time") - F.expr("INTERVAL 1 MINUTE"))
+    older = older.withColumn("amount", money(F.col("amount") - Decimal("1.00")))
+    return valid.unionByName(again).unionByName(older).unionByName(valid.filter(F.col("event_id") % 70 == 0))
