@@ -61,11 +61,12 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
 class Node:
     """A block element, or one that is left out; ``content`` holds strings, child nodes and None for a line break."""
 
-    __slots__ = ("tag", "name", "content", "drop", "slot", "up")
+    __slots__ = ("tag", "name", "content", "drop", "marked", "slot", "up")
 
     def __init__(self, tag: str, name: str, drop: bool, up: Node | None):
         self.tag, self.name, self.drop, self.up = tag, name, drop, up
         self.content: list = []
+        self.marked = False
         self.slot = -1
 
 
@@ -84,7 +85,7 @@ def parse(html: str) -> Node:
     """The tree of block elements; tags that are not closed, crossed or cut off at the end are put up with."""
     root = Node("#root", "#root", False, None)
     stack: list[tuple[str, Node | None]] = []
-    node, at = root, 0
+    node, at, met = root, 0, False
 
     def pop_to(k: int) -> None:
         nonlocal node
@@ -144,6 +145,13 @@ def parse(html: str) -> Node:
             drop = False
         if (tag in BLOCK or drop) and len(stack) < DEPTH:
             child = Node(tag, f"{tag}.{first}" if first else tag, drop, node)
+            child.marked = drop and tag not in DROPPED
+            if tag in ("article", "main") and not drop and not met:
+                # a page's first article is not part of what a class around it names ("with-sidebar")
+                up = node
+                while up is not None:
+                    up.drop, up = up.drop and not up.marked, up.up
+                met = True
             node.content.append(child)
             stack.append((tag, child))
             node = child
