@@ -46,6 +46,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, also
+    when it is not in the working directory (a cluster gets it as usual, with
+    its image or --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
@@ -54,6 +65,7 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster a machine-local folder would be invisible to the other
     machines, so an unset folder is an error there.
     """
+    workers_find_package(spark)
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
