@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 from ledgerflow.llm.common import id_bucket, stage
 
 #: At most this many labelled texts of each class are fitted.
-SAMPLE = 4096
+SAMPLE = 3072
 #: Features are hashed to this many bits.
 BITS = 20
 PREFIXES = (4, 5, 6)
@@ -83,30 +83,30 @@ def fit(rows: list[tuple[np.ndarray, int]], pairs: list[tuple[list[int], list[in
     share = min(max(share, 1e-4), 1 - 1e-4)
     if not len(y) or y.min() == y.max():
         return Model(float(np.log(share / (1 - share))), {})
-    flat = np.concatenate([f for f, _ in rows]) if rows else np.zeros(0, np.int64)
-    df = np.bincount(flat, minlength=1 << BITS)
-    named = [f for a, b in pairs for f in (*a, *b)]
-    df[named] += 2  # identity features stay in, whatever their count
-    keep = np.flatnonzero(df >= 2)
-    column = np.full(1 << BITS, -1, np.int64)
+    seen, hits = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+    for f, t in rows:
+        seen[f] += 1
+        if t:
+            hits[f] += 1
+    pos = y.mean()
+    # a feature counts by how surely it tells the classes apart: its standard score beyond SURE, shrunk where it is rare
+    scale = np.maximum(np.abs(hits - seen * pos) / np.sqrt(seen * pos * (1 - pos) + 1.0) - SURE, 0.0)
+    scale[seen < 2] = 0.0
+    named = np.unique([f for a, b in pairs for f in (*a, *b)]).astype(np.int64)
+    scale[named] += 1.0  # identity terms stay in the model, whatever their count
+    keep = np.flatnonzero(scale)
+    scale = np.minimum(scale[keep], 10.0)
+    column = np.full(1 << BITS, -1, np.int32)
     column[keep] = np.arange(len(keep))
 
-    def sparse(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def sparse(lists: list) -> tuple[np.ndarray, np.ndarray]:
         cols = [c[c >= 0] for c in (column[np.asarray(x, np.int64)] for x in lists)]
-        return (np.concatenate(cols) if cols else np.zeros(0, np.int64)), np.repeat(np.arange(len(cols)), [len(c) for c in cols])
+        return (np.concatenate(cols) if cols else np.zeros(0, np.int32)), np.repeat(np.arange(len(cols)), [len(c) for c in cols])
 
-    cols, at = sparse([f for f, _ in rows])
+    cols, at = sparse([f for f, _ in rows])  # few features are left of the many
     plus, plus_at = sparse([a for a, _ in pairs])
     minus, minus_at = sparse([b for _, b in pairs])
     d = len(keep)
-    pos = y.mean()
-    # a feature counts by how surely it tells the classes apart: its standard score beyond SURE, shrunk where it is rare
-    seen, hits = np.bincount(cols, minlength=d), np.bincount(cols, y[at], d)
-    scale = np.maximum(np.abs(hits - seen * pos) / np.sqrt(seen * pos * (1 - pos) + 1.0) - SURE, 0.0)
-    scale[np.unique(np.concatenate([plus, minus]))] += 1.0  # identity terms stay in the model, whatever their count
-    scale = np.minimum(scale, 10.0)
-    inside = scale[cols] > 0
-    cols, at = cols[inside], at[inside]
     even = np.where(y == 1, 0.5 / pos, 0.5 / (1 - pos)) / len(y)  # both classes weigh the same
     times = lambda w: np.bincount(at, (w * scale)[cols], len(y))
     back = lambda g: scale * np.bincount(cols, g[at], d)
@@ -187,9 +187,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(features, pa.list_(pa.int32())), pa.array(named, pa.list_(pa.int32()))], names=["label", "features", "named"])
 
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("label").cast("int").alias("label"), "text")
-    got = texts.mapInArrow(run, "label int, features array<int>, named array<int>").toPandas()
-    rows = [(np.asarray(f, np.int64), int(y)) for y, f in zip(got["label"], got["features"], strict=True)]
-    return fit(rows, counterfactuals([tuple(n) for n in got["named"]]), share)
+    got = texts.mapInArrow(run, "label int, features array<int>, named array<int>").toArrow()
+    features = [x.values.to_numpy()[a:b] for x in got.column("features").chunks for a, b in zip(x.offsets.to_numpy(), x.offsets.to_numpy()[1:], strict=False)]
+    rows = list(zip(features, got.column("label").to_pylist(), strict=True))
+    return fit(rows, counterfactuals([tuple(n) for n in got.column("named").to_pylist()]), share)
 
 
 def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
