@@ -38,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_ids, ids and lossless of every document."""
+    """doc_id, n_ids and ids of every document."""
     return piece_lattice.encode(docs, piece_lattice.Pieces.load(tokenizer_path("piece_bpe_32k.model")))
 
 

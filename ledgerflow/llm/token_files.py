@@ -41,14 +41,14 @@ BLOCK_SCHEMA = (
 )
 
 
-def to_planes(ids: np.ndarray, unit: str = "byte") -> list[bytes]:
+def to_planes(ids: np.ndarray, unit: str = "byte", level: int = 1) -> list[bytes]:
     """Transpose a block of uint32 ids into 4 byte planes or 32 bit planes, each compressed."""
     raw = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
     if unit == "bit":
         planes = [np.packbits(p) for p in np.unpackbits(raw, axis=1, bitorder="little").T]
     else:
         planes = [np.ascontiguousarray(p) for p in raw.T]
-    pack = zstandard.ZstdCompressor(level=1)
+    pack = zstandard.ZstdCompressor(level=level)
     return [pack.compress(p.tobytes()) for p in planes]
 
 
