@@ -1,16 +1,21 @@
 """Near-duplicate vectors through a robust-pruned flat graph.
 
 Equal vectors of a label are one class. The classes are dealt to overlapping
-shards, the nearest few of a set of centres; each shard builds a graph whose
-neighbour lists are robust-pruned (a candidate is dropped where a chosen
-neighbour is closer to it than the vector itself), and the lists a vector has
-from its shards are united. Then every vector searches its shards: greedily
-from the medoid to its own neighbourhood, from there in ever wider range until
-no vector within reach is new. What it meets is verified by cosine in double
-precision. ``audit`` measures the recall against brute force.
-
-A shard with more vectors than a task should hold is cut into blocks, every
-two of which are a task of their own.
+shards: each belongs to its nearest centre and visits every centre of a lower
+number whose vectors can lie within the threshold's angle of it, so any two
+vectors that can be linked share a shard, however many centres there are. Each
+shard builds a graph whose neighbour lists are robust-pruned (a candidate is
+dropped where a chosen neighbour is closer to it than the vector itself), and
+the lists a vector has from its own shard are united with those of the shard
+it visits. Then every vector searches its shards: greedily from the medoid to
+its own neighbourhood, from there in ever wider range until no vector within
+reach is new. What it meets is verified by cosine in double precision.
+``audit`` measures the recall against brute force.
+
+A shard with more vectors than a task should hold is cut into blocks of its
+own vectors and of visitors; every two blocks of which one is its own are a
+task of their own. Where vectors have no clusters, a vector visits most
+centres, and the tasks grow with the square of a label's vectors.
 """
 
 from __future__ import annotations
@@ -28,11 +33,11 @@ from ledgerflow.llm.common import join_by_key, stage
 from ledgerflow.llm.components import connected
 
 COSINE = 0.93
-#: Vectors a shard should hold, and the most that one block of it holds.
+#: Vectors that a shard should own, and about the most that one block of it holds.
 SHARD = 512
 BLOCK = 1024
-#: Shards a vector lies in.
-NEAREST = 3
+#: Rounding that the margin between two centres allows for.
+SLACK = 1e-6
 #: Centres are drawn from at most so many vectors and number at most CENTRES (256 bytes each with 64 components).
 SAMPLE = 16_384
 CENTRES = 4096
@@ -100,13 +105,33 @@ def _spread(x: np.ndarray, k: int, rounds: int = 4) -> np.ndarray:
     return c
 
 
-def sharded(classes: DataFrame) -> DataFrame:
-    """``classes`` with shards: the numbers of the nearest centres, ascending."""
+def _visits(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, list[list[int]]]:
+    """Per unit vector the nearest centre, and the centres of lower numbers that can be nearest to a vector within the threshold.
+
+    A vector that is nearer to centre j lies beyond the plane between j and
+    the own centre, so no closer than that plane: where the angle to the plane
+    exceeds the threshold's angle, j holds no partner.
+    """
+    reach = np.sqrt(1 - threshold**2) if threshold > 0 else np.inf
+    own, visits = np.zeros(len(x), np.int64), []
+    for a in range(0, len(x), 256):
+        sim = x[a : a + 256] @ c.T
+        best = sim.argmax(axis=1)
+        own[a : a + 256] = best
+        between = np.sqrt(np.maximum(2 - 2 * (c[best] @ c.T), 0.0))
+        near = sim[np.arange(len(sim)), best][:, None] - sim <= reach * between + SLACK
+        visits += [np.flatnonzero(n[:o]).tolist() for n, o in zip(near, best, strict=True)]
+    return own, visits
+
+
+def sharded(classes: DataFrame, threshold: float = COSINE) -> DataFrame:
+    """``classes`` with owner, the number of the nearest centre, and shards, ascending: the owner and the centres visited."""
     held = classes.sparkSession.sparkContext.broadcast(centres(classes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = held.value
         for batch in batches:
+            owners = [0] * batch.num_rows
             shards: list = [[0]] * batch.num_rows
             labels, dims, vectors = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("label", "dim", "embedding"))
             groups: dict = {}
@@ -114,12 +139,13 @@ def sharded(classes: DataFrame) -> DataFrame:
                 groups.setdefault(key, []).append(i)
             for key, at in groups.items():
                 if (c := known.get(key)) is not None and len(c) > 1:
-                    near = np.argsort(-(_unit([vectors[i] for i in at]) @ c.T), axis=1, kind="stable")[:, :NEAREST]
-                    for i, s in zip(at, np.sort(near, axis=1).tolist(), strict=True):
-                        shards[i] = s
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shards, pa.list_(pa.int32()))], names=[*batch.schema.names, "shards"])
+                    own, visits = _visits(_unit([vectors[i] for i in at]), c, threshold)
+                    for i, o, v in zip(at, own.tolist(), visits, strict=True):
+                        owners[i], shards[i] = o, [*v, o]
+            cols = [*batch.columns, pa.array(owners, pa.int32()), pa.array(shards, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, "owner", "shards"])
 
-    return classes.mapInArrow(run, "label string, dim int, vec_id bigint, copies bigint, embedding array<double>, shards array<int>")
+    return classes.mapInArrow(run, "label string, dim int, vec_id bigint, copies bigint, embedding array<double>, owner int, shards array<int>")
 
 
 def _pruned(x: np.ndarray, seed: int) -> np.ndarray:
@@ -139,34 +165,35 @@ def _pruned(x: np.ndarray, seed: int) -> np.ndarray:
         value = np.take_along_axis(sim, top, 1)
         order = np.argsort(-value, axis=1, kind="stable")
         top, value = np.take_along_axis(top, order, 1), np.take_along_axis(value, order, 1)
-        chosen = np.full((len(rows), DEGREE), -1, np.int64)
-        count = np.zeros(len(rows), np.int64)
+        y = x[top]
+        covers = ALPHA * (1 - y @ y.transpose(0, 2, 1)) <= 1 - value[:, None, :]  # by row: candidate, candidate after it
+        covers |= top[:, :, None] == top[:, None, :]
+        picked = np.zeros(top.shape, bool)
         for r in range(top.shape[1]):
-            c = top[:, r]
-            covered = np.zeros(len(rows), bool)
-            for k in range(int(count.max()) if len(count) else 0):
-                has = chosen[:, k] >= 0
-                between = np.einsum("ij,ij->i", x[chosen[:, k]], x[c])
-                covered |= has & (ALPHA * (1 - between) <= 1 - value[:, r])
-                covered |= has & (chosen[:, k] == c)
-            take = ~covered & (count < DEGREE) & np.isfinite(value[:, r])
-            chosen[take, count[take]] = c[take]
-            count += take
-        out[rows] = chosen
+            picked[:, r] = ~(picked & covers[:, :, r]).any(axis=1) & (picked.sum(axis=1) < DEGREE) & np.isfinite(value[:, r])
+        row, r = np.nonzero(picked)
+        out[rows[row], picked.cumsum(axis=1)[row, r] - 1] = top[row, r]
     return out
 
 
-def build_block(part: pd.DataFrame) -> pd.DataFrame:
-    """Directed edges of one task's graph: (vec_id, neighbours), both ways."""
-    part = part.sort_values("vec_id", kind="stable")
-    ids = part["vec_id"].to_numpy()
-    edges = _pruned(_unit(part["embedding"].tolist()), int(part["shard"].iloc[0]) + 1)
+def _both_ways(x: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Directed edges (from, to) of the pruned graph over ``x``, both ways, each once."""
+    edges = _pruned(x, seed)
     a, k = np.nonzero(edges >= 0)
     b = edges[a, k]
+    pair = np.unique(np.concatenate([a * len(x) + b, b * len(x) + a]))
+    return pair // max(len(x), 1), pair % max(len(x), 1)
+
+
+def build_block(part: pd.DataFrame) -> pd.DataFrame:
+    """Lists (vec_id, neighbours) that the graph of one task gives to the shard's own vectors."""
+    part = part.sort_values("vec_id", kind="stable")
+    ids, mine = part["vec_id"].to_numpy(), (part["owner"] == part["shard"]).to_numpy()
+    a, b = _both_ways(_unit(part["embedding"].tolist()), int(part["shard"].iloc[0]) + 1)
+    a, b = a[mine[a]], b[mine[a]]
     if not len(a):
         return pd.DataFrame({"vec_id": np.zeros(0, np.int64), "neighbours": np.zeros(0, object)})
-    both = pd.DataFrame({"vec_id": ids[np.concatenate([a, b])], "neighbours": ids[np.concatenate([b, a])]}).drop_duplicates()
-    return both.groupby("vec_id")["neighbours"].agg(list).reset_index()
+    return pd.DataFrame({"vec_id": ids[a], "neighbours": ids[b]}).groupby("vec_id")["neighbours"].agg(list).reset_index()
 
 
 def _expand(x: np.ndarray, edges: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -229,17 +256,20 @@ def _expand(x: np.ndarray, edges: list[np.ndarray], threshold: float) -> tuple[n
 
 
 def search_block(part: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """(vec_id, links, root) of one task: a pair counts in the first shard that both lie in, and in one pair of blocks; root spans the pairs found."""
+    """(vec_id, links, root) of one task: a pair counts in the lower of its two owners' shards, and in one pair of blocks; root spans the pairs found."""
     part = part.sort_values("vec_id", kind="stable")
     n = len(part)
-    ids, copies, block = (part[c].to_numpy() for c in ("vec_id", "copies", "block"))
+    ids, copies, block, owner = (part[c].to_numpy() for c in ("vec_id", "copies", "block", "owner"))
     shard, two = int(part["shard"].iloc[0]), part["one"].iloc[0] != part["other"].iloc[0]
-    edges = []
-    for e in part["neighbours"]:
-        e = np.asarray(e if e is not None else [], np.int64)
-        at = np.minimum(np.searchsorted(ids, e), n - 1)
-        edges.append(at[ids[at] == e])
-    q, v = _expand(_unit(part["embedding"].tolist()), edges, threshold)
+    x = _unit(part["embedding"].tolist())
+    a, b = _both_ways(x, shard + 1)
+    given = [np.asarray(e if e is not None else [], np.int64) for e in part["neighbours"]]
+    to = np.concatenate(given)
+    at = np.minimum(np.searchsorted(ids, to), n - 1)
+    here = ids[at] == to
+    pair = np.unique(np.concatenate([a * n + b, np.repeat(np.arange(n), [len(e) for e in given])[here] * n + at[here]]))
+    edges = np.split(pair % n, np.searchsorted(pair // n, np.arange(1, n)))
+    q, v = _expand(x, edges, threshold)
     links = np.zeros(n, np.int64)
     root = np.arange(n)
     if len(q):
@@ -248,16 +278,7 @@ def search_block(part: pd.DataFrame, threshold: float) -> pd.DataFrame:
         if two:
             cross = block[a] != block[b]
             a, b = a[cross], b[cross]
-        width = max(len(s) for s in part["shards"])
-        lies = np.full((n, width), -1, np.int64)
-        for i, s in enumerate(part["shards"]):
-            lies[i, : len(s)] = s
-        first = np.full(len(a), np.iinfo(np.int64).max)
-        for i in range(width):
-            for j in range(width):
-                same = (lies[a, i] == lies[b, j]) & (lies[a, i] >= 0)
-                first = np.where(same, np.minimum(first, lies[a, i]), first)
-        own = first == shard
+        own = np.minimum(owner[a], owner[b]) == shard
         np.add.at(links, a[own], copies[b[own]])
         np.add.at(links, b[own], copies[a[own]])
         root = _roots(n, a, b)
@@ -303,21 +324,32 @@ def near_duplicates(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
         .select("label", "dim", "vec_id", "copies", "embedding"),
         "vectors-classes",
     )
-    dealt = stage(sharded(classes), "vectors-sharded")
-    own = dealt.withColumn("shard", F.explode("shards"))
+    dealt = stage(sharded(classes, threshold), "vectors-sharded")
+    lies = dealt.withColumn("shard", F.explode("shards")).drop("shards").withColumn("mine", F.col("owner") == F.col("shard"))
     where = ["label", "dim", "shard"]
-    sizes = own.groupBy(*where).agg(F.count("*").alias("n")).select(*where, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    n_own, n = F.count_if("mine"), F.count("*")
+    whole = n <= BLOCK  # one block for all
+    sizes = (
+        lies.groupBy(*where)
+        .agg(
+            F.when(whole, 1).otherwise(F.ceil(n_own / BLOCK)).cast("int").alias("own_blocks"),
+            F.when(whole, 0).otherwise(F.ceil((n - n_own) / BLOCK)).cast("int").alias("visitor_blocks"),
+            n_own.alias("n_own"),
+        )
+        .filter("n_own > 0")
+    )
+    hashed = F.xxhash64("vec_id")
     placed = (
-        own.join(F.broadcast(sizes), where)  # at most CENTRES rows and one per label
-        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        lies.join(F.broadcast(sizes), where)  # at most CENTRES rows and one per label
+        .withColumn("block", F.when(F.col("mine") | (F.col("visitor_blocks") == 0), F.pmod(hashed, "own_blocks")).otherwise(F.col("own_blocks") + F.pmod(hashed, "visitor_blocks")).cast("int"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.when(F.col("block") < F.col("own_blocks"), F.col("own_blocks") + F.col("visitor_blocks")).otherwise(F.col("own_blocks")) - 1)))
         .withColumn("one", F.least("block", "with"))
         .withColumn("other", F.greatest("block", "with"))
-        .select(*where, "one", "other", "block", "vec_id", "copies", "embedding", "shards")
+        .select(*where, "one", "other", "block", "vec_id", "copies", "embedding", "owner")
     )
     task = [*where, "one", "other"]
-    lists = placed.groupBy(*task).applyInPandas(build_block, "vec_id bigint, neighbours array<bigint>")
-    graph = stage(lists.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours")), "vectors-graph")
+    lists = placed.filter("one = other").groupBy(*task).applyInPandas(build_block, "vec_id bigint, neighbours array<bigint>")
+    graph = stage(lists, "vectors-graph")  # a vector has one block of its own shard
     met = stage(
         placed.join(graph, "vec_id", "left").groupBy(*task).applyInPandas(lambda part: search_block(part, threshold), "vec_id bigint, links bigint, root bigint"),
         "vectors-met",

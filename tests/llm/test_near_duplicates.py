@@ -138,5 +138,27 @@ def test_vectors_against_brute_force(spark, monkeypatch, block):
     assert vector_graph.audit(vectors, result, every=5, block=100).first()["recall"] >= 0.99
 
 
+def test_vectors_recall_with_hundreds_of_centres(spark, monkeypatch):
+    monkeypatch.setattr(vector_graph, "SHARD", 5)
+    monkeypatch.setattr(vector_graph, "SAMPLE", 400)  # most vectors shape no centre, as in large tables
+    rng = np.random.RandomState(4)
+    rows = []
+    for i in range(500):  # pairs close to the threshold, in no cluster
+        a, u = rng.randn(2, 64)
+        a /= np.linalg.norm(a)
+        u -= (u @ a) * a
+        cosine = rng.uniform(0.931, 0.95)
+        b = cosine * a + np.sqrt(1 - cosine**2) * u / np.linalg.norm(u)
+        rows += [(2 * i, a.tolist(), 0), (2 * i + 1, b.tolist(), 0)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    classes = vectors.selectExpr("string(label) as label", "size(embedding) as dim", "vec_id", "1L as copies", "embedding")
+    assert len(vector_graph.centres(classes)["0", 64]) >= 200
+    shards = {r["vec_id"]: set(r["shards"]) for r in vector_graph.sharded(classes).collect()}
+    assert all(shards[i] & shards[i + 1] for i in range(0, 1000, 2))
+    result = vector_graph.near_duplicates(vectors)
+    recall = vector_graph.audit(vectors, result, every=1).first()
+    assert recall["present"] == 1000 and recall["recall"] >= 0.99
+
+
 def test_vectors_empty(spark):
     assert vector_graph.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
