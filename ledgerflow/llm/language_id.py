@@ -3,9 +3,12 @@
 Words are lower-cased runs of letters, padded with blanks. Counts of
 character 4-grams per language come from all training texts; Spark sums them
 and derives the Kneser-Ney tables (absolute discount, continuation counts,
-interpolation down to a uniform model). The models are then sorted arrays of
-64-bit n-gram hashes with one log probability per language. A text goes to
-the language with the lowest cross-entropy per character. It is rejected
+interpolation down to a uniform model). The tables are kept whole and in
+shared files. What the texts need of them is looked up by joins: the distinct
+n-grams of blocks of texts, each order joined to the one below, and the
+probabilities back to the blocks, which hold them as sorted arrays of 64-bit
+codes. Only a row per language passes the driver. A text goes to the language with the lowest cross-entropy per
+character. It is rejected
 where its words, each under the language that fits it best, still lie far
 above what that language's own training text has; so a text that mixes known
 languages stays.
@@ -19,17 +22,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerflow.llm.common import id_bucket, stage
+from ledgerflow.llm.common import id_bucket, join_by_key, shuffle_width, stage
 
 ORDER = 4
-#: An order keeps at most 2 ** CODE_BITS n-grams a language (one per hash code, the most frequent), which bounds what is broadcast.
-CODE_BITS = 22
 #: A text is rejected above its language's mean cross-entropy by this many standard errors and nats.
 REJECT_ERRORS = 8.0
 REJECT_NATS = 1.0
@@ -37,6 +38,8 @@ REJECT_NATS = 1.0
 EVIDENCE = 40
 #: Words a worker remembers.
 CACHED_WORDS = 400_000
+#: Characters of the texts that a block should hold.
+BLOCK_CHARS = 16_000_000
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -102,138 +105,140 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     return out
 
 
-def bounded(model: DataFrame, code_bits: int = CODE_BITS) -> DataFrame:
-    """One n-gram per language, order and hash code."""
-    code = F.xxhash64("gram").bitwiseAND(F.lit((1 << code_bits) - 1))
-    best = model.groupBy("lang", "k", code.alias("code")).agg(F.max(F.struct("n", "gram", "own", "bow")).alias("best"))
-    return best.select("lang", "k", "best.*")
-
-
-def _hash(chars: np.ndarray, k: int) -> np.ndarray:
-    """64-bit codes of rows of k code points."""
-    with np.errstate(over="ignore"):
-        h = np.full(len(chars), k, np.uint64)
-        for i in range(k):
-            h = (h ^ chars[:, i].astype(np.uint64)) * _MULTIPLIERS[i]
-            h ^= h >> np.uint64(29)
-    return h
-
-
-def _points(grams: list[str], k: int) -> np.ndarray:
-    return np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, k)
-
-
 @dataclass
 class Models:
-    """All languages' models: per order the sorted codes, with a row of log probabilities (one column per language)."""
+    """All languages' models: the rows of ``kneser_ney`` in shared files; ``uniform``, ``mean`` and ``spread`` (of the training text's cost a character) by language."""
 
     langs: list[str]
     order: int
-    codes: dict[int, np.ndarray]
-    logp: dict[int, np.ndarray]
-    bow_codes: dict[int, np.ndarray]
-    bow: dict[int, np.ndarray]
+    tables: DataFrame
     uniform: np.ndarray
     mean: np.ndarray
     spread: np.ndarray
 
-    def _find(self, codes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(codes, wanted), max(len(codes) - 1, 0))
-        return at, (codes[at] == wanted if len(codes) else np.zeros(len(wanted), bool))
-
-    def log_probabilities(self, chars: np.ndarray, k: int | None = None) -> np.ndarray:
-        """Log probability of each row's last character after those before it, per language."""
-        k = self.order if k is None else k
-        if k == 0:
-            return np.repeat(self.uniform[None], len(chars), 0)
-        at, hit = self._find(self.codes[k], _hash(chars, k))
-        out = np.empty((len(chars), len(self.langs)), np.float32)
-        out[hit] = self.logp[k][at[hit]]
-        if not hit.all():
-            rest = chars[~hit]
-            lower = self.log_probabilities(rest[:, 1:], k - 1)
-            at, known = self._find(self.bow_codes[k], _hash(rest[:, :-1], k - 1))
-            out[~hit] = lower + np.where(known[:, None], self.bow[k][at], 0.0) if len(self.bow[k]) else lower
-        return out
 
+def _by_language(langs: list[str], value: str, default: float) -> Column:
+    """Array over the languages from rows of (lang, value)."""
+    return F.array(*(F.coalesce(F.max(F.when(F.col("lang") == lang, F.col(value))), F.lit(default)) for lang in langs))
+
+
+def _language_array(values: np.ndarray) -> Column:
+    return F.array(*(F.lit(float(x)) for x in values))
 
-def build(tables: pd.DataFrame, order: int = ORDER) -> Models:
-    """Sorted arrays from the rows of ``kneser_ney``: from the lowest order up, every n-gram that any language has gets all languages' interpolated values."""
-    langs = sorted(tables["lang"].unique())
-    column = {lang: i for i, lang in enumerate(langs)}
-    kinds = tables[tables["k"] == 1].groupby("lang").size()
-    uniform = np.array([-np.log(kinds.get(x, 0) + 1.0) for x in langs], np.float32)
-    m = Models(langs, order, {}, {}, {}, {}, uniform, np.zeros(len(langs)), np.zeros(len(langs)))
-    if not langs:
-        return m
-    for k in range(1, order + 1):
-        part = tables[tables["k"] == k]
-        lang = part["lang"].map(column).to_numpy()
-        grams = list(dict.fromkeys(part["gram"]))
-        place = {g: i for i, g in enumerate(grams)}
-        row = part["gram"].map(place).to_numpy(np.int64) if len(part) else np.zeros(0, np.int64)
-        contexts = list(dict.fromkeys(g[:-1] for g in grams))
-        spot = {g: i for i, g in enumerate(contexts)}
-        of = np.array([spot[g[:-1]] for g in grams], np.int64)
-        bow = np.ones((len(contexts), len(langs)))
-        bow[of[row], lang] = part["bow"].to_numpy()
-        own = np.zeros((len(grams), len(langs)))
-        own[row, lang] = part["own"].to_numpy()
-        chars = _points(grams, k)
-        lower = np.exp(m.log_probabilities(chars[:, 1:], k - 1).astype(np.float64))
-        full = np.log(np.maximum(own + bow[of] * lower, 1e-30)).astype(np.float32)
-        codes = _hash(chars, k)
-        sort = np.argsort(codes)
-        m.codes[k], m.logp[k] = codes[sort], full[sort]
-        ctx = _hash(_points(contexts, k - 1), k - 1) if k > 1 else np.full(len(contexts), 0, np.uint64)
-        sort = np.argsort(ctx)
-        m.bow_codes[k], m.bow[k] = ctx[sort], np.log(np.maximum(bow[sort], 1e-30)).astype(np.float32)
-        if k == order:
-            n = part["n"].to_numpy()
-            cost = -full[row, lang].astype(np.float64)
-            total = np.maximum(np.bincount(lang, n, len(langs)), 1.0)
-            m.mean = np.bincount(lang, n * cost, len(langs)) / total
-            m.spread = np.sqrt(np.maximum(np.bincount(lang, n * cost**2, len(langs)) / total - m.mean**2, 0.0))
-    return m
+
+def probabilities(models: Models, grams: DataFrame) -> DataFrame:
+    """(gram, p) for the distinct values of the column gram, strings of ``order`` characters: the last one's probability after the others, by language.
+
+    A gram that a language never had weighs nothing of its own there, and a
+    context it never had passes the lower order on whole.
+    """
+    wanted = {models.order: grams.select("gram").distinct()}
+    for k in range(models.order - 1, 0, -1):
+        wanted[k] = wanted[k + 1].select(F.expr(f"substring(gram, 2, {k})").alias("gram")).distinct()
+    lower = None
+    for k in range(1, models.order + 1):
+        rows = models.tables.filter(F.col("k") == k)
+        own = rows.groupBy("gram").agg(_by_language(models.langs, "own", 0.0).alias("own"))
+        bow = rows.groupBy(F.expr(f"substring(gram, 1, {k - 1})").alias("context")).agg(_by_language(models.langs, "bow", 1.0).alias("bow"))
+        asked = wanted[k].select("gram", F.expr(f"substring(gram, 1, {k - 1})").alias("context"), F.expr(f"substring(gram, 2, {k - 1})").alias("rest"))
+        asked = asked.join(own, "gram", "left")
+        if lower is None:  # one context, the empty one
+            asked = asked.join(F.broadcast(bow), "context", "left").withColumn("below", _language_array(models.uniform))
+        else:
+            asked = asked.join(bow, "context", "left").join(lower.toDF("rest", "below"), "rest")
+        p = [F.coalesce(F.col("own")[i], F.lit(0.0)) + F.coalesce(F.col("bow")[i], F.lit(1.0)) * F.col("below")[i] for i in range(len(models.langs))]
+        lower = asked.select("gram", F.array(*(F.greatest(x, F.lit(1e-30)) for x in p)).alias("p"))
+    return lower
 
 
 def train(rows: DataFrame, order: int = ORDER) -> Models:
     """Models from all rows of (lang, text); rows with a null lang or text teach nothing."""
     counts = stage(gram_counts(rows.filter("lang is not null and text is not null"), order), "lang-grams")
-    return build(stage(bounded(kneser_ney(counts, order)), "lang-models").toPandas(), order)  # bounded by the codes of an order
+    tables = stage(kneser_ney(counts, order), "lang-models")
+    kinds = {r["lang"]: r["kinds"] for r in tables.filter("k = 1").groupBy("lang").agg(F.count("*").alias("kinds")).collect()}  # one row per language
+    langs = sorted(kinds)
+    m = Models(langs, order, tables, np.array([1.0 / (kinds[x] + 1.0) for x in langs]), np.zeros(len(langs)), np.zeros(len(langs)))
+    if langs:
+        # a gram has at most a row per language
+        seen = counts.join(probabilities(m, counts), "gram")
+        cost = -F.log(F.element_at("p", F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int")))
+        n = F.col("n")
+        total = {r["lang"]: r for r in seen.groupBy("lang").agg(F.sum(n).alias("n"), F.sum(n * cost).alias("one"), F.sum(n * cost * cost).alias("two")).collect()}
+        m.mean = np.array([total[x]["one"] / total[x]["n"] for x in langs])
+        m.spread = np.sqrt(np.maximum(np.array([total[x]["two"] / total[x]["n"] for x in langs]) - m.mean**2, 0.0))
+    return m
+
+
+def _hash(chars: np.ndarray, k: int) -> np.ndarray:
+    """64-bit codes of rows of k code points."""
+    with np.errstate(over="ignore"):
+        h = np.full(len(chars), k, np.uint64)
+        for i in range(k):
+            h = (h ^ chars[:, i].astype(np.uint64)) * _MULTIPLIERS[i]
+            h ^= h >> np.uint64(29)
+    return h
+
+
+def _windows(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the padded words' n-grams in order, the first of each word, and the words' lengths."""
+    pad = " " * (order - 1)
+    points = np.frombuffer((pad + f" {pad}".join(words) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    starts = np.concatenate([[0], np.cumsum(lengths + order)])[:-1]
+    first = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
+    rows = np.repeat(starts - first, lengths + 1) + np.arange(int((lengths + 1).sum()))
+    return np.lib.stride_tricks.sliding_window_view(points, order)[rows], first, lengths
+
+
+def grams_of(words: list[str], order: int = ORDER) -> list[str]:
+    """Distinct n-grams of the padded words."""
+    out: dict[int, str] = {}
+    for a in range(0, len(words), 20_000):
+        grams, _, _ = _windows(words[a : a + 20_000], order)
+        codes, at = np.unique(_hash(grams, order), return_index=True)
+        text = np.ascontiguousarray(grams[at]).tobytes().decode("utf-32-le", "surrogatepass")
+        out.update(zip(codes.tolist(), (text[i : i + order] for i in range(0, len(text), order)), strict=True))
+    return list(out.values())
 
 
 class Scorer:
     """Sums of log probabilities per text; a word seen before is looked up."""
 
-    def __init__(self, models: Models):
+    def __init__(self, models: Models, grams: list[str] | None = None, p: np.ndarray | None = None):
         self.m = models
+        self.codes = None
         self.place: dict[str, int] = {}
-        self.table = np.zeros((0, len(models.langs) + 2), np.float64)
+        self.table = np.zeros((0, len(models.langs) + 2))
+        if grams is not None:
+            self._learn(grams, p)
+
+    def _learn(self, grams: list[str], p: np.ndarray) -> None:
+        codes = _hash(np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, self.m.order), self.m.order)
+        sort = np.argsort(codes)
+        self.codes, self.logp = codes[sort], np.log(p[sort])
 
     def _words(self, words: list[str]) -> np.ndarray:
         """Per word its log probability by language, the best of these, then its characters (with the end)."""
         order = self.m.order
+        if self.codes is None:  # a few words, on the driver
+            asked = self.m.tables.sparkSession.createDataFrame([(g,) for g in grams_of(words, order)], "gram string")
+            got = probabilities(self.m, asked).collect()
+            self._learn([r["gram"] for r in got], np.array([r["p"] for r in got]))
         out = np.zeros((len(words), len(self.m.langs) + 2))
         for a in range(0, len(words), 20_000):
-            part = words[a : a + 20_000]
-            pad = " " * (order - 1)
-            points = np.frombuffer((pad + f" {pad}".join(part) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-            lengths = np.fromiter(map(len, part), np.int64, len(part))
-            starts = np.concatenate([[0], np.cumsum(lengths + order)])[:-1]
-            rows = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths + 1)])[:-1], lengths + 1) + np.arange(int((lengths + 1).sum()))
-            grams = np.lib.stride_tricks.sliding_window_view(points, order)[rows]
-            first = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
-            sums = np.add.reduceat(self.m.log_probabilities(grams).astype(np.float64), first, axis=0)
-            out[a : a + len(part), :-2] = sums
-            out[a : a + len(part), -2] = sums.max(axis=1)
-            out[a : a + len(part), -1] = lengths + 1
+            grams, first, lengths = _windows(words[a : a + 20_000], order)
+            wanted = _hash(grams, order)
+            at = np.minimum(np.searchsorted(self.codes, wanted), len(self.codes) - 1)
+            if (self.codes[at] != wanted).any():
+                raise RuntimeError("an n-gram of the texts was not looked up")
+            sums = np.add.reduceat(self.logp[at], first, axis=0)
+            out[a : a + len(lengths), :-2] = sums
+            out[a : a + len(lengths), -2] = sums.max(axis=1)
+            out[a : a + len(lengths), -1] = lengths + 1
         return out
 
     def texts(self, texts: list[str | None]) -> np.ndarray:
         """Per text: log probability by language, with the best language word by word, then the number of characters (0: no letter)."""
-        if not self.m.langs:
-            return np.zeros((len(texts), 2))
         split = [words_of(t) if t else [] for t in texts]
         new = list({w for words in split for w in words if w not in self.place})
         if len(self.place) + len(new) > CACHED_WORDS:
@@ -248,7 +253,7 @@ class Scorer:
                 self.table = grown
             self.table[base : base + len(new)] = self._words(new)
         get = self.place.__getitem__
-        out = np.zeros((len(texts), self.table.shape[1] if len(self.table) else len(self.m.langs) + 2))
+        out = np.zeros((len(texts), len(self.m.langs) + 2))
         for i, words in enumerate(split):
             if words:
                 out[i] = self.table[np.fromiter(map(get, words), np.int64, len(words))].sum(axis=0)
@@ -281,21 +286,62 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
     does every text if nothing was learnt. Texts are read whole. Ties go to
     the first language by code point; equal texts get equal results.
     """
-    held = docs.sparkSession.sparkContext.broadcast(models)
     base = docs.drop("lang_pred", "score", "rejected")
-    at = base.columns.index("text")
+    if not models.langs:
+        return base.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "rejected": F.lit(True)})
+    chars = base.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_blocks = max(2 * shuffle_width(docs.sparkSession), chars // BLOCK_CHARS + 1)
+    # by all columns, so that equal texts do not meet in one block
+    dealt_by = [f.name for f in base.schema.fields if "map<" not in f.dataType.simpleString()]
+    block = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in dealt_by)), F.lit(n_blocks)).alias("block")
+    in_block = stage(block_grams(base.select(block, "text"), models.order), "lang-block-grams")
+    sizes = in_block.groupBy("gram").agg(F.count("*").alias("size"))
+    p = stage(probabilities(models, sizes).join(sizes, "gram"), "lang-probabilities")
+    given = join_by_key(in_block, in_block.count(), p, ["gram"], "size").select("block", "gram", "p").groupBy("block")
+    light = Models(models.langs, models.order, None, models.uniform, models.mean, models.spread)
+    added = StructType().add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+
+    def run(rows: pa.Table, grams: pa.Table) -> pa.Table:
+        p = np.asarray(pc.list_flatten(grams.column("p")), np.float64).reshape(-1, len(light.langs))
+        scorer = Scorer(light, grams.column("gram").to_pylist(), p)
+        lang, score, rejected = [], [], []
+        row = rows.column("row").combine_chunks()
+        text = row.field("text")
+        for a in range(0, rows.num_rows, 256):
+            for out, part in zip((lang, score, rejected), judge(light, scorer.texts(text.slice(a, 256).to_pylist())), strict=True):
+                out.extend(part)
+        cols = [*row.flatten(), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
+        return pa.Table.from_arrays(cols, names=[*(f.name for f in row.type), "lang_pred", "score", "rejected"])
+
+    rows = base.select(block, F.struct("*").alias("row")).groupBy("block")
+    return rows.cogroup(given).applyInArrow(run, StructType([*base.schema.fields, *added.fields]))
+
+
+def block_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """Distinct (block, gram) of the rows (block, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(held.value)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                lang, score, rejected = judge(scorer.m, scorer.texts(part.column(at).to_pylist()))
-                cols = [*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(cols, names=[*part.schema.names, "lang_pred", "score", "rejected"])
+        seen: dict[int, set] = {}
+        held = 0
 
-    added = StructType().add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return base.mapInArrow(run, StructType([*base.schema.fields, *added.fields]))
+        def flush() -> Iterator[pa.RecordBatch]:
+            for block, words in seen.items():
+                grams = grams_of(list(words), order) if words else []
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(grams), pa.int64()), pa.array(grams, pa.string())], names=["block", "gram"])
+            seen.clear()
+
+        for batch in batches:
+            for block, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                words = seen.setdefault(block, set())
+                held -= len(words)
+                words.update(words_of(text.as_py() or ""))
+                held += len(words)
+                if held > CACHED_WORDS:
+                    yield from flush()
+                    held = 0
+        yield from flush()
+
+    return texts.mapInArrow(run, "block bigint, gram string").distinct()
 
 
 def held_out(col: str = "doc_id"):

@@ -67,6 +67,20 @@ def test_models_against_the_textbook(make_docs):
             assert abs(sums[i, j] - brute_kneser_ney(by_lang, lang, w)) < 1e-3, (w, lang)
 
 
+def test_no_gram_of_a_large_alphabet_is_lost(make_docs):
+    rng = np.random.RandomState(6)
+    words = ["".join(chr(c) for c in rng.randint(0x4E00, 0x9FA0, 60)) for _ in range(1600)]  # some 100,000 distinct 4-grams
+    models = li.train(make_docs([(i, " ".join(words[i::8]), "zh") for i in range(8)]).select("lang", "text"))
+    top = {(" " * 3 + w + " ")[i : i + 4] for w in words for i in range(len(w) + 1)}
+    for k in range(4, 0, -1):
+        assert models.tables.filter(f"k = {k}").count() == len(top)
+        top = {g[1:] for g in top}
+    some = words[:1]
+    sums = li.Scorer(models)._words(some)
+    for i, w in enumerate(some):
+        assert abs(sums[i, 0] - brute_kneser_ney({"zh": words}, "zh", w)) < 1e-3 * len(w)
+
+
 def test_held_out_accuracy_and_edges(make_docs):
     rows = language_rows()
     docs = make_docs([*rows, (900, None), (901, ""), (902, "123 !?"), (903, "Все люди рождаются свободными и равными", None), (None, SENTENCES["de"], None), (904, SENTENCES["fr"] * 2000, None)])
