@@ -159,3 +159,21 @@ def test_viterbi_fold_against_brute_force(spark):
     assert len(got) == len(units)
     for r in got:
         assert "".join(names[i] for i in r["ids"]) == r["unit"] and abs(sum(pieces.score[i] for i in r["ids"]) - best(r["unit"])) < 1e-9
+
+
+def test_long_units_of_a_unigram_model_take_the_best_path(make_docs):
+    scores = {pl.BLANK: -1.0, "a": -5.0, "b": -5.0, "c": -5.0, "d": -1.0, "ab": -2.0, "cd": -2.0, "abc": -2.5, "bc": -9.0, "da": -9.0, "dab": -9.25}
+    pieces = pl.Pieces(list(scores), list(scores.values()), [True] * len(scores), {}, 0, False)
+    name = pieces.text.index
+    docs = make_docs([(n, "abcd" * n) for n in (10, 15, 16, 40, 500)])  # 40 to 2,000 characters; merging by rank gives ab, cd
+    got = {r["doc_id"]: r["ids"] for r in pl.encode(docs, pieces).collect()}
+    assert got == {n: [name(pl.BLANK)] + [name("abc"), name("d")] * n for n in got} and len(got) == 5
+    rng = random.Random(8)
+    for _ in range(20):
+        unit = "".join(rng.choice("abcd") for _ in range(rng.randrange(61, 200)))
+        best = [0.0]
+        for e in range(1, len(unit) + 1):
+            best.append(max(best[s] + scores[unit[s:e]] for s in range(max(0, e - 3), e) if unit[s:e] in scores))
+        ids = pl.viterbi_long(unit, pieces)
+        assert "".join(pieces.text[i] for i in ids) == unit and abs(sum(pieces.score[i] for i in ids) - best[-1]) < 1e-9
+    assert pl.viterbi_long("ab?c", pieces) == [name("ab"), 0, name("c")]
