@@ -78,9 +78,34 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Scratch locations handed out in this process and not yet removed.
+_SCRATCH: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location inside the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique location inside the shared folder (see ``release_scratch``)."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.add(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder through the store's own file system (any scheme); absent is fine."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+    _SCRATCH.discard(path)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove every scratch location this process was given; returns how many.
+
+    Frames read from them are unusable afterwards: call it once their results
+    are written, before the session stops.
+    """
+    paths = sorted(_SCRATCH)
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)
 
 
 GIB = 1 << 30
