@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import exact_dedup, language_id, minhash, mixing, piece_lattice, pii, token_files, toxicity, vector_graph, wrapper
+from ledgerflow.llm import exact_dedup, language_id, lexical_search, minhash, mixing, piece_lattice, pii, sharding, token_files, toxicity, vector_codes, vector_graph, wrapper
 from ledgerflow.llm.common import table
 from ledgerflow.session import scratch_path
 
@@ -69,6 +69,18 @@ def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_lattice.encode(table(spark, sf_dir, "documents"), piece_lattice.Pieces.load(tokenizer_path("piece_bpe_32k.model")))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digests(sharding.shard(table(spark, sf_dir, "documents"), scratch_path(spark, "shards")))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,9 +94,58 @@ QUERIES = {
         op8_token_files,
         op9_exact_dedup,
         op10_piece_lattice,
+        op11_sharding,
+        op12_lexical_search,
+        op13_vector_codes,
     )
 }
 
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain k-means over whole numbers, one step of the query per round."""
+    steps = [
+        f"""vectors AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+cut AS MATERIALIZED (
+  SELECT r, p, list_slice(x, p * len(x) // {parts} + 1, (p + 1) * len(x) // {parts}) AS part FROM vectors, range({parts}) AS t(p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, part AS entry FROM cut WHERE r <= {entries})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""near{i} AS MATERIALIZED (
+  SELECT r, p, min({{'d': d, 'e': e}}) AS best
+  FROM (SELECT c.r, c.p, b.e, list_sum(list_transform(list_zip(c.part, b.entry), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM cut c JOIN book{i} b ON c.p = b.p)
+  GROUP BY r, p)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""book{i + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.entry, b.entry) AS entry
+  FROM book{i} b LEFT JOIN (
+    SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY pos) AS entry
+    FROM (SELECT c.p, n.best.e AS e, pos, sum(c.part[pos])::BIGINT AS s, count(*) AS n
+          FROM cut c JOIN near{i} n ON c.r = n.r AND c.p = n.p, range(1, len(c.part) + 1) AS t(pos) GROUP BY ALL)
+    GROUP BY p, e) m ON b.p = m.p AND b.e = m.e)"""
+            )
+    steps.append(
+        f"""coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY r),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})"""
+    )
+    return (
+        "WITH "
+        + ",\n".join(steps)
+        + """
+SELECT v.vec_id, c.code, c.error, (sum(c.error) OVER (PARTITION BY v.label))::BIGINT AS label_error, d.codebooks_sha256
+FROM vectors v JOIN coded c ON v.r = c.r, digest d
+"""
+    )
+
+
 ORACLE_SQL = {
     "op3_mixing": r"""
 WITH sized AS (
@@ -119,4 +180,25 @@ grouped AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM norm G
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(n.t) AS text_sha256
 FROM norm n JOIN grouped g ON n.t = g.t
 """,
+    "op12_lexical_search": r"""
+WITH words AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+lengths AS (SELECT r, doc_id, count(*) AS n FROM words GROUP BY r, doc_id),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+held AS (SELECT r, term, count(*) AS tf FROM words GROUP BY r, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM held, totals GROUP BY term, n_docs),
+scored AS (
+  SELECT q.item_id, l.doc_id, l.r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM wanted q JOIN held h ON q.term = h.term JOIN weights s ON s.term = h.term JOIN lengths l ON l.r = h.r, totals
+  GROUP BY q.item_id, l.doc_id, l.r)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50
+""",
+    "op13_vector_codes": _codes_sql(),
 }
