@@ -36,7 +36,7 @@ TOP = 50
 #: Text of the items that one batch holds in memory, about.
 ITEM_BYTES = 4 << 20
 #: Documents in a block, in an inner node and in a leaf of it.
-BLOCK, INNER, LEAF = 2048, 512, 64
+BLOCK, INNER, LEAF = 2048, 128, 16
 #: Items in the nodes of the item hierarchy's upper levels.
 GROUPS = (32, 8)
 #: One block in so many is searched before the others.

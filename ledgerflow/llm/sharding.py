@@ -9,8 +9,9 @@ times, is divided by its copies. The measured ranges are dealt to the shards,
 largest first, and every record is sent once, to its range, where its slot is
 its place in key order.
 
-A group of equal texts stays in one shard unless it holds more than one
-range's share of all bytes.
+A group of equal texts stays in one shard unless it holds more than a quarter
+of a shard's bytes. A large group still spreads over many ranges, which are
+merely dealt to the same shard, so no task holds all of it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import shuffle_width, stage, text_or_empty
 
 SHARDS = 8
+#: A group of equal texts above this part of a shard is divided between shards.
+GROUP_PART = 0.25
 #: Ranges aimed at: one per RANGE_BYTES of input, between these bounds. The driver holds a few numbers of each.
 LEAST_RANGES = 4096
 MOST_RANGES = 65_536
@@ -123,23 +126,41 @@ def ranges(records: DataFrame, total: int, aimed: int) -> tuple[list[tuple[int,
     return known, found
 
 
-def dealt(found: pd.DataFrame, share: float, shards: int) -> pd.DataFrame:
-    """(range, chunk, pieces, shard, start) of every piece: largest first, each to the shard with the fewest bytes.
+def groups_of(cuts: list[tuple[int, int]], numbers: pd.Series) -> list[int | None]:
+    """The text hash that all keys of a range share, or None where the cuts let in several."""
+    out = []
+    for r in numbers:
+        low, high = (cuts[r - 1] if r else None), (cuts[r] if r < len(cuts) else None)
+        inside = low and high and (high[0] == low[0] or high == (low[0] + 1, _FIRST))
+        out.append(low[0] if inside else None)
+    return out
+
 
-    A range of one record with many copies counts as several pieces. Pieces of
-    a shard keep key order; start is the slot of the first row.
+def dealt(found: pd.DataFrame, cuts: list[tuple[int, int]], share: float, shards: int) -> pd.DataFrame:
+    """(range, chunk, pieces, shard, rows, start) of every piece: largest first, each to the shard with the fewest bytes.
+
+    Ranges of one group of equal texts go together unless the group is above
+    GROUP_PART of a shard. A range of one record with many copies counts as
+    several pieces. Pieces of a shard keep key order; start is the slot of the
+    first row.
     """
-    out = []
+    found = found.sort_values("range").assign(group=lambda f: groups_of(cuts, f["range"]))
+    most = GROUP_PART * found["bytes"].sum() / shards
+    units: dict[tuple, list] = {}
     for r in found.itertuples():
         pieces = min(int(r.rows), int(r.bytes // share) + 1) if r.records == 1 else 1
         each, more = divmod(int(r.rows), pieces)
-        out += [(int(r.range), c, pieces, each + (c < more), int(r.bytes) // int(r.rows) * (each + (c < more)) if pieces > 1 else int(r.bytes)) for c in range(pieces)]
+        for c in range(pieces):
+            rows = each + (c < more)
+            units.setdefault(("range", r.range) if pd.isna(r.group) else ("group", r.group), []).append((int(r.range), c, pieces, rows, int(r.bytes) * rows // int(r.rows)))
+    apart = [[p] for u in units.values() if sum(p[4] for p in u) > most for p in u]
+    whole = [u for u in units.values() if sum(p[4] for p in u) <= most]
     load = [(0, s) for s in range(shards)]
     placed = []
-    for number, chunk, pieces, rows, size in sorted(out, key=lambda x: (-x[4], x[0], x[1])):
+    for unit in sorted(apart + whole, key=lambda u: (-sum(p[4] for p in u), u[0])):
         least, s = heapq.heappop(load)
-        heapq.heappush(load, (least + size, s))
-        placed.append((number, chunk, pieces, s, rows))
+        heapq.heappush(load, (least + sum(p[4] for p in unit), s))
+        placed += [(number, chunk, pieces, s, rows) for number, chunk, pieces, rows, _ in unit]
     pieces = pd.DataFrame(sorted(placed), columns=["range", "chunk", "pieces", "shard", "rows"])
     pieces["start"] = pieces.groupby("shard")["rows"].cumsum() - pieces["rows"]
     return pieces
@@ -165,7 +186,7 @@ def shard(docs: DataFrame, path: str, shards: int = SHARDS) -> DataFrame:
     total = records.agg(F.coalesce(F.sum(F.col("n") * F.col("size")), F.lit(0))).first()[0]
     aimed = max(LEAST_RANGES, min(MOST_RANGES, total // RANGE_BYTES))
     cuts, found = ranges(records, total, aimed) if total else ([], pd.DataFrame({"range": [], "records": [], "rows": [], "bytes": []}))
-    pieces = dealt(found, max(total, 1) / aimed, shards)
+    pieces = dealt(found, cuts, max(total, 1) / aimed, shards)
     schema = "range int, chunk int, pieces int, shard int, rows long, start long"
     plan = spark.createDataFrame([tuple(int(x) for x in r) for r in pieces.itertuples(index=False)], schema)
     # one row divided by its copies holds at least a share of all bytes, so there are at most as many as ranges aimed at
