@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field, replace
 from decimal import Decimal
-from pathlib import PurePosixPath
 
 # ---------------------------------------------------------------------------
 # These must equal the ledger contract for results to agree.
@@ -106,12 +105,16 @@ class AccrualRule:
 
 @dataclass(frozen=True)
 class TablePaths:
-    """Every table location derives from one root (quarantine included)."""
+    """Every table location derives from one root (quarantine included).
+
+    The root is a path of any store that Spark reads (``s3a://bucket/lake``,
+    ``hdfs://nn:8020/lake``, ``file:///lake``, ``/lake``) and is kept as given.
+    """
 
     root: str
 
     def _p(self, *parts: str) -> str:
-        return str(PurePosixPath(self.root, *parts))
+        return "/".join([self.root.rstrip("/"), *parts])
 
     @property
     def source(self) -> str:
@@ -136,13 +139,23 @@ class TablePaths:
 
     @property
     def seen_events(self) -> str:
-        """Events folded so far, partitioned by batch."""
+        """Events folded so far, as sorted runs (``sources.runs``)."""
         return self._p("silver", "_seen_events")
 
+    @property
+    def fold_routed(self) -> str:
+        """Batches of the incremental fold, partitioned by route and batch."""
+        return self._p("silver", "_routed")
+
     @property
     def fold_quarantine(self) -> str:
         """Rows that the incremental fold rejected, partitioned by batch."""
-        return self._p("silver", "_quarantine")
+        return self._p("silver", "_routed", "route=quarantine")
+
+    @property
+    def metrics(self) -> str:
+        """What streams reported per micro-batch."""
+        return self._p("_metrics")
 
     @property
     def audit(self) -> str:
@@ -175,6 +188,8 @@ class LedgerConfig:
     transaction_types: tuple[str, ...] = TRANSACTION_TYPES
     # Event times from the first to before the last are taken.
     time_range: tuple[dt.datetime, dt.datetime] = TIME_RANGE
+    # Type event ids are brought to ("long" or "string"); None: text ids stay text, numbers become long.
+    event_id_type: str | None = None
     # Eligibility cutoff; None means "derive from the data" (midnight of max - 24h).
     cutoff: dt.datetime | None = None
     # Without a cutoff: the day of the run; the cutoff is midnight of the day before it.
@@ -188,8 +203,8 @@ def ledger_config_from_dict(d: dict) -> LedgerConfig:
     """Build a ``LedgerConfig`` from plain values (e.g. one JSON document).
 
     Keys: ``columns`` (name overrides), ``rate``, ``min_balance`` (null for no
-    threshold), ``accrual_base``, ``transaction_types``, ``cutoff`` (ISO text
-    or null), ``run_date`` (ISO date or null for data-driven). Missing keys keep
+    threshold), ``accrual_base``, ``transaction_types``, ``event_id_type``
+    ("long", "string" or null: as delivered), ``cutoff`` (ISO text or null), ``run_date`` (ISO date or null for data-driven). Missing keys keep
     defaults.
     """
     rule = AccrualRule(
@@ -203,6 +218,7 @@ def ledger_config_from_dict(d: dict) -> LedgerConfig:
         rule=rule,
         transaction_types=tuple(d.get("transaction_types", TRANSACTION_TYPES)),
         time_range=tuple(dt.datetime.fromisoformat(t) for t in d["time_range"]) if d.get("time_range") else TIME_RANGE,
+        event_id_type=d.get("event_id_type"),
         cutoff=None if cutoff is None else dt.datetime.fromisoformat(cutoff),
         run_date=None if d.get("run_date") is None else dt.date.fromisoformat(d["run_date"]),
     )

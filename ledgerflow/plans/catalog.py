@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.config import AccrualRule, Columns, LedgerConfig
 from ledgerflow.functions.timeutil import ts_lit, wall_clock
-from ledgerflow.operators import accrual, balances, merge, quality
+from ledgerflow.operators import accrual, balances, merge, quality, sampling
 from ledgerflow.session import scratch_path
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.sources import tables
@@ -55,14 +55,19 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
 
 def stored(spark: SparkSession, sf: str) -> DataFrame:
     """Silver as stored by the previous run, with a column the source lacks;
-    accounts ending in 5 are not stored yet, so the incoming ones are new."""
-    old = prior(spark, sf).filter(~F.col("account_id").endswith("5"))
-    return balances.silver_balances(old, CUTOFF).withColumn("tag", F.lit("stored"))
+    accounts ending in 5 are stored under another id, so the incoming ones are new."""
+    return balances.silver_balances(_renamed(prior(spark, sf), "5", "-stored"), CUTOFF).withColumn("tag", F.lit("stored"))
+
+
+def _renamed(events: DataFrame, last: str, suffix: str) -> DataFrame:
+    """All events, those of accounts that end in ``last`` under a second id."""
+    account = F.col("account_id")
+    return events.withColumn("account_id", F.when(account.endswith(last), F.concat(account, F.lit(suffix))).otherwise(account))
 
 
 def incoming(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver of the latest batch; accounts ending in 8 have nothing in it."""
-    return balances.silver_balances(last_batch(spark, sf).filter(~F.col("account_id").endswith("8")), CUTOFF)
+    """Silver of the latest batch; accounts ending in 8 come under another id, so the stored ones stay as they are."""
+    return balances.silver_balances(_renamed(last_batch(spark, sf), "8", "-incoming"), CUTOFF)
 
 
 def _events_out(df: DataFrame) -> DataFrame:
@@ -280,6 +285,29 @@ def q_audit_diff(spark, sf):
     return accrual.audit_diff(audited, recomputed)
 
 
+def q_audit_digest_diff(spark, sf):
+    """The audit replay by digests: only buckets that differ are joined."""
+    audited = accrual.with_accrual(balances.silver_balances(prior(spark, sf), CUTOFF))
+    return accrual.audit_diff_by_digest(audited, accrual.with_accrual(silver(spark, sf)))
+
+
+# --- samples -------------------------------------------------------------------------
+
+def q_sample_rows(spark, sf):
+    """A hundred events, the same at every run."""
+    return _events_out(sampling.exactly(tx(spark, sf), "event_id", 100, seed=7))
+
+
+def q_sample_per_type(spark, sf):
+    """Twenty events of every transaction type, those without one included."""
+    return _events_out(sampling.per_stratum(tx(spark, sf), "event_id", ["transaction_type"], 20, seed=7))
+
+
+def q_sample_accounts(spark, sf):
+    """A tenth of the accounts, with all their valid events."""
+    return _events_out(sampling.share(valid(spark, sf), "account_id", 0.1, seed=7))
+
+
 # --- data quality --------------------------------------------------------------------
 
 def q_cdc_dedup(spark, sf):
@@ -308,6 +336,11 @@ def q_volume_drop(spark, sf):
     return quality.volume_drop(tx(spark, sf), fraction=1.0)
 
 
+def q_volume_outage(spark, sf):
+    """Run two days after the last row: the silent day is found."""
+    return quality.volume_outage(tx(spark, sf), dt.date(2024, 2, 1), spreads=1.0, least_drop=0.0)
+
+
 # --- the same operators over the order-based ledger (multi-year, larger) --------------
 
 def _orders_valid(spark, sf):

@@ -178,10 +178,10 @@ def sql(ctes: list[tuple[str, str]], body: str) -> str:
 
 
 STORED = [("prior", PRIOR), ("last_batch", LAST),
-          ("prior_known", "select * from prior where account_id not like '%5'"),
-          ("batch_known", "select * from last_batch where account_id not like '%8'"),
-          ("stored", f"select *, 'stored' as tag from ({silver_of('prior_known')})"),
-          ("incoming", silver_of("batch_known"))]
+          ("prior_named", "select * replace (case when account_id like '%5' then account_id || '-stored' else account_id end as account_id) from prior"),
+          ("batch_named", "select * replace (case when account_id like '%8' then account_id || '-incoming' else account_id end as account_id) from last_batch"),
+          ("stored", f"select *, 'stored' as tag from ({silver_of('prior_named')})"),
+          ("incoming", silver_of("batch_named"))]
 SILVER = [("silver", silver_of("valid"))]
 GOLD = SILVER + [("gold", gold_of("silver"))]
 
@@ -375,6 +375,28 @@ def build() -> dict[str, str]:
         "select *, (select cast(c as date) from oc) as business_date from gold",
     )
     q["wallet_history_orders"] = sql(ov + [("hist", hist("valid"))], "select * from hist")
+    q["audit_digest_diff"] = q["audit_diff"]
+    place = "md5(concat('7:', cast({} as varchar)))"
+    q["sample_rows"] = sql(BASE, f"select {EV} from tx order by {place.format('event_id')} limit 100")
+    q["sample_per_type"] = sql(
+        BASE, f"select {EV} from (select *, row_number() over (partition by transaction_type order by {place.format('event_id')}) as i from tx) where i <= 20"
+    )
+    q["sample_accounts"] = sql(BASE, f"select {EV} from valid where ('0x' || substr({place.format('account_id')}, 1, 8))::bigint < round(0.1 * 4294967296)")
+    q["volume_outage"] = sql(
+        BASE
+        + [
+            ("per_day", "select cast(event_time as date) as d, count(*) as n from tx where event_time is not null group by 1"),
+            (
+                "days",
+                "select c.d, coalesce(p.n, 0) as n from (select cast(unnest(generate_series(cast((select min(d) from per_day) as timestamp), "
+                "TIMESTAMP '2024-01-31', interval 1 day)) as date) as d) c left join per_day p on p.d = c.d",
+            ),
+            ("judged", "select d, n, list(n) over (partition by dayofweek(d) order by d rows between 8 preceding and 1 preceding) as earlier from days"),
+            ("middle", "select *, list_aggregate(earlier, 'median') as expected from judged where len(earlier) >= 3"),
+            ("wide", "select *, list_aggregate(list_transform(earlier, lambda x: abs(x - expected)), 'median') * 1.4826 as spread from middle"),
+        ],
+        "select d, n, cast(expected as decimal(18,1)) as expected, cast(spread as decimal(18,4)) as spread from wide where n < expected - spread",
+    )
     # --- queries that write tables ---
     silver_sql = q["silver_balances"]
     for name in ("stream_fold", "stream_account_totals", "fold_after_recompute", "silver_five_columns", "snapshot_latest", "cutoff_from_run_date"):
@@ -421,6 +443,40 @@ def build() -> dict[str, str]:
         "select account_id, event_id, min(balance) over (partition by account_id order by event_time "
         "range between interval 24 hours preceding and current row) as min_balance from hist",
     )
+    q["catalog_append"] = q["schema_evolution_union"]
+    q["catalog_overwrite"] = q["daily_tumbling_flow"]
+    q["catalog_pipeline"] = q["gold_account_balance"]
+    for name in ("catalog_fold", "stream_from_table", "text_event_ids", "state_buckets"):
+        q[name] = silver_sql
+    q["gold_from_day_state"] = q["gold_account_balance"]
+    q["stream_schema_change"] = sql(
+        BASE,
+        f"select *, cast(null as varchar) as channel from valid where event_time < {LAST_BATCH} "
+        f"union all select *, lower(transaction_type) as channel from valid where event_time >= {LAST_BATCH}",
+    )
+    for name in ("stream_custom_types", "stream_totals_custom_types"):
+        only = ("only", f"select {EV} from tx where user_id is not null and account_id is not null and transaction_type in ('DEPOSIT', 'WITHDRAWAL') "
+                        "and event_time >= TIMESTAMP '2024-01-10' and event_time < TIMESTAMP '2024-01-30' and amount is not null")
+        q[name] = sql([("tx", TX), only], silver_of("only"))
+    deliveries = [
+        ("line1", f"select max(event_time) - interval 1 day as w from valid where event_time < {LAST_BATCH}"),
+        ("line2", "select max(event_time) - interval 1 day as w from valid"),
+        ("second", f"select * from valid where event_time >= {LAST_BATCH} union all select * from valid where cast(event_time as date) = DATE '2024-01-29'"),
+        ("third", f"select * from valid where cast(event_time as date) in (DATE '2024-01-02', DATE '2024-01-30') "
+                  f"union all select event_id + 1000000000, {EV[len('event_id, '):]} from valid where cast(event_time as date) >= DATE '2024-01-28'"),
+        (
+            "placed",
+            f"select 0 as batch, 'out' as kind, amount from valid where event_time < {LAST_BATCH} "
+            f"union all select 1, case when event_time < (select w from line1) then 'late' when event_time >= {LAST_BATCH} then 'out' else 'repeat' end, amount from second "
+            "union all select 2, case when event_time < (select w from line2) then 'late' when event_id >= 1000000000 then 'out' else 'repeat' end, amount from third",
+        ),
+    ]
+    q["stream_dedup_late"] = sql(BASE + deliveries, "select cast(batch as bigint) as batch, kind, count(*) as n from placed group by 1, 2")
+    q["stream_metrics"] = sql(
+        BASE,
+        f"select cast(case when event_time >= {LAST_BATCH} then 1 else 0 end as bigint) as batch, count(*) as rows, count(*) filter (where reason is null) as valid, "
+        "count(*) filter (where reason is not null) as quarantine from routed group by 1",
+    )
     return q
 
 

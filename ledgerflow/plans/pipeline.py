@@ -25,10 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow import schema
-from ledgerflow.config import MONEY_TYPE, Columns, LedgerConfig, TablePaths
+from ledgerflow.config import MONEY_TYPE, LedgerConfig, TablePaths
 from ledgerflow.operators import accrual, balances, contracts, merge, quality
+from ledgerflow.session import remove_path
 from ledgerflow.sources import events as ev
 from ledgerflow.sources import tables
+from ledgerflow.sources.layers import CatalogLayers, Layers, PathLayers
+from ledgerflow.sources.runs import EventRuns
 
 log = logging.getLogger("ledgerflow")
 
@@ -45,11 +48,19 @@ class PipelineSpec:
     grain: str = "account"
     cross_batch_dedup: bool = True
     source_format: str = "parquet"  # parquet | csv | json
+    # database whose tables are the layers; None: folders below the root
+    catalog: str | None = None
+    # hash buckets of Silver; a fold rewrites those it touches, so there should be many more than a batch's share of accounts
+    state_buckets: int = 64
 
     @property
     def paths(self) -> TablePaths:
         return TablePaths(self.root)
 
+    @property
+    def layers(self) -> Layers:
+        return CatalogLayers(self.catalog, self.paths) if self.catalog else PathLayers(self.paths)
+
     @property
     def source_path(self) -> str:
         return self.source or self.paths.source
@@ -57,8 +68,8 @@ class PipelineSpec:
     @classmethod
     def from_json(cls, text: str) -> "PipelineSpec":
         """``{"root": ..., "source": ..., "dedup": true, "grain": "account",
-        "cross_batch_dedup": true, "ledger": {...}}``; ``ledger`` as in
-        ``config.ledger_config_from_dict``."""
+        "cross_batch_dedup": true, "catalog": null, "state_buckets": 64,
+        "ledger": {...}}``; ``ledger`` as in ``config.ledger_config_from_dict``."""
         import json
 
         from ledgerflow.config import ledger_config_from_dict
@@ -72,6 +83,8 @@ class PipelineSpec:
             grain=d.get("grain", "account"),
             cross_batch_dedup=bool(d.get("cross_batch_dedup", True)),
             source_format=d.get("source_format", "parquet"),
+            catalog=d.get("catalog"),
+            state_buckets=int(d.get("state_buckets", cls.state_buckets)),
         )
 
 
@@ -80,16 +93,20 @@ class PipelineSpec:
 def run_bronze(spark: SparkSession, spec: PipelineSpec) -> dict[str, int]:
     """Read raw events once and append them to the valid / quarantine tables;
     returns the row counts observed during the write."""
-    raw = ev.normalize(tables.with_raw(read_raw(spark, spec)), spec.cfg.cols)
-    counts = tables.write_routed(
-        raw, spec.paths.routed, cols=spec.cfg.cols, transaction_types=spec.cfg.transaction_types, time_range=spec.cfg.time_range
-    )
+    observed, seen = tables.observe_routes(normalized(read_raw(spark, spec), spec), spec.cfg.cols, spec.cfg.transaction_types, spec.cfg.time_range)
+    spec.layers.append(observed, "routed", [tables.ROUTE])
+    counts = dict(seen.get)
     if counts["rows"] != counts["valid"] + counts["quarantine"]:
         raise RuntimeError(f"routing lost rows: {counts}")
     log.info("bronze: %s -> %s %s", spec.source_path, spec.paths.routed, counts)
     return counts
 
 
+def normalized(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """Raw rows in the contract's types, with their values as delivered beside them."""
+    return ev.normalize(tables.with_raw(raw), spec.cfg.cols, spec.cfg.event_id_type)
+
+
 def read_raw(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     """Raw event files in the configured format. Text formats are read with
     every column as a string (no inference pass over the data); ``normalize``
@@ -106,7 +123,7 @@ def read_raw(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
 
 def bronze_valid(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     """Valid Bronze rows as delivered: the event columns that the source has."""
-    df = spark.read.parquet(spec.paths.bronze)
+    df = spec.layers.read(spark, "routed").filter(F.col(tables.ROUTE) == "valid")
     return df.select(*[c for c in spec.cfg.cols.event_columns if c in df.columns])
 
 
@@ -135,12 +152,14 @@ def run_silver(spark: SparkSession, spec: PipelineSpec) -> int:
     cutoff = balances.resolve_cutoff(bronze_valid(spark, spec), spec.cfg)
     events = bronze_events(spark, spec)
     silver = balances.day_state(events, spec.cfg.cols) if spec.grain == "day" else balances.silver_balances(events, cutoff, spec.cfg.cols)
-    store = tables.SnapshotTable(spec.paths.silver)
+    store = spec.layers.snapshots("silver")
     latest = store.latest(spark)
     version = 0 if latest is None else latest + 1
     last_batch = None if latest is None else store.meta(spark, latest).get("last_batch")
-    store.write(silver, version, kind="recompute", grain=spec.grain, cutoff=cutoff.isoformat(), last_batch=last_batch)
-    store.drop_below(spark, version)
+    store.write(
+        silver, version, spec.cfg.cols.account_id, spec.state_buckets, kind="recompute", grain=spec.grain, cutoff=cutoff.isoformat(), last_batch=last_batch
+    )
+    finish_version(spark, spec, store, version)
     log.info("silver: version %d (cutoff %s)", version, cutoff)
     return version
 
@@ -162,12 +181,14 @@ def fold_batch(
     is refused, among them the first batch of a stream that starts over a
     table recomputed from the same Bronze rows.
 
-    ``grain="account"`` stores the four Silver columns for a fixed ``cutoff``;
-    only the accounts in the batch are re-aggregated, the rest carried over.
+    ``grain="account"`` stores the four Silver columns for a fixed ``cutoff``.
     ``grain="day"`` stores net flow per (account, day): late events fold into
     their own day and ``silver_view`` reads out any midnight cutoff later.
+    Either way only the hash buckets of the batch's accounts are read and
+    written; the files of the others stay.
 
-    Rejected rows go to the fold's quarantine table, one partition per batch.
+    The routed batch is written once and read back: its rejected rows stay as
+    the fold's quarantine, one partition per batch.
     Duplicates are removed within the batch, and across batches with
     ``cross_batch_dedup``: latest correction wins in either case, an event
     folded earlier being reversed before its correction is added. Events
@@ -177,33 +198,77 @@ def fold_batch(
     grain = grain or spec.grain
     cross_batch_dedup = spec.cross_batch_dedup if cross_batch_dedup is None else cross_batch_dedup
     cutoff = cutoff or spec.cfg.cutoff
-    store = tables.SnapshotTable(spec.paths.silver)
+    store = spec.layers.snapshots("silver")
     version, base = _place_of(spark, store, batch_id)
-    routed = tables.tag_routes(
-        ev.normalize(tables.with_raw(batch), cols), cols, spec.cfg.transaction_types, spec.cfg.time_range
-    )
-    bad = routed.filter(F.col(tables.ROUTE) == "quarantine").drop(tables.ROUTE).withColumn("batch", F.lit(batch_id).cast("long"))
-    tables.write_partitions(bad, spec.paths.fold_quarantine, ["batch"])
-    valid = routed.filter(F.col(tables.ROUTE) == "valid").select(*[c for c in cols.event_columns if c in batch.columns])
-    valid = _deduplicated(valid, spec)
-    if cross_batch_dedup and spec.dedup and cols.event_id in valid.columns:
-        valid = _net_of_earlier(spark, valid, batch_id, spec)
+    routed = tables.tag_routes(normalized(batch, spec), cols, spec.cfg.transaction_types, spec.cfg.time_range)
+    number = F.lit(batch_id).cast("long")
+    tables.write_partitions(routed.withColumn("batch", number), spec.paths.fold_routed, [tables.ROUTE, "batch"])
+    mine = f"{spec.paths.fold_routed}/{tables.ROUTE}=valid/batch={batch_id}"
+    event_columns = [c for c in cols.event_columns if c in batch.columns]
+    event_schema = routed.select(*event_columns).schema
+    # without a valid row there is no such folder
+    valid = spark.read.schema(event_schema).parquet(mine) if tables.has_data(spark, mine) else spark.createDataFrame([], event_schema)
+    valid = _deduplicated(valid, spec).persist()
+    runs = _runs(spec)
+    by_id = spec.dedup and cols.event_id in event_columns
+    changes = _net_of_earlier(spark, valid, batch_id, runs, spec) if cross_batch_dedup and by_id else valid
     if grain == "day":
-        incoming = balances.day_state(valid, cols)
-        merge_fn = balances.fold_day_state
+        incoming, merge_fn = balances.day_state(changes, cols), balances.fold_day_state
     elif grain == "account":
         if cutoff is None:
             raise ValueError("an account-grain fold needs a fixed cutoff")
-        incoming = balances.silver_balances(valid, cutoff, cols)
-        merge_fn = balances.fold_touched_only
+        incoming, merge_fn = balances.silver_balances(changes, cutoff, cols), balances.fold
     else:
         raise ValueError(f"unknown grain {grain!r}")
-    new = incoming if base is None else merge_fn(store.read(spark, base), incoming, cols)
-    store.write(new, version, kind="fold", grain=grain, cutoff=cutoff and cutoff.isoformat(), last_batch=batch_id, base=base)
-    store.drop_below(spark, version)
+    meta = {"kind": "fold", "grain": grain, "cutoff": cutoff and cutoff.isoformat(), "last_batch": batch_id, "base": base}
+    change_state(spark, spec, store, version, base, incoming, lambda old, new: merge_fn(old, new, cols), meta)
+    if cross_batch_dedup and by_id:
+        runs.compact(spark, below=batch_id)
+    valid.unpersist()
+    remove_path(spark, mine)
     return version
 
 
+def change_state(
+    spark: SparkSession,
+    spec: PipelineSpec,
+    store: tables.SnapshotTable,
+    version: int,
+    base: int | None,
+    incoming: DataFrame,
+    merge_fn: Callable[[DataFrame, DataFrame], DataFrame],
+    meta: dict,
+) -> None:
+    """Write ``merge_fn(stored, incoming)`` as a new version, over the buckets of ``incoming`` alone.
+
+    The driver learns which buckets those are, at most ``state_buckets``
+    numbers. A base that was not written in buckets is rewritten whole.
+    """
+    key = spec.cfg.cols.account_id
+    buckets = store.meta(spark, base).get("buckets") if base is not None else None
+    if buckets is None:
+        new = incoming if base is None else merge_fn(store.read(spark, base), incoming)
+        store.write(new, version, key, spec.state_buckets, **meta)
+    else:
+        incoming = incoming.persist()  # a few numbers per account of the batch, used twice
+        touched = [r[0] for r in incoming.select(tables.bucket_of(key, buckets)).distinct().collect()]
+        new = merge_fn(store.read_buckets(spark, base, touched), incoming)
+        store.write_buckets(new, version, key, buckets, **meta)
+        incoming.unpersist()
+    finish_version(spark, spec, store, version)
+
+
+def finish_version(spark: SparkSession, spec: PipelineSpec, store: tables.SnapshotTable, version: int, layer: str = "silver") -> None:
+    """Drop what no offered version needs and give the new one to readers by name."""
+    store.drop_below(spark, version)
+    spec.layers.publish(spark, layer, version)
+
+
+def _runs(spec: PipelineSpec) -> EventRuns:
+    cols = spec.cfg.cols
+    return EventRuns(spec.paths.seen_events, cols.event_id, (cols.event_time, cols.amount))
+
+
 def _place_of(spark: SparkSession, store: tables.SnapshotTable, batch_id: int) -> tuple[int, int | None]:
     """(version to write, version to build from) for a micro-batch, or an error if it does not follow."""
     latest = store.latest(spark)
@@ -220,39 +285,47 @@ def _place_of(spark: SparkSession, store: tables.SnapshotTable, batch_id: int) -
     raise ValueError(f"batch {batch_id} does not follow version {latest} ({meta})")
 
 
-def _net_of_earlier(spark: SparkSession, valid: DataFrame, batch_id: int, spec: PipelineSpec) -> DataFrame:
+def _net_of_earlier(spark: SparkSession, valid: DataFrame, batch_id: int, runs: EventRuns, spec: PipelineSpec) -> DataFrame:
     """The batch's events net of what earlier batches folded for the same ids.
 
     An incoming event later than its folded version (by time, then amount)
     comes with a reversal of that version; one that is not later is dropped.
-    The folded events are kept by batch, the current one's with dynamic
-    partition overwrite; only batches below this one are read, so a replay
-    sees what its first attempt saw. The batch's ids are the small side of
-    the join; the folded events are read once and not shuffled for it.
+    Of the folded events only the id ranges of this batch are read (see
+    ``sources.runs``), and only batches below this one, so a replay sees what
+    its first attempt saw.
     """
     cols = spec.cfg.cols
     key, order = cols.event_id, (cols.event_time, cols.amount)
-    mine = valid.select(key, *[c for c in valid.columns if c != key])
-    if tables.has_data(spark, spec.paths.seen_events):
-        ids = mine.select(key).distinct()
-        earlier = spark.read.parquet(spec.paths.seen_events).filter(F.col("batch").cast("long") < F.lit(batch_id))
-        earlier = quality.dedup_latest(earlier.select(*mine.columns).join(ids, key, "left_semi"), key, order)
-        rank = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in order])
-        pairs = mine.alias("new").join(earlier.alias("old"), F.col(f"new.{key}") == F.col(f"old.{key}"), "left")
-        pairs = pairs.filter(F.col(f"old.{key}").isNull() | (rank("new") > rank("old")))
-        fresh = pairs.select(*[F.col(f"new.{c}").alias(c) for c in mine.columns])
-        undo = pairs.filter(F.col(f"old.{key}").isNotNull()).select(
-            *[(-F.col(f"old.{c}")).cast(valid.schema[c].dataType).alias(c) if c == cols.amount else F.col(f"old.{c}").alias(c) for c in mine.columns]
-        )
-    else:
-        fresh, undo = mine, None
-    tables.write_partitions(fresh.withColumn("batch", F.lit(batch_id).cast("long")), spec.paths.seen_events, ["batch"])
-    return fresh if undo is None else fresh.unionByName(undo)
+    earlier = runs.lookup(spark, valid, batch_id)
+    if earlier is None:
+        return runs.write(valid, batch_id)
+    earlier = earlier.select(*valid.columns)
+    rank = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in order])
+    pairs = valid.alias("new").join(earlier.alias("old"), F.col(f"new.{key}") == F.col(f"old.{key}"), "left")
+    pairs = pairs.filter(F.col(f"old.{key}").isNull() | (rank("new") > rank("old")))
+    fresh = runs.write(pairs.select(*[F.col(f"new.{c}").alias(c) for c in valid.columns]), batch_id)
+    # what is new is in the run now; what it replaces is looked up under its ids
+    undo = earlier.join(fresh.select(key), key, "left_semi").select(
+        *[(-F.col(c)).cast(valid.schema[c].dataType).alias(c) if c == cols.amount else F.col(c) for c in valid.columns]
+    )
+    return fresh.unionByName(undo)
 
 
 def silver_view(spark: SparkSession, spec: PipelineSpec, cutoff: dt.datetime) -> DataFrame:
     """Account rows from a day-grain Silver table for a midnight cutoff."""
-    return balances.accounts_at(tables.SnapshotTable(spec.paths.silver).read(spark), cutoff, spec.cfg.cols)
+    return balances.accounts_at(spec.layers.snapshots("silver").read(spark), cutoff, spec.cfg.cols)
+
+
+def account_rows(spark: SparkSession, spec: PipelineSpec, business_date: dt.date) -> DataFrame:
+    """The four Silver columns that Gold is computed from: Silver itself, or a
+    day-grain Silver read out at the midnight the business date starts with."""
+    store = spec.layers.snapshots("silver")
+    version = store.latest(spark)
+    if version is None:
+        raise FileNotFoundError("there is no Silver version yet")
+    if store.meta(spark, version).get("grain") == "day":
+        return silver_view(spark, spec, dt.datetime.combine(business_date, dt.time()))
+    return store.read(spark, version)
 
 
 # --- Gold ----------------------------------------------------------------------------
@@ -270,20 +343,15 @@ def run_gold(
     ``replace_payouts`` the date's payout partition is replaced instead.
     """
     cols = spec.cfg.cols
-    silver = tables.SnapshotTable(spec.paths.silver).read(spark)
-    if spec.cfg.cols == Columns():
-        contracts.require(silver, schema.SILVER, [cols.account_id], "silver")
+    silver = account_rows(spark, spec, business_date)
+    contracts.require(silver, schema.named(schema.SILVER, cols), [cols.account_id], "silver")
     frames = accrual.gold_frames(silver, business_date, run_id, spec.cfg.rule, cols)
-    tables.write_partitions(frames.audit, spec.paths.audit, [cols.business_date, cols.run_id])
+    spec.layers.replace_partitions(frames.audit, "audit", [cols.business_date, cols.run_id])
 
     audit = (
-        spark.read.parquet(spec.paths.audit)
-        .filter(
-            (F.col(cols.business_date).cast("date") == F.lit(business_date))
-            & (F.col(cols.run_id).cast("string") == F.lit(run_id))
-        )
+        spec.layers.read(spark, "audit")
+        .filter((F.col(cols.business_date).cast("date") == F.lit(business_date)) & (F.col(cols.run_id) == F.lit(run_id)))
         .withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
-        .withColumn(cols.run_id, F.col(cols.run_id).cast("string"))
     )
     _publish_payouts(spark, audit, business_date, spec, replace_payouts)
     _upsert_balances(spark, audit, business_date, spec)
@@ -305,17 +373,17 @@ def _publish_payouts(
     )
     keys = [cols.account_id, cols.business_date]
     if replace:
-        tables.write_partitions(candidate, spec.paths.payout, [cols.business_date])
+        spec.layers.replace_partitions(candidate, "payout", [cols.business_date])
         return
-    if tables.has_data(spark, spec.paths.payout):
+    if spec.layers.exists(spark, "payout"):
         candidate = accrual.new_payouts_only(candidate, _published(spark, business_date, spec), keys)
-    candidate.write.mode("append").partitionBy(cols.business_date).parquet(spec.paths.payout)
+    spec.layers.append(candidate, "payout", [cols.business_date])
 
 
 def _published(spark: SparkSession, business_date: dt.date, spec: PipelineSpec) -> DataFrame:
     """The payouts of one business date (partition pruning)."""
     cols = spec.cfg.cols
-    rows = spark.read.parquet(spec.paths.payout).withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
+    rows = spec.layers.read(spark, "payout").withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
     return rows.filter(F.col(cols.business_date) == F.lit(business_date))
 
 
@@ -332,17 +400,18 @@ def _upsert_balances(spark: SparkSession, audit: DataFrame, business_date: dt.da
         bonus.alias(cols.last_day_bonus),
         cols.business_date,
     )
-    store = tables.SnapshotTable(spec.paths.balance)
+    store = spec.layers.snapshots("balance")
     latest = store.latest(spark)
     if latest is None:
         store.write(source, 0, business_date=str(business_date))
+        spec.layers.publish(spark, "balance", 0)
         return
     stored = store.read(spark, latest)
     newer = stored.filter(F.col(cols.business_date) > F.lit(business_date)).select(cols.account_id)
     source = source.join(newer, cols.account_id, "left_anti")
     update = [cols.current_balance, cols.last_day_bonus, cols.business_date]
     store.write(merge.upsert(stored, source, cols.account_id, update), latest + 1, business_date=str(business_date))
-    store.drop_below(spark, latest + 1)
+    finish_version(spark, spec, store, latest + 1, "balance")
 
 
 # --- daily payouts (calendar days, date-varying rate) ---------------------------------
@@ -370,9 +439,9 @@ def run_daily_payouts(
     from pyspark.sql import Observation
 
     cols = spec.cfg.cols
-    state = tables.SnapshotTable(spec.paths.silver).read(spark) if from_day_state else balances.day_state(bronze_events(spark, spec), cols)
-    published = tables.has_data(spark, spec.paths.daily_payout)
-    done = tables.last_partition(spark, spec.paths.daily_payout, cols.business_date) if published and not backfill else None
+    state = spec.layers.snapshots("silver").read(spark) if from_day_state else balances.day_state(bronze_events(spark, spec), cols)
+    published = spec.layers.exists(spark, "daily_payout")
+    done = spec.layers.last_date(spark, "daily_payout", cols.business_date) if published and not backfill else None
     if done is not None:
         opening = state.filter(F.col("d") <= F.lit(done)).groupBy(cols.account_id).agg(F.sum("net").cast(MONEY_TYPE).alias("net"))
         opening = opening.select(cols.account_id, F.lit(done).alias("d"), "net")
@@ -389,15 +458,23 @@ def run_daily_payouts(
         F.col("d").alias(cols.business_date),
     )
     if published and backfill:
-        before = spark.read.parquet(spec.paths.daily_payout).withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
+        before = spec.layers.read(spark, "daily_payout").withColumn(cols.business_date, F.col(cols.business_date).cast("date"))
         candidate = accrual.new_payouts_only(candidate, before, [cols.account_id, cols.business_date])
     obs = Observation("daily_payouts")
-    candidate.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(
-        cols.business_date
-    ).parquet(spec.paths.daily_payout)
+    spec.layers.append(candidate.observe(obs, F.count(F.lit(1)).alias("rows")), "daily_payout", [cols.business_date])
     return int(obs.get["rows"])
 
 
+def silver_date(spark: SparkSession, spec: PipelineSpec) -> dt.date:
+    """The date of the cutoff that Silver was made with; a day-grain Silver
+    folded without one gives the day before its last day with events."""
+    store = spec.layers.snapshots("silver")
+    cutoff = store.meta(spark, store.latest(spark)).get("cutoff")
+    if cutoff:
+        return dt.datetime.fromisoformat(cutoff).date()
+    return store.read(spark).agg(F.date_sub(F.max("d"), 1)).first()[0]
+
+
 # --- orchestration -------------------------------------------------------------------
 
 def tasks(
@@ -411,10 +488,7 @@ def tasks(
 
     def gold(spark: SparkSession) -> None:
         bd = business_date
-        if bd is None:  # the cutoff that Silver was made with
-            store = tables.SnapshotTable(spec.paths.silver)
-            bd = dt.datetime.fromisoformat(store.meta(spark, store.latest(spark))["cutoff"]).date()
-        run_gold(spark, spec, bd, run_id)
+        run_gold(spark, spec, silver_date(spark, spec) if bd is None else bd, run_id)
 
     out: dict[str, Callable[[SparkSession], object]] = {
         "bronze": lambda spark: run_bronze(spark, spec),

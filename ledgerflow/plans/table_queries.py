@@ -2,7 +2,7 @@
 
 Each lands the whole input in a fresh folder of the shared scratch space, runs
 the operator there (streams with ``availableNow``) and returns the table read
-back. The folders go when the cluster's shared folder is cleaned.
+back. ``session.release_scratch`` removes the folders.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from ledgerflow.session import scratch_path
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.sources import tables
 from ledgerflow.streaming import incremental as st
+from ledgerflow.streaming import metrics
 
 CUTOFF = fx.FIXTURE_CUTOFF
 SILVER = Columns().silver_columns
@@ -99,6 +100,128 @@ def q_stream_daily_flow(spark, sf):
     return emitted.unionByName(late).groupBy("account_id", "d").agg(F.sum("net").cast("decimal(18,2)").alias("net"))
 
 
+def q_stream_dedup_late(spark, sf):
+    """Three deliveries in three runs: every row is out, a repeat or late."""
+    spec = _spec(spark, "stream-late")
+    valid = quality.valid_events(_tx(spark, sf))
+    day = F.to_date("event_time")
+    other_ids = valid.filter(day >= "2024-01-28").withColumn("event_id", F.col("event_id") + 1_000_000_000)
+    deliveries = (
+        valid.filter(~_is_last()),
+        valid.filter(_is_last()).unionByName(valid.filter(day == "2024-01-29")),
+        valid.filter(day.isin("2024-01-02", "2024-01-30")).unionByName(other_ids),
+    )
+    for rows in deliveries:
+        rows.write.mode("append").parquet(spec.source_path)
+        st.dedup_stream(spark, spec.source_path, spec.paths.silver, spec.paths.checkpoints).awaitTermination()
+    told = spark.read.schema(st.PROGRESS).parquet(f"{spec.paths.silver}_progress")
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("n")) for k, c in (("out", "out"), ("repeat", "repeats"), ("late", "late"))])
+    return told.select("batch", F.explode(kinds).alias("k")).select("batch", "k.*").filter("n > 0")
+
+
+def q_stream_metrics(spark, sf):
+    """What the listener recorded of two runs of the Bronze stream."""
+    spec = _spec(spark, "stream-metrics")
+    tx = _tx(spark, sf)
+    with metrics.recorded(spark, spec.paths.metrics):
+        for rows in (tx.filter(~_is_last() | F.col("event_time").isNull()), tx.filter(_is_last())):
+            rows.write.mode("append").parquet(spec.source_path)
+            st.bronze_stream(spark, spec.source_path, spec.paths.routed, spec.paths.checkpoints, spec).awaitTermination()
+    return metrics.read(spark, spec.paths.metrics).select("batch", "rows", "valid", "quarantine")
+
+
+def q_stream_schema_change(spark, sf):
+    """A column that files gained between two runs on one checkpoint."""
+    spec = _spec(spark, "stream-schema")
+    tx = _tx(spark, sf)
+    early, late = tx.filter(~_is_last() | F.col("event_time").isNull()), tx.filter(_is_last()).withColumn("channel", F.lower("transaction_type"))
+    for rows in (early, late):
+        rows.write.mode("append").parquet(spec.source_path)
+        st.bronze_stream(spark, spec.source_path, spec.paths.routed, spec.paths.checkpoints, spec).awaitTermination()
+    valid = tables.read_evolving(spark, spec.paths.routed).filter("route = 'valid'")
+    return valid.select(*Columns().event_columns, "channel").withColumn("event_time", wall_clock("event_time"))
+
+
+def _custom(spark, name):
+    """Two types only, and events of twenty days only."""
+    cfg = LedgerConfig(cutoff=CUTOFF, transaction_types=("DEPOSIT", "WITHDRAWAL"), time_range=(dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 30)))
+    return pl.PipelineSpec(root=scratch_path(spark, name), cfg=cfg)
+
+
+def q_stream_custom_types(spark, sf):
+    """The fold stream under configured types and times."""
+    spec = _custom(spark, "custom-fold")
+    src = _land(_tx(spark, sf), spec.source_path)
+    st.silver_fold_stream(spark, src, spec, CUTOFF).awaitTermination()
+    return _silver(spark, spec)
+
+
+def q_stream_totals_custom_types(spark, sf):
+    """The stateful aggregate under the same types and times."""
+    spec = _custom(spark, "custom-totals")
+    src = _land(_tx(spark, sf), spec.source_path)
+    st.account_totals_table_stream(spark, src, spec, CUTOFF).awaitTermination()
+    return _silver(spark, spec)
+
+
+# --- tables by name ---------------------------------------------------------------------
+
+def _database(spark: SparkSession, name: str) -> str:
+    """A new database whose folder lies in the scratch space."""
+    path = scratch_path(spark, name)
+    database = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    return database
+
+
+def q_catalog_append(spark, sf):
+    """Appends by name; the second brings a column that the table lacks."""
+    name = f"{_database(spark, 'catalog-append')}.events"
+    valid = quality.valid_events(_tx(spark, sf))
+    early = F.col("event_time") < ts_lit(CUTOFF)
+    tables.append_table(valid.filter(early), name)
+    tables.append_table(valid.filter(~early).withColumn("channel", F.lower("transaction_type")), name)
+    return tables.read_table(spark, name).withColumn("event_time", wall_clock("event_time"))
+
+
+def q_catalog_overwrite(spark, sf):
+    """Partitions replaced by name: half the days are written with a wrong sum first."""
+    name = f"{_database(spark, 'catalog-overwrite')}.flow"
+    flow = balances.daily_net(quality.valid_events(_tx(spark, sf)))
+    odd = F.dayofmonth("d") % 2 == 1
+    tables.append_table(flow.withColumn("net", F.when(odd, F.lit(0).cast("decimal(18,2)")).otherwise(F.col("net"))), name, ["d"])
+    tables.overwrite_table_partitions(flow.filter(odd), name, ["d"])
+    return tables.read_table(spark, name).select("account_id", "d", "net")
+
+
+def q_catalog_pipeline(spark, sf):
+    """Raw files to current balances, every layer a table of a database."""
+    spec = _spec(spark, "catalog-pipeline", catalog=_database(spark, "ledger"))
+    _raw_types(_tx(spark, sf)).write.parquet(spec.source_path)
+    pl.run_pipeline(spark, spec, business_date=CUTOFF.date(), run_id="query")
+    return tables.read_table(spark, spec.layers.name("balance")).select("account_id", "current_balance", "last_day_bonus")
+
+
+def q_catalog_fold(spark, sf):
+    """Silver by name after two folds: the view's partitions lie in both versions."""
+    spec = _spec(spark, "catalog-fold", catalog=_database(spark, "ledger"))
+    tx = _tx(spark, sf)
+    pl.fold_batch(spark, tx.filter(~_is_last()), 0, spec)
+    pl.fold_batch(spark, tx.filter(_is_last()), 1, spec)
+    return tables.read_table(spark, spec.layers.name("silver"))
+
+
+def q_stream_from_table(spark, sf):
+    """The fold over a catalog table read as a stream by name, in two runs."""
+    database = _database(spark, "ledger")
+    spec, name = _spec(spark, "stream-table", catalog=database), f"{database}.events"
+    tx = _tx(spark, sf)
+    for rows in (tx.filter(~_is_last() | F.col("event_time").isNull()), tx.filter(_is_last())):
+        tables.append_table(rows, name)
+        st.silver_fold_stream(spark, st.table_stream(spark, name), spec, CUTOFF).awaitTermination()
+    return tables.read_table(spark, spec.layers.name("silver"))
+
+
 # --- Silver on one version line --------------------------------------------------------
 
 def q_fold_after_recompute(spark, sf):
@@ -132,6 +255,38 @@ def q_silver_five_columns(spark, sf):
     return _silver(spark, spec)
 
 
+def q_text_event_ids(spark, sf):
+    """Events whose ids are text, some delivered again, folded in two batches."""
+    spec = _spec(spark, "text-ids")
+    tx = _tx(spark, sf).withColumn("event_id", F.concat(F.lit("evt-0000-"), F.col("event_id").cast("string")))
+    before, last = tx.filter(~_is_last()), tx.filter(_is_last())
+    pl.fold_batch(spark, before, 0, spec)
+    pl.fold_batch(spark, last.unionByName(before.filter(F.dayofmonth("event_time") == 28)), 1, spec)
+    return _silver(spark, spec)
+
+
+def q_state_buckets(spark, sf):
+    """Silver after a fold of everything and one fold per account group: each rewrites its own buckets only."""
+    spec = _spec(spark, "state-buckets", state_buckets=32)
+    tx = _tx(spark, sf)
+    last = tx.filter(_is_last())
+    group = F.pmod(F.xxhash64("account_id"), F.lit(2))
+    pl.fold_batch(spark, tx.filter(~_is_last()), 0, spec)
+    for n in (0, 1):
+        pl.fold_batch(spark, last.filter(group == n), n + 1, spec)
+    return _silver(spark, spec)
+
+
+def q_gold_from_day_state(spark, sf):
+    """Balances from a day-grain Silver, folded in two batches."""
+    spec = _spec(spark, "gold-day", grain="day")
+    tx = _tx(spark, sf)
+    pl.fold_batch(spark, tx.filter(~_is_last()), 0, spec)
+    pl.fold_batch(spark, tx.filter(_is_last()), 1, spec)
+    pl.run_gold(spark, spec, CUTOFF.date(), "007")
+    return tables.SnapshotTable(spec.paths.balance).read(spark).select("account_id", "current_balance", "last_day_bonus")
+
+
 def q_snapshot_latest(spark, sf):
     """The latest complete version of a table that was created and replaced."""
     store = tables.SnapshotTable(scratch_path(spark, "snapshots"))

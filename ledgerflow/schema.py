@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from ledgerflow.config import Columns
+
 MONEY = T.DecimalType(18, 2)
 
 EVENT = T.StructType(
@@ -44,3 +46,8 @@ BALANCE = T.StructType(
         T.StructField("business_date", T.DateType(), True),
     ]
 )
+
+
+def named(contract: T.StructType, cols: Columns) -> T.StructType:
+    """``contract`` under the configured column names."""
+    return T.StructType([T.StructField(getattr(cols, f.name, f.name), f.dataType, f.nullable) for f in contract.fields])

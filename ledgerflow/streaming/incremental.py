@@ -7,11 +7,13 @@
   stream), upserted into Silver snapshots.
 * ``daily_flow_stream``: 1-day tumbling windows with a watermark, ``append``
   mode: each closed day is emitted once; ``late_flow`` gives what came after.
-* ``dedup_stream``: ``dropDuplicatesWithinWatermark`` on the event key.
+* ``dedup_stream``: one delivery of each event; what came after the watermark
+  goes to a side table, so every row read is out, a repeat or late.
 * ``bronze_stream``: normalised events to the valid and the quarantine
   partition of one checkpointed file sink; every row lands in one of them.
 
-The stateful queries count valid rows only; run them over the valid partition
+Types, names and time range are those of the configuration everywhere, so
+every entry gives the same Silver. The stateful queries count valid rows only; run them over the valid partition
 that ``bronze_stream`` writes, or beside it: it keeps what they pass over.
 """
 
@@ -23,24 +25,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerflow.config import Columns, LedgerConfig
+from ledgerflow.config import LedgerConfig
 from ledgerflow.functions.money import money, zero
 from ledgerflow.functions.rules import is_eligible
 from ledgerflow.operators import balances, merge, quality
-from ledgerflow.plans.pipeline import PipelineSpec, _place_of, fold_batch
+from ledgerflow.plans.pipeline import PipelineSpec, _place_of, change_state, fold_batch
 from ledgerflow.schema import EVENT
 from ledgerflow.sources import events as ev
 from ledgerflow.sources import tables
+from ledgerflow.sources.runs import EventRuns
+from ledgerflow.streaming.metrics import ROUTING
+
+
+def _source(spark: SparkSession, source: str | DataFrame, max_files_per_trigger: int | None) -> DataFrame:
+    """A directory of event files, or a streaming frame as it is (``table_stream``)."""
+    return event_stream(spark, source, max_files_per_trigger) if isinstance(source, str) else source
 
 
 def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None, schema=None) -> DataFrame:
     """Streaming scan of a directory of event Parquet files.
 
-    The schema is that of the files already there (raw sources may hold text
-    times or double amounts), else the event contract.
+    The schema is the union over all files already there (raw sources may
+    hold text times or double amounts, later ones more columns), else the
+    event contract. A stream started again on the same checkpoint takes the
+    schema of that moment: a column that files gained meanwhile is there, NULL
+    for files without it.
     """
     if schema is None:
-        schema = spark.read.parquet(source_dir).schema if tables.has_data(spark, source_dir) else EVENT
+        schema = tables.read_evolving(spark, source_dir).schema if tables.has_data(spark, source_dir) else EVENT
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -58,7 +70,7 @@ def _trigger(writer, available_now: bool):
 
 def silver_fold_stream(
     spark: SparkSession,
-    source_dir: str,
+    source: str | DataFrame,
     spec: PipelineSpec,
     cutoff: dt.datetime | None,
     checkpoint: str | None = None,
@@ -69,6 +81,9 @@ def silver_fold_stream(
 ) -> StreamingQuery:
     """Process new files into Silver, one snapshot version per micro-batch.
 
+    ``source`` is a directory of event files or a streaming frame, such as a
+    catalog table read with ``table_stream``.
+
     Keep the checkpoint next to the Silver table: a fresh checkpoint restarts
     batch ids at 0, which must go with a fresh Silver table.
     """
@@ -77,15 +92,18 @@ def silver_fold_stream(
     def on_batch(df: DataFrame, batch_id: int) -> None:
         fold_batch(df.sparkSession, df, batch_id, spec, cutoff, grain, cross_batch_dedup)
 
-    w = event_stream(spark, source_dir, max_files_per_trigger).writeStream.foreachBatch(on_batch).option(
-        "checkpointLocation", ckpt
-    )
+    w = _source(spark, source, max_files_per_trigger).writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
     return _trigger(w, available_now).start()
 
 
-def account_totals(events: DataFrame, cutoff: dt.datetime, cols: Columns = Columns()) -> DataFrame:
+def _valid(events: DataFrame, cfg: LedgerConfig) -> DataFrame:
+    return quality.valid_under(ev.normalize(events, cfg.cols, cfg.event_id_type), cfg)
+
+
+def account_totals(events: DataFrame, cutoff: dt.datetime, cfg: LedgerConfig = LedgerConfig()) -> DataFrame:
     """Silver aggregate as one stateful aggregate (valid rows only)."""
-    valid = quality.valid_events(ev.normalize(events, cols), cols)
+    cols = cfg.cols
+    valid = _valid(events, cfg)
     flag = is_eligible(cols, cutoff)
     early = F.coalesce(money(F.sum(F.when(flag, F.col(cols.amount)))), zero())
     late = F.coalesce(money(F.sum(F.when(~flag, F.col(cols.amount)))), zero())
@@ -117,26 +135,25 @@ def account_totals_table_stream(
     cols = spec.cfg.cols
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        store = tables.SnapshotTable(spec.paths.silver)
+        store = spec.layers.snapshots("silver")
         version, base = _place_of(df.sparkSession, store, batch_id)
-        # the batch holds only the accounts it changed: carry the rest over
-        new = df if base is None else merge.upsert_touched_only(store.read(df.sparkSession, base), df, cols.account_id)
-        store.write(
-            new.select(*cols.silver_columns), version, kind="fold", grain="account", cutoff=cutoff.isoformat(), last_batch=batch_id, base=base
-        )
-        store.drop_below(df.sparkSession, version)
-
-    agg = account_totals(event_stream(spark, source_dir, max_files_per_trigger), cutoff, cols)
+        meta = {"kind": "fold", "grain": "account", "cutoff": cutoff.isoformat(), "last_batch": batch_id, "base": base}
+        # the batch holds only the accounts it changed, with their present totals
+        replaced = lambda old, new: merge.upsert(old, new, cols.account_id)
+        change_state(df.sparkSession, spec, store, version, base, df.select(*cols.silver_columns), replaced, meta)
+
+    agg = account_totals(event_stream(spark, source_dir, max_files_per_trigger), cutoff, spec.cfg)
     w = agg.writeStream.outputMode("update").foreachBatch(on_batch).option("checkpointLocation", ckpt)
     return _trigger(w, available_now).start()
 
 
-def daily_flow(events: DataFrame, watermark: str = "1 day", cols: Columns = Columns()) -> DataFrame:
+def daily_flow(events: DataFrame, watermark: str = "1 day", cfg: LedgerConfig = LedgerConfig()) -> DataFrame:
     """Net flow per account and calendar day; with a watermark, append mode
     emits a day once the watermark has passed its end."""
-    valid = quality.valid_events(ev.normalize(events, cols), cols)
+    cols = cfg.cols
     return (
-        valid.withWatermark(cols.event_time, watermark)
+        _valid(events, cfg)
+        .withWatermark(cols.event_time, watermark)
         .groupBy(cols.account_id, F.window(cols.event_time, "1 day").alias("w"))
         .agg(money(F.sum(cols.amount)).alias("net"))
         .select(cols.account_id, F.to_date(F.col("w.start")).alias("d"), "net")
@@ -151,16 +168,16 @@ def daily_flow_stream(
     watermark: str = "1 day",
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
-    cols: Columns = Columns(),
+    cfg: LedgerConfig = LedgerConfig(),
 ) -> StreamingQuery:
-    flows = daily_flow(event_stream(spark, source_dir, max_files_per_trigger), watermark, cols)
+    flows = daily_flow(event_stream(spark, source_dir, max_files_per_trigger), watermark, cfg)
     w = flows.writeStream.outputMode("append").format("parquet").option("path", out_path).option(
         "checkpointLocation", checkpoint
     )
     return _trigger(w, available_now).start()
 
 
-def late_flow(events: DataFrame, emitted: DataFrame, cols: Columns = Columns()) -> DataFrame:
+def late_flow(events: DataFrame, emitted: DataFrame, cfg: LedgerConfig = LedgerConfig()) -> DataFrame:
     """``account_id, d, net``: the flow of closed days that ``daily_flow_stream``
     did not emit, because its events came after the watermark.
 
@@ -168,7 +185,8 @@ def late_flow(events: DataFrame, emitted: DataFrame, cols: Columns = Columns())
     for the days up to the last emitted one. Emitted plus late is the whole
     flow of those days.
     """
-    whole = balances.daily_net(quality.valid_events(ev.normalize(events, cols), cols), cols)
+    cols = cfg.cols
+    whole = balances.daily_net(_valid(events, cfg), cols)
     last = emitted.agg(F.max("d").alias("_last"))
     minus = emitted.select(cols.account_id, "d", (-F.col("net")).alias("net"))
     both = whole.unionByName(minus).join(F.broadcast(last), F.col("d") <= F.col("_last")).drop("_last")  # one row
@@ -181,26 +199,93 @@ def dedup_stream(
     out_path: str,
     checkpoint: str,
     watermark: str = "1 day",
-    cols: Columns = Columns(),
+    cfg: LedgerConfig = LedgerConfig(),
     available_now: bool = True,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Drop repeated deliveries of an event that arrive within the watermark."""
-    events = ev.normalize(event_stream(spark, source_dir), cols).withWatermark(cols.event_time, watermark)
-    w = events.dropDuplicatesWithinWatermark([cols.event_id]).writeStream.outputMode("append").format("parquet").option(
-        "path", out_path
-    ).option("checkpointLocation", checkpoint)
+    """One delivery of each event to ``out_path``, nothing lost on the way.
+
+    Spark's own dropDuplicatesWithinWatermark drops events behind the
+    watermark without a trace, so the batches are split here instead, under
+    the same watermark: the latest event time of all batches before, less the
+    delay. Beside ``out_path`` lie ``_late`` (rows behind the watermark, or
+    without a time or an id, with the reason), ``_progress`` (one row per
+    batch: rows read, out, repeats, late, watermark; rows = out + repeats +
+    late) and ``_seen`` (ids that may still be repeated, as sorted runs). A
+    batch replaces its own partitions, so a replay changes nothing.
+    """
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        dedup_batch(df.sparkSession, df, batch_id, out_path, watermark, cfg)
+
+    w = event_stream(spark, source_dir, max_files_per_trigger).writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now).start()
 
 
+PROGRESS = "rows long, out long, repeats long, late long, max_time timestamp, watermark timestamp, batch long"
+
+
+def dedup_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_path: str, delay: str, cfg: LedgerConfig) -> None:
+    """Split one micro-batch into new events, repeats and late rows (see ``dedup_stream``)."""
+    cols = cfg.cols
+    key, at, number = cols.event_id, F.col(cols.event_time), F.lit(batch_id).cast("long")
+    seen = EventRuns(f"{out_path}_seen", key, (cols.event_time,))
+    progress = f"{out_path}_progress"
+    before = spark.createDataFrame([], PROGRESS)
+    if tables.has_data(spark, progress):
+        before = spark.read.schema(PROGRESS).parquet(progress).filter(F.col("batch") < batch_id)
+    behind = lambda c: F.max(c) - F.expr(f"INTERVAL {delay}")
+    # as text: a collected timestamp would be shifted into the driver's OS time zone
+    limits = before.select(behind("max_time").alias("w"), (behind("max_time") - F.expr(f"INTERVAL {delay}")).alias("old")).select(
+        F.col("w").cast("string").alias("w"), F.col("old").cast("string").alias("old")
+    ).first()
+    line = F.lit(limits.w).cast("timestamp")
+    events = ev.normalize(batch, cols, cfg.event_id_type).withColumn(
+        "reason", F.when(at.isNull(), "no_time").when(F.col(key).isNull(), "no_id").when(at < line, "late")
+    ).persist()
+    timely = events.filter("reason is null").drop("reason")
+    rest = [F.col(c) for c in timely.columns if c != key]
+    # of copies within the batch the earliest stays
+    first = timely.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(at, *[c for c in rest])).alias("_r")).select(key, "_r.*")
+    known = seen.candidates(spark, first, batch_id)
+    new = first if known is None else first.join(known.select(key).distinct(), key, "left_anti")
+    new = new.select(*timely.columns).withColumn("batch", number)
+    tables.write_partitions(new, out_path, ["batch"])
+    late = events.filter("reason is not null").withColumn("batch", number)
+    tables.write_partitions(late, f"{out_path}_late", ["batch"])
+    mine = f"{out_path}/batch={batch_id}"
+    done = spark.read.schema(timely.schema).parquet(mine) if tables.has_data(spark, mine) else timely.limit(0)
+    seen.write(done.select(key, cols.event_time), batch_id)
+    zero = F.lit(0).cast("long")
+    both = events.agg(F.count(F.lit(1)).alias("rows"), zero.alias("out"), F.count("reason").alias("late"), F.max(at).alias("max_time")).unionByName(
+        done.agg(zero.alias("rows"), F.count(F.lit(1)).alias("out"), zero.alias("late"), F.max(at).alias("max_time"))
+    )
+    told = both.agg(*[F.sum(c).alias(c) for c in ("rows", "out", "late")], F.max("max_time").alias("max_time")).select(
+        "rows", "out", (F.col("rows") - F.col("out") - F.col("late")).alias("repeats"), "late", "max_time", line.alias("watermark"), number.alias("batch")
+    )
+    tables.write_partitions(told, progress, ["batch"])
+    events.unpersist()
+    seen.compact(spark, below=batch_id)
+    if limits.old:
+        seen.drop_older(spark, batch_id, cols.event_time, limits.old)
+
+
 def bronze_stream(
-    spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, spec: PipelineSpec | None = None, available_now: bool = True
+    spark: SparkSession,
+    source_dir: str,
+    out_path: str,
+    checkpoint: str,
+    spec: PipelineSpec | None = None,
+    available_now: bool = True,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """New files, normalised, to ``out_path/route=valid`` and ``route=quarantine``
     (append, checkpointed); rejected rows keep their raw values and reasons."""
     cfg = spec.cfg if spec else LedgerConfig()
-    events = ev.normalize(tables.with_raw(event_stream(spark, source_dir)), cfg.cols)
+    events = ev.normalize(tables.with_raw(event_stream(spark, source_dir, max_files_per_trigger)), cfg.cols, cfg.event_id_type)
     routed = tables.tag_routes(events, cfg.cols, cfg.transaction_types, cfg.time_range)
-    w = routed.writeStream.outputMode("append").format("parquet").partitionBy(tables.ROUTE).option("path", out_path).option(
+    # counted while it runs; streaming.metrics keeps the counts per batch
+    w = routed.observe(ROUTING, *tables.route_counts(cfg.cols)).writeStream.outputMode("append").format("parquet").partitionBy(tables.ROUTE).option("path", out_path).option(
         "checkpointLocation", checkpoint
     )
     return _trigger(w, available_now).start()
