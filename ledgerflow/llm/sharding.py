@@ -161,7 +161,7 @@ def dealt(found: pd.DataFrame, cuts: list[tuple[int, int]], share: float, shards
         least, s = heapq.heappop(load)
         heapq.heappush(load, (least + sum(p[4] for p in unit), s))
         placed += [(number, chunk, pieces, s, rows) for number, chunk, pieces, rows, _ in unit]
-    pieces = pd.DataFrame(sorted(placed), columns=["range", "chunk", "pieces", "shard", "rows"])
+    pieces = pd.DataFrame(sorted(placed), columns=["range", "chunk", "pieces", "shard", "rows"], dtype="int64")  # typed when empty, too
     pieces["start"] = pieces.groupby("shard")["rows"].cumsum() - pieces["rows"]
     return pieces
 
