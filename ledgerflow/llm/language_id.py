@@ -7,7 +7,8 @@ interpolation down to a uniform model). The tables are kept whole and in
 shared files. What the texts need of them is looked up by joins: the distinct
 n-grams of blocks of texts, each order joined to the one below, and the
 probabilities back to the blocks, which hold them as sorted arrays of 64-bit
-codes. Only a row per language passes the driver. A text goes to the language with the lowest cross-entropy per
+codes. A block is a stretch of one input partition, so its n-grams come from
+one task and only once. Only a row per language passes the driver. A text goes to the language with the lowest cross-entropy per
 character. It is rejected
 where its words, each under the language that fits it best, still lie far
 above what that language's own training text has; so a text that mixes known
@@ -24,9 +25,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerflow.llm.common import id_bucket, join_by_key, shuffle_width, stage
 
@@ -42,12 +45,17 @@ CACHED_WORDS = 400_000
 BLOCK_CHARS = 16_000_000
 UNKNOWN = "und"
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters, for texts without a character that may be a mark or a number of another kind; ``_WIDE`` finds those.
+_LETTERS = re.compile("[^\\W\\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+")
+_WIDE = re.compile("[\u0300-\u1fff\u2070-\U0010ffff]")
+_ANY_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
 
 def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    """Runs of letters, lower-cased; a letter's marks, as vowel signs, belong to the run, numbers of no kind do."""
+    text = text.lower()
+    return (_ANY_LETTERS if _WIDE.search(text) else _LETTERS).findall(text)
 
 
 def gram_counts(train: DataFrame, order: int = ORDER) -> DataFrame:
@@ -290,11 +298,8 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
     if not models.langs:
         return base.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "rejected": F.lit(True)})
     chars = base.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = max(2 * shuffle_width(docs.sparkSession), chars // BLOCK_CHARS + 1)
-    # by all columns, so that equal texts do not meet in one block
-    dealt_by = [f.name for f in base.schema.fields if "map<" not in f.dataType.simpleString()]
-    block = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in dealt_by)), F.lit(n_blocks)).alias("block")
-    in_block = stage(block_grams(base.select(block, "text"), models.order), "lang-block-grams")
+    limit = min(BLOCK_CHARS, chars // shuffle_width(docs.sparkSession) + 1)
+    in_block = stage(block_grams(base.select("text"), limit, models.order), "lang-block-grams")
     sizes = in_block.groupBy("gram").agg(F.count("*").alias("size"))
     p = stage(probabilities(models, sizes).join(sizes, "gram"), "lang-probabilities")
     given = join_by_key(in_block, in_block.count(), p, ["gram"], "size").select("block", "gram", "p").groupBy("block")
@@ -313,35 +318,70 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
         cols = [*row.flatten(), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
         return pa.Table.from_arrays(cols, names=[*(f.name for f in row.type), "lang_pred", "score", "rejected"])
 
-    rows = base.select(block, F.struct("*").alias("row")).groupBy("block")
+    rows = numbered(base.select(F.struct("*").alias("row")), limit).groupBy("block")
     return rows.cogroup(given).applyInArrow(run, StructType([*base.schema.fields, *added.fields]))
 
 
-def block_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
-    """Distinct (block, gram) of the rows (block, text)."""
+class _Stretches:
+    """Numbers a partition's rows: blocks of about ``limit`` characters, one after the other."""
+
+    def __init__(self, limit: int):
+        self.limit, self.block, self.held = limit, TaskContext.get().partitionId() << 32, 0
+
+    def number(self, texts: pa.Array) -> list[int]:
+        out = []
+        for n in pc.fill_null(pc.utf8_length(texts), 0).to_pylist():
+            if self.held >= self.limit:
+                self.block, self.held = self.block + 1, 0
+            self.held += n + 1
+            out.append(self.block)
+        return out
+
+
+def numbered(rows: DataFrame, limit: int) -> DataFrame:
+    """(block, row) from the structs (row), whose field text counts. The same input gives the numbers of ``block_grams``.
+
+    Were a partition's order another one, the scorer would miss n-grams and
+    fail; it never scores a text by part of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, set] = {}
-        held = 0
+        blocks = _Stretches(limit)
+        for batch in batches:
+            number = blocks.number(batch.column(0).field("text"))
+            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), batch.column(0)], names=["block", "row"])
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for block, words in seen.items():
-                grams = grams_of(list(words), order) if words else []
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(grams), pa.int64()), pa.array(grams, pa.string())], names=["block", "gram"])
-            seen.clear()
+    return rows.mapInArrow(run, StructType([StructField("block", LongType()), rows.schema["row"]]))
+
+
+def block_grams(texts: DataFrame, limit: int, order: int = ORDER) -> DataFrame:
+    """Distinct (block, gram) of the rows (text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, now = _Stretches(limit), None
+        words: set[str] = set()
+        found: set[str] = set()
+
+        def flush() -> pa.RecordBatch:
+            grams = list(found.union(grams_of(list(words), order)) if words else found)
+            words.clear()
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array([now] * len(grams), pa.int64()), pa.array(grams, pa.string())], names=["block", "gram"])
 
         for batch in batches:
-            for block, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = seen.setdefault(block, set())
-                held -= len(words)
+            for block, text in zip(blocks.number(batch.column(0)), batch.column(0), strict=True):
+                if block != now:
+                    if now is not None:
+                        yield flush()
+                    now = block
                 words.update(words_of(text.as_py() or ""))
-                held += len(words)
-                if held > CACHED_WORDS:
-                    yield from flush()
-                    held = 0
-        yield from flush()
+                if len(words) > CACHED_WORDS:
+                    found.update(grams_of(list(words), order))
+                    words.clear()
+        if now is not None:
+            yield flush()
 
-    return texts.mapInArrow(run, "block bigint, gram string").distinct()
+    return texts.mapInArrow(run, "block bigint, gram string")
 
 
 def held_out(col: str = "doc_id"):
