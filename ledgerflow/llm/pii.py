@@ -11,6 +11,7 @@ overlap a plain one.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -162,15 +163,18 @@ def _spelled(text: str) -> list[Edit]:
 
 
 def _disguises(text: str) -> list[Edit]:
-    out = {}
+    plain: list[Edit] = []
     for m in _WORDS.finditer(text):
-        out[m.start("at")] = (m.start("at"), m.end("at"), "@")
-        for d in _ANY_DOT.finditer(text, m.start("host"), m.end("host")):
-            out[d.start()] = (d.start(), d.end(), ".")
-    for m in _MARKED.finditer(text):
-        if not any(a < m.end() and m.start() < b for a, b, _ in out.values()):
-            out[m.start()] = (m.start(), m.end(), "@" if m["at"] else ".")
-    return [out[k] for k in sorted(out)]
+        plain.append((m.start("at"), m.end("at"), "@"))
+        plain += [(d.start(), d.end(), ".") for d in _ANY_DOT.finditer(text, m.start("host"), m.end("host"))]
+    out, i = [], 0
+    for m in _MARKED.finditer(text):  # both lists are in order, so one pass merges them
+        while i < len(plain) and plain[i][1] <= m.start():
+            out.append(plain[i])
+            i += 1
+        if i == len(plain) or plain[i][0] >= m.end():
+            out.append((m.start(), m.end(), "@" if m["at"] else "."))
+    return out + plain[i:]
 
 
 def _mixed_digits(text: str) -> list[Edit]:
@@ -192,12 +196,24 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
         state.apply(step(state.text))
     if state.back is None:
         return []
-    out, taken = [], [(a, b) for _, a, b in base]
+    out, taken = [], _merged([(a, b) for _, a, b in base])
     for kind, a, b in base_spans(state.text):
         start, end = state.source(a, b)
-        if not any(x < end and start < y for x, y in taken):
+        i = bisect.bisect_left(taken, (end,))
+        if not i or taken[i - 1][1] <= start:
             out.append((kind, start, end))
-            taken.append((start, end))
+            taken.insert(i, (start, end))
+    return out
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans in order, overlapping ones as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
     return out
 
 

@@ -81,3 +81,18 @@ def test_query_columns(make_docs):
         assert r["n_email"] == joined.count("email:") and r["n_phone"] == joined.count("phone:")
     assert pii.find_pii(make_docs([])).count() == 0
     assert pii.mask("to a@b.co!", [("email", 3, 9)]) == "to [EMAIL]!"
+
+
+def test_a_megabyte_of_disguises_takes_linear_time():
+    import time
+
+    from ledgerflow.llm.pii import all_spans
+
+    one = "write to joe (at) mail (dot) org or jane at host dot de now. "
+    text = one * (1_000_000 // len(one))
+    start = time.perf_counter()
+    base, full = all_spans(text)
+    took = time.perf_counter() - start
+    assert not base and len(full) == 2 * (1_000_000 // len(one))
+    assert text[full[1][1] : full[1][2]] == "jane at host dot de"
+    assert took < 10  # about 1.5 s; the earlier scan did not end in minutes
