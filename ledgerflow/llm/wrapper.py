@@ -25,7 +25,7 @@ from ledgerflow.llm.common import stage
 #: A block is template on a host from so many different pages and this share of them on.
 TEMPLATE_PAGES = 5
 TEMPLATE_SHARE = 0.5
-#: Elements nested deeper are read as if they were siblings.
+#: Elements nested deeper are read as if they were siblings; left-out ones stay left out, the first article or main stays one.
 DEPTH = 200
 
 # Element names of HTML by what they mean here.
@@ -143,7 +143,8 @@ def parse(html: str) -> Node:
             drop = not any(t in ("article", "main") for t, _ in stack) and not (tag in ("article", "main", "body", "html"))
         if tag in ("article", "main", "body", "html") and not words & frozenset(("comment", "comments", "reply", "replies", "related", "ad", "ads", "promo")):
             drop = False
-        if (tag in BLOCK or drop) and len(stack) < DEPTH:
+        outermost = tag in ("article", "main") and not any(t in ("article", "main") for t, n in stack if n is not None)
+        if (tag in BLOCK or drop) and (len(stack) < DEPTH or outermost or (drop and not node.drop)):
             child = Node(tag, f"{tag}.{first}" if first else tag, drop, node)
             child.marked = drop and tag not in DROPPED
             if tag in ("article", "main") and not drop and not met:
@@ -286,25 +287,16 @@ def blocks(root: Node) -> list[tuple[Node, str]]:
 
 
 def _article(found: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
-    """The blocks inside the main element, or else inside the article with the most text; all if there is neither."""
-    by_main: dict[int, list] = {}
-    by_article: dict[int, list] = {}
+    """The blocks inside main elements, or else inside articles, in page order; all if there is neither."""
+    inside: dict[str, list] = {"main": [], "article": []}
     for node, text in found:
-        up, main, article = node, None, None
+        around, up = set(), node
         while up is not None:
-            if up.tag == "article":
-                article = up  # the outermost
-            elif up.tag == "main":
-                main = up
+            around.add(up.tag)
             up = up.up
-        if article is not None:
-            by_article.setdefault(id(article), []).append((node, text))
-        if main is not None:
-            by_main.setdefault(id(main), []).append((node, text))
-    for groups in (by_article, by_main):
-        if groups:
-            return max(groups.values(), key=lambda g: sum(len(t) for _, t in g))
-    return found
+        for tag in around & inside.keys():
+            inside[tag].append((node, text))
+    return inside["main"] or inside["article"] or found
 
 
 def text_hash(text: str) -> int:
@@ -383,7 +375,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars.
 
     Needs page_id, url and html; other columns are ignored. A null or empty
-    html, or one without an article, has the empty text. A null or broken url
+    html has the empty text. Where a page has main elements the text is what they
+    hold, else what its articles hold, all of them. A null or broken url
     has no host, its page is read by the rules alone. Pages are read whole;
     tags that are not closed or cut off are put up with.
     """

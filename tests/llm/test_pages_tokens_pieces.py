@@ -177,3 +177,18 @@ def test_long_units_of_a_unigram_model_take_the_best_path(make_docs):
         ids = pl.viterbi_long(unit, pieces)
         assert "".join(pieces.text[i] for i in ids) == unit and abs(sum(pieces.score[i] for i in ids) - best[-1]) < 1e-9
     assert pl.viterbi_long("ab?c", pieces) == [name("ab"), 0, name("c")]
+
+
+def test_all_of_main_or_all_articles_are_the_text():
+    from ledgerflow.llm.wrapper import main_text
+
+    assert main_text("<nav>menu</nav><main><h1>Title</h1><p>Intro</p><article>A</article><article>B</article></main>") == "Title Intro A B"
+    assert main_text("<p>side</p><article>A</article><p>between</p><article>B<aside>x</aside></article>") == "A B"
+
+
+def test_depth_does_not_bring_back_what_is_left_out():
+    from ledgerflow.llm.wrapper import main_text
+
+    for depth in (10, 210, 1000):
+        assert main_text("<div>" * depth + "<nav><p>menu</p></nav>text body") == "text body"
+        assert main_text("<p>side</p>" + "<div>" * depth + "<article>deep <nav>m</nav>text</article>") == "deep text"
