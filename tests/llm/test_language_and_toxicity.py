@@ -148,3 +148,25 @@ def test_one_class_or_no_labels(make_docs, spark):
     for rows in ([], [(1, 0), (2, 0)], [(1, None)]):
         model = tx.train(docs, spark.createDataFrame(rows, "doc_id long, toxic int"))
         assert [r["predicted"] for r in tx.score_texts(docs.select("doc_id", "text"), model).collect()] == [0, 0]
+
+
+def test_words_are_letters_with_their_marks():
+    from ledgerflow.llm.language_id import words_of
+
+    assert words_of("x²½ Ünï Ⅷ a1b don’t") == ["x", "ünï", "a", "b", "don", "t"]
+    assert words_of("हिन्दी भाषा") == ["हिन्दी", "भाषा"]
+    assert words_of("²½ 12 _ Ⅷ") == []
+
+
+def test_blocks_of_any_size_give_the_same_result(spark, make_docs, monkeypatch):
+    from ledgerflow.llm import language_id
+
+    rows = [(i, f"the cat number{'x' * (i % 7)} sat on mats" if i % 2 else f"der hund nummer{'y' * (i % 5)} lag auf matten", "en" if i % 2 else "de") for i in range(60)]
+    docs = make_docs([*rows, (None, None), (61, ""), (62, "²½")]).repartition(3, "doc_id").sortWithinPartitions("doc_id")
+    models = language_id.train_on(docs)
+    found = []
+    for limit in (1, 200, 10**6):
+        monkeypatch.setattr(language_id, "BLOCK_CHARS", limit)
+        found.append(sorted(map(str, language_id.identify(docs, models).select("doc_id", "lang_pred", "score", "rejected").collect())))
+    assert len(found[0]) == 63 and found[0] == found[1] == found[2]
+    assert sum("lang_pred='und'" in r for r in found[0]) == 3
