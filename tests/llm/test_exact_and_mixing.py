@@ -35,19 +35,44 @@ def test_chained_collisions_and_split_buckets(make_docs):
     rows = [(i, f"text {i % 40}") for i in range(200)]
     got = exact_dedup.exact_groups(make_docs(rows), capacity=1, hash_bits=3).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute_groups(rows)
-    index = exact_dedup.build_index(
-        exact_dedup.chains(make_docs(rows).select("doc_id", F.col("text").alias("norm")).withColumn("h", exact_dedup.hash_key(F.col("norm"), 3))), 1, 3
-    )
+    texts = make_docs(rows).select("doc_id", F.col("text").alias("norm")).withColumn("h", exact_dedup.hash_key(F.col("norm"), 3))
+    index = exact_dedup.build_index(texts, texts, len(rows), 1, 3)
     assert index.count() == 40 and index.agg(F.max("chain")).first()[0] > 1
 
 
 def test_directory_splits_only_what_is_over_capacity(spark):
-    keys = spark.createDataFrame([(h,) for h in [0, 1, 2, 3, 4, 5, 6, 7, 0x80, 0xC0]], "h long")
+    keys = spark.createDataFrame([(h, 1) for h in [0, 1, 2, 3, 4, 5, 6, 7, 0x80, 0xC0]], "h long, n long")
     slots = {r["slot"]: (r["local_depth"], r["bucket"]) for r in exact_dedup.directory(keys, 8, 2, 8).collect()}
     assert slots[0x80] == slots[0xC0][:1] + (0x80,) or slots[0x80][0] == 1  # two keys in the upper half share one bucket
     assert slots[0][0] == 7 and slots[0][1] == slots[1][1] and slots[2][1] != slots[0][1]
 
 
+def test_owners_have_whole_buckets_in_order_and_like_shares(spark):
+    keys = spark.range(4000).select(F.xxhash64("id").alias("h"), F.lit(1).cast("long").alias("n"))
+    rows = exact_dedup.owned(exact_dedup.directory(keys, 10, 20), 8).join(
+        keys.groupBy(F.shiftrightunsigned("h", 54).alias("slot")).agg(F.count("*").alias("n")), "slot"
+    ).orderBy("slot").collect()
+    of_bucket = defaultdict(set)
+    share = defaultdict(int)
+    for r in rows:
+        of_bucket[r["bucket"]].add(r["owner"])
+        share[r["owner"]] += r["n"]
+    assert all(len(o) == 1 for o in of_bucket.values())
+    assert [r["owner"] for r in rows] == sorted(r["owner"] for r in rows)
+    assert sorted(share) == list(range(8)) and max(share.values()) < 1.2 * 4000 / 8
+
+
+def test_owners_compare_where_texts_were_sent(spark, make_docs, capfd):
+    """Texts are shuffled once, to the owners; a text that many rows share is combined before."""
+    rows = [(i, "hot" if i % 3 else f"text {i % 500}") for i in range(3000)]
+    got = exact_dedup.exact_groups(make_docs(rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_groups(rows)
+    sent = make_docs(rows).withColumn("owner", (F.col("doc_id") % 8).cast("int")).repartitionById(8, F.col("owner"))
+    capfd.readouterr()
+    sent.groupBy("owner", "text").agg(F.count("*")).explain()
+    assert capfd.readouterr().out.count("Exchange") == 1
+
+
 def test_keep_first_drops_repeats(make_docs):
     docs = make_docs(ROWS)
     kept = exact_dedup.keep_first(docs)
