@@ -56,8 +56,8 @@ def _unit(vectors: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, label, dim, hi, lo, ok) per row; hi and lo are the same for equal vectors, ok tells the rows that can be linked."""
+def usable(vectors: DataFrame, keep: bool = False) -> DataFrame:
+    """(vec_id, label, dim, hi, lo, ok) per row, and the embedding with ``keep``; hi and lo are the same for equal vectors, ok tells the rows that can be linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,18 +73,21 @@ def usable(vectors: DataFrame) -> DataFrame:
                 lo.append(int.from_bytes(d[8:], "little", signed=True))
                 ok.append(fine)
             cols = [pa.array(dim, pa.int32()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(ok, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["vec_id", "label", "dim", "hi", "lo", "ok"])
+            names = ["vec_id", "label", "dim", "hi", "lo", "ok"]
+            if keep:
+                cols, names = [*cols, batch.column(2)], [*names, "embedding"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=names)
 
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
-    return rows.mapInArrow(run, "vec_id bigint, label string, dim int, hi bigint, lo bigint, ok boolean")
+    return rows.mapInArrow(run, "vec_id bigint, label string, dim int, hi bigint, lo bigint, ok boolean" + (", embedding array<double>" if keep else ""))
 
 
 def centres(classes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
-    """Unit centres per (label, dim): vectors drawn evenly by id hash, as many as the label's share of the shards."""
+    """Unit centres per (label, dim): vectors drawn evenly by their hash, as many as the label's share of the shards."""
     sizes = {(r["label"], r["dim"]): r["n"] for r in classes.groupBy("label", "dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label", "dim").limit(CENTRES).collect()}
     total = max(sum(sizes.values()), 1)
     wanted = min(total // SHARD + 1, CENTRES)
-    sample = classes.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec_id", "label", "dim", "embedding").toPandas()
+    sample = classes.orderBy(F.xxhash64("embedding"), "vec_id").limit(SAMPLE).select("vec_id", "label", "dim", "embedding").toPandas()
     out = {}
     for key, group in sample.groupby(["label", "dim"], sort=True):
         k = min(max(1, round(wanted * sizes.get(key, 0) / total)), len(group))
@@ -145,7 +148,8 @@ def sharded(classes: DataFrame, threshold: float = COSINE) -> DataFrame:
             cols = [*batch.columns, pa.array(owners, pa.int32()), pa.array(shards, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, "owner", "shards"])
 
-    return classes.mapInArrow(run, "label string, dim int, vec_id bigint, copies bigint, embedding array<double>, owner int, shards array<int>")
+    schema = "label string, dim int, vec_id bigint, copies bigint, embedding array<double>, owner int, shards array<int>"
+    return classes.mapInArrow(run, schema)
 
 
 def _pruned(x: np.ndarray, seed: int) -> np.ndarray:
@@ -309,18 +313,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     vectors included; component_id is the smallest vec_id reachable. A vector
     that is null, empty, zero or holds null or non-finite components, and one
     of another length, links with nothing; so does a row without vec_id (no
-    component_id, kept). An empty table gives an empty result.
+    component_id, kept). Rows that repeat a vec_id are rows of their own: with
+    different vectors or labels each has its own links and component. An
+    empty table gives an empty result.
     """
     rows = stage(usable(vectors), "vectors-rows")
     n_rows = rows.count()
     key = ["label", "dim", "hi", "lo"]
-    groups = stage(rows.filter("ok").groupBy(*key).agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "vectors-groups")
-    # the vector itself, from a row whose id is its class's
-    full = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    # within the graph vec_id is a class's own number: several classes may have one least_id
+    grouped = rows.filter("ok").groupBy(*key).agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
+    groups = stage(grouped.withColumn("vec_id", F.monotonically_increasing_id()), "vectors-groups")
+    # the vector itself, from a row whose id is its class's least
+    full = usable(vectors, keep=True).filter("ok").withColumnRenamed("vec_id", "least_id")
     classes = stage(
-        full.join(groups.select("vec_id", "label", "dim", "copies"), ["vec_id", "label"])
-        .filter(F.size("embedding") == F.col("dim"))
-        .dropDuplicates(["vec_id", "label", "dim"])
+        full.join(groups, [*key, "least_id"])
+        .dropDuplicates(["vec_id"])
         .select("label", "dim", "vec_id", "copies", "embedding"),
         "vectors-classes",
     )
@@ -338,7 +345,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
         )
         .filter("n_own > 0")
     )
-    hashed = F.xxhash64("vec_id")
+    hashed = F.xxhash64("embedding")  # of the vector, so that reruns agree
     placed = (
         lies.join(F.broadcast(sizes), where)  # at most CENTRES rows and one per label
         .withColumn("block", F.when(F.col("mine") | (F.col("visitor_blocks") == 0), F.pmod(hashed, "own_blocks")).otherwise(F.col("own_blocks") + F.pmod(hashed, "visitor_blocks")).cast("int"))
@@ -356,10 +363,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     )
     found = connected(met.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
     counts = met.groupBy("vec_id").agg(F.sum("links").alias("links"))
+    in_component = groups.join(found.withColumnRenamed("id", "vec_id"), "vec_id", "left").withColumn("component", F.coalesce("component", "vec_id"))
+    least = in_component.groupBy("component").agg(F.min("least_id").alias("component_id"))  # one row a class at most, map-side combined
     of_group = stage(
-        groups.join(counts, "vec_id", "left")
-        .join(found.withColumnRenamed("id", "vec_id"), "vec_id", "left")
-        .select(*key, "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")),
+        in_component.join(counts, "vec_id", "left")
+        .join(least, "component")
+        .select(*key, "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"),
         "vectors-of-group",
     )
     linked = join_by_key(rows.filter("ok").select("vec_id", *key), n_rows, of_group, key, "copies").select("vec_id", "n_links", "component_id")

@@ -160,5 +160,16 @@ def test_vectors_recall_with_hundreds_of_centres(spark, monkeypatch):
     assert recall["present"] == 1000 and recall["recall"] >= 0.99
 
 
+def test_vectors_of_one_id_keep_their_own_links(spark):
+    """Rows that share a vec_id but not the vector or the label are rows of their own."""
+    x, y = [1.0, 0.0, 0.0, 0.01], [0.0, 1.0, 0.0, 0.01]
+    near = lambda v: [c + 0.05 for c in v]
+    rows = [(1, x, 0), (1, y, 0), (1, [0.0, 0.0, 1.0, 0.0], 1), (4, near(x), 0), (5, near(y), 0), (6, [0.0, 0.0, 1.0, 0.02], 1), (6, [0.0, 0.0, 1.0, 0.02], 1), (7, x, 1)]
+    got = vector_graph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert sorted(tuple(r) for r in got.select("vec_id", "n_links", "component_id", "kept").collect()) == [
+        (1, 1, 1, True), (1, 1, 1, True), (1, 2, 1, True), (4, 1, 1, False), (5, 1, 1, False), (6, 2, 1, False), (6, 2, 1, False), (7, 0, 7, True)
+    ]
+
+
 def test_vectors_empty(spark):
     assert vector_graph.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
