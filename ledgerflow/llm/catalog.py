@@ -66,7 +66,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_lattice.encode(table(spark, sf_dir, "documents"), piece_lattice.Pieces.load(tokenizer_path("piece_bpe_32k.model")))
+    pieces = piece_lattice.Pieces.load(tokenizer_path("piece_bpe_32k.model"))
+    return piece_lattice.with_decoded(piece_lattice.encode(table(spark, sf_dir, "documents"), pieces), pieces)
 
 
 def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

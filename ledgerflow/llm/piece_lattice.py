@@ -16,6 +16,7 @@ documents to words to units. Units go out by hash, their ids come back by block.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from array import array
@@ -26,6 +27,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -490,13 +492,50 @@ def decode_ids(ids: list[int], pieces: Pieces) -> str:
     return out[1:] if out[:1] == " " else out
 
 
+def decode_batch(ids: pa.ListArray, pieces: Pieces) -> list[str | None]:
+    """The texts of a batch: pieces joined by Arrow, ids of bytes one text at a time."""
+    if isinstance(ids, pa.ChunkedArray):
+        ids = ids.combine_chunks()
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(ids), 0), np.int64)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    flat = np.asarray(ids.flatten(), np.int64)
+    cache = pieces.__dict__
+    names = cache.setdefault("_names", pa.array(pieces.text, pa.large_string()))
+    is_byte = cache.setdefault("_is_byte", np.isin(np.arange(len(pieces.text)), list(pieces.byte_ids.values())))
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names.take(pa.array(flat))), pa.scalar("", pa.large_string()))
+    texts = [t[1:] if t[:1] == " " else t for t in pc.replace_substring(joined, BLANK, " ").to_pylist()]
+    bytes_before = np.concatenate([[0], np.cumsum(is_byte[flat])])[ends]
+    for i in np.flatnonzero(np.diff(bytes_before)):
+        texts[i] = decode_ids(flat[ends[i] : ends[i + 1]].tolist(), pieces)
+    for i in np.flatnonzero(np.asarray(ids.is_null())) if ids.null_count else ():
+        texts[i] = None
+    return texts
+
+
 def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids decode to a null text."""
     held = encoded.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if (ids := x.as_py()) is None else decode_ids(ids, held.value) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(decode_batch(batch.column(1), held.value), pa.string())], names=["doc_id", "text"])
 
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id bigint, text string")
+
+
+def with_decoded(encoded: DataFrame, pieces: Pieces) -> DataFrame:
+    """``encoded`` (doc_id, n_ids, ids) with decoded_sha256: the digest, in lower-case hex, of the UTF-8 text that the ids decode to.
+
+    The text itself stays in the task. Null ids have a null digest. A text
+    comes back as it was, but for blank signs in it, which become blanks.
+    """
+    held = encoded.sparkSession.sparkContext.broadcast(pieces)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = decode_batch(batch.column(2), held.value)
+            digests = [None if t is None else hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], names=["doc_id", "n_ids", "ids", "decoded_sha256"])
+
+    rows = encoded.select("doc_id", "n_ids", "ids")
+    return rows.mapInArrow(run, "doc_id bigint, n_ids bigint, ids array<int>, decoded_sha256 string")

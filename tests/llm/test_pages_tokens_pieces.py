@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,9 +130,24 @@ def test_pieces_against_the_library(make_docs):
     for i, t in rows:
         # a text that holds the blank sign itself does not come back
         assert (back[i] == (t or "")) == ("▁" not in (t or ""))
+    digests = {r["doc_id"]: r["decoded_sha256"] for r in pl.with_decoded(encoded, pieces).collect()}
+    assert digests == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in back.items()}
     assert pl.encode(make_docs([]), pieces).count() == 0
 
 
+def test_decoded_batches_agree_with_the_library():
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    pieces = pl.Pieces.load(tokenizer_path("piece_bpe_32k.model"))
+    texts = ["", " ", "a", " two  blanks ", "日本語 ☃ é", "\u0000\u0001", "x" * 5000, "emoji 😀 then words", "tab\tline\n"]
+    ids = [sp.encode(t) for t in texts]
+    batch = pa.array([None, *ids, None], pa.list_(pa.int32()))
+    assert pl.decode_batch(batch, pieces) == [None, *texts, None] == [None, *(sp.decode(i) for i in ids), None]
+    assert pl.decode_batch(batch.slice(3, 5), pieces) == texts[2:7]
+    assert pl.decode_batch(batch.slice(0, 0), pieces) == []
+
+
 def test_long_units_merge_as_the_library_does():
     import sentencepiece
 
