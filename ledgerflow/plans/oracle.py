@@ -416,6 +416,7 @@ def build() -> dict[str, str]:
         f"case when event_time >= {LAST_BATCH} then amount + 1.00 else amount end as amount from valid",
     )
     q["stream_redelivery"] = sql(BASE + [fixed], silver_of("fixed"))
+    q["stream_retracting"] = q["stream_redelivery"]
     q["pipeline_balance"] = q["gold_account_balance"]
     rerun = [("s1", silver_of("prior")), ("g1", gold_of("s1")), ("s2", silver_of("valid")), ("g2", gold_of("s2"))]
     q["balance_after_rerun"] = sql(

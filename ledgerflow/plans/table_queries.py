@@ -246,6 +246,17 @@ def q_stream_redelivery(spark, sf):
     return _silver(spark, spec)
 
 
+def q_stream_retracting(spark, sf):
+    """The corrections of ``stream_redelivery`` as two deliveries of a stream whose state is keyed by event."""
+    spec = _spec(spark, "retracting")
+    valid = quality.valid_events(_tx(spark, sf))
+    valid.write.parquet(spec.source_path)
+    st.retracting_totals_stream(spark, spec.source_path, spec, CUTOFF).awaitTermination()
+    fx.redelivered(valid, fx.LAST_BATCH_START).write.mode("append").parquet(spec.source_path)
+    st.retracting_totals_stream(spark, spec.source_path, spec, CUTOFF).awaitTermination()
+    return _silver(spark, spec)
+
+
 def q_silver_five_columns(spark, sf):
     """Raw events without an id, through Bronze and Silver."""
     spec = _spec(spark, "five-columns")

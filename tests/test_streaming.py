@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,3 +141,31 @@ def test_update_mode_aggregate_upserts_durable_table(spark, tmp_root, landed):
     assert store.latest(spark) == 3
     want = balances.silver_balances(quality.valid_events(tx), fx.FIXTURE_CUTOFF)
     assert _rows(store.read(spark)) == _rows(want)
+
+
+def test_retracting_stream_takes_corrections_back(spark, tmp_root):
+    """Corrections change amount, account, side of the cutoff; older and repeated versions change nothing; a restart is a no-op."""
+    src = os.path.join(tmp_root, "corrected")
+    spec = PipelineSpec(root=os.path.join(tmp_root, "tables_retract"), cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    early, late = fx.FIXTURE_CUTOFF - dt.timedelta(days=3), fx.FIXTURE_CUTOFF + dt.timedelta(hours=1)
+    hour = dt.timedelta(hours=1)
+    types = "event_id long, user_id long, account_id long, transaction_type string, event_time timestamp, amount decimal(18,2)"
+    deliveries = [
+        [(1, 1, 10, early, "5.00"), (2, 1, 10, early, "7.25"), (3, 1, 11, early, "-2.00"), (4, 1, 12, early, None), (4, 1, 12, early, "1.00")],
+        [(1, 1, 10, early + hour, "6.00"), (2, 1, 11, early + hour, "7.25"), (3, 1, 11, late, "-2.00"), (5, 1, 13, late, "0.01")],
+        [(1, 1, 10, early, "99.00"), (2, 1, 11, early + hour, "7.25"), (4, 1, 12, early + 2 * hour, None), (5, 1, None, late + hour, "8.00")],
+    ]
+    seen = []
+    for rows in deliveries:
+        made = [(e, u, a, "DEPOSIT", wall, None if m is None else Decimal(m)) for e, u, a, wall, m in rows]
+        spark.createDataFrame(made, types).coalesce(1).write.mode("append").parquet(src)
+        seen += made
+        for _ in range(2):  # the second run finds nothing new
+            st.retracting_totals_stream(spark, src, spec, fx.FIXTURE_CUTOFF).awaitTermination(300)
+        valid = quality.valid_events(spark.createDataFrame(seen, types))
+        want = balances.silver_balances(quality.dedup_latest(valid, "event_id", ("event_time", "amount")), fx.FIXTURE_CUTOFF)
+        got = {str(r["account_id"]): tuple(r)[1:] for r in tables.SnapshotTable(spec.paths.silver).read(spark).select(*want.columns).collect()}
+        assert got == {str(r["account_id"]): tuple(r)[1:] for r in want.collect()}
+    assert tables.SnapshotTable(spec.paths.silver).latest(spark) == 2
+    with pytest.raises(ValueError):
+        st.account_changes(spark.createDataFrame(seen, types).drop("event_id"))
