@@ -67,7 +67,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = piece_lattice.Pieces.load(tokenizer_path("piece_bpe_32k.model"))
-    return piece_lattice.with_decoded(piece_lattice.encode(table(spark, sf_dir, "documents"), pieces), pieces)
+    return piece_lattice.encode(table(spark, sf_dir, "documents"), pieces, decoded=True)
 
 
 def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -409,8 +409,12 @@ def _unit_ids(dictionary: pa.Table, model: Pieces) -> tuple[np.ndarray, np.ndarr
     return starts, lengths, values
 
 
-def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_ids, ids (array<int>).
+def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_ids, ids (array<int>); with ``decoded`` also decoded_sha256.
+
+    decoded_sha256 is the digest, in lower-case hex, of the UTF-8 text that the
+    ids decode to, taken where the ids are made, some texts at a time. That
+    text is the document's, but for blank signs in it, which become blanks.
 
     Needs doc_id and text; other columns are ignored. A null or empty text
     has no ids. Texts are encoded whole; a word of any length is. Rows that
@@ -423,7 +427,7 @@ def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
     pos = F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     coded = coded.select(F.shiftright("place", PLACE_BITS).alias("block"), pos.cast("int").alias("pos"), "few", "many")
     held = spark.sparkContext.broadcast(pieces)
-    out = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    out = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32()))] + ([("decoded_sha256", pa.string())] if decoded else []))
 
     def run(block: pa.Table, dictionary: pa.Table) -> pa.Table:
         model = held.value
@@ -461,12 +465,15 @@ def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
             offsets = np.concatenate([[0], np.cumsum(lengths[n])])[np.concatenate([[a], ends[part]]) - a].astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
             counts = np.diff(offsets).astype(np.int64)
-            tables.append(pa.Table.from_arrays([pa.array(row["ids"][part], pa.int64()), pa.array(counts), lists], schema=out))
+            cols = [pa.array(row["ids"][part], pa.int64()), pa.array(counts), lists]
+            if decoded:
+                cols.append(pa.array(map(digest, decode_batch(lists, model)), pa.string()))
+            tables.append(pa.Table.from_arrays(cols, schema=out))
             a = b
         return pa.concat_tables(tables)
 
     codes = _blocks(docs, pieces, units=False)
-    return codes.groupBy("of").cogroup(coded.groupBy("block")).applyInArrow(run, "doc_id bigint, n_ids bigint, ids array<int>")
+    return codes.groupBy("of").cogroup(coded.groupBy("block")).applyInArrow(run, "doc_id bigint, n_ids bigint, ids array<int>" + (", decoded_sha256 string" if decoded else ""))
 
 
 def decode_ids(ids: list[int], pieces: Pieces) -> str:
@@ -492,6 +499,10 @@ def decode_ids(ids: list[int], pieces: Pieces) -> str:
     return out[1:] if out[:1] == " " else out
 
 
+def digest(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def decode_batch(ids: pa.ListArray, pieces: Pieces) -> list[str | None]:
     """The texts of a batch: pieces joined by Arrow, ids of bytes one text at a time."""
     if isinstance(ids, pa.ChunkedArray):
@@ -521,21 +532,3 @@ def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(decode_batch(batch.column(1), held.value), pa.string())], names=["doc_id", "text"])
 
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id bigint, text string")
-
-
-def with_decoded(encoded: DataFrame, pieces: Pieces) -> DataFrame:
-    """``encoded`` (doc_id, n_ids, ids) with decoded_sha256: the digest, in lower-case hex, of the UTF-8 text that the ids decode to.
-
-    The text itself stays in the task. Null ids have a null digest. A text
-    comes back as it was, but for blank signs in it, which become blanks.
-    """
-    held = encoded.sparkSession.sparkContext.broadcast(pieces)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = decode_batch(batch.column(2), held.value)
-            digests = [None if t is None else hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], names=["doc_id", "n_ids", "ids", "decoded_sha256"])
-
-    rows = encoded.select("doc_id", "n_ids", "ids")
-    return rows.mapInArrow(run, "doc_id bigint, n_ids bigint, ids array<int>, decoded_sha256 string")
