@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_ids and ids of every document, and the digest of the text that the ids decode to."""
     pieces = piece_lattice.Pieces.load(tokenizer_path("piece_bpe_32k.model"))
-    return piece_lattice.with_decoded(piece_lattice.encode(docs, pieces), pieces)
+    return piece_lattice.encode(docs, pieces, decoded=True)
 
 
 STAGES = [
