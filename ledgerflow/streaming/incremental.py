@@ -5,8 +5,8 @@
 * ``account_totals_table_stream``: the Silver aggregate as a native stateful
   aggregate in ``update`` mode (conditional sums; ``pivot`` is not allowed on a
   stream), upserted into Silver snapshots.
-* ``retracting_totals_stream``: a stateful operator keyed by event, so that a
-  correction takes back the version before it; its changes are folded into Silver.
+* ``retracting_totals_stream``: a stateful operator that keeps each event's version,
+  so that a correction takes it back; its changes are folded into Silver.
 * ``daily_flow_stream``: 1-day tumbling windows with a watermark, ``append``
   mode: each closed day is emitted once; ``late_flow`` gives what came after.
 * ``dedup_stream``: one delivery of each event; what came after the watermark
@@ -24,7 +24,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -152,53 +154,85 @@ def account_totals_table_stream(
     return _trigger(w, available_now).start()
 
 
-def _latest_version(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """What one batch changes about one event: its folded version taken back, its latest one added.
+#: Groups of the retracting state. A call takes a whole group of events at once, and a batch rewrites the groups of its events.
+EVENT_GROUPS = 4096
+_VERSION = pa.schema([("event", pa.string()), ("account", pa.string()), ("at", pa.int64()), ("known", pa.bool_()), ("cents", pa.int64())])
 
-    The state is the version counted so far: account, time in microseconds,
-    whether the amount is known, cents. A version that is not later (by time,
-    then amount) changes nothing.
+
+def _pack(versions: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _VERSION, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(pa.Table.from_pandas(versions, _VERSION, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(held: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(held).read_all().to_pandas()
+
+
+def _latest(versions: pd.DataFrame) -> pd.DataFrame:
+    """The latest version of every event (by time, then amount; of equal ones the first), events in order of appearance."""
+    event = pd.factorize(versions["event"], use_na_sentinel=False)[0]
+    at, known, cents = (versions[c].to_numpy() for c in ("at", "known", "cents"))
+    order = np.lexsort((~cents, ~known, ~at, event))
+    of = event[order]
+    return versions.iloc[order[np.concatenate([[True], of[1:] != of[:-1]])]]
+
+
+def _latest_versions(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """What one batch changes about the events of one group: their folded versions taken back, their latest ones added.
+
+    The state is the version counted so far of every event: account, time in
+    microseconds, whether the amount is known, cents. A version that is not
+    later (by time, then amount) changes nothing.
     """
-    old = state.get if state.exists else None
+    old = _unpack(state.get[0]) if state.exists else None
     best = old
     for part in parts:
-        for account, at, known, cents in zip(part["account"].tolist(), part["at"].tolist(), part["known"].tolist(), part["cents"].tolist(), strict=True):
-            if best is None or (at, known, cents) > tuple(best[1:]):
-                best = (account, at, known, cents)
-    if best is not old:
-        state.update(best)
-        rows = [(*best, 1)] if old is None else [(*best, 1), (*old, -1)]
-        yield pd.DataFrame(rows, columns=["account", "at", "known", "cents", "sign"])
-
-
-def account_changes(events: DataFrame, cfg: LedgerConfig = LedgerConfig()) -> DataFrame:
+        part = part[_VERSION.names]
+        best = _latest(part if best is None else pd.concat([best, part], ignore_index=True))
+    # the events of the state come first, in its order
+    n = 0 if old is None else len(old)
+    changed = np.ones(len(best), bool)
+    if n:
+        changed[:n] = np.any([best[c].to_numpy()[:n] != old[c].to_numpy() for c in ("at", "known", "cents")], axis=0)
+    if changed.any():
+        state.update((_pack(best),))
+        now = best[changed].assign(sign=1)
+        yield (pd.concat([now, old[changed[:n]].assign(sign=-1)]) if changed[:n].any() else now).drop(columns="event")
+
+
+def account_changes(events: DataFrame, cfg: LedgerConfig = LedgerConfig(), groups: int = EVENT_GROUPS) -> DataFrame:
     """``account, time, amount`` rows whose sums are those of the latest version of every event.
 
     A stateful operator keyed by event: a correction that comes in a later
     batch emits the reversal of the version before it beside itself, also when
     it moves the event to another account or past the cutoff. The state holds
-    one small row per event; it is one group per event, so no account's size
-    matters. Events need an id.
+    one small row per event, packed by event hash into ``groups`` groups, so
+    that a call of the function serves many events; no account's size
+    matters. Events need an id. ``groups`` is part of a checkpoint: a stream
+    cannot be started again with another number.
     """
     cols = cfg.cols
     if cols.event_id not in events.columns:
         raise ValueError("a retracting aggregate needs event ids")
     valid = _valid(events, cfg)
-    account = valid.schema[cols.account_id].dataType.simpleString()
+    account = valid.schema[cols.account_id].dataType
     amount = F.col(cols.amount)
-    # whole numbers: times and decimals would pass Python's own types
+    # whole numbers and text: times, decimals and numbers with nulls would pass Python's own types
     versions = valid.select(
-        F.col(cols.event_id).alias("event"),
-        F.col(cols.account_id).alias("account"),
+        F.pmod(F.xxhash64(cols.event_id), F.lit(groups)).alias("group"),
+        F.col(cols.event_id).cast("string").alias("event"),
+        F.col(cols.account_id).cast("string").alias("account"),
         F.unix_micros(cols.event_time).alias("at"),
         amount.isNotNull().alias("known"),
         F.coalesce((money(amount) * 100).cast("long"), F.lit(0).cast("long")).alias("cents"),
     )
-    fields = f"account {account}, at bigint, known boolean, cents bigint"
-    changes = versions.groupBy("event").applyInPandasWithState(_latest_version, f"{fields}, sign bigint", fields, "update", GroupStateTimeout.NoTimeout)
+    fields = "account string, at bigint, known boolean, cents bigint, sign bigint"
+    changes = versions.groupBy("group").applyInPandasWithState(_latest_versions, fields, "versions binary", "update", GroupStateTimeout.NoTimeout)
     signed = money((F.col("cents") * F.col("sign")).cast("decimal(18,0)") / 100)
     return changes.select(
-        F.col("account").alias(cols.account_id), F.timestamp_micros("at").alias(cols.event_time), F.when(F.col("known"), signed).alias(cols.amount)
+        F.col("account").cast(account).alias(cols.account_id), F.timestamp_micros("at").alias(cols.event_time), F.when(F.col("known"), signed).alias(cols.amount)
     )
 
 

@@ -143,6 +143,34 @@ def test_update_mode_aggregate_upserts_durable_table(spark, tmp_root, landed):
     assert _rows(store.read(spark)) == _rows(want)
 
 
+def test_retracting_state_serves_many_events_a_call(spark, tmp_root):
+    """More events than groups: the state has one row per group, and every event keeps its own version."""
+    src = os.path.join(tmp_root, "grouped")
+    spec = PipelineSpec(root=os.path.join(tmp_root, "tables_grouped"), cfg=LedgerConfig(cutoff=fx.FIXTURE_CUTOFF))
+    n, base = 3 * st.EVENT_GROUPS, 1 << 60  # ids that a double cannot hold
+    first = spark.range(base, base + n).select(
+        F.col("id").alias("event_id"),
+        (F.col("id") % 7).alias("user_id"),
+        (F.col("id") % 11).alias("account_id"),
+        F.lit("DEPOSIT").alias("transaction_type"),
+        (F.lit(fx.FIXTURE_CUTOFF - dt.timedelta(days=2)).cast("timestamp") + F.expr("make_dt_interval(0, 0, 0, id % 1000)")).alias("event_time"),
+        (F.col("id") % 997).cast("decimal(18,2)").alias("amount"),
+    )
+    hour = F.expr("INTERVAL 1 HOUR")
+    later = first.filter("event_id % 3 = 0").withColumn("event_time", F.col("event_time") + hour).withColumn("account_id", (F.col("account_id") + F.col("event_id") % 2))
+    older = first.filter("event_id % 4 = 0").withColumn("event_time", F.col("event_time") - hour).withColumn("amount", F.lit(5).cast("decimal(18,2)"))
+    again = later.unionByName(older).unionByName(first.filter("event_id % 5 = 0"))
+    for rows in (first, again):
+        rows.write.mode("append").parquet(src)
+        q = st.retracting_totals_stream(spark, src, spec, fx.FIXTURE_CUTOFF)
+        q.awaitTermination(300)
+        assert 0 < q.lastProgress["stateOperators"][0]["numRowsTotal"] <= st.EVENT_GROUPS
+    valid = quality.valid_events(first.unionByName(again))
+    want = balances.silver_balances(quality.dedup_latest(valid, "event_id", ("event_time", "amount")), fx.FIXTURE_CUTOFF)
+    got = {str(r["account_id"]): tuple(r)[1:] for r in tables.SnapshotTable(spec.paths.silver).read(spark).select(*want.columns).collect()}
+    assert got == {str(r["account_id"]): tuple(r)[1:] for r in want.collect()}
+
+
 def test_retracting_stream_takes_corrections_back(spark, tmp_root):
     """Corrections change amount, account, side of the cutoff; older and repeated versions change nothing; a restart is a no-op."""
     src = os.path.join(tmp_root, "corrected")
