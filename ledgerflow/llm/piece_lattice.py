@@ -19,11 +19,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from array import array
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +35,13 @@ from ledgerflow.llm.token_files import from_planes, to_planes
 BLANK = "▁"
 #: Longer units, of which no cut is safe, are not folded in the lattice (bits of a long mark the positions) but by merge_long or viterbi_long.
 UNIT = 60
-#: A block is closed at so many distinct words, or words in all.
-BLOCK_WORDS = 500_000
+#: A block is closed at so many distinct words, bytes of these, or words in all.
+BLOCK_WORDS = 700_000
+BLOCK_BYTES = 32_000_000
 BLOCK_PLACES = 8_000_000
+#: Documents, and about the bytes of text, that are cut at once.
+SLICE = 2048
+SLICE_BYTES = 8_000_000
 #: A place is a block's number and a unit's place in it; a block has fewer units than 2 ** PLACE_BITS.
 PLACE_BITS = 24
 #: Partitions of units per ordinary shuffle partition.
@@ -108,17 +109,57 @@ def normalised(text: str) -> str:
 
 
 class Cutter:
-    """Texts to words, words to units: cuts that no piece crosses, since none holds the two characters on their sides."""
+    """Texts to words, words to units, some thousands at a time: cuts that no piece crosses, since none holds the two characters on their sides.
+
+    Where no piece holds a blank sign after another character, a word is what
+    stands between two blanks, without the blank before it.
+    """
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.words = pieces.unit_pattern().findall
-        self.pairs = pieces.pairs()
-
-    def units(self, word: str) -> list[str]:
-        pairs = self.pairs
-        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in pairs]
-        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)] if cuts else [word]
+        self.pattern = pieces.unit_pattern().findall
+        self.runs = re.compile(f"{BLANK}+[^{BLANK}]*").findall
+        self.by_blanks = not any(BLANK in p.lstrip(BLANK) for p in pieces.ids)
+        pairs = sorted(pieces.pairs())
+        # characters of pieces get classes, and a table tells which classes stand side by side in one
+        chars = sorted({c for p in pairs for c in p})
+        self.class_of = np.zeros(0x110000, np.int32)
+        self.class_of[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.n = len(chars) + 1
+        side = np.array([[self.class_of[ord(c)] for c in p] for p in pairs], np.int64).reshape(-1, 2)
+        at = side[:, 0] * self.n + side[:, 1]
+        self.joined = np.zeros(self.n * self.n // 8 + 1, np.uint8)  # one bit a pair
+        np.bitwise_or.at(self.joined, at >> 3, (1 << (at & 7)).astype(np.uint8))
+
+    def words(self, texts: pa.Array) -> pa.ListArray:
+        """The words of each text; none of an empty one."""
+        texts = pc.fill_null(texts, "")
+        if self.by_blanks:
+            plain = pc.replace_substring(texts, BLANK, " ")
+            odd = pc.match_substring_regex(plain, "^ |  | $|^$")  # blanks in a run, or at an end
+            if not pc.any(odd).as_py():
+                return pc.split_pattern(plain, " ")
+            cut = lambda t: [w[1:] for w in self.runs(normalised(t))] if "  " in t or t[:1] == " " or t[-1:] == " " else t.split(" ") if t else []
+            return pa.array(map(cut, plain.to_pylist()), pa.list_(pa.string()))
+        return pa.array([self.pattern(normalised(t)) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    def units(self, words: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """(units one after the other, how many each word has)."""
+        joined = pc.binary_join_element_wise(BLANK if self.by_blanks else "", words, "")
+        ends = np.cumsum(np.asarray(pc.utf8_length(joined), np.int64))
+        data = b"".join(pc.binary_join(pa.ListArray.from_arrays([0, len(joined)], joined), "").cast(pa.binary()).to_pylist())
+        text = data.decode("utf-8")
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        classes = self.class_of[points].astype(np.int64)
+        pair = classes[:-1] * self.n + classes[1:]
+        cut = np.ones(len(points) + 1, bool)
+        cut[1:-1] = (self.joined[pair >> 3] >> (pair & 7).astype(np.uint8)) & 1 == 0
+        cut[ends] = True
+        at = np.flatnonzero(cut)
+        size = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+        offsets = np.concatenate([[0], np.cumsum(size)])[at].astype(np.int64)
+        units = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
+        return units.dictionary_encode(), np.diff(np.searchsorted(at, ends), prepend=0)
 
 
 def merge_long(unit: str, pieces: Pieces) -> list[int]:
@@ -278,47 +319,48 @@ _CODES_SQL = (
 
 
 class _Block:
-    """What one block gathers: its words and units, numbered, and its documents as numbers of words."""
+    """What one block gathers: its words, numbered as they appear, and its documents as numbers of words."""
 
     def __init__(self) -> None:
-        self.seen: dict[str, int] = defaultdict(count().__next__)  # a word gets its number when first asked for
+        self.seen = pa.array([], pa.string())
         self.ids: list = []
-        self.words = array("i")
+        self.words: list[int] = []
         self.numbers: list[np.ndarray] = []
         self.size = 0
 
-    def see(self, found: list[str]) -> None:
-        """Number a text's words only."""
-        for w in dict.fromkeys(found):
-            self.seen[w]
-        self.size += len(found)
-
-    def add(self, doc_id: int | None, found: list[str]) -> None:
-        self.numbers.append(np.fromiter(map(self.seen.__getitem__, found), np.uint32, len(found)))
-        self.ids.append(doc_id)
-        self.words.append(len(found))
-        self.size += len(found)
-
-    def split(self, cut: Cutter) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+    def full(self) -> bool:
+        return len(self.seen) >= BLOCK_WORDS or self.seen.nbytes >= BLOCK_BYTES or self.size >= BLOCK_PLACES
+
+    def add(self, doc_ids: pa.Array, found: pa.ListArray, units: bool) -> None:
+        """Some documents; with ``units`` only their words are kept."""
+        flat = found.flatten().dictionary_encode()
+        both = pa.concat_arrays([self.seen, flat.dictionary]).dictionary_encode()  # words known come first and keep their numbers
+        number = np.asarray(both.indices)[len(self.seen) :].astype(np.uint32)
+        self.seen = both.dictionary
+        self.size += len(flat)
+        if not units:
+            self.numbers.append(number[np.asarray(flat.indices)])
+            self.ids += doc_ids.to_pylist()
+            self.words += pc.list_value_length(found).to_pylist()
+
+    def split(self, cut: Cutter) -> tuple[pa.Array, list[str], np.ndarray, np.ndarray]:
         """(units for the lattice, odd units, units per word, their numbers), words in order of appearance; odd units are numbered last."""
-        units: dict[str, int] = {}
-        per_word, parts = array("I"), array("I")
-        for w in self.seen:
-            found = cut.units(w)
-            per_word.append(len(found))
-            parts.extend([units.setdefault(u, len(units)) for u in found])
-        names = list(units)
-        odd = np.array([not cut.pieces.covers(u) for u in names], bool)
+        found, per_word = cut.units(self.seen)
+        names = found.dictionary
+        length = np.asarray(pc.utf8_length(names))
+        odd = (length <= 1) | (length > UNIT)
+        for i in np.flatnonzero(odd):
+            odd[i] = not cut.pieces.covers(names[i].as_py())
         place = np.empty(len(names), np.uint32)
         place[np.flatnonzero(~odd)] = np.arange(len(names) - odd.sum(), dtype=np.uint32)
         place[np.flatnonzero(odd)] = np.arange(len(names) - odd.sum(), len(names), dtype=np.uint32)
         if len(names) >> PLACE_BITS:
             raise RuntimeError(f"a block has {len(names)} units")
-        plain, strange = [u for u, o in zip(names, odd, strict=True) if not o], [u for u, o in zip(names, odd, strict=True) if o]
-        return plain, strange, np.frombuffer(per_word, np.uint32), place[np.frombuffer(parts, np.uint32)]
+        plain, strange = (names.filter(pa.array(x)).cast(pa.string()) for x in (~odd, odd))
+        return plain, strange.to_pylist(), per_word.astype(np.uint32), place[np.asarray(found.indices)]
 
     def codes(self, block: int, cut: Cutter) -> pa.RecordBatch:
-        flat = np.concatenate(self.numbers)
+        flat = np.concatenate([np.zeros(0, np.uint32), *self.numbers])
         units, odd, per_word, parts = self.split(cut)
         # frequent words get small numbers, which compress better
         order = np.argsort(-np.bincount(flat, minlength=len(self.seen)), kind="stable")
@@ -326,10 +368,21 @@ class _Block:
         rank[order] = np.arange(len(order), dtype=np.uint32)
         first = np.cumsum(per_word, dtype=np.int64) - per_word
         parts, per_word = _gather(parts, first[order], per_word[order].astype(np.int64)), per_word[order]
-        cols = [block, len(units), odd, self.ids, self.words.tolist(), len(order), len(parts), to_planes(per_word, level=6), to_planes(parts, level=6), to_planes(rank[flat], level=6)]
+        cols = [block, len(units), odd, self.ids, self.words, len(order), len(parts), to_planes(per_word, level=6), to_planes(parts, level=6), to_planes(rank[flat], level=6)]
         return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cols, _CODES, strict=True)], schema=_CODES)
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, number) of documents taken at once: at most SLICE, and no more once they have SLICE_BYTES."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
+    a = 0
+    while a < len(ends):
+        full = int(np.searchsorted(ends, (ends[a - 1] if a else 0) + SLICE_BYTES)) + 1
+        b = min(a + SLICE, full, len(ends))
+        yield a, b - a
+        a = b
+
+
 def _blocks(docs: DataFrame, pieces: Pieces, units: bool) -> DataFrame:
     """One row per block: its units, or its documents as codes. Both come from the same texts in the same order, so the numbers agree."""
     held = docs.sparkSession.sparkContext.broadcast(pieces)
@@ -342,16 +395,14 @@ def _blocks(docs: DataFrame, pieces: Pieces, units: bool) -> DataFrame:
             number, done, n, block = (task << 16) + n, block, n + 1, _Block()
             if not units:
                 return done.codes(number, cut)
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([done.split(cut)[0]], pa.list_(pa.string()))], schema=_UNITS)
+            plain = done.split(cut)[0]
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.ListArray.from_arrays([0, len(plain)], plain)], schema=_UNITS)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = cut.words(normalised(text.as_py() or ""))
-                if units:
-                    block.see(found)
-                else:
-                    block.add(doc_id, found)
-                if len(block.seen) >= BLOCK_WORDS or block.size >= BLOCK_PLACES:
+            for at, length in _slices(batch.column(1)):
+                some = batch.slice(at, length)
+                block.add(some.column(0), cut.words(some.column(1)), units)
+                if block.full():
                     yield close()
         if block.size or block.ids:
             yield close()

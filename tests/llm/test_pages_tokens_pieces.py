@@ -209,3 +209,31 @@ def test_depth_does_not_bring_back_what_is_left_out():
     for depth in (10, 210, 1000):
         assert main_text("<div>" * depth + "<nav><p>menu</p></nav>text body") == "text body"
         assert main_text("<p>side</p>" + "<div>" * depth + "<article>deep <nav>m</nav>text</article>") == "deep text"
+
+
+@pytest.mark.parametrize("inside", [False, True])
+def test_texts_are_cut_by_columns_as_one_at_a_time(inside):
+    """Runs of blanks, blanks at the ends, blank signs, signs of no piece, nulls; a model with and one without blanks inside pieces."""
+    names = ["a", "b", "é", "▁", "▁▁", "▁a", "ab", "aé", "東", *(["a▁b"] if inside else [])]
+    pieces = pl.Pieces(names, [-float(i) for i in range(len(names))], [True] * len(names), {}, 0, True)
+    cut, pairs, rng = pl.Cutter(pieces), pieces.pairs(), random.Random(5)
+    texts = [None, "", " ", "  ", " a", "a ", "a  b", "▁", "a▁ b", "\n", "x🙂 東"] + ["".join(rng.choices(" ▁ab\né東🙂.", k=rng.randrange(25))) for _ in range(500)]
+    words = cut.words(pa.array(texts, pa.string()))
+    assert words[1:].to_pylist() == cut.words(pa.array(texts[1:], pa.string())).to_pylist()
+    units, per_word = cut.units(words.flatten())
+    ends = np.cumsum([0, *per_word])[np.asarray(words.offsets)]
+    for k, text in enumerate(map(pl.normalised, (t or "" for t in texts))):
+        want = []
+        for i, c in enumerate(text):
+            if i and text[i - 1 : i + 1] in pairs:
+                want[-1] += c
+            else:
+                want.append(c)
+        assert units[ends[k] : ends[k + 1]].to_pylist() == want
+
+
+def test_a_slice_of_texts_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(pl, "SLICE", 3)
+    monkeypatch.setattr(pl, "SLICE_BYTES", 10)
+    assert list(pl._slices(pa.array(["a"] * 4 + ["b" * 50, None, "c" * 9, "d" * 9]))) == [(0, 3), (3, 2), (5, 3)]
+    assert list(pl._slices(pa.array([], pa.string()))) == []
