@@ -42,6 +42,9 @@ BLOCK_PLACES = 8_000_000
 #: Documents, and about the bytes of text, that are cut at once.
 SLICE = 2048
 SLICE_BYTES = 8_000_000
+#: Words, and about the bytes of these, that are cut into units at once.
+CUT_WORDS = 65_536
+CUT_BYTES = 1_000_000
 #: A place is a block's number and a unit's place in it; a block has fewer units than 2 ** PLACE_BITS.
 PLACE_BITS = 24
 #: Partitions of units per ordinary shuffle partition.
@@ -144,7 +147,11 @@ class Cutter:
         return pa.array([self.pattern(normalised(t)) for t in texts.to_pylist()], pa.list_(pa.string()))
 
     def units(self, words: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-        """(units one after the other, how many each word has)."""
+        """(units one after the other, how many each word has); some words at a time, whose positions take many times their bytes."""
+        some = [self._units(words.slice(a, n)) for a, n in _slices(words, CUT_WORDS, CUT_BYTES)] or [self._units(words)]
+        return pa.concat_arrays([u for u, _ in some]).dictionary_encode(), np.concatenate([n for _, n in some])
+
+    def _units(self, words: pa.Array) -> tuple[pa.LargeStringArray, np.ndarray]:
         joined = pc.binary_join_element_wise(BLANK if self.by_blanks else "", words, "")
         ends = np.cumsum(np.asarray(pc.utf8_length(joined), np.int64))
         data = b"".join(pc.binary_join(pa.ListArray.from_arrays([0, len(joined)], joined), "").cast(pa.binary()).to_pylist())
@@ -159,7 +166,7 @@ class Cutter:
         size = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
         offsets = np.concatenate([[0], np.cumsum(size)])[at].astype(np.int64)
         units = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
-        return units.dictionary_encode(), np.diff(np.searchsorted(at, ends), prepend=0)
+        return units, np.diff(np.searchsorted(at, ends), prepend=0)
 
 
 def merge_long(unit: str, pieces: Pieces) -> list[int]:
@@ -372,13 +379,14 @@ class _Block:
         return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cols, _CODES, strict=True)], schema=_CODES)
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """(first, number) of documents taken at once: at most SLICE, and no more once they have SLICE_BYTES."""
+def _slices(texts: pa.Array, most: int | None = None, size: int | None = None) -> Iterator[tuple[int, int]]:
+    """(first, number) of texts taken at once: at most ``most`` (SLICE), and no more once they have ``size`` bytes (SLICE_BYTES)."""
+    most, size = most or SLICE, size or SLICE_BYTES
     ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
     a = 0
     while a < len(ends):
-        full = int(np.searchsorted(ends, (ends[a - 1] if a else 0) + SLICE_BYTES)) + 1
-        b = min(a + SLICE, full, len(ends))
+        full = int(np.searchsorted(ends, (ends[a - 1] if a else 0) + size)) + 1
+        b = min(a + most, full, len(ends))
         yield a, b - a
         a = b
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -237,3 +238,22 @@ def test_a_slice_of_texts_is_bounded_by_bytes(monkeypatch):
     monkeypatch.setattr(pl, "SLICE_BYTES", 10)
     assert list(pl._slices(pa.array(["a"] * 4 + ["b" * 50, None, "c" * 9, "d" * 9]))) == [(0, 3), (3, 2), (5, 3)]
     assert list(pl._slices(pa.array([], pa.string()))) == []
+
+
+def test_words_are_cut_in_stretches(monkeypatch):
+    pieces = pl.Pieces.load(tokenizer_path("piece_bpe_32k.model"))
+    cut = pl.Cutter(pieces)
+    many = pa.array([f"wörd-{i * 7919 % 1_000_003:07d}x" for i in range(600_000)])
+    tracemalloc.start()
+    units, per_word = cut.units(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * many.nbytes  # at once it takes more than 40 times their bytes
+    words = pa.array(["", "a", "é-é", "", "東京", "x" * 50, "a", "don't", ""])
+    whole, counts = cut.units(words)
+    monkeypatch.setattr(pl, "CUT_WORDS", 3)
+    monkeypatch.setattr(pl, "CUT_BYTES", 10)
+    some, some_counts = cut.units(words)
+    assert some.to_pylist() == whole.to_pylist() and some.dictionary.to_pylist() == whole.dictionary.to_pylist() and list(some_counts) == list(counts)
+    none, counts = cut.units(words[:0])
+    assert len(none) == len(none.dictionary) == len(counts) == 0
