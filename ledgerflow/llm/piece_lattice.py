@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import shuffle_width
@@ -240,56 +240,75 @@ def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, id int, rank int, score double, early boolean")
 
 
-def lattice(units: DataFrame, table: DataFrame, longest: int) -> DataFrame:
-    """(unit, at, n, joins, singles): the edges of several characters, by rank, then start, and those of one, of each unit.
+def lattice(units: DataFrame, table: DataFrame, longest: int, **lists: Column) -> DataFrame:
+    """(unit, at, n) of each unit, and its edges: one list for each of ``lists``, whose column tells what it holds of an edge (null: nothing).
 
+    Such a column sees the edge's start and length, ``s`` and ``l``, and the
+    columns of its piece; without any there is one list, ``edges``.
     ``units`` has one row per unit of at most UNIT characters, with whatever
-    it carries in ``at``, and lies partitioned by unit; so the edges, many to
-    a unit, are never shuffled. ``ends`` has the bits of an edge's two ends,
-    ``span`` those of all positions from one to the other. What a unit
-    carries travels with its first edge alone.
+    it carries in ``at``. Where it lies partitioned by ``h``, the unit's
+    hash, the edges, many to a unit, are not shuffled. They are grouped by
+    that hash and the unit's number within its task, and the unit and what it
+    carries travel with its first edge alone. The hash of a substring finds
+    the piece, both are compared after.
     """
-    starts = units.withColumn("h", F.xxhash64("unit")).withColumn("n", F.char_length("unit")).withColumn("s", F.explode(F.expr("sequence(0, n - 1)")))
-    subs = starts.withColumn("l", F.explode(F.expr(f"sequence(1, least({longest}, n - s))"))).withColumn("piece", F.expr("substring(unit, s + 1, l)"))
-    edges = subs.join(F.broadcast(table), "piece").select(
-        "h", "unit", "n", "s", "l", "id", "rank", "score", "early", F.when(F.expr("s = 0 and l = 1"), F.col("at")).alias("at")
-    )
-    join = F.expr("if(l > 1, struct(rank, s, s + l as e, id, score, early, shiftleft(1L, s) | shiftleft(1L, s + l) as ends, shiftleft(1L, s + l + 1) - shiftleft(1L, s) as span), null)")
-    single = F.expr("if(l = 1, struct(s, id, score), null)")
-    return edges.groupBy("h", "unit").agg(
-        F.max("n").alias("n"),
-        F.first("at", ignorenulls=True).alias("at"),
-        F.array_sort(F.collect_list(join)).alias("joins"),
-        F.collect_list(single).alias("singles"),
-    )
+    lists = lists or {"edges": F.expr("struct(s, s + l as e, id, score)")}
+    units = units if "h" in units.columns else units.withColumn("h", F.xxhash64("unit"))
+    numbered = units.withColumn("number", F.monotonically_increasing_id()).withColumn("n", F.char_length("unit"))
+    starts = numbered.withColumn("s", F.explode(F.expr("sequence(0, n - 1)"))).withColumn("rest", F.expr(f"substring(unit, s + 1, {longest})"))
+    subs = starts.withColumn("l", F.explode(F.expr(f"sequence(1, least({longest}, n - s))"))).withColumn("sub", F.expr("substring(rest, 1, l)"))
+    same = F.col("sub").startswith(F.col("piece")) & F.col("piece").startswith(F.col("sub"))  # "=" would make the piece a second key
+    edges = subs.withColumn("key", F.xxhash64("sub")).join(F.broadcast(table.withColumn("key", F.xxhash64("piece"))), "key").filter(same)
+    of = F.when(F.expr("s = 0 and l = 1"), F.struct("unit", "at", "n")).alias("of")
+    grouped = edges.select("h", "number", of, *(c.alias(k) for k, c in lists.items())).groupBy("h", "number")
+    return grouped.agg(F.first("of", ignorenulls=True).alias("of"), *(F.collect_list(k).alias(k) for k in lists)).select("of.*", *lists)
 
 
 #: Marks a state whose unit needs the merges one at a time (no position has this bit).
 _AGAIN = 1 << 62
+#: Bits of an id, which is made positive by _ID, and of a position or a length.
+_ID_BITS, _AT_BITS = 24, 6
+_ID = 0x110000
+
+
+def bpe_lists() -> dict[str, Column]:
+    """What ``fold_bpe`` needs of the edges: ``joins`` of several characters, ``singles`` of one.
+
+    ``turn`` has an edge's rank, start, length and ``early`` in one long,
+    ``id`` its start and id, ``ends`` the bits of its two ends, ``span``
+    those of all positions from one to the other.
+    """
+    turn = f"shiftleft(shiftleft(shiftleft(cast(rank as long), {_AT_BITS}) | s, {_AT_BITS}) | l, 1) | if(early, 1, 0) as turn"
+    at_id = f"shiftleft(cast(s as long), {_ID_BITS}) | (id + {_ID})"
+    join = f"if(l > 1, struct({turn}, {at_id} as id, shiftleft(1L, s) | shiftleft(1L, s + l) as ends, shiftleft(1L, s + l + 1) - shiftleft(1L, s) as span), null)"
+    return {"joins": F.expr(join), "singles": F.expr(f"if(l = 1, {at_id}, null)")}
 
 
 def fold_bpe(edges: DataFrame) -> DataFrame:
     """(unit, at, ids) by best merges.
 
     The state is a set of positions, one bit each: an edge can merge if its
-    ends and one position between are set. One pass over the edges by rank is
-    enough unless a merge makes a better-ranked edge possible, whose turn is
-    over; the few units where that happens repeat: the best possible merge at
-    a time.
+    ends and one position between are set. One pass over the edges by rank,
+    then start, is enough unless a merge makes a better-ranked edge possible,
+    whose turn is over; the few units where that happens repeat: the best
+    possible merge at a time.
     """
+    edges = edges.withColumn("joins", F.sort_array("joins"))
+    rank = lambda x: f"shiftright({x}.turn, {2 * _AT_BITS + 1})"
     can = lambda b, x: f"({b} & {x}.ends) = {x}.ends and bit_count({b} & {x}.span) = 3"
     without = lambda b, x: f"({b} & ~({x}.span & ~{x}.ends))"
     every = "(shiftleft(1L, n + 1) - 1L)"
-    missed = f"x.early and exists(joins, y -> y.rank < x.rank and {can(without('b', 'x'), 'y')})"
+    missed = f"(x.turn & 1L) = 1L and exists(joins, y -> {rank('y')} < {rank('x')} and {can(without('b', 'x'), 'y')})"
     one_pass = f"(b, x) -> if({can('b', 'x')}, {without('b', 'x')} | if({missed}, {_AGAIN}L, 0L), b)"
     step_by_step = (
         f"aggregate(slice(sequence(1, n), 1, n - 1), {every}, "
         f"(b, i) -> b & ~coalesce(get(transform(filter(joins, x -> {can('b', 'x')}), x -> x.span & ~x.ends), 0), 0L))"
     )
+    alone = f"shiftleft(3L, cast(shiftright(x, {_ID_BITS}) as int))"
     pieces = (
-        "transform(array_sort(concat("
-        "transform(filter(joins, x -> (c & x.span) = x.ends), x -> named_struct('s', x.s, 'id', x.id)), "
-        "transform(filter(singles, x -> (c & shiftleft(3L, x.s)) = shiftleft(3L, x.s)), x -> named_struct('s', x.s, 'id', x.id)))), x -> x.id)"
+        "transform(sort_array(concat("
+        "transform(filter(joins, x -> (c & x.span) = x.ends), x -> x.id), "
+        f"filter(singles, x -> (c & {alone}) = {alone}))), x -> cast((x & {(1 << _ID_BITS) - 1}L) - {_ID} as int))"
     )
     # the inner aggregate only names the final state, so that it is computed once
     ids = f"aggregate(joins, {every}, {one_pass}, b -> aggregate(array(0), if((b & {_AGAIN}L) = 0, b, {step_by_step}), (c, i) -> c, c -> {pieces}))"
@@ -298,10 +317,6 @@ def fold_bpe(edges: DataFrame) -> DataFrame:
 
 def fold_viterbi(edges: DataFrame) -> DataFrame:
     """(unit, at, ids) by the best sum of scores; of equal sums the one whose last piece is longer."""
-    every = (
-        "concat(transform(joins, x -> named_struct('s', x.s, 'e', x.e, 'id', x.id, 'score', x.score)), "
-        "transform(singles, x -> named_struct('s', x.s, 'e', x.s + 1, 'id', x.id, 'score', x.score)))"
-    )
     best = (
         "aggregate(sequence(1, n), array(named_struct('score', 0.0D, 's', 0, 'id', 0)), (st, p) -> "
         "concat(st, array(coalesce(reduce(filter(edges, x -> x.e = p), cast(null as struct<score:double,s:int,id:int>), (a, x) -> "
@@ -310,7 +325,7 @@ def fold_viterbi(edges: DataFrame) -> DataFrame:
         "st -> aggregate(sequence(1, n), named_struct('p', n, 'ids', cast(array() as array<int>)), (a, i) -> "
         "if(a.p = 0, a, named_struct('p', get(st, a.p).s, 'ids', concat(array(get(st, a.p).id), a.ids))), a -> a.ids))"
     )
-    return edges.select("unit", "at", F.expr(f"transform(array({every}), edges -> {best})[0]").alias("ids"))
+    return edges.select("unit", "at", F.expr(best).alias("ids"))
 
 
 _UNITS = pa.schema([("block", pa.int64()), ("units", pa.list_(pa.string()))])
@@ -426,10 +441,11 @@ def encode_units(words: DataFrame, pieces: Pieces) -> DataFrame:
     more partitions than their own size asks for.
     """
     spark = words.sparkSession
-    dealt = words.repartition(SPREAD * shuffle_width(spark), "unit")
-    units = dealt.groupBy("unit").agg(F.collect_list("place").alias("at"))
-    edges = lattice(units, piece_table(spark, pieces), pieces.longest)
-    return fold_bpe(edges) if pieces.bpe else fold_viterbi(edges)
+    h = F.xxhash64("unit")  # not sent along: the tasks compute it again
+    dealt = words.repartition(SPREAD * shuffle_width(spark), h).withColumn("h", h)
+    units = dealt.groupBy("h", "unit").agg(F.collect_list("place").alias("at"))
+    table = piece_table(spark, pieces)
+    return fold_bpe(lattice(units, table, pieces.longest, **bpe_lists())) if pieces.bpe else fold_viterbi(lattice(units, table, pieces.longest))
 
 
 def packed(bits: int):

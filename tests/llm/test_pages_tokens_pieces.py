@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import tracemalloc
 import zlib
 
@@ -257,3 +258,23 @@ def test_words_are_cut_in_stretches(monkeypatch):
     assert some.to_pylist() == whole.to_pylist() and some.dictionary.to_pylist() == whole.dictionary.to_pylist() and list(some_counts) == list(counts)
     none, counts = cut.units(words[:0])
     assert len(none) == len(none.dictionary) == len(counts) == 0
+
+
+def test_equal_hashes_of_units_and_pieces_change_nothing(make_docs, monkeypatch):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    pieces = pl.Pieces.load(tokenizer_path("piece_bpe_32k.model"))
+    hashed = F.xxhash64
+    monkeypatch.setattr(pl.F, "xxhash64", lambda c: F.pmod(hashed(c), F.lit(5000)))
+    texts = ["the theme of another anthem", "naïve café déjà-vu", "", None, "unbelievable interoperability", "x" * 70]
+    got = {r["doc_id"]: r["ids"] for r in pl.encode(make_docs(enumerate(texts)), pieces).collect()}
+    assert got == {i: sp.encode(t or "") for i, t in enumerate(texts)}
+
+
+def test_edges_are_grouped_by_two_numbers_and_not_shuffled(spark):
+    pieces = pl.Pieces.load(tokenizer_path("piece_bpe_32k.model"))
+    words = spark.createDataFrame([("▁theme", 1), ("▁other", 2)], "unit string, place long")
+    plan = pl.encode_units(words, pieces)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # of units
+    assert re.search(r"keys=\[h#\d+L, number#\d+L\]", plan) and re.search(r"BroadcastHashJoin \[key#\d+L\]", plan)
