@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +61,28 @@ def join_by_key(rows: DataFrame, n_rows: int, groups: DataFrame, keys: list[str]
     light = groups.filter(F.col(size) < heavy_from)
     rest = rows.join(heavy.select(*keys), keys, "left_anti")
     return rows.join(heavy, keys).unionByName(rest.join(light, keys, "left"))
+
+
+def give_back() -> None:
+    """Hand the memory that Arrow and the C library hold for later use back to the system.
+
+    Spark keeps a Python worker for the next tasks; without this it keeps the
+    peak of those before, beside an executor whose heap has grown since.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, a function for mapInArrow, after whose end the worker gives its memory back."""
+
+    @functools.wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ledgerflow.llm.common import id_bucket, join_by_key, shuffle_width, stage
+from ledgerflow.llm.common import give_back, giving_back, id_bucket, join_by_key, shuffle_width, stage
 
 ORDER = 4
 #: A text is rejected above its language's mean cross-entropy by this many standard errors and nats.
@@ -61,6 +61,7 @@ def words_of(text: str) -> list[str]:
 def gram_counts(train: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, gram, n) over all rows of (lang, text): grams of ``order`` characters, words padded with blanks."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
         pad = " " * (order - 1)
@@ -91,10 +92,14 @@ def gram_counts(train: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, k, gram, n, own, bow): per n-gram of each order k its discounted share ``own`` and its context's weight ``bow`` for the order below."""
+    """(lang, k, gram, n, own, bow): per n-gram of each order k its discounted share ``own`` and its context's weight ``bow`` for the order below.
+
+    The orders are written one by one: a plan over all of them at once takes
+    the driver much memory.
+    """
     by_k = {order: counts.select("lang", "gram", F.col("n").cast("double").alias("n"))}
     for k in range(order - 1, 0, -1):
-        by_k[k] = by_k[k + 1].groupBy("lang", F.expr(f"substring(gram, 2, {k})").alias("gram")).agg(F.count("*").cast("double").alias("n"))
+        by_k[k] = stage(by_k[k + 1].groupBy("lang", F.expr(f"substring(gram, 2, {k})").alias("gram")).agg(F.count("*").cast("double").alias("n")), "lang-lower-grams")
     out = None
     for k, grams in by_k.items():
         ones = F.sum(F.when(F.col("n") == 1, 1.0).otherwise(0.0))
@@ -109,6 +114,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
             .withColumn("kinds", F.count("*").over(context))
             .select("lang", F.lit(k).alias("k"), "gram", "n", ((F.col("n") - F.col("d")) / F.col("total")).alias("own"), (F.col("d") * F.col("kinds") / F.col("total")).alias("bow"))
         )
+        rows = stage(rows, "lang-order")
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -138,11 +144,12 @@ def probabilities(models: Models, grams: DataFrame) -> DataFrame:
     """(gram, p) for the distinct values of the column gram, strings of ``order`` characters: the last one's probability after the others, by language.
 
     A gram that a language never had weighs nothing of its own there, and a
-    context it never had passes the lower order on whole.
+    context it never had passes the lower order on whole. As in
+    ``kneser_ney``, the orders below the last are written one by one.
     """
     wanted = {models.order: grams.select("gram").distinct()}
     for k in range(models.order - 1, 0, -1):
-        wanted[k] = wanted[k + 1].select(F.expr(f"substring(gram, 2, {k})").alias("gram")).distinct()
+        wanted[k] = stage(wanted[k + 1].select(F.expr(f"substring(gram, 2, {k})").alias("gram")).distinct(), "lang-wanted")
     lower = None
     for k in range(1, models.order + 1):
         rows = models.tables.filter(F.col("k") == k)
@@ -156,6 +163,8 @@ def probabilities(models: Models, grams: DataFrame) -> DataFrame:
             asked = asked.join(bow, "context", "left").join(lower.toDF("rest", "below"), "rest")
         p = [F.coalesce(F.col("own")[i], F.lit(0.0)) + F.coalesce(F.col("bow")[i], F.lit(1.0)) * F.col("below")[i] for i in range(len(models.langs))]
         lower = asked.select("gram", F.array(*(F.greatest(x, F.lit(1e-30)) for x in p)).alias("p"))
+        if k < models.order:
+            lower = stage(lower, "lang-below")
     return lower
 
 
@@ -300,13 +309,13 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
     chars = base.agg(F.sum(F.length("text"))).first()[0] or 0
     limit = min(BLOCK_CHARS, chars // shuffle_width(docs.sparkSession) + 1)
     in_block = stage(block_grams(base.select("text"), limit, models.order), "lang-block-grams")
-    sizes = in_block.groupBy("gram").agg(F.count("*").alias("size"))
+    sizes = stage(in_block.groupBy("gram").agg(F.count("*").alias("size")), "lang-sizes")
     p = stage(probabilities(models, sizes).join(sizes, "gram"), "lang-probabilities")
     given = join_by_key(in_block, in_block.count(), p, ["gram"], "size").select("block", "gram", "p").groupBy("block")
     light = Models(models.langs, models.order, None, models.uniform, models.mean, models.spread)
     added = StructType().add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
 
-    def run(rows: pa.Table, grams: pa.Table) -> pa.Table:
+    def judged(rows: pa.Table, grams: pa.Table) -> pa.Table:
         p = np.asarray(pc.list_flatten(grams.column("p")), np.float64).reshape(-1, len(light.langs))
         scorer = Scorer(light, grams.column("gram").to_pylist(), p)
         lang, score, rejected = [], [], []
@@ -318,6 +327,11 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
         cols = [*row.flatten(), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
         return pa.Table.from_arrays(cols, names=[*(f.name for f in row.type), "lang_pred", "score", "rejected"])
 
+    def run(rows: pa.Table, grams: pa.Table) -> pa.Table:
+        out = judged(rows, grams)
+        give_back()
+        return out
+
     rows = numbered(base.select(F.struct("*").alias("row")), limit).groupBy("block")
     return rows.cogroup(given).applyInArrow(run, StructType([*base.schema.fields, *added.fields]))
 
@@ -345,6 +359,7 @@ def numbered(rows: DataFrame, limit: int) -> DataFrame:
     fail; it never scores a text by part of them.
     """
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _Stretches(limit)
         for batch in batches:
@@ -357,6 +372,7 @@ def numbered(rows: DataFrame, limit: int) -> DataFrame:
 def block_grams(texts: DataFrame, limit: int, order: int = ORDER) -> DataFrame:
     """Distinct (block, gram) of the rows (text)."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks, now = _Stretches(limit), None
         words: set[str] = set()

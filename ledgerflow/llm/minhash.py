@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import join_by_key, stage
+from ledgerflow.llm.common import give_back, giving_back, join_by_key, stage
 from ledgerflow.llm.components import connected
 
 COORDINATES = 32
@@ -37,6 +37,8 @@ FREQUENT_KEYS = 131_072
 LIST_LEAST = 32
 #: Documents of a frequent key that one task holds against as many others.
 BLOCK = 1024
+#: After so many documents of a frequent key the worker gives its memory back; most keys have fewer.
+LARGE_PART = 512
 PERCENT = 80
 CACHED_WORDS = 500_000
 
@@ -101,6 +103,7 @@ def _set_key(h: np.ndarray) -> tuple[int, int]:
 def signatures(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n_shingles, hi, lo, sig) per row; sig is empty for an empty set."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Words()
         for batch in batches:
@@ -124,6 +127,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, shingles): the whole set as bytes, for confirming."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Words()
         for batch in batches:
@@ -141,6 +145,7 @@ def _keys(sig: bytes) -> np.ndarray:
 def frequent_keys(classes: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(keys, their frequency), sorted by key: at most FREQUENT_KEYS, as those with fewer documents than a bound that the number of documents gives stay out."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sigs = [s.as_py() for s in batch.column(0)]
@@ -157,6 +162,7 @@ def postings(classes: DataFrame, keys: np.ndarray, counts: np.ndarray) -> DataFr
     """(key, frequent, mask, doc_id, n_shingles) for the PREFIX rarest keys of each class; mask: the coordinates of its frequent ones."""
     held = classes.sparkSession.sparkContext.broadcast((keys, counts))
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = held.value
         for batch in batches:
@@ -204,6 +210,7 @@ def _confirmed(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def colliding(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs with at least MATCHES equal coordinates."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -222,6 +229,7 @@ def colliding(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are as alike as asked for."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hits = [
@@ -290,7 +298,14 @@ def frequent_links(posted: DataFrame, classes: DataFrame, sets: DataFrame, perce
         .join(classes.select("doc_id", "sig"), "doc_id")
         .join(sets, "doc_id")
     )
-    return rows.groupBy("key", "one", "other").applyInPandas(lambda part: _list_links(part, percent), "a bigint, b bigint").distinct()
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        out = _list_links(part, percent)
+        if len(part) >= LARGE_PART:
+            give_back()
+        return out
+
+    return rows.groupBy("key", "one", "other").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import shuffle_width
+from ledgerflow.llm.common import give_back, giving_back, shuffle_width
 from ledgerflow.llm.token_files import from_planes, to_planes
 
 BLANK = "▁"
@@ -410,6 +410,7 @@ def _blocks(docs: DataFrame, pieces: Pieces, units: bool) -> DataFrame:
     """One row per block: its units, or its documents as codes. Both come from the same texts in the same order, so the numbers agree."""
     held = docs.sparkSession.sparkContext.broadcast(pieces)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, task, n, block = Cutter(held.value), TaskContext.get().partitionId(), 0, _Block()
 
@@ -427,6 +428,7 @@ def _blocks(docs: DataFrame, pieces: Pieces, units: bool) -> DataFrame:
                 block.add(some.column(0), cut.words(some.column(1)), units)
                 if block.full():
                     yield close()
+                    give_back()
         if block.size or block.ids:
             yield close()
 
@@ -504,7 +506,7 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
     held = spark.sparkContext.broadcast(pieces)
     out = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int32()))] + ([("decoded_sha256", pa.string())] if decoded else []))
 
-    def run(block: pa.Table, dictionary: pa.Table) -> pa.Table:
+    def joined(block: pa.Table, dictionary: pa.Table) -> pa.Table:
         model = held.value
         long_fold = merge_long if model.bpe else viterbi_long
         if not block.num_rows:
@@ -547,6 +549,11 @@ def encode(docs: DataFrame, pieces: Pieces, decoded: bool = False) -> DataFrame:
             a = b
         return pa.concat_tables(tables)
 
+    def run(block: pa.Table, dictionary: pa.Table) -> pa.Table:
+        out = joined(block, dictionary)
+        give_back()
+        return out
+
     codes = _blocks(docs, pieces, units=False)
     return codes.groupBy("of").cogroup(coded.groupBy("block")).applyInArrow(run, "doc_id bigint, n_ids bigint, ids array<int>" + (", decoded_sha256 string" if decoded else ""))
 
@@ -602,6 +609,7 @@ def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids decode to a null text."""
     held = encoded.sparkSession.sparkContext.broadcast(pieces)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(decode_batch(batch.column(1), held.value), pa.string())], names=["doc_id", "text"])
