@@ -4,18 +4,20 @@ Equal vectors of a label are one class. The classes are dealt to overlapping
 shards: each belongs to its nearest centre and visits every centre of a lower
 number whose vectors can lie within the threshold's angle of it, so any two
 vectors that can be linked share a shard, however many centres there are. Each
-shard builds a graph whose neighbour lists are robust-pruned (a candidate is
-dropped where a chosen neighbour is closer to it than the vector itself), and
-the lists a vector has from its own shard are united with those of the shard
-it visits. Then every vector searches its shards: greedily from the medoid to
-its own neighbourhood, from there in ever wider range until no vector within
-reach is new. What it meets is verified by cosine in double precision.
-``audit`` measures the recall against brute force.
+shard builds a graph over its own vectors whose neighbour lists are
+robust-pruned (a candidate is dropped where a chosen neighbour is closer to it
+than the vector itself). A visitor whose nearest own vector is within the
+threshold joins the graph by such a list; the others are done with there. Then
+every vector searches its shards: greedily from the medoid to its own
+neighbourhood, from there and from its list in ever wider range until no
+vector within reach is new. What it meets is verified by cosine in double
+precision. ``audit`` measures the recall against brute force.
 
 A shard with more vectors than a task should hold is cut into blocks of its
 own vectors and of visitors; every two blocks of which one is its own are a
 task of their own. Where vectors have no clusters, a vector visits most
-centres, and the tasks grow with the square of a label's vectors.
+centres, so the visits grow with the square of a label's vectors. A visit
+without a partner costs one product with the block's vectors, and no graph.
 """
 
 from __future__ import annotations
@@ -152,18 +154,21 @@ def sharded(classes: DataFrame, threshold: float = COSINE) -> DataFrame:
     return classes.mapInArrow(run, schema)
 
 
-def _pruned(x: np.ndarray, seed: int) -> np.ndarray:
-    """Neighbour lists (rows of DEGREE, -1 where shorter): each vector's candidates from near to far, less those that a chosen one covers."""
+def _pruned(x: np.ndarray, seed: int, q: np.ndarray | None = None) -> np.ndarray:
+    """Neighbour lists among ``x`` (rows of DEGREE, -1 where shorter) of each vector in ``q``, or in ``x`` itself: its candidates from near to far, less those that a chosen one covers."""
+    itself = q is None
+    q = x if q is None else q
     n = len(x)
-    out = np.full((n, DEGREE), -1, np.int64)
-    if n < 2:
+    out = np.full((len(q), DEGREE), -1, np.int64)
+    near = min(CANDIDATES, n - itself)
+    if near < 1:
         return out
-    near = min(CANDIDATES, n - 1)
     rng = np.random.RandomState(seed % (2**32))
-    for a in range(0, n, 512):
-        rows = np.arange(a, min(a + 512, n))
-        sim = x[rows] @ x.T
-        sim[np.arange(len(rows)), rows] = -np.inf
+    for a in range(0, len(q), 512):
+        rows = np.arange(a, min(a + 512, len(q)))
+        sim = q[rows] @ x.T
+        if itself:
+            sim[np.arange(len(rows)), rows] = -np.inf
         top = np.argpartition(-sim, near - 1, axis=1)[:, :near]
         top = np.concatenate([top, rng.randint(0, n, (len(rows), RANDOM_LINKS))], axis=1)
         value = np.take_along_axis(sim, top, 1)
@@ -190,101 +195,128 @@ def _both_ways(x: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def build_block(part: pd.DataFrame) -> pd.DataFrame:
-    """Lists (vec_id, neighbours) that the graph of one task gives to the shard's own vectors."""
+    """Lists (vec_id, neighbours) of the graph over one block of a shard's own vectors."""
     part = part.sort_values("vec_id", kind="stable")
-    ids, mine = part["vec_id"].to_numpy(), (part["owner"] == part["shard"]).to_numpy()
+    ids = part["vec_id"].to_numpy()
     a, b = _both_ways(_unit(part["embedding"].tolist()), int(part["shard"].iloc[0]) + 1)
-    a, b = a[mine[a]], b[mine[a]]
     if not len(a):
         return pd.DataFrame({"vec_id": np.zeros(0, np.int64), "neighbours": np.zeros(0, object)})
-    return pd.DataFrame({"vec_id": ids[a], "neighbours": ids[b]}).groupby("vec_id")["neighbours"].agg(list).reset_index()
+    return pd.DataFrame({"vec_id": ids, "neighbours": np.split(ids[b], np.searchsorted(a, np.arange(1, len(ids))))})
 
 
-def _expand(x: np.ndarray, edges: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, met) at or above the threshold, every vector searching for itself."""
-    n = len(x)
-    width = max((len(e) for e in edges), default=0)
-    if n < 2 or not width:
+def _cosines(y: np.ndarray, q: np.ndarray, x: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Of every pair (q, v), the cosine of vector q in ``y`` and vector v in ``x``."""
+    steps = range(0, len(q), 50_000)
+    return np.concatenate([np.einsum("ij,ij->i", y[q[a : a + 50_000]], x[v[a : a + 50_000]]) for a in steps] or [np.zeros(0)])
+
+
+def _listed(ends: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the list entries of the nodes ``of`` (node i's entries lie between ends[i] and ends[i + 1]), and for each the place in ``of``."""
+    count = ends[of + 1] - ends[of]
+    place = np.repeat(np.arange(len(of)), count)
+    return np.arange(len(place)) - (np.cumsum(count) - count - ends[of])[place], place
+
+
+def _expand(x: np.ndarray, a: np.ndarray, b: np.ndarray, y: np.ndarray, q: np.ndarray, v: np.ndarray, itself: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, met) at or above the threshold that the queries ``y`` meet in the graph over ``x`` with edges (a, b), by a.
+
+    (q, v) are the neighbours that each query starts from; with ``itself`` the
+    first queries are the vectors of the graph and don't meet themselves.
+    """
+    n, m = len(x), len(y)
+    if not n or not m:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    out = np.full((n, width), -1, np.int64)
-    for i, e in enumerate(edges):
-        out[i, : len(e)] = e
-    seen = np.zeros((n, n), bool)
-    queries = np.arange(n)
+    ends = np.searchsorted(a, np.arange(n + 1))
+    queries = np.arange(m)
     # greedy from the medoid
-    here = np.full(n, int((x @ x.mean(axis=0)).argmax()))
-    value = np.einsum("ij,ij->i", x, x[here])
+    here = np.full(m, int((x @ x.mean(axis=0)).argmax()))
+    value = _cosines(y, queries, x, here)
     moving = queries
     for _ in range(HOPS):
+        moving = moving[ends[here[moving] + 1] > ends[here[moving]]]
         if not len(moving):
             break
-        next_ = out[here[moving]]
-        sim = np.einsum("ij,ikj->ik", x[moving], x[next_])
-        sim[next_ < 0] = -np.inf
-        k = sim.argmax(axis=1)
-        best = sim[np.arange(len(moving)), k]
+        at, place = _listed(ends, here[moving])
+        sim = _cosines(y, moving[place], x, b[at])
+        best = np.maximum.reduceat(sim, np.searchsorted(place, np.arange(len(moving))))
+        at, place = at[sim == best[place]], place[sim == best[place]]
+        to = b[at[np.searchsorted(place, np.arange(len(moving)))]]
         better = best > value[moving]
-        moving, k, best, next_ = moving[better], k[better], best[better], next_[better]
-        here[moving], value[moving] = next_[np.arange(len(moving)), k], best
-    # ranges grow from there, and from the vector's own place
-    q, v = np.concatenate([queries, queries]), np.concatenate([here, queries])
-    seen[queries, queries] = True
+        moving = moving[better]
+        here[moving], value[moving] = to[better], best[better]
+    # ranges grow from there, and from the query's own neighbours
+    seen = np.zeros((m, n), bool)
+    if itself:
+        seen[np.arange(n), np.arange(n)] = True
+    pair = np.unique(np.concatenate([queries * n + here, q * n + v]))
+    q, v = pair // n, pair % n
     fresh = ~seen[q, v]
-    seen[q, v] = True
-    fresh[n:] = True
     q, v = q[fresh], v[fresh]
+    seen[q, v] = True
+    from_q, from_v = queries, here  # ranges grow from here even where it lies out of reach
     hit_q, hit_v = [], []
-    first = True
-    while len(q):
-        sim = np.einsum("ij,ij->i", x[q], x[v])
-        hits = (sim >= threshold) & (q != v)
-        hit_q.append(q[hits])
-        hit_v.append(v[hits])
-        go = (sim >= threshold - REACH) | first
-        q, v, first = q[go], v[go], False
-        new_q, new_v = [], []
-        for a in range(0, len(q), 20_000):
-            to = out[v[a : a + 20_000]]
-            qq = np.repeat(q[a : a + 20_000], width)
-            to = to.ravel()
-            ok = to >= 0
-            qq, to = qq[ok], to[ok]
+    while len(q) or len(from_q):
+        sim = _cosines(y, q, x, v)
+        hit_q.append(q[sim >= threshold])
+        hit_v.append(v[sim >= threshold])
+        go = sim >= threshold - REACH
+        q, v = np.concatenate([from_q, q[go]]), np.concatenate([from_v, v[go]])
+        from_q = from_v = queries[:0]
+        new = []
+        for k in range(0, len(q), 20_000):
+            at, place = _listed(ends, v[k : k + 20_000])
+            qq, to = q[k : k + 20_000][place], b[at]
             ok = ~seen[qq, to]
             pair = np.unique(qq[ok] * n + to[ok])
-            qq, to = pair // n, pair % n
-            seen[qq, to] = True
-            new_q.append(qq)
-            new_v.append(to)
-        q, v = np.concatenate(new_q) if new_q else q[:0], np.concatenate(new_v) if new_v else v[:0]
+            seen[pair // n, pair % n] = True
+            new.append(pair)
+        pair = np.concatenate(new) if new else q[:0]
+        q, v = pair // n, pair % n
     return np.concatenate(hit_q), np.concatenate(hit_v)
 
 
+def _partnered(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether each vector of ``y`` has any of ``x`` at or above the threshold."""
+    return np.concatenate([(y[a : a + 512] @ x.T).max(axis=1) >= threshold - SLACK for a in range(0, len(y), 512)] or [np.zeros(0, bool)])
+
+
 def search_block(part: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """(vec_id, links, root) of one task: a pair counts in the lower of its two owners' shards, and in one pair of blocks; root spans the pairs found."""
+    """(vec_id, links, root) of one task; root spans the pairs found.
+
+    The graph is that of the own vectors in block ``one``. They search it
+    where the task is that block's; otherwise, those of block ``other`` do.
+    What is not in the graph joins it by a pruned list of its neighbours there
+    if its nearest one is within the threshold, and is done with if not. Two
+    vectors that share shards meet in the one whose own vector has the lower
+    owner: there, one of them is own and the other own or a visitor.
+    """
     part = part.sort_values("vec_id", kind="stable")
     n = len(part)
     ids, copies, block, owner = (part[c].to_numpy() for c in ("vec_id", "copies", "block", "owner"))
-    shard, two = int(part["shard"].iloc[0]), part["one"].iloc[0] != part["other"].iloc[0]
+    shard, one, two = int(part["shard"].iloc[0]), part["one"].iloc[0], part["one"].iloc[0] != part["other"].iloc[0]
     x = _unit(part["embedding"].tolist())
-    a, b = _both_ways(x, shard + 1)
-    given = [np.asarray(e if e is not None else [], np.int64) for e in part["neighbours"]]
-    to = np.concatenate(given)
-    at = np.minimum(np.searchsorted(ids, to), n - 1)
-    here = ids[at] == to
-    pair = np.unique(np.concatenate([a * n + b, np.repeat(np.arange(n), [len(e) for e in given])[here] * n + at[here]]))
-    edges = np.split(pair % n, np.searchsorted(pair // n, np.arange(1, n)))
-    q, v = _expand(x, edges, threshold)
+    base = np.flatnonzero((owner == shard) & (block == one))
+    visitors = np.flatnonzero((block != one) if two else (owner != shard))
+    if not len(base):
+        return pd.DataFrame({"vec_id": ids[:0], "links": np.zeros(0, np.int64), "root": ids[:0]})
+    visitors = visitors[_partnered(x[base], x[visitors], threshold)]
+    given = [np.asarray(e if e is not None else [], np.int64) for e in part["neighbours"].iloc[base]]
+    a, b = np.repeat(np.arange(len(base)), [len(e) for e in given]), np.searchsorted(ids[base], np.concatenate(given))
+    k, r = np.nonzero((lists := _pruned(x[base], shard + 1, x[visitors])) >= 0)
+    v = lists[k, r]
+    queries = visitors
+    if not two:
+        queries = np.concatenate([base, visitors])
+        k, v = np.concatenate([a, k + len(base)]), np.concatenate([b, v])
+    q, v = _expand(x[base], a, b, x[queries], k, v, not two, threshold)
     links = np.zeros(n, np.int64)
     root = np.arange(n)
     if len(q):
+        q, v = queries[q], base[v]
         pair = np.unique(np.minimum(q, v) * n + np.maximum(q, v))
         a, b = pair // n, pair % n
-        if two:
-            cross = block[a] != block[b]
-            a, b = a[cross], b[cross]
-        own = np.minimum(owner[a], owner[b]) == shard
-        np.add.at(links, a[own], copies[b[own]])
-        np.add.at(links, b[own], copies[a[own]])
+        np.add.at(links, a, copies[b])
+        np.add.at(links, b, copies[a])
         root = _roots(n, a, b)
     keep = (links > 0) | (root != np.arange(n))
     return pd.DataFrame({"vec_id": ids[keep], "links": links[keep], "root": ids[root[keep]]})
@@ -349,16 +381,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     placed = (
         lies.join(F.broadcast(sizes), where)  # at most CENTRES rows and one per label
         .withColumn("block", F.when(F.col("mine") | (F.col("visitor_blocks") == 0), F.pmod(hashed, "own_blocks")).otherwise(F.col("own_blocks") + F.pmod(hashed, "visitor_blocks")).cast("int"))
+    )
+    lists = placed.filter("mine").groupBy(*where, "block").applyInPandas(build_block, "vec_id bigint, neighbours array<bigint>")
+    graph = stage(lists, "vectors-graph")  # a vector has one block of its own shard
+    # visitors need no lists; those of a vector's own shard lead to vectors that are not in this graph
+    visitors = placed.filter("not mine").withColumn("neighbours", F.lit(None).cast("array<bigint>"))
+    tasks = (
+        placed.filter("mine").join(graph, "vec_id", "left").unionByName(visitors)
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.when(F.col("block") < F.col("own_blocks"), F.col("own_blocks") + F.col("visitor_blocks")).otherwise(F.col("own_blocks")) - 1)))
         .withColumn("one", F.least("block", "with"))
         .withColumn("other", F.greatest("block", "with"))
-        .select(*where, "one", "other", "block", "vec_id", "copies", "embedding", "owner")
-    )
-    task = [*where, "one", "other"]
-    lists = placed.filter("one = other").groupBy(*task).applyInPandas(build_block, "vec_id bigint, neighbours array<bigint>")
-    graph = stage(lists, "vectors-graph")  # a vector has one block of its own shard
+        .select(*where, "one", "other", "block", "vec_id", "copies", "embedding", "owner", "neighbours")
+    )
     met = stage(
-        placed.join(graph, "vec_id", "left").groupBy(*task).applyInPandas(lambda part: search_block(part, threshold), "vec_id bigint, links bigint, root bigint"),
+        tasks.groupBy(*where, "one", "other").applyInPandas(lambda part: search_block(part, threshold), "vec_id bigint, links bigint, root bigint"),
         "vectors-met",
     )
     found = connected(met.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from ledgerflow.llm import minhash, vector_graph
@@ -160,6 +161,24 @@ def test_vectors_recall_with_hundreds_of_centres(spark, monkeypatch):
     assert recall["present"] == 1000 and recall["recall"] >= 0.99
 
 
+def test_only_visitors_with_a_partner_join_the_graph(monkeypatch):
+    """A shard's graph is built once over its own vectors; a task makes lists for no visitor that can't be linked."""
+    rng = np.random.RandomState(6)
+    own, far = rng.randn(300, 64), rng.randn(600, 64)
+    near = own[:10] + 0.01 * rng.randn(10, 64)
+    x = np.concatenate([own, far, near])
+    n = len(x)
+    part = pd.DataFrame({"shard": 3, "owner": np.where(np.arange(n) < 300, 3, 5), "block": 0, "one": 0, "other": 0, "vec_id": np.arange(n), "copies": 2, "embedding": list(x)})
+    lists = vector_graph.build_block(part[part["owner"] == 3])
+    part = part.merge(lists, "left", on="vec_id")
+    part["neighbours"] = [e if isinstance(e, (list, np.ndarray)) else None for e in part["neighbours"]]
+    made, real = [], vector_graph._pruned
+    monkeypatch.setattr(vector_graph, "_pruned", lambda *given: [out := real(*given), made.append(len(out))][0])
+    got = vector_graph.search_block(part, 0.93)
+    assert sum(made) <= 10
+    assert sorted(map(tuple, got.to_numpy().tolist())) == sorted([(i, 2, i) for i in range(10)] + [(900 + i, 2, i) for i in range(10)])
+
+
 def test_vectors_of_one_id_keep_their_own_links(spark):
     """Rows that share a vec_id but not the vector or the label are rows of their own."""
     x, y = [1.0, 0.0, 0.0, 0.01], [0.0, 1.0, 0.0, 0.01]
