@@ -198,7 +198,7 @@ class Search:
         self.items, self.top = items, top
         self.weakest = thresholds.astype("float64")
         self.best: list[list[tuple]] = [[] for _ in items.items]
-        self.pairs = self.scored = 0
+        self.scored = 0
         self.local = np.full(len(items.weights), -1, "int64")
 
     def _weights(self, level: tuple, wanted: np.ndarray, columns: np.ndarray) -> np.ndarray:
@@ -224,7 +224,6 @@ class Search:
         n = len(ids)
         columns, column = np.unique(terms, return_inverse=True)
         doc = np.repeat(np.arange(n), np.diff(starts))
-        self.pairs += n * len(self.weakest)
         leaf = self._maxima(doc, column, impacts, LEAF, n, len(columns))
         inner = np.maximum.reduceat(leaf, np.arange(0, len(leaf), INNER // LEAF), axis=0)
         root = inner.max(axis=0, keepdims=True)
@@ -268,10 +267,10 @@ class Search:
 
 
 def search(found: DataFrame, items, thresholds, top: int) -> DataFrame:
-    """(item_row, doc_id, score, scored, pairs): each task's best documents of every item, at most ``top``.
+    """(item_row, doc_id, score, scored): each task's best documents of every item, at most ``top``.
 
-    Every task also leaves one row without an item that says how many of its
-    pairs were scored.
+    Every task also leaves one row without an item that says how many pairs
+    it scored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,11 +284,11 @@ def search(found: DataFrame, items, thresholds, top: int) -> DataFrame:
                     np.frombuffer(row["terms"], "uint32").astype("int64"),
                     np.frombuffer(row["impacts"], "int32").astype("float64"),
                 )
-        rows = [(int(items.value.rows[i]), None if none else doc, -minus, None, None) for i, best in enumerate(state.best) for minus, none, doc in best]
-        rows.append((None, None, None, state.scored, state.pairs))
-        yield _batch(rows, [pa.int64()] * 5, ["item_row", "doc_id", "score", "scored", "pairs"])
+        rows = [(int(items.value.rows[i]), None if none else doc, -minus, None) for i, best in enumerate(state.best) for minus, none, doc in best]
+        rows.append((None, None, None, state.scored))
+        yield _batch(rows, [pa.int64()] * 4, ["item_row", "doc_id", "score", "scored"])
 
-    return found.mapInArrow(run, "item_row long, doc_id long, score long, scored long, pairs long")
+    return found.mapInArrow(run, "item_row long, doc_id long, score long, scored long")
 
 
 def best_of(rows: DataFrame, top: int) -> DataFrame:
@@ -323,11 +322,11 @@ def _batch_of_items(spark: SparkSession, docs: DataFrame, rows: list, top: int)
     late = search(every.filter("wave = 1"), held, thresholds, top)
     both = stage(early.unionByName(late), "search-found")
     best = stage(best_of(both.filter("item_row is not null"), top).select("item_row", "rank", "doc_id", "score"), "search-best")
-    work = both.agg(F.coalesce(F.sum("scored"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))).first()
+    scored = both.agg(F.coalesce(F.sum("scored"), F.lit(0))).first()[0]
     for b in (held, none, thresholds):
         b.destroy()
     remove_path(spark, path)
-    return best, tuple(work)
+    return best, (scored, n_docs * len(items.items))  # documents without any of the terms are never scored
 
 
 def rank_with_work(docs: DataFrame, items: DataFrame, top: int = TOP) -> tuple[DataFrame, list[tuple[int, int]]]:
