@@ -252,7 +252,7 @@ def change_state(
     else:
         incoming = incoming.persist()  # a few numbers per account of the batch, used twice
         touched = [r[0] for r in incoming.select(tables.bucket_of(key, buckets)).distinct().collect()]
-        new = merge_fn(store.read_buckets(spark, base, touched), incoming)
+        new = merge_fn(store.read_buckets(spark, base, touched, incoming.schema), incoming)
         store.write_buckets(new, version, key, buckets, **meta)
         incoming.unpersist()
     finish_version(spark, spec, store, version)

@@ -19,8 +19,9 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ledgerflow.operators import quality
 from ledgerflow.session import remove_path
@@ -69,10 +70,17 @@ class EventRuns:
         return df.sparkSession.read.schema(df.schema).parquet(self.path((batch, batch)))
 
     def ranges(self, ids: DataFrame) -> list[tuple]:
-        """(first, last) of up to RANGES stretches that hold all ids: a few values, whatever the batch."""
-        parts = ids.select(self.key).repartitionByRange(RANGES, self.key)
-        rows = parts.groupBy(F.spark_partition_id()).agg(F.min(self.key).alias("lo"), F.max(self.key).alias("hi")).collect()
-        return sorted((r.lo, r.hi) for r in rows if r.lo is not None)
+        """(first, last) of up to RANGES stretches that hold all ids, numbers cut once more at each one's widest gap: a few values, whatever the batch."""
+        parts = ids.select(self.key).repartitionByRange(RANGES, self.key).withColumn("part", F.spark_partition_id())
+        ends = [F.min(self.key).alias("lo"), F.max(self.key).alias("hi")]
+        if not isinstance(parts.schema[self.key].dataType, NumericType):
+            rows = parts.groupBy("part").agg(*ends).collect()
+            return sorted((r.lo, r.hi) for r in rows if r.lo is not None)
+        before = F.lag(self.key).over(Window.partitionBy("part").orderBy(self.key))
+        gaps = parts.withColumn("before", before).withColumn("gap", F.col(self.key).cast("double") - F.col("before").cast("double"))
+        rows = gaps.groupBy("part").agg(*ends, F.max_by(F.struct("before", F.col(self.key).alias("after")), "gap").alias("cut")).collect()
+        cut = [[(r.lo, r.cut.before), (r.cut.after, r.hi)] if r.cut else [(r.lo, r.hi)] for r in rows if r.lo is not None]
+        return sorted(stretch for two in cut for stretch in two)
 
     def lookup(self, spark: SparkSession, ids: DataFrame, below: int) -> DataFrame | None:
         """The latest folded version of each of ``ids`` in batches below ``below``, or None if there is no run."""
@@ -88,7 +96,11 @@ class EventRuns:
         return spark.read.parquet(*map(self.path, runs)).filter(reduce(lambda a, b: a | b, inside, F.lit(False)))
 
     def _tier(self, spark: SparkSession, run: tuple[int, int]) -> int:
-        return max(0, math.ceil(math.log(max(tables.input_size(spark, self.path(run)), 1) / TIER_BYTES, FANOUT)))
+        """Tier of a run's size, or of the merges its batches took, so that small runs too are rewritten once per tier."""
+        merges, batches = 0, run[1] - run[0] + 1
+        while batches >= FANOUT:
+            merges, batches = merges + 1, batches // FANOUT
+        return max(merges, math.ceil(math.log(max(tables.input_size(spark, self.path(run)), 1) / TIER_BYTES, FANOUT)))
 
     def compact(self, spark: SparkSession, below: int) -> list[tuple[int, int]]:
         """Merge FANOUT neighbouring runs of one tier, as often as there are any; returns the new runs.

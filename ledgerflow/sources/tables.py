@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerflow.config import TIME_RANGE, TRANSACTION_TYPES, Columns
 from ledgerflow.functions.rules import is_rejected, quarantine_reasons
@@ -258,13 +259,18 @@ class SnapshotTable:
             return self.read_buckets(spark, v)
         return spark.read.parquet(self.path(v)).drop(BUCKET)
 
-    def read_buckets(self, spark: SparkSession, version: int, buckets: list[int] | None = None) -> DataFrame:
-        """The given buckets of a bucketed version (all without a list): only their folders are listed and read."""
+    def read_buckets(self, spark: SparkSession, version: int, buckets: list[int] | None = None, schema: StructType | None = None) -> DataFrame:
+        """The given buckets of a bucketed version (all without a list): only their folders are listed and read.
+
+        ``schema`` is that of the result where no version holds a row yet.
+        """
         held = self.composition(spark, version)
         wanted = sorted(held if buckets is None else held.keys() & set(buckets))
         if not wanted:  # the schema of any version will do
-            some = next((v for v in reversed(self._numbers(spark)) if v <= version and self._buckets_in(spark, v)), version)
-            return spark.read.parquet(self.path(some)).drop(BUCKET).limit(0)
+            some = next((v for v in reversed(self._numbers(spark)) if v <= version and self._buckets_in(spark, v)), None)
+            if some is None and schema is not None:
+                return spark.createDataFrame([], schema)
+            return spark.read.parquet(self.path(version if some is None else some)).drop(BUCKET).limit(0)
         return spark.read.parquet(*[self.bucket_path(held[b], b) for b in wanted])
 
     def write(self, df: DataFrame, version: int, key: str | None = None, buckets: int | None = None, **meta) -> None:
